@@ -22,6 +22,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnkit.operators.util import join_null_safe
+
 DEFAULT_BUCKETS = 1000
 REL_ERR = 1e-3
 _BKT = "_pfx_bkt"
@@ -74,7 +76,7 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
                      *[F.sum(f"_t_{v}").over(w_all).alias(f"tot_{v}") for v in (values if totals else [])])
     # Without `by` the offset table has at most `buckets` rows: broadcast is
     # safe.  With `by` its size grows with the groups; AQE picks at runtime.
-    j = b.join(F.broadcast(off) if not by else off, [*by, _BKT])
+    j = b.join(F.broadcast(off), _BKT) if not by else join_null_safe(b, off, [*by, _BKT])
     ords = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w_in = Window.partitionBy(*by, _BKT).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
     for v in values:
@@ -101,14 +103,18 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     cnt = rows.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
     pre = prefix_sum(cnt, score, ["_n"], by=by, descending=descending, inclusive=False, totals=True)
     if isinstance(n, DataFrame):
-        pre = pre.join(n.withColumnRenamed("n", "_target"), by)
+        pre = join_null_safe(pre, n.withColumnRenamed("n", "_target"), by)
     else:
         pre = pre.withColumn("_target", F.lit(int(n)))
     target = F.least(F.col("_target"), F.col("tot__n"))
     bound = (pre
              .where((F.col("cum__n") < target) & (F.col("cum__n") + F.col("_n") >= target))
              .select(*by, F.col(score).alias("_bscore"), (target - F.col("cum__n")).alias("_k")))
-    tagged = rows.join(F.broadcast(bound) if not by else bound, by, "left")
+    if by:
+        tagged = join_null_safe(rows, bound, by, "left")
+    else:  # at most one boundary row: broadcast it, keyed on a constant
+        tagged = (rows.withColumn("_g", F.lit(0))
+                  .join(F.broadcast(bound.withColumn("_g", F.lit(0))), "_g", "left").drop("_g"))
     better = (F.col(score) > F.col("_bscore")) if descending else (F.col(score) < F.col("_bscore"))
     clear = tagged.where(F.col("_bscore").isNull() | (F.col(score) != F.col("_bscore"))) \
         .withColumn(out, F.coalesce(better, F.lit(False)))
