@@ -91,16 +91,21 @@ def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
         F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), (F.col("tp") / n).alias("f1_score"),
                  n.cast("bigint").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), n.cast("bigint")),
-        F.struct(F.lit("weighted avg"), F.col("wp") / n, F.col("wr") / n, F.col("wf") / n, n.cast("bigint")),
+        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1_score"), n.cast("bigint").alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), (F.col("wp") / n).alias("precision"),
+                 (F.col("wr") / n).alias("recall"), (F.col("wf") / n).alias("f1_score"),
+                 n.cast("bigint").alias("support")),
     )).alias("r")).select("r.*")
     return rows.unionByName(summary)
 
 
 def binary_precision(y: str, yhat: str) -> Column:
-    """precision of class 1 with the true label binarised (>= 1)."""
+    """Precision of class 1 with the true label binarised (>= 1); 0 when
+    nothing is flagged (the usual zero-division rule)."""
     flagged = col_(yhat) >= 1
-    return F.try_divide(_cnt(flagged & (col_(y) >= 1)).cast("double"), _cnt(flagged).cast("double"))
+    return F.coalesce(F.try_divide(_cnt(flagged & (col_(y) >= 1)).cast("double"), _cnt(flagged).cast("double")),
+                      F.lit(0.0))
 
 
 # --------------------------------------------------------------- whole-table
@@ -236,23 +241,23 @@ def prioritize(df: DataFrame, pct: float = 10, cols: EvalCols = DEFAULT) -> Data
 def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
     """Per model: TP/FP/TN/FN inside that model's priority rows and the
     priority row count (one row per model)."""
-    flagged = prioritize(df, pct, cols)
-    aggs = []
+    parts = []
     for m in ("churn", "intent"):
         pred, tgt = cols.model(m)
+        score = cols.priority_score_churn if m == "churn" else cols.intent_score
+        need = list(dict.fromkeys([score, pred, tgt, *cols.tiebreak]))
+        flagged = top_n_per_group(df.select(*need), score, pct, list(cols.tiebreak), out=f"{m}_priority")
         pr = F.col(f"{m}_priority")
-        aggs += [_cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
+        aggs = [_cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
                  _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp"),
                  _cnt(pr & (col_(pred) == 0) & (col_(tgt) == 0)).alias(f"{m}_tn"),
                  _cnt(pr & (col_(pred) == 0) & (col_(tgt) >= 1)).alias(f"{m}_fn"),
                  _cnt(pr).alias(f"{m}_n"),
                  _cnt(pr & (col_(tgt) >= 1)).alias(f"{m}_tp_any"),
                  _cnt(pr & (col_(tgt) == 0)).alias(f"{m}_fp_any")]
-    one = flagged.agg(*aggs)
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("model"), *[F.col(f"{m}_{k}").alias(k) for k in
-                                            ("tp", "fp", "tn", "fn", "n", "tp_any", "fp_any")])
-        for m in ("churn", "intent")])).alias("r")).select("r.*")
+        parts.append(flagged.agg(*aggs).select(F.lit(m).alias("model"), *[
+            F.col(f"{m}_{k}").alias(k) for k in ("tp", "fp", "tn", "fn", "n", "tp_any", "fp_any")]))
+    return parts[0].unionByName(parts[1])
 
 
 def cost_benefit(df: DataFrame, pct: float = 10, intervention_cost: float = 150,
@@ -306,11 +311,13 @@ def model_comparison(report_intent: DataFrame, report_churn: DataFrame, impact:
         r = rep.where(F.col("label") == "1.0")
         return r.select(F.lit(m).alias("model"), F.explode(F.array(
             F.struct(F.lit("Precision").alias("metric"), F.col("precision").alias("value")),
-            F.struct(F.lit("Recall"), F.col("recall")), F.struct(F.lit("F1-Score"), F.col("f1_score")))).alias("r")) \
+            F.struct(F.lit("Recall").alias("metric"), F.col("recall").alias("value")),
+            F.struct(F.lit("F1-Score").alias("metric"), F.col("f1_score").alias("value")))).alias("r")) \
             .select("model", "r.*")
     money = impact.select("model", F.explode(F.array(
         F.struct(F.lit("ROI").alias("metric"), F.col("roi").alias("value")),
-        F.struct(F.lit("Cost per True Positive"), F.col("cost_per_true_positive")))).alias("r")).select("model", "r.*")
+        F.struct(F.lit("Cost per True Positive").alias("metric"), F.col("cost_per_true_positive").alias("value"))))
+        .alias("r")).select("model", "r.*")
     long = cls1(report_intent, "intent").unionByName(cls1(report_churn, "churn")).unionByName(money)
     return (long.groupBy("metric").pivot("model", ["intent", "churn"]).agg(F.first("value"))
             .withColumnRenamed("intent", "intent_model").withColumnRenamed("churn", "churn_rules_model"))

@@ -22,7 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.operators.util import join_null_safe
+from churnkit.operators.util import join_null_safe, materialize
 
 DEFAULT_BUCKETS = 1000
 REL_ERR = 1e-3
@@ -49,7 +49,7 @@ def bucketize(df: DataFrame, col: str, splits: list[float], out: str = _BKT) ->
 def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
                by: Sequence[str] = (), descending: bool = False, inclusive: bool = True,
                buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-               totals: bool = False) -> DataFrame:
+               totals: bool = False, checkpoint: bool = True) -> DataFrame:
     """Add ``cum_<v>``: the sum of ``v`` over rows at or before this row in
     ``order`` (first column numeric or date), within each ``by`` group.
 
@@ -60,7 +60,8 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
     key = order[0]
-    base = df
+    # two passes follow (quantile sketch, then sums): run the input once
+    base = materialize(df) if checkpoint else df
     if dict(df.dtypes)[key] == "date":
         base = base.withColumn("_pfx_key", F.unix_date(F.col(key)))
         key = "_pfx_key"
@@ -98,10 +99,13 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     """
     by = list(by)
     tiebreak = list(tiebreak)
+    df = materialize(df)  # read by four passes below; run its plan once
     rows = df.where(F.col(score).isNotNull())
     nulls = df.where(F.col(score).isNull()).withColumn(out, F.lit(False))
     cnt = rows.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
     pre = prefix_sum(cnt, score, ["_n"], by=by, descending=descending, inclusive=False, totals=True)
+    if not isinstance(n, DataFrame) and n is None:
+        raise ValueError("n required")
     if isinstance(n, DataFrame):
         pre = join_null_safe(pre, n.withColumnRenamed("n", "_target"), by)
     else:
@@ -119,7 +123,7 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     clear = tagged.where(F.col("_bscore").isNull() | (F.col(score) != F.col("_bscore"))) \
         .withColumn(out, F.coalesce(better, F.lit(False)))
     ties = tagged.where(F.col(score) == F.col("_bscore")).withColumn("_one", F.lit(1))
-    ranked = prefix_sum(ties, tiebreak, ["_one"], by=by, descending=False)
+    ranked = prefix_sum(ties, tiebreak, ["_one"], by=by, descending=False, checkpoint=True)
     ties_flag = ranked.withColumn(out, F.col("cum__one") <= F.col("_k")).drop("_one", "cum__one")
     cols = [*df.columns, out]
     return (clear.select(*cols).unionByName(ties_flag.select(*cols))
@@ -131,6 +135,7 @@ def top_n_per_group(df: DataFrame, score: str, pct: float, tiebreak: Sequence[st
     """``top_n_flag`` with ``n = int(rows * pct / 100)`` per group (all rows,
     null scores included in the count, as the pandas rule does)."""
     if not by:
+        df = materialize(df)
         total = df.count()
         return top_n_flag(df, score, int(total * pct / 100), tiebreak, out=out)
     ns = df.groupBy(*by).agg(F.floor(F.count(F.lit(1)).cast("double") * F.lit(float(pct)) / 100)

@@ -28,3 +28,16 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     rest_a = [a[c] for c in a.columns if c not in keys]
     rest_b = [rb[c] for c in rb.columns if not c.startswith("_jr_")]
     return j.select(*key_cols, *rest_a, *rest_b)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where an operator makes several passes (quantile sketch, running
+    sums, final join): the upstream plan runs once instead of once per pass,
+    and the lineage is cut, so a lost executor re-reads files rather than
+    recomputing the whole upstream plan.  Reliable checkpoint only (the
+    folder comes from ``spark.checkpoint.dir``)."""
+    from churnkit.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

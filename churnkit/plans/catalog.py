@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnkit.plans import q_reconcile, q_profile  # noqa: F401
+from churnkit.plans import q_reconcile, q_profile, q_evaluate  # noqa: F401
 from churnkit.plans.registry import REGISTRY
 
 

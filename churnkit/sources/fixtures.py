@@ -205,4 +205,9 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
     ctes = [f"{n} AS ({SQL[n]()})" for n in names]
     for k, v in (extra or {}).items():
         ctes.append(f"{k} AS ({v})")
-    return ("WITH " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
+    if not ctes:
+        return sql
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":  # merge the body's own CTEs into ours
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql
