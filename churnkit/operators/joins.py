@@ -41,8 +41,10 @@ def feature_inclusion(features: DataFrame, ranks: DataFrame, feature_col: str =
     """Feature list LEFT JOIN ranks; ``included_in_model`` is 1 when matched.
     The rank table has one row per feature of a model (hundreds), so it is
     broadcast."""
-    j = features.join(F.broadcast(ranks), features[feature_col] == ranks[rank_feature_col], "left")
-    return j.withColumn("included_in_model", ranks[rank_feature_col].isNotNull().cast("int"))
+    f, r = features.alias("_f"), F.broadcast(ranks.alias("_r"))
+    j = f.join(r, F.col(f"_f.{feature_col}") == F.col(f"_r.{rank_feature_col}"), "left")
+    return j.select("_f.*", *[F.col(f"_r.{c}") for c in ranks.columns]) \
+        .withColumn("included_in_model", F.col(rank_feature_col).isNotNull().cast("int"))
 
 
 def intersect_features(requested: DataFrame, available: DataFrame, col: str = "feature") -> DataFrame:
