@@ -1,0 +1 @@
+from churnkit.streaming.scoring import score_stream  # noqa: F401
