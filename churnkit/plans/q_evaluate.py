@@ -336,3 +336,25 @@ def q_regression(spark, sf):
     """Regression metrics of a per-unit price baseline for the line amount."""
     li = load(spark, sf, "lineitem", ["l_extendedprice", "l_quantity"]).where("l_extendedprice > 0")
     return mt.regression_metrics(li.withColumn("mu", F.col("l_quantity") * 1000.0 + 500.0), "l_extendedprice", "mu")
+
+
+@query("retention_programs", "2.14", r6=["success_rate", "additional_value", "expected_saves", "expected_value"],
+       sql=rc.sql(f"""
+WITH pr AS ({sp.priority('scored')}),
+tp AS (SELECT 'churn' AS model, COUNT(*) FILTER (WHERE churn_priority AND churn_label >= 1 AND true_churned >= 1) AS tp FROM pr
+       UNION ALL SELECT 'intent', COUNT(*) FILTER (WHERE intent_priority AND churned_PREDICTION >= 1 AND churned >= 1) FROM pr),
+progs AS (SELECT * FROM (VALUES ('base', 9.0, 0.5, 0.0), ('optimistic', 9.0, 0.625, 9.6),
+                                ('pessimistic', 9.0, 0.375, 0.0)) t(program, cost, success_rate, additional_value))
+SELECT program, cost, success_rate, additional_value, model, tp * success_rate AS expected_saves,
+  tp * success_rate * (96.0 + additional_value) AS expected_value FROM progs, tp"""))
+def q_programs(spark, sf):
+    """Base / optimistic / pessimistic programs applied to each model's top-10 % true positives."""
+    cb = ev.cost_benefit(rc.both_scored(spark, sf), pct=10, intervention_cost=9, success_rate=0.5,
+                         customer_value=8 * 12)
+    progs = {p.name: p for p in ev.programs(9, 0.5, 96)}
+    rate = F.create_map(*[x for n, p in progs.items() for x in (F.lit(n), F.lit(float(p.success_rate)))])
+    extra = F.create_map(*[x for n, p in progs.items() for x in (F.lit(n), F.lit(float(p.additional_value)))])
+    return cb.select("program", F.lit(9.0).alias("cost"), rate[F.col("program")].alias("success_rate"),
+                     extra[F.col("program")].alias("additional_value"), "model",
+                     (F.col("TP") * rate[F.col("program")]).alias("expected_saves"),
+                     (F.col("TP") * rate[F.col("program")] * (F.lit(96.0) + extra[F.col("program")])).alias("expected_value"))

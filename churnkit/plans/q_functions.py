@@ -229,3 +229,23 @@ def q_replace(spark, sf):
     "intent_preds"))
 def q_output_name(spark, sf):
     return io.output_name(fixtures.intent_preds(spark, sf), "intent-m1", "observation_date")
+
+
+@query("flag_not_null", "2.2", sql=fixtures.with_views(
+    "SELECT stop_intent_date IS NOT NULL AS has_stop_intent, COUNT(*) AS n FROM intent_preds GROUP BY 1", "intent_preds"))
+def q_flag_not_null(spark, sf):
+    """``has_stop_intent`` from the presence of an intent date, counted."""
+    i = fixtures.intent_preds(spark, sf)
+    return i.groupBy(sc.flag_not_null("stop_intent_date").alias("has_stop_intent")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("conditional_class_filter", "2.2", sql=fixtures.with_views(
+    "SELECT 'positive' AS branch, COUNT(*) AS n, SUM(l_quantity) AS quantity FROM downsample_base WHERE target_column > 0 "
+    "UNION ALL SELECT 'negative', COUNT(*), SUM(l_quantity) FROM downsample_base WHERE target_column = 0",
+    "downsample_base"))
+def q_class_filter(spark, sf):
+    """The two class branches of the downsampling query (target > 0, target = 0)."""
+    b = fixtures.downsample_base(spark, sf)
+    pos = b.where(F.col("target_column") > 0).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+    neg = b.where(F.col("target_column") == 0).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+    return pos.select(F.lit("positive").alias("branch"), "*").unionByName(neg.select(F.lit("negative").alias("branch"), "*"))

@@ -246,3 +246,12 @@ def q_agreement(spark, sf):
     m = rc.merged(spark, sf)
     return m.agg(pf.agreement_rate(m, "churned", "true_churned").alias("target_agreement"),
                  pf.agreement_rate(m, "churned_PREDICTION", "churn_label").alias("prediction_agreement"))
+
+
+@query("cross_tab_filtered_any_churn", "2.4", r6=["share"], sql=rc.sql(
+    "SELECT days_to_intent, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM merged "
+    "WHERE has_stop_intent AND true_churned >= 1 AND days_to_intent IS NOT NULL GROUP BY 1", level="merged"))
+def q_cross_tab_any(spark, sf):
+    """Day-gap counts of rows with a stated intent and any churn label (1 or 2)."""
+    m = rc.merged(spark, sf).where(F.col("has_stop_intent") & (F.col("true_churned") >= 1))
+    return pf.value_counts(m, ["days_to_intent"])
