@@ -19,7 +19,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.operators.util import join_null_safe, materialize
@@ -90,7 +90,8 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
 
 
 def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence[str],
-               by: Sequence[str] = (), descending: bool = True, out: str = "priority") -> DataFrame:
+               by: Sequence[str] = (), descending: bool = True, out: str = "priority",
+               materialized: bool = False) -> DataFrame:
     """Flag the first ``n`` rows ordered by ``score`` (descending by default)
     then ``tiebreak`` ascending; null scores are never flagged.
 
@@ -99,15 +100,22 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     """
     by = list(by)
     tiebreak = list(tiebreak)
-    df = materialize(df)  # read by four passes below; run its plan once
+    if not materialized:
+        df = materialize(df)  # read by four passes below; run its plan once
     rows = df.where(F.col(score).isNotNull())
     nulls = df.where(F.col(score).isNull()).withColumn(out, F.lit(False))
     cnt = rows.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
-    pre = prefix_sum(cnt, score, ["_n"], by=by, descending=descending, inclusive=False, totals=True)
+    # input rows are checkpointed above, so the count table is cheap to
+    # recompute and is not checkpointed again
+    pre = prefix_sum(cnt, score, ["_n"], by=by, descending=descending, inclusive=False, totals=True,
+                     checkpoint=False)
     if not isinstance(n, DataFrame) and n is None:
         raise ValueError("n required")
-    if isinstance(n, DataFrame):
+    if isinstance(n, DataFrame) and by:
         pre = join_null_safe(pre, n.withColumnRenamed("n", "_target"), by)
+    elif isinstance(n, DataFrame):  # one-row frame holding n
+        pre = (pre.withColumn("_g", F.lit(0))
+               .join(F.broadcast(n.withColumnRenamed("n", "_target").withColumn("_g", F.lit(0))), "_g").drop("_g"))
     else:
         pre = pre.withColumn("_target", F.lit(int(n)))
     target = F.least(F.col("_target"), F.col("tot__n"))
@@ -134,14 +142,7 @@ def top_n_per_group(df: DataFrame, score: str, pct: float, tiebreak: Sequence[st
                     by: Sequence[str] = (), out: str = "priority") -> DataFrame:
     """``top_n_flag`` with ``n = int(rows * pct / 100)`` per group (all rows,
     null scores included in the count, as the pandas rule does)."""
-    if not by:
-        df = materialize(df)
-        total = df.count()
-        return top_n_flag(df, score, int(total * pct / 100), tiebreak, out=out)
+    df = materialize(df)
     ns = df.groupBy(*by).agg(F.floor(F.count(F.lit(1)).cast("double") * F.lit(float(pct)) / 100)
                              .cast("bigint").alias("n"))
-    return top_n_flag(df, score, ns, tiebreak, by=by, out=out)
-
-
-def global_order_value(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+    return top_n_flag(df, score, ns, tiebreak, by=by, out=out, materialized=True)

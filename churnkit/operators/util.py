@@ -31,13 +31,18 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and read it back.
 
     Used where an operator makes several passes (quantile sketch, running
     sums, final join): the upstream plan runs once instead of once per pass,
     and the lineage is cut, so a lost executor re-reads files rather than
-    recomputing the whole upstream plan.  Reliable checkpoint only (the
-    folder comes from ``spark.checkpoint.dir``)."""
-    from churnkit.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    recomputing the whole upstream plan.  The folder comes from
+    ``spark.checkpoint.dir`` (shared storage on a cluster); Parquet is
+    smaller and faster to read than serialised row checkpoints."""
+    import uuid
+
+    from churnkit.session import shared_path
+    path = shared_path(df.sparkSession, f"churnkit-tmp/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
