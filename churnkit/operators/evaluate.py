@@ -31,7 +31,7 @@ class EvalCols:
     date: str = "observation_date"
     priority_score_churn: str = "bin_sum"
     segments: tuple[str, ...] = ("pubcode",)
-    tiebreak: tuple[str, ...] = ("idsubscrip", "observation_date")
+    tiebreak: tuple[str, ...] = ("idsubscrip", "observation_date", "pubcode", "churned")
 
     def model(self, name: str) -> tuple[str, str]:
         """(prediction label, target) of model ``intent`` or ``churn``."""

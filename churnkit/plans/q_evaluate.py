@@ -148,12 +148,12 @@ def q_intent_segments(spark, sf):
     return ev.intent_segments(rc.both_scored(spark, sf))
 
 
-_PRIO_COLS = "idsubscrip, observation_date, bin_sum, churned_1_PREDICTION, churn_priority, intent_priority"
+_PRIO_COLS = "idsubscrip, observation_date, pubcode, churned, bin_sum, churned_1_PREDICTION, churn_priority, intent_priority"
 
 
 @query("top_percent_priority", "2.5", sql=rc.sql(f"SELECT {_PRIO_COLS} FROM ({sp.priority('scored')}) p"))
 def q_top_percent(spark, sf):
-    """Top 10 % flags by rule score and by intent probability (ties by id, date)."""
+    """Top 10 % flags by rule score and by intent probability (ties by the row key)."""
     return ev.prioritize(rc.both_scored(spark, sf), 10).select(*[c.strip() for c in _PRIO_COLS.split(",")])
 
 
@@ -297,19 +297,19 @@ def _rate_sql(pct):
     return rc.sql(f"""
 SELECT AVG(CASE WHEN churned >= 1 THEN 1.0 ELSE 0.0 END) AS rate_at_top FROM (
   SELECT churned, CASE WHEN {P} IS NULL THEN false ELSE ROW_NUMBER() OVER (ORDER BY {P} DESC NULLS LAST,
-    idsubscrip, observation_date) <= CAST(FLOOR(COUNT(*) OVER () * {float(pct)} / 100) AS BIGINT) END AS top
+    {rc.ROW_KEY_SQL}) <= CAST(FLOOR(COUNT(*) OVER () * {float(pct)} / 100) AS BIGINT) END AS top
   FROM scored) t WHERE top""")
 
 
 @query("rate_at_top10", "2.14", r6=["rate_at_top"], sql=_rate_sql(10))
 def q_rate10(spark, sf):
     """Churn rate among the top 10 % intent scores."""
-    return mt.rate_at_top(rc.both_scored(spark, sf), Y, P, 10, ["idsubscrip", "observation_date"])
+    return mt.rate_at_top(rc.both_scored(spark, sf), Y, P, 10, rc.ROW_KEY)
 
 
 @query("rate_at_top5", "2.14", r6=["rate_at_top"], sql=_rate_sql(5))
 def q_rate5(spark, sf):
-    return mt.rate_at_top(rc.both_scored(spark, sf), Y, P, 5, ["idsubscrip", "observation_date"])
+    return mt.rate_at_top(rc.both_scored(spark, sf), Y, P, 5, rc.ROW_KEY)
 
 
 @query("balanced_accuracy", "2.14", r6=["balanced_accuracy"], sql=rc.sql(

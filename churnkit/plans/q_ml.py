@@ -123,14 +123,17 @@ def q_add_one_back(spark, sf):
     return ml.add_one_back(data, clusters, feats, "returned", "rid")
 
 
+# The two-model blend written as row arithmetic: a DuckDB double SUM is
+# compensated and can round differently with input order, which would split
+# ties; Spark's two-value mean (a + b) / 2 and median 0.5 * lo + 0.5 * hi are
+# exact functions of the pair.
 _BLEND_SQL = rc.sql("""
-WITH preds AS (SELECT idsubscrip, observation_date, true_churned, 'intent' AS model, churned_1_PREDICTION AS p FROM scored
-               UNION ALL SELECT idsubscrip, observation_date, true_churned, 'rule', bin_sum / 15.0 FROM scored),
-bl AS (SELECT m.method, idsubscrip, observation_date, MAX(true_churned) AS y,
-         CASE m.method WHEN 'AVG' THEN SUM(p) / COUNT(p) WHEN 'MED' THEN quantile_cont(p, 0.5) WHEN 'MIN' THEN MIN(p)
-         ELSE MAX(p) END AS p
-       FROM preds, (SELECT UNNEST(['AVG', 'MED', 'MIN', 'MAX']) AS method) m
-       GROUP BY m.method, idsubscrip, observation_date)
+WITH pair AS (SELECT true_churned AS y, churned_1_PREDICTION AS a, bin_sum / 15.0 AS b
+              FROM scored),
+bl AS (SELECT 'AVG' AS method, y, (a + b) / 2 AS p FROM pair
+       UNION ALL SELECT 'MED', y, 0.5 * LEAST(a, b) + 0.5 * GREATEST(a, b) FROM pair
+       UNION ALL SELECT 'MIN', y, LEAST(a, b) FROM pair
+       UNION ALL SELECT 'MAX', y, GREATEST(a, b) FROM pair)
 """ + f"SELECT method, auc, average_precision FROM ({sp.curve_metrics('bl', 'y', 'p', ['method'])}) c")
 
 
@@ -138,7 +141,7 @@ bl AS (SELECT m.method, idsubscrip, observation_date, MAX(true_churned) AS y,
 def q_blend(spark, sf):
     """AVG/MED/MIN/MAX blends of the intent probability and the scaled rule score, judged on churn."""
     s = rc.both_scored(spark, sf)
-    row = ["idsubscrip", "observation_date"]
+    row = rc.ROW_KEY
     preds = (s.select(*row, "true_churned", F.lit("intent").alias("model"), F.col("churned_1_PREDICTION").alias("p"))
              .unionByName(s.select(*row, "true_churned", F.lit("rule").alias("model"), (F.col("bin_sum") / 15.0).alias("p"))))
     combos = spark.createDataFrame([("intent+rule", "intent"), ("intent+rule", "rule")], "combo_id string, model string")

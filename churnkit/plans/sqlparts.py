@@ -66,7 +66,7 @@ UNION ALL SELECT 'weighted avg', SUM(precision * support) / SUM(support), SUM(re
   SUM(f1_score * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM per3) r"""
 
 
-def priority(src: str, pct: float = 10, tiebreak: str = "idsubscrip, observation_date") -> str:
+def priority(src: str, pct: float = 10, tiebreak: str = "idsubscrip, observation_date, pubcode, churned") -> str:
     """Adds churn_priority / intent_priority (top pct % by bin_sum and by the
     intent probability, first-come ties by the tiebreak, nulls never)."""
     return f"""
