@@ -30,20 +30,20 @@ def label_conflicts(df: DataFrame, keys: Sequence[str], label: str, score: str)
     return rep.where(F.col(f"{label}_std") > 0)
 
 
-def exact_mean(c, scale: int = 18):
-    """Mean whose sum is exact (DECIMAL), so it does not depend on the order
-    in which partitions are combined: equal inputs give equal doubles on
-    every run, and ties in later rankings stay ties.  For bounded values
-    such as probabilities (the decimal holds up to 10**20)."""
-    return F.sum(col_(c).cast(f"decimal(38,{scale})")).cast("double") / F.count(col_(c))
+def stable_mean(c, digits: int = 12):
+    """Mean rounded to ``digits`` decimals.  A double sum depends in its last
+    bits on the order in which partitions are combined; rounding far above
+    that noise makes equal means equal doubles on every run (and in any
+    engine), so ties in later rankings stay ties."""
+    return F.round(F.avg(col_(c)), digits)
 
 
 def collapse_duplicates(df: DataFrame, keys: Sequence[str], vals: Sequence[str],
-                        exact_scale: int | None = None) -> DataFrame:
+                        digits: int | None = None) -> DataFrame:
     """One row per key set with values averaged; null keys form their own
-    group (``groupby(dropna=False)``).  ``exact_scale`` sums through a
-    decimal of that scale (see ``exact_mean``)."""
-    aggs = [(exact_mean(v, exact_scale) if exact_scale is not None else F.avg(col_(v))).alias(v) for v in vals]
+    group (``groupby(dropna=False)``).  ``digits`` rounds the means (see
+    ``stable_mean``) so that they are reproducible."""
+    aggs = [(stable_mean(v, digits) if digits is not None else F.avg(col_(v))).alias(v) for v in vals]
     return df.groupBy(*[col_(k) for k in keys]).agg(*aggs)
 
 

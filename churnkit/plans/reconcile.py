@@ -1,8 +1,8 @@
 """Score reconciliation: the two prediction tables made into one frame.
 
 Steps (one lazy plan): flag stated intents, collapse duplicate intent rows
-by averaging (exact decimal sums, so the result does not depend on partition
-order), add days to intent, full outer merge with the rule model on
+by averaging (means rounded to 12 decimals, so the result does not depend on
+partition order), add days to intent, full outer merge with the rule model on
 (subscriber, date), keep rows scored by both, round the averaged label
 half-to-even.  The same steps exist as SQL for the DuckDB oracle.
 """
@@ -29,7 +29,7 @@ ROW_KEY_SQL = ", ".join(ROW_KEY)
 
 def collapsed_intent(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.intent_preds(spark, sf_dir).withColumn("has_stop_intent", F.col("stop_intent_date").isNotNull())
-    out = collapse_duplicates(raw, INTENT_KEYS, INTENT_VALS, exact_scale=18)
+    out = collapse_duplicates(raw, INTENT_KEYS, INTENT_VALS, digits=12)
     return out.withColumn("days_to_intent", days_between("stop_intent_date", "observation_date"))
 
 
@@ -47,7 +47,7 @@ def both_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ oracle SQL
 SQL_COLLAPSED = (
-    "SELECT " + ", ".join(INTENT_KEYS) + ", " + ", ".join(f"CAST(SUM(CAST({v} AS DECIMAL(38,18))) AS DOUBLE) / COUNT({v}) AS {v}" for v in INTENT_VALS)
+    "SELECT " + ", ".join(INTENT_KEYS) + ", " + ", ".join(f"ROUND(AVG({v}), 12) AS {v}" for v in INTENT_VALS)
     + ", date_diff('day', observation_date, stop_intent_date) AS days_to_intent"
     " FROM (SELECT *, stop_intent_date IS NOT NULL AS has_stop_intent FROM intent_preds) t"
     " GROUP BY " + ", ".join(INTENT_KEYS)
