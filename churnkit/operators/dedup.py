@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
+from churnkit.operators.util import join_null_safe
 
 
 def key_duplicate_report(df: DataFrame, keys: Sequence[str], vals: Sequence[str],
@@ -51,9 +52,17 @@ def mark_duplicates(df: DataFrame, subset: Sequence[str], order: Sequence[str],
                     out: str = "duplicate") -> DataFrame:
     """``duplicated(keep='first')`` after sorting by ``order``: a row is a
     duplicate when an earlier row has equal values (null equals null) on
-    every ``subset`` column."""
-    w = Window.partitionBy(*[col_(c) for c in subset]).orderBy(*[col_(c) for c in order])
-    return df.withColumn(out, F.row_number().over(w) > 1)
+    every ``subset`` column.  ``order`` must identify rows uniquely.
+
+    The first row of each group is found by a partial aggregation (min of
+    the order struct), then joined back null-safely: a group holding a third
+    of all rows is reduced map-side and its join is split by AQE, instead of
+    one task sorting the whole group in a window."""
+    key = F.struct(*[col_(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    tagged = df.withColumn("_ord", key)
+    first = tagged.groupBy(*[col_(c) for c in subset]).agg(F.min("_ord").alias("_first"))
+    j = join_null_safe(tagged, first, list(subset))
+    return j.withColumn(out, F.col("_ord") != F.col("_first")).drop("_ord", "_first")
 
 
 def duplicate_subset(columns: Sequence[str], ignore: Sequence[str] = ("n_features",),

@@ -15,6 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,22 @@ def pipeline(kind: str, features: Sequence[str], label: str, weight: str | None
     return Pipeline(stages=[asm, estimator(kind, label, weight, **params)])
 
 
+def fit(kind: str, features: Sequence[str], label: str, train: DataFrame, weight: str | None = None,
+        **params) -> PipelineModel:
+    """Assemble the feature vectors once, keep them cached while the
+    (iterative) estimator runs, then release them.  A lost cached partition
+    is rebuilt from its short lineage (the training input is a written
+    table)."""
+    asm = VectorAssembler(inputCols=list(features), outputCol=FEATS, handleInvalid="skip")
+    cols = [FEATS, label, *([weight] if weight else [])]
+    vec = asm.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator(kind, label, weight, **params).fit(vec)
+    finally:
+        vec.unpersist()
+    return PipelineModel(stages=[asm, model])
+
+
 def probability(scored: DataFrame, out: str = "p1") -> DataFrame:
     """Positive-class probability as a plain double column."""
     return scored.withColumn(out, vector_to_array("probability")[1])
@@ -53,8 +70,10 @@ def probability(scored: DataFrame, out: str = "p1") -> DataFrame:
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str, weight: str | None = None,
              by: Sequence[str] = ()) -> DataFrame:
-    """Leaderboard metrics of a fitted pipeline on ``df`` (exact AUC etc.)."""
-    s = probability(model.transform(df)).select(*by, label, "p1", *([weight] if weight else []))
+    """Leaderboard metrics of a fitted pipeline on ``df`` (exact AUC etc.).
+    The scores are written once and read by both metric passes, so the
+    model runs once."""
+    s = materialize(probability(model.transform(df)).select(*by, label, "p1", *([weight] if weight else [])))
     return weighted_binary_metrics(s, label, "p1", w=weight, by=by)
 
 
@@ -82,7 +101,7 @@ def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str,
     train = parted.where("partition = 'training'")
     rows, models = [], {}
     for c in candidates:
-        m = pipeline(c.kind, c.features, label, weight, **dict(c.params)).fit(train)
+        m = fit(c.kind, c.features, label, train, weight, **dict(c.params))
         models[c.model_id] = m
         ev = evaluate(m, parted.where("partition <> 'training'"), label, weight, by=["partition"])
         rows.append(ev.select(F.lit(c.model_id).alias("model_id"), F.lit(c.kind).alias("model_type"),
@@ -101,7 +120,7 @@ def tune_grid(df: DataFrame, kind: str, features: Sequence[str], label: str, key
     train, val = parted.where("partition = 'training'"), parted.where("partition = 'validation'")
     out = None
     for i, params in enumerate(grid):
-        m = pipeline(kind, features, label, weight, **dict(params)).fit(train)
+        m = fit(kind, features, label, train, weight, **dict(params))
         ev = evaluate(m, val, label, weight).select(
             F.lit(i).alias("grid_id"), F.lit(str(sorted(params.items()))).alias("params"), "*")
         out = ev if out is None else out.unionByName(ev)
@@ -115,7 +134,7 @@ def backtest_score(df: DataFrame, kind: str, features: Sequence[str], label: str
     folds = [r[0] for r in base.select(fold_col).distinct().orderBy(fold_col).collect()]
     out = None
     for f in folds:
-        m = pipeline(kind, features, label, weight, **dict(params)).fit(base.where(F.col(fold_col) != f))
+        m = fit(kind, features, label, base.where(F.col(fold_col) != f), weight, **dict(params))
         ev = evaluate(m, base.where(F.col(fold_col) == f), label, weight).select(F.lit(f).alias("fold"), "*")
         out = ev if out is None else out.unionByName(ev)
     return out
@@ -171,13 +190,13 @@ def stack(preds_wide: DataFrame, inputs: Sequence[str], label: str, method: str
     """Stacked blender on out-of-fold predictions: GLM, ENET or RF."""
     kind, params = {"GLM": ("lr", {}), "ENET": ("lr", {"regParam": 0.01, "elasticNetParam": 0.5}),
                     "RF": ("rf", {})}[method]
-    m = pipeline(kind, inputs, label, weight, **params).fit(preds_wide)
+    m = fit(kind, inputs, label, preds_wide, weight, **params)
     return m, probability(m.transform(preds_wide))
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
-                           key: str, metric: str = "auc", buckets: int = 64, seed: int = 1,
-                           max_rows: int | None = None) -> DataFrame:
+                           key: str, metric: str = "auc", buckets: int | None = None, seed: int = 1,
+                           max_rows: int | None = None, rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Drop of ``metric`` when one feature's values are shuffled.
 
     The shuffle is a join on a permuted position inside random hash buckets
@@ -187,7 +206,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     base = df
     if max_rows:
         base = base.orderBy(unit_hash(key, seed)).limit(int(max_rows))
-    base = materialize(base.withColumn("_b", F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(buckets))))
+    base = materialize(base)
+    if buckets is None:  # bucket count grows with the data: no bucket exceeds rows_per_bucket on average
+        buckets = max(64, -(-base.count() // rows_per_bucket))
+    base = base.withColumn("_b", F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(int(buckets))))
     higher = metric not in ("logloss", "rmse")
 
     def score(d: DataFrame) -> float:
@@ -258,7 +280,7 @@ def add_one_back(df: DataFrame, clusters: Sequence[tuple[int, Sequence[str]]], a
     for cid, members in clusters:
         stub = [f for f in all_features if f not in set(members)]
         for f in members:
-            m = pipeline(kind, [*stub, f], label).fit(train)
+            m = fit(kind, [*stub, f], label, train)
             ev = evaluate(m, val, label).select(F.lit(int(cid)).alias("cluster"), F.lit(f).alias("feature"),
                                                 F.col(metric).alias("metric"))
             out = ev if out is None else out.unionByName(ev)

@@ -27,7 +27,7 @@ def base(spark, sf):
 
 def fitted(spark, sf, kind="lr"):
     df = materialize(ml.hash_partition(base(spark, sf), KEY))
-    return df, ml.pipeline(kind, FEATS, LABEL).fit(df.where("partition = 'training'"))
+    return df, ml.fit(kind, FEATS, LABEL, df.where("partition = 'training'"))
 
 
 @query("train_candidates", "2.13")
@@ -105,7 +105,7 @@ def q_decay(spark, sf):
         return [r[0] for r in im.accumulate_select(imp, ratio).select("featureName").collect()]
 
     def train_eval(feats):
-        return ml.evaluate(ml.pipeline("lr", feats, LABEL).fit(train), val, LABEL).select("auc").first()[0]
+        return ml.evaluate(ml.fit("lr", feats, LABEL, train), val, LABEL).select("auc").first()[0]
 
     hist = ml.select_until_stable(train_eval, select, 0.95, lives=3)
     return spark.createDataFrame(hist, "round int, ratio double, n_features int, metric double, improved boolean, lives int")
