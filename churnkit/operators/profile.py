@@ -89,11 +89,20 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
         *by, "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def feature_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def feature_profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
+                    rsd: float = 0.01, accuracy: int = 10000) -> DataFrame:
     """Per column: type, distinct non-null values, missing count, mean and
     median (numeric only).  One unpivot; distinct values come from the same
-    grouped ``(column, value)`` table that feeds the median."""
+    grouped ``(column, value)`` table that feeds the median.
+
+    ``exact=False`` is the sketch mode for very wide or very large tables:
+    one pass in which each task keeps per-column HyperLogLog and quantile
+    sketches (``approx_count_distinct`` with relative error ``rsd``,
+    ``percentile_approx`` with ``accuracy``); only sketches are shuffled,
+    not the distinct values."""
     cols = list(cols or df.columns)
+    if not exact:
+        return _profile_sketch(df, cols, rsd, accuracy)
     types = dict(df.dtypes)
     num = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
     oth = [c for c in cols if c not in num]
@@ -121,6 +130,31 @@ def feature_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
                       (F.col("rows") - F.coalesce("n_present", F.lit(0))).alias("n_missing"), "mean", "median")
 
 
+def _profile_sketch(df: DataFrame, cols: list[str], rsd: float, accuracy: int) -> DataFrame:
+    types = dict(df.dtypes)
+    num = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
+    oth = [c for c in cols if c not in num]
+    parts = []
+    if num:
+        long = to_long(df, num)
+        v = F.col("value")
+        parts.append(long.groupBy("column").agg(
+            F.approx_count_distinct(v, rsd).alias("n_distinct"), F.count(F.lit(1)).alias("_rows"),
+            F.count(v).alias("_present"), F.avg(v).alias("mean"),
+            F.percentile_approx(v, 0.5, accuracy).cast("double").alias("median")))
+    if oth:
+        slong = df.select(*[col_(c).cast("string").alias(c) for c in oth]).unpivot([], oth, "column", "value")
+        v = F.col("value")
+        parts.append(slong.groupBy("column").agg(
+            F.approx_count_distinct(v, rsd).alias("n_distinct"), F.count(F.lit(1)).alias("_rows"),
+            F.count(v).alias("_present"), F.lit(None).cast("double").alias("mean"),
+            F.lit(None).cast("double").alias("median")))
+    res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    type_rows = df.sparkSession.createDataFrame([(c, types[c]) for c in cols], "column string, dtype string")
+    return type_rows.join(res, "column").select(
+        "column", "dtype", "n_distinct", (F.col("_rows") - F.col("_present")).alias("n_missing"), "mean", "median")
+
+
 def table_shape(df: DataFrame, id_col: str) -> DataFrame:
     """Rows, columns and distinct ids (exact; distinct ids by a grouped count)."""
     ids = df.groupBy(col_(id_col)).agg(F.count(F.lit(1)).alias("_n"))

@@ -33,6 +33,12 @@ def q_feature_profile(spark, sf):
     return pf.feature_profile(load(spark, sf, "events"))
 
 
+@query("feature_profile_sketch", "2.4")
+def q_feature_profile_sketch(spark, sf):
+    """Profile in sketch mode (HyperLogLog distinct counts, approximate median): one pass over lineitem."""
+    return pf.feature_profile(load(spark, sf, "lineitem"), exact=False)
+
+
 @query("table_shape", "2.4", sql="SELECT COUNT(*) AS n_rows, 6 AS n_cols, COUNT(DISTINCT o_custkey) AS n_ids FROM orders")
 def q_table_shape(spark, sf):
     return pf.table_shape(load(spark, sf, "orders"), "o_custkey")
