@@ -154,3 +154,26 @@ def q_durations(spark, sf):
     win = sp.duration_windows(folds, [1, 2, 4])
     return (sp.duration_slices(o, "o_orderdate", win)
             .groupBy("fold", "months", "train_start", "train_end").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("weighted_auc_downsampled", "2.14", r6=["n_pos", "n_neg", "auc", "ks", "average_precision", "max_mcc"],
+       sql=f"""
+WITH d AS ({_DS_SQL}),
+s AS (SELECT CAST(l_discount AS DOUBLE) AS score,
+        SUM(CASE WHEN target_column >= 1 THEN weight ELSE 0.0 END) AS pos,
+        SUM(CASE WHEN target_column >= 1 THEN 0.0 ELSE weight END) AS neg
+      FROM d WHERE l_discount IS NOT NULL AND target_column IS NOT NULL GROUP BY 1),
+st AS (SELECT score, pos, neg,
+         SUM(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         SUM(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+         SUM(pos) OVER () AS tot_pos, SUM(neg) OVER () AS tot_neg FROM s),
+c AS (SELECT *, tot_pos - tp AS fn, tot_neg - fp AS tn FROM st),
+c2 AS (SELECT *, sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)) AS den FROM c)
+SELECT MAX(tot_pos) AS n_pos, MAX(tot_neg) AS n_neg,
+  SUM(neg * (tp - 0.5 * pos)) / (MAX(tot_pos) * MAX(tot_neg)) AS auc, MAX(tp / tot_pos - fp / tot_neg) AS ks,
+  SUM(pos / tot_pos * (tp / (tp + fp))) AS average_precision,
+  MAX(CASE WHEN den > 0 THEN (tp * tn - fp * fn) / den ELSE 0.0 END) AS max_mcc FROM c2""")
+def q_weighted_auc(spark, sf):
+    """Weighted curve metrics of the discount as a score on the downsampled table (weights 1/r undo the sampling)."""
+    from churnkit.operators.metrics import curve_metrics
+    return curve_metrics(_downsampled(spark, sf), "target_column", "l_discount", w="weight")

@@ -91,3 +91,14 @@ def test_fire_rank_select_keeps_at_least_one(spark):
                                      "impactNormalized double, redundantWith string")
     out = im.fire_select(df, 0.5).collect()
     assert len(out) == 1 and out[0]["featureName"] == "a"
+
+
+def test_feature_inclusion_and_half_ranks(spark):
+    from churnkit.operators import joins as jn
+    feats = spark.createDataFrame([("a",), ("b",), ("c",)], "Feature string")
+    # median of an even number of ranks gives half ranks (as in saved rank files)
+    imp = spark.createDataFrame([(0, "a", 3), (1, "a", 4), (0, "c", 1), (1, "c", 2)],
+                                "model_id int, featureName string, rank int")
+    ranks = im.median_rank(imp)
+    out = {r["Feature"]: (r["rank"], r["included_in_model"]) for r in jn.feature_inclusion(feats, ranks).collect()}
+    assert out == {"a": (3.5, 1), "b": (None, 0), "c": (1.5, 1)}
