@@ -358,3 +358,46 @@ def q_programs(spark, sf):
                      extra[F.col("program")].alias("additional_value"), "model",
                      (F.col("TP") * rate[F.col("program")]).alias("expected_saves"),
                      (F.col("TP") * rate[F.col("program")] * (F.lit(96.0) + extra[F.col("program")])).alias("expected_value"))
+
+
+def _summary_sql():
+    bi = ("SELECT model, interventions, true_positives, false_positives, total_cost, total_benefit, roi, "
+          "cost_per_true_positive FROM bi")
+    return rc.sql(f"""
+WITH bi0 AS (
+  SELECT 'intent' AS model, SUM(CAST(churned_PREDICTION AS DOUBLE)) AS interventions,
+    COUNT(*) FILTER (WHERE churned_PREDICTION >= 1 AND churned >= 1) AS tp,
+    COUNT(*) FILTER (WHERE churned_PREDICTION >= 1 AND churned = 0) AS fp FROM scored
+  UNION ALL SELECT 'churn', SUM(CAST(churn_label AS DOUBLE)),
+    COUNT(*) FILTER (WHERE churn_label >= 1 AND true_churned >= 1),
+    COUNT(*) FILTER (WHERE churn_label >= 1 AND true_churned = 0) FROM scored),
+bi AS (SELECT model, interventions, CAST(tp AS DOUBLE) AS true_positives, CAST(fp AS DOUBLE) AS false_positives,
+         interventions * 10.0 AS total_cost, tp * 100.0 AS total_benefit,
+         CASE WHEN interventions * 10.0 > 0 THEN (tp * 100.0 - interventions * 10.0) / (interventions * 10.0) ELSE 0.0 END AS roi,
+         CASE WHEN tp > 0 THEN interventions * 10.0 / tp ELSE CAST('inf' AS DOUBLE) END AS cost_per_true_positive FROM bi0),
+fp AS (SELECT CAST(COUNT(*) FILTER (WHERE churned_PREDICTION >= 1 AND churned = 0) AS DOUBLE) / COUNT(*) AS intent_fp,
+         CAST(COUNT(*) FILTER (WHERE churn_label >= 1 AND true_churned = 0) AS DOUBLE) / COUNT(*) AS rule_fp FROM scored),
+cv AS ({sp.curve_metrics('scored', Y, P)}),
+ri AS ({sp.classification_report('scored', Y, 'churned_PREDICTION')}),
+rr AS ({sp.classification_report('scored', 'true_churned', 'churn_label')})
+SELECT 'business_impact' AS report, model, metric, value FROM
+  (UNPIVOT ({bi}) ON interventions, true_positives, false_positives, total_cost, total_benefit, roi,
+   cost_per_true_positive INTO NAME metric VALUE value) u
+UNION ALL SELECT 'false_positives', 'intent', 'fp_rate', intent_fp FROM fp
+UNION ALL SELECT 'false_positives', 'churn', 'fp_rate', rule_fp FROM fp
+UNION ALL SELECT 'ranking', 'intent', metric, value FROM
+  (UNPIVOT (SELECT auc, ks, average_precision, max_mcc FROM cv) ON auc, ks, average_precision, max_mcc
+   INTO NAME metric VALUE value) u2
+UNION ALL SELECT 'classification', 'intent', metric, value FROM
+  (UNPIVOT (SELECT precision, recall, f1_score FROM ri WHERE label = '1.0') ON precision, recall, f1_score
+   INTO NAME metric VALUE value) u3
+UNION ALL SELECT 'classification', 'churn', metric, value FROM
+  (UNPIVOT (SELECT precision, recall, f1_score FROM rr WHERE label = '1.0') ON precision, recall, f1_score
+   INTO NAME metric VALUE value) u4""")
+
+
+@query("evaluation_summary", "2.14", r6=["value"], sql=_summary_sql())
+def q_summary(spark, sf):
+    """Headline evaluation numbers from one written reconciled table (many reports, one scan)."""
+    from churnkit.plans.evaluation import summary
+    return summary(spark, sf)
