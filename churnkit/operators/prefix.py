@@ -25,7 +25,15 @@ from pyspark.sql import functions as F
 from churnkit.operators.util import join_null_safe, materialize
 
 DEFAULT_BUCKETS = 1000
+MAX_BUCKETS = 10000
+ROWS_PER_BUCKET = 2_000_000
 REL_ERR = 1e-3
+
+
+def bucket_count(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
+    """Ranges so that one holds about ``ROWS_PER_BUCKET`` rows at most
+    (between ``minimum`` and ``MAX_BUCKETS``)."""
+    return int(min(MAX_BUCKETS, max(minimum, -(-rows // ROWS_PER_BUCKET))))
 _BKT = "_pfx_bkt"
 
 
@@ -33,6 +41,7 @@ def quantile_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
                     rel_err: float = REL_ERR) -> list[float]:
     """Strictly increasing split points, ``-inf`` and ``inf`` at the ends."""
     probs = [i / buckets for i in range(1, buckets)]
+    rel_err = max(1e-5, min(rel_err, 0.1 / buckets))  # finer ranges need a finer sketch
     qs = df.select(F.col(col).cast("double").alias(col)).approxQuantile(col, probs, rel_err)
     inner = sorted({q for q in qs if q is not None and not math.isnan(q) and not math.isinf(q)})
     return [-math.inf, *inner, math.inf]
@@ -48,7 +57,7 @@ def bucketize(df: DataFrame, col: str, splits: list[float], out: str = _BKT) ->
 
 def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
                by: Sequence[str] = (), descending: bool = False, inclusive: bool = True,
-               buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
+               buckets: int | None = None, prefix: str = "cum_",
                totals: bool = False, checkpoint: bool = True) -> DataFrame:
     """Add ``cum_<v>``: the sum of ``v`` over rows at or before this row in
     ``order`` (first column numeric or date), within each ``by`` group.
@@ -65,6 +74,8 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
     if dict(df.dtypes)[key] == "date":
         base = base.withColumn("_pfx_key", F.unix_date(F.col(key)))
         key = "_pfx_key"
+    if buckets is None:  # a written table counts from its file footers
+        buckets = bucket_count(base.count()) if checkpoint else DEFAULT_BUCKETS
     splits = quantile_splits(base, key, buckets)
     b = bucketize(base, key, splits)
     if descending:
