@@ -64,7 +64,10 @@ def q_weighted_balance(spark, sf):
     return pf.weighted_balance(_downsampled(spark, sf), "target_column", "weight")
 
 
-@query("estimate_row_bytes", "2.9")
+@query("estimate_row_bytes", "2.9", r6=["bytes_per_row"], sql=fixtures.with_views(
+    "SELECT bpr AS bytes_per_row, CAST(FLOOR(1e9 / bpr) AS BIGINT) AS target_rows FROM (SELECT AVG(strlen(CAST(to_json("
+    "{'l_quantity': l_quantity, 'l_extendedprice': l_extendedprice, 'l_discount': l_discount, "
+    "'target_column': target_column}) AS VARCHAR))) AS bpr FROM downsample_base) t", "downsample_base"))
 def q_row_bytes(spark, sf):
     """Mean serialised bytes per row of a projection (whole table), and rows for 1 GB."""
     base = fixtures.downsample_base(spark, sf)
