@@ -180,3 +180,30 @@ def q_weighted_auc(spark, sf):
     """Weighted curve metrics of the discount as a score on the downsampled table (weights 1/r undo the sampling)."""
     from churnkit.operators.metrics import curve_metrics
     return curve_metrics(_downsampled(spark, sf), "target_column", "l_discount", w="weight")
+
+
+_JOB_SQL = fixtures.with_views(f"""
+WITH bpr AS (SELECT AVG(strlen(CAST(to_json({{'l_quantity': l_quantity, 'l_extendedprice': l_extendedprice,
+               'l_discount': l_discount, 'target_column': target_column}}) AS VARCHAR))) AS b FROM downsample_base),
+tgt AS (SELECT CAST(FLOOR(1000000.0 / b) AS BIGINT) AS target FROM bpr),
+live AS (SELECT * FROM downsample_base WHERE {uhash_sql('row_key', 0)} >= {HOLDOUT}),
+tot AS (SELECT (SELECT target FROM tgt) AS target, COUNT(*) FILTER (WHERE target_column > 0) AS p,
+          COUNT(*) - COUNT(*) FILTER (WHERE target_column > 0) AS neg, COUNT(*) AS n FROM live),
+r AS (SELECT target, p, n, LEAST(1.0, GREATEST(CAST(target - p AS DOUBLE) / neg, 1.0 / GREATEST(neg, 1))) AS ratio FROM tot),
+d AS (SELECT l.target_column, CASE WHEN COALESCE(l.target_column > 0, false) THEN 1.0 ELSE 1.0 / r.ratio END AS weight
+      FROM live l, r WHERE COALESCE(l.target_column > 0, false) OR {uhash_sql('l.row_key', '0n')} < r.ratio)
+SELECT CAST(r.p AS DOUBLE) / r.n AS original_positive_ratio, (SELECT COUNT(*) FROM d) AS rows_written,
+  (SELECT SUM(CASE WHEN target_column > 0 THEN weight ELSE 0.0 END) / SUM(weight) FROM d) AS weighted_positive_ratio,
+  r.target AS target_rows, r.ratio AS negative_ratio FROM r""", "downsample_base")
+
+
+@query("downsample_job", "2.9", r6=["original_positive_ratio", "weighted_positive_ratio", "negative_ratio"],
+       sql=_JOB_SQL)
+def q_downsample_job(spark, sf):
+    """The whole job for a 1 MB budget: size estimate, class totals, sample, table replace, balance check."""
+    import uuid
+    from churnkit.plans import downsample_job
+    from churnkit.session import shared_path
+    out = shared_path(spark, f"churnkit-out/downsampled-{uuid.uuid4().hex}")
+    return downsample_job.run(fixtures.downsample_base(spark, sf), ["l_quantity", "l_extendedprice", "l_discount"],
+                              "target_column", "row_key", 0.001, HOLDOUT, out)
