@@ -199,9 +199,12 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
                            max_rows: int | None = None, rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Drop of ``metric`` when one feature's values are shuffled.
 
-    The shuffle is a join on a permuted position inside random hash buckets
-    (windows partitioned by bucket, so no single task sees all rows).
-    ``max_rows`` optionally bounds the rows used; by default all rows.
+    One copy of the rows per feature, with that feature's values moved by a
+    join on permuted positions inside random hash buckets (windows
+    partitioned by bucket, so no task sees all rows), plus the unshuffled
+    rows; all copies are scored in one pass and the metric is computed per
+    copy in one grouped aggregation.  ``max_rows`` optionally bounds the
+    rows used; by default all rows.
     Returns ``(featureName, impactUnnormalized, impactNormalized)``."""
     base = df
     if max_rows:
@@ -210,24 +213,28 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     if buckets is None:  # bucket count grows with the data: no bucket exceeds rows_per_bucket on average
         buckets = max(64, -(-base.count() // rows_per_bucket))
     base = base.withColumn("_b", F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(int(buckets))))
-    higher = metric not in ("logloss", "rmse")
-
-    def score(d: DataFrame) -> float:
-        return evaluate(model, d, label).select(metric).first()[0]
-
-    ref = score(base)
-    rows = []
+    cols = [c for c in base.columns if c != "_b"]
+    w_a = Window.partitionBy("_b").orderBy(col_(key), F.xxhash64(col_(key), F.lit(seed + 101)))
+    pos = base.withColumn("_pos", F.row_number().over(w_a))
+    copies = [pos.select(*[col_(c) for c in cols], F.lit("__none__").alias("_perm"))]
     for i, f in enumerate(features):
-        w_a = Window.partitionBy("_b").orderBy(col_(key), F.xxhash64(col_(key), F.lit(seed + 101)))
         w_b = Window.partitionBy("_b").orderBy(F.xxhash64(col_(key), F.lit(seed + 1000 + i)), col_(key))
-        left = base.drop(f).withColumn("_pos", F.row_number().over(w_a))
-        right = base.select("_b", col_(f).alias(f), F.row_number().over(w_b).alias("_pos"))
-        shuffled = left.join(right, ["_b", "_pos"])
-        s = score(shuffled)
-        rows.append((f, float((ref - s) if higher else (s - ref))))
-    spark = df.sparkSession
-    imp = spark.createDataFrame(rows, "featureName string, impactUnnormalized double")
-    mx = max((r[1] for r in rows), default=0.0)
+        right = base.select("_b", col_(f).alias("_v"), F.row_number().over(w_b).alias("_pos"))
+        moved = pos.join(right, ["_b", "_pos"]).withColumn(f, F.col("_v"))
+        copies.append(moved.select(*[col_(c) for c in cols], F.lit(f).alias("_perm")))
+    allc = copies[0]
+    for c in copies[1:]:
+        allc = allc.unionByName(c)
+    scores = materialize(probability(model.transform(allc)).select("_perm", label, "p1"))
+    met = weighted_binary_metrics(scores, label, "p1", by=["_perm"]).select("_perm", F.col(metric).alias("m"))
+    ref = met.where("_perm = '__none__'").select(F.col("m").alias("_ref"))
+    higher = metric not in ("logloss", "rmse")
+    drop = (F.col("_ref") - F.col("m")) if higher else (F.col("m") - F.col("_ref"))
+    imp = (met.where("_perm <> '__none__'").withColumn("_g", F.lit(0))
+           .join(F.broadcast(ref.withColumn("_g", F.lit(0))), "_g")
+           .select(F.col("_perm").alias("featureName"), drop.alias("impactUnnormalized")))
+    imp = materialize(imp)
+    mx = imp.agg(F.max("impactUnnormalized")).first()[0]
     return imp.withColumn("impactNormalized", F.col("impactUnnormalized") / F.lit(mx) if mx else F.lit(None))
 
 

@@ -218,3 +218,12 @@ def q_stream(spark, sf):
     # a file source watches a folder or glob; the glob selects the one table file
     score_stream(spark, m, f"{sf}/lineitem.parque[t]", schema, prepare, FEATS, 0.1211, [KEY], sink, ckpt)
     return spark.read.parquet(sink)
+
+
+@query("fire_feature_selection", "2.10")
+def q_fire_flow(spark, sf):
+    """The whole selection loop on the 12 line-item features (label: returned), rank ensembling of two models."""
+    from churnkit.plans import feature_selection, q_cluster as qc
+    data = qc.feature_frame(spark, sf).withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    feats = [f for f in qc.FEATURES if f != qc.TARGET]
+    return feature_selection.run(data, feats, "returned", "rid", kinds=("lr", "gbt"), n_models=2)
