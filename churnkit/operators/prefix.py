@@ -26,6 +26,7 @@ from churnkit.operators.util import join_null_safe, materialize
 
 DEFAULT_BUCKETS = 1000
 MAX_BUCKETS = 10000
+SMALL_ROWS = 1_000_000  # at or below this (counted) size one window per group is cheaper
 ROWS_PER_BUCKET = 2_000_000
 REL_ERR = 1e-3
 
@@ -58,13 +59,19 @@ def bucketize(df: DataFrame, col: str, splits: list[float], out: str = _BKT) ->
 def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
                by: Sequence[str] = (), descending: bool = False, inclusive: bool = True,
                buckets: int | None = None, prefix: str = "cum_",
-               totals: bool = False, checkpoint: bool = True) -> DataFrame:
+               totals: bool = False, checkpoint: bool = True, small_rows: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: the sum of ``v`` over rows at or before this row in
     ``order`` (first column numeric or date), within each ``by`` group.
 
     Rows that tie on every order column must not exist (pre-aggregate first,
     or add a tiebreak column to ``order``), otherwise the split between tied
-    rows is arbitrary.  ``inclusive=False`` excludes the row itself.
+    rows is arbitrary.  ``inclusive=False`` excludes the row itself;
+    ``totals=True`` also adds ``tot_<v>``, the sum over the whole group.
+
+    The input (normally a pre-aggregated table, much smaller than the rows)
+    is written once because it is read several times.  Its row count picks
+    the plan: up to ``small_rows`` rows (a checked bound) one ordered window
+    per group; above it the range plan keeps every task bounded.
     """
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
@@ -74,8 +81,20 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
     if dict(df.dtypes)[key] == "date":
         base = base.withColumn("_pfx_key", F.unix_date(F.col(key)))
         key = "_pfx_key"
-    if buckets is None:  # a written table counts from its file footers
-        buckets = bucket_count(base.count()) if checkpoint else DEFAULT_BUCKETS
+    rows = base.count()  # a written table counts from its file footers
+    small_rows = SMALL_ROWS if small_rows is None else small_rows
+    ords = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    if rows <= small_rows:
+        w = Window.partitionBy(*by).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
+        out = base
+        for v in values:
+            run = F.sum(v).over(w)
+            out = out.withColumn(f"{prefix}{v}", run if inclusive else run - F.col(v))
+            if totals:
+                out = out.withColumn(f"tot_{v}", F.sum(v).over(Window.partitionBy(*by)))
+        return out.drop("_pfx_key") if key == "_pfx_key" else out
+    if buckets is None:
+        buckets = bucket_count(rows)
     splits = quantile_splits(base, key, buckets)
     b = bucketize(base, key, splits)
     if descending:
@@ -89,7 +108,6 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
     # Without `by` the offset table has at most `buckets` rows: broadcast is
     # safe.  With `by` its size grows with the groups; AQE picks at runtime.
     j = b.join(F.broadcast(off), _BKT) if not by else join_null_safe(b, off, [*by, _BKT])
-    ords = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w_in = Window.partitionBy(*by, _BKT).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
     for v in values:
         run = F.sum(v).over(w_in) + F.col(f"_o_{v}")

@@ -15,7 +15,9 @@ def test_prefix_sum_matches_brute_force_with_hot_value(spark):
     vals = [0.5] * 400 + [rnd.random() for _ in range(800)]  # one value holds a third of the rows
     rows = [(i, v, rnd.randint(1, 5)) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "id long, s double, w long")
-    out = prefix.prefix_sum(df, ["s", "id"], ["w"], buckets=16).collect()
+    out = prefix.prefix_sum(df, ["s", "id"], ["w"], buckets=16, small_rows=0).collect()
+    direct = prefix.prefix_sum(df, ["s", "id"], ["w"]).collect()  # small-input path
+    assert {r["id"]: r["cum_w"] for r in direct} == {r["id"]: r["cum_w"] for r in out}
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     expect, run = {}, 0
     for r in order:
@@ -24,7 +26,15 @@ def test_prefix_sum_matches_brute_force_with_hot_value(spark):
     assert {r["id"]: r["cum_w"] for r in out} == expect
 
 
-def test_top_n_flag_ties_and_nulls(spark):
+@pytest.fixture(params=["direct", "ranges"])
+def plan_mode(request, monkeypatch):
+    """Run a test with the small-input window and with the range plan."""
+    if request.param == "ranges":
+        monkeypatch.setattr(prefix, "SMALL_ROWS", 0)
+    return request.param
+
+
+def test_top_n_flag_ties_and_nulls(spark, plan_mode):
     rows = [(i, 1.0 if i < 30 else (None if i % 7 == 0 else float(i % 5))) for i in range(90)]
     df = spark.createDataFrame(rows, "id long, s double")
     n = 40
@@ -37,7 +47,7 @@ def test_top_n_flag_ties_and_nulls(spark):
     assert sum(out.values()) == n
 
 
-def test_top_n_per_group_counts(spark):
+def test_top_n_per_group_counts(spark, plan_mode):
     rows = [(g, i, float((i * 7) % 11)) for g in ("a", "b") for i in range(57 if g == "a" else 23)]
     df = spark.createDataFrame(rows, "g string, id long, s double")
     out = prefix.top_n_per_group(df, "s", 10, ["id"], by=["g"])
@@ -45,7 +55,7 @@ def test_top_n_per_group_counts(spark):
     assert got == {"a": 5, "b": 2}
 
 
-def test_exact_quantiles_match_interpolation(spark):
+def test_exact_quantiles_match_interpolation(spark, plan_mode):
     vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     d = pf.describe(df, ["x"]).first()
@@ -99,7 +109,7 @@ def test_corr_blocks_equal_agg(spark):
         assert x[k] == pytest.approx(y[k], abs=1e-9)
 
 
-def test_null_keys_group_together_in_describe(spark):
+def test_null_keys_group_together_in_describe(spark, plan_mode):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 2.0)], "g int, v double")
     d = {r["g"]: r["p50"] for r in pf.describe(df, ["v"], by=["g"]).collect()}
     assert d == {None: 2.0, 1: 2.0}
