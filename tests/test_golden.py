@@ -102,3 +102,11 @@ def test_feature_inclusion_and_half_ranks(spark):
     ranks = im.median_rank(imp)
     out = {r["Feature"]: (r["rank"], r["included_in_model"]) for r in jn.feature_inclusion(feats, ranks).collect()}
     assert out == {"a": (3.5, 1), "b": (None, 0), "c": (1.5, 1)}
+
+
+def test_api_names_resolve():
+    from churnkit import api
+    for name in ["merge_predictions", "profile", "describe", "value_counts", "top_percent", "downsample",
+                 "backtest_splits", "fire_select", "accumulate_select", "dbscan", "flatten_metrics", "batch_score",
+                 "business_impact", "cost_benefit", "roc_auc", "drift", "compare", "combinations", "retention"]:
+        assert callable(getattr(api, name)), name
