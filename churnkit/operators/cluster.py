@@ -150,7 +150,7 @@ def dbscan(dist: DataFrame, features: DataFrame, eps: float = 0.4, min_pts: int
               .groupBy("feature").agg(F.min("cluster").alias("cluster")))
     labelled = core_cl.unionByName(border)
     return (features.join(labelled, "feature", "left")
-            .select("feature", "pos", F.coalesce("cluster", F.lit(0)).alias("cluster")))
+            .select("feature", "pos", F.coalesce("cluster", F.lit(0)).cast("bigint").alias("cluster")))
 
 
 def threshold_clusters(dist: DataFrame, features: DataFrame, eps: float = 0.4) -> DataFrame:

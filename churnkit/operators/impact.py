@@ -37,7 +37,7 @@ def zero_redundant(df: DataFrame, col: str = NORM, flag: str = "redundantWith")
 def rank_impacts(df: DataFrame, model: str = MODEL) -> DataFrame:
     """0-based rank by unnormalised impact, descending, within each model."""
     w = Window.partitionBy(model).orderBy(F.col(UNNORM).desc(), F.col(FEATURE))
-    return df.withColumn("rank", F.row_number().over(w) - 1)
+    return df.withColumn("rank", (F.row_number().over(w) - 1).cast("bigint"))
 
 
 def impact_sum(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -82,7 +82,7 @@ def fire_select(impacts: DataFrame, ratio: float = 0.95, use_ranks: bool = True,
     else:
         cand = agg
         order = [F.col(UNNORM).desc(), F.col(FEATURE)]
-    pos = cand.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    pos = cand.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
     joined = pos.join(n, by) if by else pos.withColumn("_g", F.lit(0)).join(n.withColumn("_g", F.lit(0)), "_g")
     return joined.where(F.col("position") <= F.col("_n")).select(*by, "position", FEATURE)
 
@@ -102,7 +102,7 @@ def accumulate_select(impacts: DataFrame, ratio: float = 0.95, by: Sequence[str]
     pos = ranked.where(F.col(NORM) > 0)
     pos = (pos.withColumn("_share", F.col(NORM) / F.sum(NORM).over(w_all))
            .withColumn("_k", F.count(F.lit(1)).over(w_all))
-           .withColumn("position", F.row_number().over(w_ord)))
+           .withColumn("position", F.row_number().over(w_ord).cast("bigint")))
     pos = pos.withColumn("_before", F.coalesce(
         F.sum("_share").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     taken = pos.withColumn("_taken", F.count(F.when(F.col("_before") <= F.lit(float(ratio)), 1)).over(w_all))
@@ -114,7 +114,7 @@ def accumulate_select(impacts: DataFrame, ratio: float = 0.95, by: Sequence[str]
     first = ranked.where(F.col("_pos_all") == 1)
     first = (first.join(kcount, by) if by else first.withColumn("_g", F.lit(0))
              .join(kcount.withColumn("_g", F.lit(0)), "_g"))
-    few = first.where(F.col("_kp") <= 1).select(*by, F.lit(1).alias("position"), FEATURE)
+    few = first.where(F.col("_kp") <= 1).select(*by, F.lit(1).cast("bigint").alias("position"), FEATURE)
     return many.unionByName(few)
 
 

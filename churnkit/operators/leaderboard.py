@@ -64,7 +64,7 @@ def _order(score: Column, ascending: bool) -> Column:
 def sort_leaderboard(lb: DataFrame, score: str, ascending: bool, id_col: str = "model_id") -> DataFrame:
     """Models with a score, in metric direction, with their position."""
     w = Window.orderBy(_order(F.col(score), ascending), F.col(id_col))
-    return lb.where(F.col(score).isNotNull()).withColumn("position", F.row_number().over(w))
+    return lb.where(F.col(score).isNotNull()).withColumn("position", F.row_number().over(w).cast("bigint"))
 
 
 def best_models(lb: DataFrame, score: str, ascending: bool, n: int | None = None,
@@ -77,7 +77,7 @@ def best_models(lb: DataFrame, score: str, ascending: bool, n: int | None = None
     else:
         f = f & ~F.coalesce(F.col("featurelist_name").contains(SERVICE_REDUCED_LIST), F.lit(False))
     w = Window.orderBy(_order(F.col(score), ascending), F.col(id_col))
-    out = lb.where(f).withColumn("position", F.row_number().over(w))
+    out = lb.where(f).withColumn("position", F.row_number().over(w).cast("bigint"))
     return out.where(F.col("position") <= n) if n else out
 
 
@@ -107,7 +107,7 @@ def top_n_models(lb: DataFrame, n: int, partition_score: str, validation_score:
         .where(F.col("_p") <= n).drop("_p")
     w2 = Window.orderBy(_order(F.col(partition_score), ascending), _order(F.col(validation_score), ascending),
                         F.col(id_col))
-    return picked.withColumn("position", F.row_number().over(w2))
+    return picked.withColumn("position", F.row_number().over(w2).cast("bigint"))
 
 
 def retention(lb: DataFrame, n: int, score: str, ascending: bool, subset: Sequence[str],
@@ -131,5 +131,5 @@ def top_of_each(lb: DataFrame, board: str, ks: dict, score: str, ascending: bool
     """Top ``ks[b]`` models of each board ``b`` in one pass."""
     w = Window.partitionBy(board).orderBy(_order(F.col(score), ascending), F.col(id_col))
     kcol = F.create_map(*[x for b, k in ks.items() for x in (F.lit(b), F.lit(int(k)))])
-    r = lb.withColumn("board_rank", F.row_number().over(w))
+    r = lb.withColumn("board_rank", F.row_number().over(w).cast("bigint"))
     return r.where(F.col("board_rank") <= F.coalesce(kcol[F.col(board)], F.lit(0)))

@@ -34,5 +34,5 @@ def run(df: DataFrame, features: Sequence[str], target: str, key: str, target_gb
                       (F.sum(F.when(col_(target) > 0, F.col("weight")).otherwise(0.0)) / F.sum("weight"))
                       .alias("weighted_positive_ratio"))
     return (orig.withColumn("_g", F.lit(0)).join(ver.withColumn("_g", F.lit(0)), "_g").drop("_g")
-            .withColumn("target_rows", F.lit(int(target_rows)))
+            .withColumn("target_rows", F.lit(int(target_rows)).cast("bigint"))
             .withColumn("negative_ratio", F.lit(float(plan.negative_ratio))))

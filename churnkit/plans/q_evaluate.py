@@ -345,7 +345,7 @@ tp AS (SELECT 'churn' AS model, COUNT(*) FILTER (WHERE churn_priority AND churn_
        UNION ALL SELECT 'intent', COUNT(*) FILTER (WHERE intent_priority AND churned_PREDICTION >= 1 AND churned >= 1) FROM pr),
 progs AS (SELECT * FROM (VALUES ('base', 9.0, 0.5, 0.0), ('optimistic', 9.0, 0.625, 9.6),
                                 ('pessimistic', 9.0, 0.375, 0.0)) t(program, cost, success_rate, additional_value))
-SELECT program, cost, success_rate, additional_value, model, tp * success_rate AS expected_saves,
+SELECT program, CAST(cost AS DOUBLE) AS cost, success_rate, additional_value, model, tp * success_rate AS expected_saves,
   tp * success_rate * (96.0 + additional_value) AS expected_value FROM progs, tp"""))
 def q_programs(spark, sf):
     """Base / optimistic / pessimistic programs applied to each model's top-10 % true positives."""

@@ -26,7 +26,8 @@ def q_parse_dates(spark, sf):
 
 
 @query("days_between", "2.8", sql=fixtures.with_views(
-    "SELECT idsubscrip, observation_date, stop_intent_date, date_diff('day', observation_date, stop_intent_date) AS days "
+    "SELECT idsubscrip, observation_date, stop_intent_date, "
+    "CAST(date_diff('day', observation_date, stop_intent_date) AS INTEGER) AS days "
     "FROM intent_preds", "intent_preds"))
 def q_days(spark, sf):
     i = fixtures.intent_preds(spark, sf)
@@ -152,8 +153,8 @@ def q_string_reshape(spark, sf):
 @query("array_ops", "2.8", sql=fixtures.with_views("""
 SELECT model_id, pos, word, sorted_words, n_distinct FROM (
   SELECT model_id, list_sort(string_split(model_type, ' ')) AS sorted_words,
-    len(list_distinct(string_split(lower(model_type), ' '))) AS n_distinct,
-    UNNEST(range(0, len(string_split(model_type, ' ')))) AS pos, UNNEST(string_split(model_type, ' ')) AS word
+    CAST(len(list_distinct(string_split(lower(model_type), ' '))) AS INTEGER) AS n_distinct,
+    CAST(UNNEST(range(0, len(string_split(model_type, ' ')))) AS INTEGER) AS pos, UNNEST(string_split(model_type, ' ')) AS word
   FROM leaderboard) t""", "leaderboard"))
 def q_array_ops(spark, sf):
     """Word arrays of model types: sort, distinct count, (position, word) rows."""
@@ -198,10 +199,10 @@ def q_read_table(spark, sf):
 
 @query("load_csv", "2.1", sql="SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem")
 def q_load_csv(spark, sf):
-    """lineitem columns written as CSV with a header, read back with inferred types."""
+    """lineitem columns written as CSV with a header and read back with a declared schema."""
     path = _scratch(spark, "csv")
     io.write_csv(load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount"]), path)
-    return io.load_csv(spark, path)
+    return io.load_csv(spark, path, schema="l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double")
 
 
 @query("write_csv", "2.1", sql="SELECT risk_label, COUNT(*) AS n FROM (" + fixtures.SQL["rule_preds"]() + ") r GROUP BY 1")

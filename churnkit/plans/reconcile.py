@@ -48,7 +48,7 @@ def both_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ oracle SQL
 SQL_COLLAPSED = (
     "SELECT " + ", ".join(INTENT_KEYS) + ", " + ", ".join(f"ROUND(AVG({v}), 12) AS {v}" for v in INTENT_VALS)
-    + ", date_diff('day', observation_date, stop_intent_date) AS days_to_intent"
+    + ", CAST(date_diff('day', observation_date, stop_intent_date) AS INTEGER) AS days_to_intent"
     " FROM (SELECT *, stop_intent_date IS NOT NULL AS has_stop_intent FROM intent_preds) t"
     " GROUP BY " + ", ".join(INTENT_KEYS)
 )
