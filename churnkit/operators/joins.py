@@ -18,7 +18,27 @@ def merge_predictions(a: DataFrame, b: DataFrame, left_on: Sequence[str],
     differently named keys are both kept.  Both sides should be unique on
     their keys (collapse first): then no key can fan out, and the sort-merge
     join stays balanced whatever the key distribution.
+
+    Rows whose keys are all present join on plain equality, so a side that
+    is already hash-partitioned on its keys (e.g. by its aggregation) is not
+    shuffled again; rows with a missing key join null-safely on their own.
     """
+    a_ok = _all_present(a, left_on)
+    b_ok = _all_present(b, right_on)
+    main = _merge(a.where(a_ok), b.where(b_ok), left_on, right_on, null_safe=False)
+    rest = _merge(a.where(~a_ok), b.where(~b_ok), left_on, right_on, null_safe=True)
+    return main.unionByName(rest)
+
+
+def _all_present(df: DataFrame, keys: Sequence[str]):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def _merge(a: DataFrame, b: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
+           null_safe: bool) -> DataFrame:
     shared = [l for l, r in zip(left_on, right_on) if l == r]
     bb = b
     for k in shared:
@@ -26,7 +46,7 @@ def merge_predictions(a: DataFrame, b: DataFrame, left_on: Sequence[str],
     rkeys = [f"_r_{r}" if r in shared else r for r in right_on]
     cond = None
     for l, r in zip(left_on, rkeys):
-        c = a[l].eqNullSafe(bb[r])
+        c = a[l].eqNullSafe(bb[r]) if null_safe else (a[l] == bb[r])
         cond = c if cond is None else cond & c
     j = a.join(bb, cond, "full_outer")
     cols = []
