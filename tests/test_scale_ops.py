@@ -113,3 +113,16 @@ def test_null_keys_group_together_in_describe(spark, plan_mode):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 2.0)], "g int, v double")
     d = {r["g"]: r["p50"] for r in pf.describe(df, ["v"], by=["g"]).collect()}
     assert d == {None: 2.0, 1: 2.0}
+
+
+def test_merge_null_keys_match_each_other(spark):
+    from churnkit.operators.joins import merge_predictions
+    a = spark.createDataFrame([(1, "2024-01-01", 0.1), (None, "2024-01-01", 0.2), (2, None, 0.3), (3, "2024-02-01", 0.4)],
+                              "id long, d string, p double")
+    b = spark.createDataFrame([(1, "2024-01-01", 1), (None, "2024-01-01", 0), (2, None, 1), (4, "2024-02-01", 0)],
+                              "id long, e string, y int")
+    out = [(r["id"], r["d"], r["e"], r["p"], r["y"]) for r in merge_predictions(a, b, ["id", "d"], ["id", "e"]).collect()]
+    key = lambda t: tuple((x is None, x) for x in t)
+    assert sorted(out, key=key) == sorted([
+        (1, "2024-01-01", "2024-01-01", 0.1, 1), (None, "2024-01-01", "2024-01-01", 0.2, 0),
+        (2, None, None, 0.3, 1), (3, "2024-02-01", None, 0.4, None), (4, None, "2024-02-01", None, 0)], key=key)
