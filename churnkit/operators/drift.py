@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
-from churnkit.operators.prefix import bucketize
 from churnkit.operators.profile import quantiles_long, to_long
 
 EPS = 1e-6
@@ -17,30 +16,39 @@ EPS = 1e-6
 def numeric_drift(base: DataFrame, new: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """Per column: decile bins from the base (exact interpolated quantiles,
     equal edges merged), share of base and new rows per bin, and
-    PSI = sum((p - q) * ln(p / q)) with empty bins floored at 1e-6."""
+    PSI = sum((p - q) * ln(p / q)) with empty bins floored at 1e-6.
+
+    Three passes whatever the number of columns: one for the edges (a few
+    numbers per column reach the driver), then one each over base and new
+    in which every column's bin is the count of its edges at or below the
+    value, unpivoted and counted per (column, bin)."""
+    cols = list(cols)
     probs = [i / bins for i in range(1, bins)]
     qs = quantiles_long(to_long(base, cols), probs, names=[f"e{i}" for i in range(1, bins)]).collect()
-    parts = []
-    for r in qs:
-        c = r["column"]
-        edges = sorted({float(r[f"e{i}"]) for i in range(1, bins) if r[f"e{i}"] is not None})
-        splits = [-float("inf"), *edges, float("inf")]
-
-        def shares(df, tag):
-            b = bucketize(df.select(col_(c).cast("double").alias("v")).where("v IS NOT NULL"), "v", splits, "bin")
-            g = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-            t = g.agg(F.sum("n").alias("t"))
-            return g.withColumn("_g", F.lit(0)).join(F.broadcast(t.withColumn("_g", F.lit(0))), "_g") \
-                .select("bin", (F.col("n") / F.col("t")).alias(tag))
-
-        allbins = base.sparkSession.range(len(splits) - 1).select(F.col("id").cast("int").alias("bin"))
-        j = allbins.join(shares(base, "p"), "bin", "left").join(shares(new, "q"), "bin", "left") \
-            .select("bin", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q"))
-        parts.append(j.withColumn("column", F.lit(c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return _psi(out)
+    edges = {r["column"]: sorted({float(r[f"e{i}"]) for i in range(1, bins) if r[f"e{i}"] is not None})
+             for r in qs}
+    present = [c for c in cols if c in edges]
+
+    def bin_of(c: str):
+        v = col_(c).cast("double")
+        n = F.lit(0)
+        for e in edges[c]:
+            n = n + (v >= F.lit(e)).cast("int")
+        return F.when(v.isNotNull(), n)
+
+    def shares(df: DataFrame, tag: str) -> DataFrame:
+        wide = df.select(*[bin_of(c).alias(c) for c in present])
+        long = wide.unpivot([], present, "column", "bin").where("bin IS NOT NULL")
+        g = long.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+        t = g.groupBy("column").agg(F.sum("n").alias("t"))
+        return g.join(t, "column").select("column", "bin", (F.col("n") / F.col("t")).alias(tag))
+
+    spark = base.sparkSession
+    grid = spark.createDataFrame([(c, b) for c in present for b in range(len(edges[c]) + 1)],
+                                 "column string, bin int")
+    j = (grid.join(shares(base, "p"), ["column", "bin"], "left").join(shares(new, "q"), ["column", "bin"], "left")
+         .select("column", "bin", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q")))
+    return _psi(j)
 
 
 def categorical_drift(base: DataFrame, new: DataFrame, cols: Sequence[str]) -> DataFrame:
