@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnkit.operators import evaluate as ev, metrics as mt
-from churnkit.operators.prefix import top_n_per_group
 from churnkit.plans import reconcile as rc, sqlparts as sp
 from churnkit.plans.registry import query
 from churnkit.sources import fixtures, load

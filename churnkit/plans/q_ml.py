@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from churnkit.operators import cluster as cl, drift as dr, impact as im, ml
+from churnkit.operators import drift as dr, impact as im, ml
 from churnkit.operators.metrics import curve_metrics
 from churnkit.operators.sampling import split_group
 from churnkit.operators.util import materialize

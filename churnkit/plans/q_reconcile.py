@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from churnkit.operators import evaluate as ev
 from churnkit.plans import reconcile as rc
 from churnkit.plans.registry import query
