@@ -227,3 +227,25 @@ def q_fire_flow(spark, sf):
     data = qc.feature_frame(spark, sf).withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
     feats = [f for f in qc.FEATURES if f != qc.TARGET]
     return feature_selection.run(data, feats, "returned", "rid", kinds=("lr", "gbt"), n_models=2)
+
+
+@query("blend_combinations", "2.13")
+def q_blend_combos(spark, sf):
+    """AVG/MED/MIN/MAX blends of every 2..3-model combination of LR, RF and GBT on the validation rows."""
+    from churnkit.operators.joins import model_combinations
+    # row_key repeats in this table: blend per row needs a unique id, fixed
+    # by writing the table once
+    df = materialize(ml.hash_partition(base(spark, sf), KEY).withColumn("_rid", F.monotonically_increasing_id()))
+    train, val = df.where("partition = 'training'"), df.where("partition = 'validation'")
+    kinds = ["lr", "rf", "gbt"]
+    preds = None
+    for k in kinds:
+        m = ml.fit(k, FEATS, LABEL, train)
+        p = ml.probability(m.transform(val)).select("_rid", LABEL, F.lit(k).alias("model"), F.col("p1").alias("p"))
+        preds = p if preds is None else preds.unionByName(p)
+    preds = materialize(preds)
+    models = spark.createDataFrame([(k,) for k in kinds], "model_id string")
+    combos = model_combinations(models, 3).select(F.array_join("combo", "+").alias("combo_id"),
+                                                  F.explode("combo").alias("model"))
+    blended = ml.blend_all(preds, combos, ["AVG", "MED", "MIN", "MAX"], ["_rid"], extra={"y": F.max(LABEL)})
+    return curve_metrics(blended, "y", "p", by=["combo_id", "method"])
