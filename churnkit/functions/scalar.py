@@ -56,12 +56,17 @@ def safe_div(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(col_(a).cast("double"), col_(b).cast("double"))
 
 
-def unit_hash(key: str | Column, seed: int | str = 0) -> Column:
+def unit_hash(key: str | Column, seed: int | str = 0, method: str = "md5") -> Column:
     """Repeatable uniform number in [0, 1) from a key.
 
-    The first 32 bits of MD5 over ``seed:key``: the same on every run, every
-    executor and after a lost task is recomputed; DuckDB computes the same.
+    ``md5`` (default): the first 32 bits of MD5 over ``seed:key``, the same
+    on every run, every executor and after a lost task is recomputed, and
+    reproducible in other SQL engines.  ``xxhash``: Spark's 64-bit xxHash of
+    (key, seed), cheaper per row, for when only Spark must agree.
     """
+    if method == "xxhash":
+        h = F.xxhash64(col_(key), F.lit(str(seed)))
+        return F.pmod(h, F.lit(4294967296)).cast("double") / F.lit(4294967296.0)
     h = F.md5(F.concat(F.lit(f"{seed}:"), col_(key).cast("string")))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
