@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from churnkit.operators.dedup import mark_duplicates
 
 # Model-type phrases and feature-list prefixes never used for
-# feature selection, and the name of the service's own reduced lists.
+# feature selection, and the marker in the names of automatically reduced
+# feature lists (models on those lists are skipped by ``best_models``).
 EXCLUDED_TYPE_PHRASES = ["Baseline Predictions", "Mean Response", "Majority Class", "Auto-Tuned"]
 EXCLUDED_LIST_PREFIXES = ["Baseline", "Date"]
-SERVICE_REDUCED_LIST = "DR Reduced Features M"
+REDUCED_LIST_MARKER = "Reduced Features M"
 
 
 def nested_metrics(lb: DataFrame, spec: dict[str, dict[str, str]]) -> DataFrame:
@@ -68,14 +69,15 @@ def sort_leaderboard(lb: DataFrame, score: str, ascending: bool, id_col: str = "
 
 
 def best_models(lb: DataFrame, score: str, ascending: bool, n: int | None = None,
-                featurelist: str | None = None, id_col: str = "model_id") -> DataFrame:
+                featurelist: str | None = None, id_col: str = "model_id",
+                reduced_marker: str = REDUCED_LIST_MARKER) -> DataFrame:
     """Non-blend, non-frozen models, on ``featurelist`` when given, else not
-    on the service's reduced lists; sorted nulls last; first ``n``."""
+    on an automatically reduced list; sorted nulls last; first ``n``."""
     f = (F.col("model_category") == "model") & ~F.col("is_frozen")
     if featurelist:
         f = f & (F.col("featurelist_name") == featurelist)
     else:
-        f = f & ~F.coalesce(F.col("featurelist_name").contains(SERVICE_REDUCED_LIST), F.lit(False))
+        f = f & ~F.coalesce(F.col("featurelist_name").contains(reduced_marker), F.lit(False))
     w = Window.orderBy(_order(F.col(score), ascending), F.col(id_col))
     out = lb.where(f).withColumn("position", F.row_number().over(w).cast("bigint"))
     return out.where(F.col("position") <= n) if n else out

@@ -128,13 +128,13 @@ def q_casts(spark, sf):
 
 
 @query("string_tests", "2.8", sql=fixtures.with_views(
-    "SELECT model_id, starts_with(model_type, 'Light') AS starts_light, suffix(model_type, 'Classifier') AS ends_clf, "
+    "SELECT model_id, starts_with(model_type, 'Gradient') AS starts_gradient, suffix(model_type, 'Classifier') AS ends_clf, "
     "contains(model_type, 'Gradient') AS has_gradient, suffix(model_type, 'Scores') AS ends_scores FROM leaderboard",
     "leaderboard"))
 def q_string_tests(spark, sf):
     lb = fixtures.leaderboard(spark, sf)
     t = F.col("model_type")
-    return lb.select("model_id", t.startswith("Light").alias("starts_light"), t.endswith("Classifier").alias("ends_clf"),
+    return lb.select("model_id", t.startswith("Gradient").alias("starts_gradient"), t.endswith("Classifier").alias("ends_clf"),
                      t.contains("Gradient").alias("has_gradient"), t.endswith("Scores").alias("ends_scores"))
 
 

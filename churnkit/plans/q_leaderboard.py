@@ -87,7 +87,7 @@ _BEST = ("SELECT model_id, auc_validation, ROW_NUMBER() OVER (ORDER BY auc_valid
 
 
 @query("best_models", "2.6", sql=lsql(
-    "SELECT * FROM (" + _BEST.format(cond="AND NOT COALESCE(contains(featurelist_name, 'DR Reduced Features M'), false)")
+    "SELECT * FROM (" + _BEST.format(cond="AND NOT COALESCE(contains(featurelist_name, 'Reduced Features M'), false)")
     + ") b WHERE position <= 5"))
 def q_best(spark, sf):
     """Top 5 non-blend, non-frozen models by validation AUC, nulls last."""

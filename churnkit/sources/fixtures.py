@@ -59,10 +59,10 @@ RULE_OUTER = [
 # ------------------------------------------------------------- feature_impacts
 # Model type names attached to the five synthetic model ids.
 MODEL_TYPES = [
-    "Light Gradient Boosted Trees Classifier",
-    "Elastic-Net Classifier (L2 / Binomial Deviance)",
-    "eXtreme Gradient Boosted Trees Classifier",
-    "Light Gradient Boosting on ElasticNet Predictions",
+    "Gradient Boosted Trees Classifier",
+    "Elastic-Net Logistic Classifier",
+    "Histogram Gradient Boosted Trees Classifier",
+    "Gradient Boosting on Linear Predictions",
     "Generalized Additive Model",
 ]
 _MT_CASE = ("CASE model_id " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(MODEL_TYPES))
@@ -77,17 +77,17 @@ IMPACT_AGG = "CAST(SUM(CAST(l_quantity AS BIGINT)) - 4200 AS DOUBLE) / 1000 AS i
 # Model types cycled over the synthetic leaderboard; the first
 # four phrases are the names the candidate filter removes.
 LB_MODEL_TYPES = [
-    "Baseline Predictions Using Most Recent Value",
+    "Baseline Predictions from Last Value",
     "Mean Response Classifier",
     "Majority Class Classifier",
-    "Auto-Tuned Word N-Gram Text Modeler",
-    "Light Gradient Boosted Trees Classifier with Early Stopping",
-    "eXtreme Gradient Boosted Trees Classifier with Early Stopping",
-    "Elastic-Net Classifier (L2 / Binomial Deviance)",
+    "Auto-Tuned Text Classifier",
+    "Gradient Boosted Trees Classifier with Early Stopping",
+    "Histogram Gradient Boosted Trees Classifier",
+    "Elastic-Net Logistic Classifier",
     "Generalized Additive Model",
     "Random Forest Classifier (Gini)",
-    "Keras Slim Residual Neural Network Classifier",
-    "Light Gradient Boosting on ElasticNet Predictions",
+    "Residual Neural Network Classifier",
+    "Gradient Boosting on Linear Predictions",
 ]
 _LB_MT_CASE = ("CASE s_suppkey % 11 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(LB_MODEL_TYPES))
                + " END")
