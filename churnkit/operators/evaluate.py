@@ -20,7 +20,7 @@ from churnkit.operators.prefix import top_n_per_group
 
 @dataclass(frozen=True)
 class EvalCols:
-    """Column roles (defaults: the notebook's evaluator settings)."""
+    """Column roles of the two predictors (intent model and rule model)."""
     intent_target: str = "churned"
     churn_target: str = "true_churned"
     intent_score: str = "churned_1_PREDICTION"
