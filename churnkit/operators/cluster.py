@@ -112,12 +112,12 @@ def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> Da
     for _ in range(max_rounds):
         nb = edges.join(label.withColumnRenamed("feature", "b"), "b").groupBy("a") \
             .agg(F.min("root").alias("_nr")).withColumnRenamed("a", "feature")
-        new = label.join(nb, "feature", "left") \
-            .select("feature", F.least("root", F.coalesce("_nr", "root")).alias("root"))
-        new = materialize(new)
-        changed = new.join(label.withColumnRenamed("root", "_old"), "feature") \
-            .where(F.col("root") != F.col("_old")).limit(1).count()
-        label = new
+        new = label.join(nb, "feature", "left").select(
+            "feature", F.least("root", F.coalesce("_nr", "root")).alias("root"),
+            (F.coalesce("_nr", "root") < F.col("root")).alias("_changed"))
+        new = materialize(new)  # one written table per round; the check reads it
+        changed = new.where("_changed").limit(1).count()
+        label = new.drop("_changed")
         if changed == 0:
             break
     return label
