@@ -11,7 +11,7 @@ from churnkit.functions.scalar import first_words
 
 
 def merge_predictions(a: DataFrame, b: DataFrame, left_on: Sequence[str],
-                      right_on: Sequence[str]) -> DataFrame:
+                      right_on: Sequence[str], null_keys: bool = True) -> DataFrame:
     """Full outer equi-join, null keys matching each other (pandas ``merge``).
 
     Key columns with the same name on both sides come out once, coalesced;
@@ -19,22 +19,25 @@ def merge_predictions(a: DataFrame, b: DataFrame, left_on: Sequence[str],
     their keys (collapse first): then no key can fan out, and the sort-merge
     join stays balanced whatever the key distribution.
 
-    Rows whose keys are all present join on plain equality, so a side that
-    is already hash-partitioned on its keys (e.g. by its aggregation) is not
-    shuffled again; rows with a missing key join null-safely on their own.
+    ``null_keys=False`` (the caller knows no key is null, e.g. from a check
+    on the source columns) joins on plain equality: a side that is already
+    hash-partitioned on its keys (by its aggregation) is then not shuffled
+    again.  A null-safe key is rewritten by Spark to coalesce/isnull
+    expressions, which no upstream partitioning matches.
     """
-    a_ok = _all_present(a, left_on)
-    b_ok = _all_present(b, right_on)
-    main = _merge(a.where(a_ok), b.where(b_ok), left_on, right_on, null_safe=False)
-    rest = _merge(a.where(~a_ok), b.where(~b_ok), left_on, right_on, null_safe=True)
-    return main.unionByName(rest)
-
-
-def _all_present(df: DataFrame, keys: Sequence[str]):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+    return _merge(a, b, left_on, right_on, null_safe=null_keys)
+
+
+def any_null(df: DataFrame, cols: Sequence[str]) -> bool:
+    """True when some row has a null in ``cols``.  Meant for raw source
+    columns: the ``IS NULL`` filter reaches the Parquet scan, row groups
+    without nulls are skipped from their statistics, and the first hit ends
+    the job (limit 1)."""
+    cond = None
+    for c in cols:
+        x = F.col(c).isNull()
+        cond = x if cond is None else cond | x
+    return df.select(*cols).where(cond).limit(1).count() > 0
 
 
 def _merge(a: DataFrame, b: DataFrame, left_on: Sequence[str], right_on: Sequence[str],

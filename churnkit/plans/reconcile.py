@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import days_between, round_half_even
 from churnkit.operators.dedup import collapse_duplicates
-from churnkit.operators.joins import merge_predictions
-from churnkit.sources import fixtures
+from churnkit.operators.joins import any_null, merge_predictions
+from churnkit.sources import fixtures, load
 
 INTENT_KEYS = ["idsubscrip", "idsystem", "pubcode", "observation_date", "THRESHOLD", "POSITIVE_CLASS",
                "DEPLOYMENT_APPROVAL_STATUS", "prediction_status", "churned", "stop_intent_date",
@@ -34,8 +34,12 @@ def collapsed_intent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # both keys come from orders (customer, order date): a cheap footer-level
+    # check decides whether the null-safe join is needed at all
+    src = load(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
+    nulls = any_null(src, ["o_custkey", "o_orderdate"])
     return merge_predictions(collapsed_intent(spark, sf_dir), fixtures.rule_preds(spark, sf_dir),
-                             ["idsubscrip", "observation_date"], ["idsubscrip", "inference_date"])
+                             ["idsubscrip", "observation_date"], ["idsubscrip", "inference_date"], null_keys=nulls)
 
 
 def both_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
