@@ -116,7 +116,7 @@ def business_impact(df: DataFrame, cost_per_intervention: float = 100, revenue_p
     aggs = []
     for m in ("intent", "churn"):
         pred, tgt = cols.model(m)
-        aggs += [F.sum(col_(pred).cast("double")).alias(f"{m}_iv"),
+        aggs += [F.coalesce(F.sum(col_(pred).cast("double")), F.lit(0.0)).alias(f"{m}_iv"),
                  _cnt((col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
                  _cnt((col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp")]
     one = df.agg(*aggs)

@@ -110,3 +110,38 @@ def test_api_names_resolve():
                  "backtest_splits", "fire_select", "accumulate_select", "dbscan", "flatten_metrics", "batch_score",
                  "business_impact", "cost_benefit", "roc_auc", "drift", "compare", "combinations", "retention"]:
         assert callable(getattr(api, name)), name
+
+
+def test_shares_sum_to_one_and_empty_input(spark):
+    from churnkit.operators import profile as pf
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "x string")
+    tot = sum(r["share"] for r in pf.value_counts(df, ["x"]).collect())
+    assert tot == pytest.approx(1.0)
+    empty = spark.createDataFrame([], "churned_PREDICTION double, churned int, churn_label double, true_churned int")
+    r = {x["model"]: x for x in ev.business_impact(empty, 10, 100).collect()}
+    assert r["intent"]["interventions"] == 0.0 and r["intent"]["roi"] == 0.0
+    assert math.isinf(r["intent"]["cost_per_true_positive"])
+
+
+def test_segment_metrics_skip_null_segment(spark):
+    rows = [("A", 1, 0.9, 1.0, 1, 1), ("A", 0, 0.2, 0.0, 0, 0), (None, 1, 0.8, 1.0, 1, 1), ("B", 0, 0.4, 1.0, 0, 1)]
+    df = spark.createDataFrame(rows, "pubcode string, churned int, churned_1_PREDICTION double, "
+                                     "churned_PREDICTION double, true_churned int, churn_label int")
+    out = {r["pubcode"]: r for r in ev.segment_metrics(df).collect()}
+    assert set(out) == {"A", "B"}
+    assert out["A"]["intent_auc"] == 1.0 and out["B"]["intent_auc"] is None  # one class only
+    assert out["B"]["intent_precision"] == 0.0
+
+
+def test_backtest_roles_disjoint(spark):
+    from churnkit.operators import splits as sp
+    o = spark.range(400).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d"),
+                                F.col("id"))
+    folds = sp.backtest_folds(o, "d", 3, "P0Y0M30DT0H0M0S", "P0Y1M0DT0H0M0S", "P0Y1M0DT0H0M0S")
+    roles = sp.assign_roles(o, "d", folds)
+    # one role per row and fold; validation windows do not overlap across folds
+    assert roles.groupBy("id", "fold").count().where("count > 1").count() == 0
+    v = roles.where("role = 'validation'").groupBy("id").count().where("count > 1").count()
+    assert v == 0
+    f = {r["fold"]: r for r in folds.collect()}
+    assert f[0]["val_end"] == f[0]["holdout_start"] and f[1]["val_end"] == f[0]["val_start"]
