@@ -1,11 +1,13 @@
-"""Global running sums and exact top-N without a single-partition window.
-
-An un-partitioned ``Window.orderBy`` moves every row into one task.  Here a
-global order is cut into about ``buckets`` ranges from approximate quantiles
-(the driver holds only the split points), each range is summed, the running
-offset is computed over the tiny range table, and the exact running sum is a
-window *within* a range plus its offset.  Equal order values always land in
-the same range, so ties stay together.
+"""Global running sums and exact top-N without one task holding all rows.
+
+An un-partitioned ``Window.orderBy`` moves every row into one task.  Here the
+input (normally pre-aggregated) is written once and counted; up to a checked
+bound (``SMALL_ROWS``) one ordered window per group is fine.  Above it the
+order is cut into ranges from approximate quantiles (the driver holds only
+the split points; the number of ranges grows with the rows), each range is
+summed, the running offset is computed over the tiny range table, and the
+exact running sum is a window *within* a range plus its offset.  Equal order
+values always land in the same range, so ties stay together.
 
 ``top_n_flag`` builds on it: it finds the boundary value where the running
 count crosses N, then orders only the rows tied at that value by a tiebreak
