@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from churnkit.functions.scalar import col_
 from churnkit.operators.metrics import roc_auc
 from churnkit.operators.prefix import top_n_per_group
+from churnkit.operators.util import materialize
 
 
 @dataclass(frozen=True)
@@ -242,11 +243,15 @@ def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
     """Per model: TP/FP/TN/FN inside that model's priority rows and the
     priority row count (one row per model)."""
     parts = []
+    allcols = list(dict.fromkeys([cols.priority_score_churn, cols.intent_score, *cols.model("churn"),
+                                  *cols.model("intent"), *cols.tiebreak]))
+    base = materialize(df.select(*allcols))  # both rankings read one written table
     for m in ("churn", "intent"):
         pred, tgt = cols.model(m)
         score = cols.priority_score_churn if m == "churn" else cols.intent_score
         need = list(dict.fromkeys([score, pred, tgt, *cols.tiebreak]))
-        flagged = top_n_per_group(df.select(*need), score, pct, list(cols.tiebreak), out=f"{m}_priority")
+        flagged = top_n_per_group(base.select(*need), score, pct, list(cols.tiebreak), out=f"{m}_priority",
+                                  materialized=True)
         pr = F.col(f"{m}_priority")
         aggs = [_cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
                  _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp"),

@@ -170,10 +170,12 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
 
 
 def top_n_per_group(df: DataFrame, score: str, pct: float, tiebreak: Sequence[str],
-                    by: Sequence[str] = (), out: str = "priority") -> DataFrame:
+                    by: Sequence[str] = (), out: str = "priority", materialized: bool = False) -> DataFrame:
     """``top_n_flag`` with ``n = int(rows * pct / 100)`` per group (all rows,
-    null scores included in the count, as the pandas rule does)."""
-    df = materialize(df)
+    null scores included in the count, as the pandas rule does).
+    ``materialized=True``: ``df`` already reads a written table."""
+    if not materialized:
+        df = materialize(df)
     ns = df.groupBy(*by).agg(F.floor(F.count(F.lit(1)).cast("double") * F.lit(float(pct)) / 100)
                              .cast("bigint").alias("n"))
     return top_n_flag(df, score, ns, tiebreak, by=by, out=out, materialized=True)
