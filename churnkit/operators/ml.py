@@ -261,9 +261,13 @@ def select_until_stable(train_eval: Callable[[Sequence[str]], float], select: Ca
     best = start
     hist = []
     rnd = 0
+    seen: dict[tuple, float] = {}  # the same feature list gives the same model: fit it once
     while lives > 0 and ratio > min_ratio:
         feats = list(select(ratio))
-        m = train_eval(feats)
+        key = tuple(feats)
+        if key not in seen:
+            seen[key] = train_eval(feats)
+        m = seen[key]
         improved = best is None or (m > best if higher_is_better else m < best)
         if improved:
             best = m
