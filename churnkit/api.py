@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.durations import shift_date  # noqa: F401
-from churnkit.functions.scalar import (  # noqa: F401
-    apply_threshold, binarise, days_between, flag_not_null, keep_share, parse_dates, round_half_even, safe_div,
-)
+from churnkit.functions import scalar as _sc
+from churnkit.functions.scalar import days_between, keep_share, parse_dates, round_half_even, safe_div  # noqa: F401
 from churnkit.operators import cluster as _cl, evaluate as _ev, impact as _im, joins as _jn
 from churnkit.operators import leaderboard as _lb, metrics as _mt, ml as _ml, profile as _pf, sampling as _sm
 from churnkit.operators import splits as _sp
@@ -28,7 +27,27 @@ from churnkit.sources.io import (  # noqa: F401
     load_csv, output_name, read_table, replace_table, select_features, union_all, write_csv, write_predictions,
 )
 
-# 2.2 projections and predicates
+# 2.2 projections and predicates: Column form, or DataFrame form adding a column
+
+
+def flag_not_null(df_or_col, col: str | None = None, out: str | None = None):
+    if isinstance(df_or_col, DataFrame):
+        return df_or_col.withColumn(out or f"has_{col}", _sc.flag_not_null(col))
+    return _sc.flag_not_null(df_or_col)
+
+
+def binarise(df_or_col, col: str | None = None, cut: float = 1, out: str | None = None):
+    if isinstance(df_or_col, DataFrame):
+        return df_or_col.withColumn(out or col, _sc.binarise(col, cut))
+    return _sc.binarise(df_or_col, cut if col is None else col)
+
+
+def apply_threshold(df_or_p, p=None, t: float = 0.5, out: str = "label"):
+    if isinstance(df_or_p, DataFrame):
+        return df_or_p.withColumn(out, _sc.apply_threshold(p, t))
+    return _sc.apply_threshold(df_or_p, p if p is not None else t)
+
+
 rename = DataFrame.withColumnsRenamed
 numeric_columns = _pf.numeric_columns
 non_numeric_columns = _pf.non_numeric_columns
