@@ -31,13 +31,13 @@ MAX_BUCKETS = 10000
 SMALL_ROWS = 1_000_000  # at or below this (counted) size one window per group is cheaper
 ROWS_PER_BUCKET = 2_000_000
 REL_ERR = 1e-3
+_BKT = "_pfx_bkt"
 
 
 def bucket_count(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
     """Ranges so that one holds about ``ROWS_PER_BUCKET`` rows at most
     (between ``minimum`` and ``MAX_BUCKETS``)."""
     return int(min(MAX_BUCKETS, max(minimum, -(-rows // ROWS_PER_BUCKET))))
-_BKT = "_pfx_bkt"
 
 
 def quantile_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
@@ -126,8 +126,10 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     """Flag the first ``n`` rows ordered by ``score`` (descending by default)
     then ``tiebreak`` ascending; null scores are never flagged.
 
-    ``n`` is an int, or with ``by`` a DataFrame ``(by..., n)``.  Matches
-    ``rank(method='first') <= n`` when the tiebreak is the input order.
+    ``n`` is an int, or a DataFrame ``(by..., n)`` (one row without ``by``).
+    Matches ``rank(method='first') <= n`` when the tiebreak is the input
+    order.  The tiebreak columns must identify rows uniquely; the first one
+    must be numeric or a date (ties are ranked by its value ranges).
     """
     by = list(by)
     tiebreak = list(tiebreak)
@@ -136,12 +138,10 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
     rows = df.where(F.col(score).isNotNull())
     nulls = df.where(F.col(score).isNull()).withColumn(out, F.lit(False))
     cnt = rows.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"))
-    # input rows are checkpointed above, so the count table is cheap to
-    # recompute and is not checkpointed again
+    # the input rows are written above, so the count table is cheap to
+    # recompute and is not written again
     pre = prefix_sum(cnt, score, ["_n"], by=by, descending=descending, inclusive=False, totals=True,
                      checkpoint=False)
-    if not isinstance(n, DataFrame) and n is None:
-        raise ValueError("n required")
     if isinstance(n, DataFrame) and by:
         pre = join_null_safe(pre, n.withColumnRenamed("n", "_target"), by)
     elif isinstance(n, DataFrame):  # one-row frame holding n
