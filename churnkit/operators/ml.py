@@ -92,18 +92,35 @@ class Candidate:
     params: dict
 
 
+def _run_all(fn, items, parallelism: int):
+    """Run independent Spark jobs from a few driver threads (the scheduler
+    interleaves their stages); results keep the input order."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str, key: str,
-                     weight: str | None = None, seed: int = 0) -> tuple[DataFrame, dict]:
+                     weight: str | None = None, seed: int = 0, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training partition; metrics on validation
-    and holdout.  Returns a long leaderboard ``(model_id, model_type,
-    n_features, partition, metric columns...)`` and the fitted models."""
+    and holdout.  Candidates are independent jobs, submitted from up to
+    ``parallelism`` driver threads.  Returns a long leaderboard
+    ``(model_id, model_type, n_features, partition, metric columns...)`` and
+    the fitted models."""
     parted = materialize(hash_partition(df, key, seed=seed))
     train = parted.where("partition = 'training'")
-    rows, models = [], {}
-    for c in candidates:
+    held = parted.where("partition <> 'training'")
+
+    def one(c):
         m = fit(c.kind, c.features, label, train, weight, **dict(c.params))
+        ev = materialize(evaluate(m, held, label, weight, by=["partition"]))
+        return c, m, ev
+
+    rows, models = [], {}
+    for c, m, ev in _run_all(one, list(candidates), parallelism):
         models[c.model_id] = m
-        ev = evaluate(m, parted.where("partition <> 'training'"), label, weight, by=["partition"])
         rows.append(ev.select(F.lit(c.model_id).alias("model_id"), F.lit(c.kind).alias("model_type"),
                               F.lit(len(c.features)).alias("n_features"), "*"))
     out = rows[0]
@@ -113,16 +130,21 @@ def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str,
 
 
 def tune_grid(df: DataFrame, kind: str, features: Sequence[str], label: str, key: str,
-              grid: Sequence[dict], weight: str | None = None, seed: int = 0) -> DataFrame:
+              grid: Sequence[dict], weight: str | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
     """Each parameter map fitted on the same hash training partition and
-    scored on the same validation partition (not random CV)."""
+    scored on the same validation partition (not random CV); the fits are
+    independent jobs submitted from up to ``parallelism`` driver threads."""
     parted = materialize(hash_partition(df, key, seed=seed))
     train, val = parted.where("partition = 'training'"), parted.where("partition = 'validation'")
-    out = None
-    for i, params in enumerate(grid):
+
+    def one(item):
+        i, params = item
         m = fit(kind, features, label, train, weight, **dict(params))
-        ev = evaluate(m, val, label, weight).select(
+        return materialize(evaluate(m, val, label, weight)).select(
             F.lit(i).alias("grid_id"), F.lit(str(sorted(params.items()))).alias("params"), "*")
+
+    out = None
+    for ev in _run_all(one, list(enumerate(grid)), parallelism):
         out = ev if out is None else out.unionByName(ev)
     return out
 
