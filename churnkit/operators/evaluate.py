@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnkit.functions.scalar import col_
 from churnkit.operators.metrics import roc_auc
 from churnkit.operators.prefix import top_n_per_group
-from churnkit.operators.util import materialize
+from churnkit.operators.util import materialize, run_all
 
 
 @dataclass(frozen=True)
@@ -242,11 +242,11 @@ def prioritize(df: DataFrame, pct: float = 10, cols: EvalCols = DEFAULT) -> Data
 def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
     """Per model: TP/FP/TN/FN inside that model's priority rows and the
     priority row count (one row per model)."""
-    parts = []
     allcols = list(dict.fromkeys([cols.priority_score_churn, cols.intent_score, *cols.model("churn"),
                                   *cols.model("intent"), *cols.tiebreak]))
     base = materialize(df.select(*allcols))  # both rankings read one written table
-    for m in ("churn", "intent"):
+
+    def one(m):
         pred, tgt = cols.model(m)
         score = cols.priority_score_churn if m == "churn" else cols.intent_score
         need = list(dict.fromkeys([score, pred, tgt, *cols.tiebreak]))
@@ -254,14 +254,16 @@ def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
                                   materialized=True)
         pr = F.col(f"{m}_priority")
         aggs = [_cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
-                 _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp"),
-                 _cnt(pr & (col_(pred) == 0) & (col_(tgt) == 0)).alias(f"{m}_tn"),
-                 _cnt(pr & (col_(pred) == 0) & (col_(tgt) >= 1)).alias(f"{m}_fn"),
-                 _cnt(pr).alias(f"{m}_n"),
-                 _cnt(pr & (col_(tgt) >= 1)).alias(f"{m}_tp_any"),
-                 _cnt(pr & (col_(tgt) == 0)).alias(f"{m}_fp_any")]
-        parts.append(flagged.agg(*aggs).select(F.lit(m).alias("model"), *[
-            F.col(f"{m}_{k}").alias(k) for k in ("tp", "fp", "tn", "fn", "n", "tp_any", "fp_any")]))
+                _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp"),
+                _cnt(pr & (col_(pred) == 0) & (col_(tgt) == 0)).alias(f"{m}_tn"),
+                _cnt(pr & (col_(pred) == 0) & (col_(tgt) >= 1)).alias(f"{m}_fn"),
+                _cnt(pr).alias(f"{m}_n"),
+                _cnt(pr & (col_(tgt) >= 1)).alias(f"{m}_tp_any"),
+                _cnt(pr & (col_(tgt) == 0)).alias(f"{m}_fp_any")]
+        return flagged.agg(*aggs).select(F.lit(m).alias("model"), *[
+            F.col(f"{m}_{k}").alias(k) for k in ("tp", "fp", "tn", "fn", "n", "tp_any", "fp_any")])
+
+    parts = run_all(one, ["churn", "intent"])  # the two rankings are independent jobs
     return parts[0].unionByName(parts[1])
 
 

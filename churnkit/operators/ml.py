@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_, unit_hash
 from churnkit.operators.metrics import weighted_binary_metrics
-from churnkit.operators.util import materialize
+from churnkit.operators.util import materialize, run_all
 
 FEATS = "features"
 
@@ -92,16 +92,6 @@ class Candidate:
     params: dict
 
 
-def _run_all(fn, items, parallelism: int):
-    """Run independent Spark jobs from a few driver threads (the scheduler
-    interleaves their stages); results keep the input order."""
-    if parallelism <= 1 or len(items) <= 1:
-        return [fn(x) for x in items]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        return list(pool.map(fn, items))
-
-
 def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str, key: str,
                      weight: str | None = None, seed: int = 0, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training partition; metrics on validation
@@ -119,7 +109,7 @@ def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str,
         return c, m, ev
 
     rows, models = [], {}
-    for c, m, ev in _run_all(one, list(candidates), parallelism):
+    for c, m, ev in run_all(one, list(candidates), parallelism):
         models[c.model_id] = m
         rows.append(ev.select(F.lit(c.model_id).alias("model_id"), F.lit(c.kind).alias("model_type"),
                               F.lit(len(c.features)).alias("n_features"), "*"))
@@ -144,7 +134,7 @@ def tune_grid(df: DataFrame, kind: str, features: Sequence[str], label: str, key
             F.lit(i).alias("grid_id"), F.lit(str(sorted(params.items()))).alias("params"), "*")
 
     out = None
-    for ev in _run_all(one, list(enumerate(grid)), parallelism):
+    for ev in run_all(one, list(enumerate(grid)), parallelism):
         out = ev if out is None else out.unionByName(ev)
     return out
 
@@ -154,10 +144,14 @@ def backtest_score(df: DataFrame, kind: str, features: Sequence[str], label: str
     """Fit on all other folds, score each fold: metrics per fold."""
     base = materialize(df)
     folds = [r[0] for r in base.select(fold_col).distinct().orderBy(fold_col).collect()]
-    out = None
-    for f in folds:
+
+    def one(f):
         m = fit(kind, features, label, base.where(F.col(fold_col) != f), weight, **dict(params))
-        ev = evaluate(m, base.where(F.col(fold_col) == f), label, weight).select(F.lit(f).alias("fold"), "*")
+        return materialize(evaluate(m, base.where(F.col(fold_col) == f), label, weight)) \
+            .select(F.lit(f).alias("fold"), "*")
+
+    out = None
+    for ev in run_all(one, folds):
         out = ev if out is None else out.unionByName(ev)
     return out
 
@@ -309,14 +303,18 @@ def add_one_back(df: DataFrame, clusters: Sequence[tuple[int, Sequence[str]]], a
     for every member; metrics in one table; best member per cluster."""
     parted = materialize(hash_partition(df, key))
     train, val = parted.where("partition = 'training'"), parted.where("partition = 'validation'")
+    tasks = [(cid, f, [x for x in all_features if x not in set(members)]) for cid, members in clusters
+             for f in members]
+
+    def one(t):
+        cid, f, stub = t
+        m = fit(kind, [*stub, f], label, train)
+        return materialize(evaluate(m, val, label)).select(
+            F.lit(int(cid)).alias("cluster"), F.lit(f).alias("feature"), F.col(metric).alias("metric"))
+
     out = None
-    for cid, members in clusters:
-        stub = [f for f in all_features if f not in set(members)]
-        for f in members:
-            m = fit(kind, [*stub, f], label, train)
-            ev = evaluate(m, val, label).select(F.lit(int(cid)).alias("cluster"), F.lit(f).alias("feature"),
-                                                F.col(metric).alias("metric"))
-            out = ev if out is None else out.unionByName(ev)
+    for ev in run_all(one, tasks):
+        out = ev if out is None else out.unionByName(ev)
     if out is None:
         return df.sparkSession.createDataFrame([], "cluster int, feature string, metric double, best boolean")
     lower = metric in ("logloss", "rmse")

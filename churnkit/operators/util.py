@@ -30,6 +30,17 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return j.select(*key_cols, *rest_a, *rest_b)
 
 
+def run_all(fn, items, parallelism: int = 3):
+    """Run independent Spark jobs from a few driver threads (the scheduler
+    interleaves their stages); results keep the input order."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder
     and read it back.

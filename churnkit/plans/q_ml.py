@@ -238,9 +238,10 @@ def q_blend_combos(spark, sf):
     df = materialize(ml.hash_partition(base(spark, sf), KEY).withColumn("_rid", F.monotonically_increasing_id()))
     train, val = df.where("partition = 'training'"), df.where("partition = 'validation'")
     kinds = ["lr", "rf", "gbt"]
+    from churnkit.operators.util import run_all
+    fitted_models = run_all(lambda k: ml.fit(k, FEATS, LABEL, train), kinds)  # independent fits from threads
     preds = None
-    for k in kinds:
-        m = ml.fit(k, FEATS, LABEL, train)
+    for k, m in zip(kinds, fitted_models):
         p = ml.probability(m.transform(val)).select("_rid", LABEL, F.lit(k).alias("model"), F.col("p1").alias("p"))
         preds = p if preds is None else preds.unionByName(p)
     preds = materialize(preds)
