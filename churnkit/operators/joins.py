@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import first_words
+from churnkit.operators.util import small_side
 
 
 def merge_predictions(a: DataFrame, b: DataFrame, left_on: Sequence[str],
@@ -62,9 +63,9 @@ def _merge(a: DataFrame, b: DataFrame, left_on: Sequence[str], right_on: Sequenc
 def feature_inclusion(features: DataFrame, ranks: DataFrame, feature_col: str = "Feature",
                       rank_feature_col: str = "featureName") -> DataFrame:
     """Feature list LEFT JOIN ranks; ``included_in_model`` is 1 when matched.
-    The rank table has one row per feature of a model (hundreds), so it is
-    broadcast."""
-    f, r = features.alias("_f"), F.broadcast(ranks.alias("_r"))
+    The rank table has one row per feature (hundreds): broadcast behind a
+    counted size."""
+    f, r = features.alias("_f"), small_side(ranks).alias("_r")
     j = f.join(r, F.col(f"_f.{feature_col}") == F.col(f"_r.{rank_feature_col}"), "left")
     return j.select("_f.*", *[F.col(f"_r.{c}") for c in ranks.columns]) \
         .withColumn("included_in_model", F.col(rank_feature_col).isNotNull().cast("int"))

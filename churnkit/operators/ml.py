@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_, unit_hash
 from churnkit.operators.metrics import weighted_binary_metrics
-from churnkit.operators.util import materialize, run_all
+from churnkit.operators.util import materialize, run_all, small_side
 
 FEATS = "features"
 
@@ -180,21 +180,12 @@ def batch_score(model: PipelineModel, df: DataFrame, features: Sequence[str], th
             .withColumn("POSITIVE_CLASS", F.lit(positive_class)))
 
 
-BROADCAST_MAX_ROWS = 100_000
-
-
-def _small_side(df: DataFrame) -> DataFrame:
-    """Broadcast hint only behind a counted size; larger tables are joined
-    by a shuffle (Spark and AQE choose)."""
-    return F.broadcast(df) if df.count() <= BROADCAST_MAX_ROWS else df
-
-
 def blend(preds: DataFrame, combos: DataFrame, method: str, row: Sequence[str],
           model_col: str = "model", p_col: str = "p") -> DataFrame:
     """Blend long predictions ``(row..., model, p)`` over each combination
     ``(combo_id, model)`` by AVG, MED, MIN or MAX."""
     agg = {"AVG": F.avg, "MED": F.median, "MIN": F.min, "MAX": F.max}[method]
-    j = preds.join(_small_side(combos), model_col)
+    j = preds.join(small_side(combos), model_col)
     return j.groupBy("combo_id", *row).agg(agg(p_col).alias("p"), F.count(F.lit(1)).alias("n_models")) \
         .withColumn("method", F.lit(method))
 
@@ -204,7 +195,7 @@ def blend_all(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row:
     """All blend methods in one grouped pass, returned long ``(combo_id,
     row..., method, p)``; ``extra`` adds per-row aggregates (e.g. the label)."""
     fns = {"AVG": F.avg, "MED": F.median, "MIN": F.min, "MAX": F.max}
-    j = preds.join(_small_side(combos), model_col)
+    j = preds.join(small_side(combos), model_col)
     ex = [v.alias(k) for k, v in (extra or {}).items()]
     g = j.groupBy("combo_id", *row).agg(*[fns[m](p_col).alias(m) for m in methods], *ex)
     return g.unpivot(["combo_id", *row, *(extra or {}).keys()], list(methods), "method", "p")

@@ -30,6 +30,17 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return j.select(*key_cols, *rest_a, *rest_b)
 
 
+BROADCAST_MAX_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a counted size (``df`` should be a small
+    table such as a feature list or a combination table); above the bound
+    the join is left to a shuffle (Spark and AQE choose)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def run_all(fn, items, parallelism: int = 3):
     """Run independent Spark jobs from a few driver threads (the scheduler
     interleaves their stages); results keep the input order."""
