@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
-from churnkit.operators.util import materialize
+from churnkit.operators.util import materialize, small_side
 
 F1, F2, STAT = "feature1", "feature2", "statistic"
 
@@ -101,8 +101,9 @@ def drop_all_null(pairs: DataFrame) -> DataFrame:
     """Drop features (rows/columns of the matrix) whose every value is null."""
     sym = symmetric(pairs)
     live = sym.groupBy(F1).agg(F.count(STAT).alias("_n")).where("_n > 0").select(F.col(F1).alias("_f"))
-    return (pairs.join(F.broadcast(live), F.col(F1) == F.col("_f"), "left_semi")
-            .join(F.broadcast(live), F.col(F2) == F.col("_f"), "left_semi"))
+    live = small_side(live)  # one row per feature
+    return (pairs.join(live, F.col(F1) == F.col("_f"), "left_semi")
+            .join(live, F.col(F2) == F.col("_f"), "left_semi"))
 
 
 def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:

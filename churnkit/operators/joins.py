@@ -92,7 +92,7 @@ def similar_models(candidates: DataFrame, top: DataFrame, type_col: str = "model
     model), so the ``contains`` theta join is a broadcast nested loop; each
     candidate is kept once even when several phrases match."""
     phrases = top.select(first_words(type_col, words).alias("_phrase")).distinct()
-    j = candidates.join(F.broadcast(phrases), F.col(type_col).contains(F.col("_phrase")), "left_semi")
+    j = candidates.join(small_side(phrases), F.col(type_col).contains(F.col("_phrase")), "left_semi")
     return j
 
 
