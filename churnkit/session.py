@@ -63,3 +63,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def scale_settings(input_bytes: int, executor_cores_total: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Scan splits and shuffle partitions aim at ``partition_bytes`` (256 MB by
+    default) so a task's data fits in executor memory without spilling much;
+    AQE coalesces small shuffle partitions and splits skewed ones at runtime
+    (a partition five times the median and above 1 GB is split).  For 100 TB
+    this gives about 400,000 shuffle partitions, i.e. a few hundred waves of
+    a 1,000-executor cluster."""
+    parts = max(executor_cores_total * 2, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
