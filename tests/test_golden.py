@@ -145,3 +145,10 @@ def test_backtest_roles_disjoint(spark):
     assert v == 0
     f = {r["fold"]: r for r in folds.collect()}
     assert f[0]["val_end"] == f[0]["holdout_start"] and f[1]["val_end"] == f[0]["val_start"]
+
+
+def test_scale_settings_size_partitions():
+    from churnkit.session import scale_settings
+    s = scale_settings(100 * 2 ** 40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
+    assert scale_settings(1, 16)["spark.sql.shuffle.partitions"] == "32"
