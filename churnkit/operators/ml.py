@@ -320,3 +320,25 @@ def add_one_back(df: DataFrame, clusters: Sequence[tuple[int, Sequence[str]]], a
     lower = metric in ("logloss", "rmse")
     w = Window.partitionBy("cluster").orderBy(F.col("metric").asc() if lower else F.col("metric").desc(), "feature")
     return out.withColumn("best", F.row_number().over(w) == 1)
+
+
+def backtest_time(df: DataFrame, date: str, folds: DataFrame, kind: str, features: Sequence[str], label: str,
+                  weight: str | None = None, **params) -> DataFrame:
+    """Time backtests: for each fold, fit on its training rows (before the
+    gap) and score its validation window.  Rows get their role per fold
+    from the (broadcast, n-row) fold table once; the folds run from driver
+    threads."""
+    from churnkit.operators.splits import assign_roles
+    roles = materialize(assign_roles(df, date, folds).where(F.col("role").isin("train", "validation")))
+    ids = [r[0] for r in folds.select("fold").orderBy("fold").collect()]
+
+    def one(f):
+        part = roles.where(F.col("fold") == f)
+        m = fit(kind, features, label, part.where("role = 'train'"), weight, **dict(params))
+        return materialize(evaluate(m, part.where("role = 'validation'"), label, weight)) \
+            .select(F.lit(int(f)).alias("fold"), "*")
+
+    out = None
+    for ev in run_all(one, ids):
+        out = ev if out is None else out.unionByName(ev)
+    return out

@@ -25,13 +25,15 @@ TARGET = "charge"
 EPS, MIN_PTS = 0.4, 3
 
 
-def feature_frame(spark, sf):
+def feature_frame(spark, sf, with_date: bool = False):
+    extra = ["l_shipdate"] if with_date else []
     li = load(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                                      "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
+                                      "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                                      *extra])
     pt = load(spark, sf, "part", ["p_partkey", "p_retailprice", "p_size"])
     j = li.join(pt, li.l_partkey == pt.p_partkey)
     return j.selectExpr("l_orderkey * 8 + l_linenumber AS rid", *[f"{e} AS {n}" for n, e in FEATURE_EXPRS],
-                        "l_returnflag", "l_linestatus")
+                        "l_returnflag", "l_linestatus", *extra)
 
 
 _FEAT_SQL = ("SELECT l_orderkey * 8 + l_linenumber AS rid, " + ", ".join(f"{e} AS {n}" for n, e in FEATURE_EXPRS)

@@ -250,3 +250,15 @@ def q_blend_combos(spark, sf):
                                                   F.explode("combo").alias("model"))
     blended = ml.blend_all(preds, combos, ["AVG", "MED", "MIN", "MAX"], ["_rid"], extra={"y": F.max(LABEL)})
     return curve_metrics(blended, "y", "p", by=["combo_id", "method"])
+
+
+@query("backtest_score_time", "2.13")
+def q_backtest_time(spark, sf):
+    """Logistic model scored on three time backtests of the line items (60-day gap, 2-month validation)."""
+    from churnkit.operators.splits import backtest_folds
+    from churnkit.plans import q_cluster as qc
+    data = qc.feature_frame(spark, sf, with_date=True) \
+        .withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    feats = [f for f in qc.FEATURES if f != qc.TARGET]
+    folds = backtest_folds(data, "l_shipdate", 3, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
+    return ml.backtest_time(data, "l_shipdate", folds, "lr", feats, "returned")
