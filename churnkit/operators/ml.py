@@ -342,3 +342,29 @@ def backtest_time(df: DataFrame, date: str, folds: DataFrame, kind: str, feature
     for ev in run_all(one, ids):
         out = ev if out is None else out.unionByName(ev)
     return out
+
+
+def duration_grid_score(df: DataFrame, date: str, folds: DataFrame, months: Sequence[int], kind: str,
+                        features: Sequence[str], label: str, weight: str | None = None, **params) -> DataFrame:
+    """Training-duration search: for each fold and each duration, fit on the
+    last ``d`` months before the gap and score the fold's validation window.
+    The (fold x duration) table is tiny; the fits run from driver threads."""
+    from churnkit.operators.splits import assign_roles, duration_slices, duration_windows
+    win = duration_windows(folds, months)
+    train = materialize(duration_slices(df, date, win).select("fold", "months", *features, label,
+                                                              *([weight] if weight else [])))
+    val = materialize(assign_roles(df, date, folds).where("role = 'validation'")
+                      .select("fold", *features, label, *([weight] if weight else [])))
+    grid = [(r["fold"], r["months"]) for r in win.select("fold", "months").orderBy("fold", "months").collect()]
+
+    def one(fm):
+        f, mth = fm
+        m = fit(kind, features, label, train.where((F.col("fold") == f) & (F.col("months") == mth)),
+                weight, **dict(params))
+        return materialize(evaluate(m, val.where(F.col("fold") == f), label, weight)) \
+            .select(F.lit(int(f)).alias("fold"), F.lit(int(mth)).alias("months"), "*")
+
+    out = None
+    for ev in run_all(one, grid):
+        out = ev if out is None else out.unionByName(ev)
+    return out

@@ -262,3 +262,15 @@ def q_backtest_time(spark, sf):
     feats = [f for f in qc.FEATURES if f != qc.TARGET]
     folds = backtest_folds(data, "l_shipdate", 3, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
     return ml.backtest_time(data, "l_shipdate", folds, "lr", feats, "returned")
+
+
+@query("training_duration_score", "2.9")
+def q_duration_score(spark, sf):
+    """Logistic model trained on the last 1, 2 and 4 months before each backtest's gap, scored on its validation."""
+    from churnkit.operators.splits import backtest_folds
+    from churnkit.plans import q_cluster as qc
+    data = qc.feature_frame(spark, sf, with_date=True) \
+        .withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    feats = [f for f in qc.FEATURES if f != qc.TARGET]
+    folds = backtest_folds(data, "l_shipdate", 2, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
+    return ml.duration_grid_score(data, "l_shipdate", folds, [1, 2, 4], "lr", feats, "returned")
