@@ -261,3 +261,20 @@ def q_cross_tab_any(spark, sf):
     """Day-gap counts of rows with a stated intent and any churn label (1 or 2)."""
     m = rc.merged(spark, sf).where(F.col("has_stop_intent") & (F.col("true_churned") >= 1))
     return pf.value_counts(m, ["days_to_intent"])
+
+
+@query("high_score_day_gaps", "2.2", r6=["share"], sql=rc.sql(
+    "SELECT days_to_intent, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM collapsed "
+    "WHERE churned_1_PREDICTION > 0.8 AND days_to_intent IS NOT NULL GROUP BY 1", level="collapsed"))
+def q_high_score_gaps(spark, sf):
+    """Rows scored above 0.8: counts of the day gap to the stated intent."""
+    c = rc.collapsed_intent(spark, sf).where(F.col("churned_1_PREDICTION") > 0.8)
+    return pf.value_counts(c, ["days_to_intent"])
+
+
+@query("value_counts_keep_nulls", "2.4", r6=["share"], sql=rc.sql(
+    "SELECT true_churned, churn_label, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM merged "
+    "GROUP BY 1, 2", level="merged"))
+def q_value_counts_nulls(spark, sf):
+    """(true label, rule label) counts after the merge, null pairs kept (dropna=False)."""
+    return pf.value_counts(rc.merged(spark, sf), ["true_churned", "churn_label"], dropna=False)
