@@ -62,3 +62,22 @@ def test_select_until_stable_stops():
     hist = ml.select_until_stable(train_eval, lambda r: ["a", "b", "c"][: max(1, int(r * 3))], 0.9, lives=3)
     assert hist[-1][5] == 0 or hist[-1][1] <= 0.01
     assert [h[4] for h in hist][0] is True and not any(h[4] for h in hist[1:])
+
+
+def test_stream_scoring_restart_is_exactly_once(spark, data, model):
+    import uuid
+
+    from churnkit.session import shared_path
+    from churnkit.streaming import score_stream
+    run = uuid.uuid4().hex
+    src, sink, ckpt = (shared_path(spark, f"test-stream/{run}/{x}") for x in ("src", "sink", "ckpt"))
+    rows = data.select("row_key", *FEATS).withColumn("part", (F.col("row_key") % 2).cast("int"))
+    schema = "row_key bigint, l_quantity double, l_extendedprice double, l_discount double"
+    rows.where("part = 0").drop("part").write.parquet(f"{src}/a")
+    score_stream(spark, model, f"{src}/*", schema, lambda d: d, FEATS, 0.5, ["row_key"], sink, ckpt)
+    first = spark.read.parquet(sink).count()
+    rows.where("part = 1").drop("part").write.parquet(f"{src}/b")
+    score_stream(spark, model, f"{src}/*", schema, lambda d: d, FEATS, 0.5, ["row_key"], sink, ckpt)
+    out = spark.read.parquet(sink)
+    assert first == rows.where("part = 0").count()
+    assert out.count() == rows.count()  # the restart picked up only the new files
