@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from churnkit.plans import q_reconcile, q_profile, q_evaluate, q_sampling, q_impact, q_leaderboard, q_functions, q_cluster, q_ml  # noqa: F401
+from churnkit.plans import (  # noqa: F401
+    q_cluster, q_evaluate, q_functions, q_impact, q_leaderboard, q_ml, q_profile, q_reconcile, q_sampling,
+)
 from churnkit.plans.registry import REGISTRY
 
 
