@@ -278,3 +278,28 @@ def q_high_score_gaps(spark, sf):
 def q_value_counts_nulls(spark, sf):
     """(true label, rule label) counts after the merge, null pairs kept (dropna=False)."""
     return pf.value_counts(rc.merged(spark, sf), ["true_churned", "churn_label"], dropna=False)
+
+
+@query("value_counts_events", "2.4", r6=["share"], sql=(
+    "SELECT event_type, COUNT(*) AS count, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM events "
+    "WHERE event_type IS NOT NULL GROUP BY event_type"))
+def q_event_types(spark, sf):
+    """Counts and shares of event types."""
+    return pf.value_counts(load(spark, sf, "events", ["event_type"]), ["event_type"])
+
+
+def _hist_events_sql(bins: int) -> str:
+    return f"""
+WITH e AS (SELECT CAST(value AS DOUBLE) AS v FROM events WHERE value IS NOT NULL),
+s AS (SELECT MIN(v) AS mn, MAX(v) AS mx FROM e),
+c AS (SELECT LEAST(CAST(FLOOR((v - s.mn) / CASE WHEN s.mx > s.mn THEN s.mx - s.mn ELSE 1.0 END * {bins}) AS INT),
+                   {bins - 1}) AS bin, COUNT(*) AS cnt FROM e, s GROUP BY 1)
+SELECT b.bin, s.mn + b.bin * w.w AS lo, s.mn + (b.bin + 1) * w.w AS hi, COALESCE(c.cnt, 0) AS count
+FROM s, (SELECT CASE WHEN mx > mn THEN (mx - mn) / {bins} ELSE 1.0 END AS w FROM s) w,
+     (SELECT CAST(range AS INT) AS bin FROM range({bins})) b LEFT JOIN c ON c.bin = b.bin"""
+
+
+@query("histogram_events_value", "2.4", r6=["lo", "hi"], sql=_hist_events_sql(20))
+def q_event_hist(spark, sf):
+    """20 equal-width bins of event values."""
+    return pf.histogram(load(spark, sf, "events", ["value"]), "value", 20)
