@@ -368,3 +368,28 @@ def duration_grid_score(df: DataFrame, date: str, folds: DataFrame, months: Sequ
     for ev in run_all(one, grid):
         out = ev if out is None else out.unionByName(ev)
     return out
+
+
+def tune_on_backtests(df: DataFrame, date: str, folds: DataFrame, kind: str, features: Sequence[str], label: str,
+                      grid: Sequence[dict], weight: str | None = None) -> DataFrame:
+    """Every parameter map on every time fold (fit on the fold's training
+    rows, score its validation window); per-fold metrics plus the mean AUC
+    per map.  The fits are independent jobs run from driver threads."""
+    from churnkit.operators.splits import assign_roles
+    roles = materialize(assign_roles(df, date, folds).where(F.col("role").isin("train", "validation")))
+    ids = [r[0] for r in folds.select("fold").orderBy("fold").collect()]
+    tasks = [(g, f) for g in range(len(grid)) for f in ids]
+
+    def one(t):
+        g, f = t
+        part = roles.where(F.col("fold") == f)
+        m = fit(kind, features, label, part.where("role = 'train'"), weight, **dict(grid[g]))
+        return materialize(evaluate(m, part.where("role = 'validation'"), label, weight)).select(
+            F.lit(g).alias("grid_id"), F.lit(str(sorted(grid[g].items()))).alias("params"),
+            F.lit(int(f)).alias("fold"), "*")
+
+    out = None
+    for ev in run_all(one, tasks):
+        out = ev if out is None else out.unionByName(ev)
+    from pyspark.sql import Window
+    return out.withColumn("mean_auc", F.avg("auc").over(Window.partitionBy("grid_id")))

@@ -274,3 +274,16 @@ def q_duration_score(spark, sf):
     feats = [f for f in qc.FEATURES if f != qc.TARGET]
     folds = backtest_folds(data, "l_shipdate", 2, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
     return ml.duration_grid_score(data, "l_shipdate", folds, [1, 2, 4], "lr", feats, "returned")
+
+
+@query("tune_grid_backtests", "2.13")
+def q_tune_backtests(spark, sf):
+    """Elastic-net grid on two time backtests: per-fold metrics and mean AUC per parameter map."""
+    from churnkit.operators.splits import backtest_folds
+    from churnkit.plans import q_cluster as qc
+    data = qc.feature_frame(spark, sf, with_date=True) \
+        .withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    feats = [f for f in qc.FEATURES if f != qc.TARGET]
+    folds = backtest_folds(data, "l_shipdate", 2, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
+    grid = [{"regParam": 0.0}, {"regParam": 0.01, "elasticNetParam": 0.5}]
+    return ml.tune_on_backtests(data, "l_shipdate", folds, "lr", feats, "returned", grid)
