@@ -47,14 +47,18 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto") -> Data
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def _moments(cols: list[str], shift: list[float]):
+def _moments(cols: list[str]):
     k = len(cols)
     iu, ju = np.triu_indices(k, 1)
 
     def fn(batches):
-        acc = None
+        acc, shift = None, None
         for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - np.asarray(shift)
+            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+            if shift is None:  # this task's shift: its first batch's column means
+                with np.errstate(all="ignore"):
+                    shift = np.nan_to_num(np.nanmean(x, axis=0)) if len(x) else np.zeros(k)
+            x = x - shift
             m = (~np.isnan(x)).astype("float64")
             x = np.nan_to_num(x)
             x2 = x * x
@@ -64,27 +68,35 @@ def _moments(cols: list[str], shift: list[float]):
             return
         yield pd.DataFrame({"i": iu.astype("int32"), "j": ju.astype("int32"),
                             "n": acc[0][iu, ju], "sx": acc[1][iu, ju], "sy": acc[2][iu, ju],
-                            "sxx": acc[3][iu, ju], "syy": acc[4][iu, ju], "sxy": acc[5][iu, ju]})
+                            "sxx": acc[3][iu, ju], "syy": acc[4][iu, ju], "sxy": acc[5][iu, ju],
+                            "hx": shift[iu], "hy": shift[ju]})
     return fn
 
 
 def corr_pairs_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Same result for wide tables: each task reduces its Arrow batches to
-    pair sums (n, sx, sy, sxx, syy, sxy over rows where both exist, after
-    shifting each column by its mean for numerical stability); Spark sums
-    the partial tables (``k*(k-1)/2`` rows per task) and forms r."""
+    """Same result for wide tables, in one pass over the rows: each task
+    reduces its Arrow batches to pair sums (n, sx, sy, sxx, syy, sxy over rows
+    where both exist), taken about its own shift (its first batch's means).
+    The partial table (``k*(k-1)/2`` rows per task) is then re-centred on
+    the exact pairwise means and summed, so large values lose no precision."""
     cols = list(cols)
     base = df.select(*[col_(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     names = [f"c{i}" for i in range(len(cols))]
-    means = base.agg(*[F.avg(c).alias(c) for c in names]).first()
-    shift = [float(means[c]) if means[c] is not None else 0.0 for c in names]
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = base.mapInPandas(_moments(names, shift), schema)
-    s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
-    r = (n * sxy - sx * sy) / F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
-    pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
-    return s.select(pos[F.col("i")].alias(F1), pos[F.col("j")].alias(F2), r.alias(STAT))
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, hx double, hy double"
+    parts = materialize(base.mapInPandas(_moments(names), schema).where("n > 0"))
+    c = F.col
+    means = parts.groupBy("i", "j").agg(
+        (F.sum(c("sx") + c("n") * c("hx")) / F.sum("n")).alias("mx"),
+        (F.sum(c("sy") + c("n") * c("hy")) / F.sum("n")).alias("my"))
+    j = parts.join(means, ["i", "j"])
+    dx, dy = c("hx") - c("mx"), c("hy") - c("my")
+    s = j.groupBy("i", "j").agg(
+        F.sum(c("sxx") + 2 * dx * c("sx") + c("n") * dx * dx).alias("cxx"),
+        F.sum(c("syy") + 2 * dy * c("sy") + c("n") * dy * dy).alias("cyy"),
+        F.sum(c("sxy") + dy * c("sx") + dx * c("sy") + c("n") * dx * dy).alias("cxy"))
+    r = c("cxy") / F.sqrt(c("cxx") * c("cyy"))
+    pos = F.create_map(*[x for i, col in enumerate(cols) for x in (F.lit(i), F.lit(col))])
+    return s.select(pos[c("i")].alias(F1), pos[c("j")].alias(F2), r.alias(STAT))
 
 
 def symmetric(pairs: DataFrame) -> DataFrame:

@@ -126,3 +126,19 @@ def test_merge_null_keys_match_each_other(spark):
     assert sorted(out, key=key) == sorted([
         (1, "2024-01-01", "2024-01-01", 0.1, 1), (None, "2024-01-01", "2024-01-01", 0.2, 0),
         (2, None, None, 0.3, 1), (3, "2024-02-01", None, 0.4, None), (4, None, "2024-02-01", None, 0)], key=key)
+
+
+def test_corr_blocks_stable_for_large_values(spark):
+    """Values around 1e9 varying by about 1: the block path (per-task shift,
+    re-centred on exact means) must match the exact rational result."""
+    import math
+    from fractions import Fraction as Fr
+    rnd = random.Random(9)
+    rows = [(1e9 + rnd.random(), 1e9 + 0.5 * i / 1000 + rnd.random() * 0.1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(6)
+    got = cl.corr_pairs_blocks(df, ["a", "b"]).first()["statistic"]
+    a, b = [Fr(r[0]) for r in rows], [Fr(r[1]) for r in rows]
+    ma, mb = sum(a) / len(a), sum(b) / len(b)
+    sab = sum((x - ma) * (y - mb) for x, y in zip(a, b))
+    exact = float(sab) / math.sqrt(float(sum((x - ma) ** 2 for x in a)) * float(sum((y - mb) ** 2 for y in b)))
+    assert got == pytest.approx(exact, abs=1e-10)
