@@ -142,3 +142,15 @@ def test_corr_blocks_stable_for_large_values(spark):
     sab = sum((x - ma) * (y - mb) for x, y in zip(a, b))
     exact = float(sab) / math.sqrt(float(sum((x - ma) ** 2 for x in a)) * float(sum((y - mb) ** 2 for y in b)))
     assert got == pytest.approx(exact, abs=1e-10)
+
+
+def test_merge_fast_path_equals_null_safe_without_nulls(spark):
+    from churnkit.operators.joins import any_null, merge_predictions
+    a = spark.createDataFrame([(i, f"d{i % 3}", float(i)) for i in range(50)], "id long, d string, p double")
+    b = spark.createDataFrame([(i, f"d{i % 3}", i % 2) for i in range(25, 80)], "id long, e string, y int")
+    assert not any_null(a, ["id", "d"]) and not any_null(b, ["id", "e"])
+    assert any_null(a.union(spark.createDataFrame([(None, "d0", 1.0)], a.schema)), ["id", "d"])
+    fast = merge_predictions(a, b, ["id", "d"], ["id", "e"], null_keys=False)
+    safe = merge_predictions(a, b, ["id", "d"], ["id", "e"], null_keys=True)
+    assert fast.count() == safe.count() == 80  # 25 left-only, 25 matched, 30 right-only
+    assert fast.exceptAll(safe).count() == 0 and safe.exceptAll(fast).count() == 0
