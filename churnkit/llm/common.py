@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -44,6 +45,11 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}" if name else self.base)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Let Spark's cleaner drop the shuffle files of frames that nothing refers to any more."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def result(self, df: DataFrame) -> DataFrame:
         out = df.checkpoint()
         self.drop()

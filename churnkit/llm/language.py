@@ -174,22 +174,23 @@ def training_windows(df: DataFrame, id_col: str, text_col: str, lang_col: str, m
     return [x for x, _ in got], [x for _, x in got]
 
 
-def identify(df: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, lang_pred, score)`` for every row.
+def identify(df: DataFrame, model: ByteCnn | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns of every row, with ``lang_pred`` and ``lang_score``.
 
     Null, empty and letterless texts are ``und`` with score 0; so is all text
     when there was nothing to learn from (``model`` None).  Whole texts are
     scored in windows; ties between languages go to the first by name.
     Repeated rows are scored alike; other columns are ignored.  The network (a
     few hundred kB, fixed by its parameters) goes to the tasks with the code."""
-    id_type = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(text_col).alias("_text"), F.lit("").alias("_lang"), F.lit(0.0).alias("_score"), *keep)
+    out = rows.select("_lang", "_score", *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.tables() if model else {}
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
-                texts = [x or "" for x in b.column(1).to_pylist()]
+                texts = [x or "" for x in b.column(0).to_pylist()]
                 letters = np.array([x[:64].isalpha() or any(map(str.isalpha, x)) for x in texts], bool)
                 if model:
                     p = score_texts(model, tables, [x.lower().encode() for x in texts])
@@ -197,10 +198,11 @@ def identify(df: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text_
                 else:
                     best, top, letters = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([x if ok else "und" for x, ok in zip(best, letters, strict=True)], pa.string()),
-                     pa.array(np.where(letters, np.clip(top, 0, 1), 0.0), pa.float64())], ["doc_id", "lang_pred", "score"])
+                    [pa.array([x if ok else "und" for x, ok in zip(best, letters, strict=True)], pa.string()),
+                     pa.array(np.where(letters, np.clip(top, 0, 1), 0.0), pa.float64()), *b.columns[3:]],
+                    ["_lang", "_score", *keep])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
+    return rows.mapInArrow(run, out.schema).select(*keep, F.col("_lang").alias("lang_pred"), F.col("_score").alias("lang_score"))
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 2000,
@@ -215,4 +217,4 @@ def identify_documents(df: DataFrame) -> DataFrame:
     """Fit on the learnable documents, then label every document: doc_id, held_out, lang_pred, score."""
     out = identify(df, fit(df))
     return out.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
-                      "lang_pred", "score")
+                      "lang_pred", F.col("lang_score").alias("score"))
