@@ -2,55 +2,88 @@
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import Scratch
 
 END = (2).to_bytes(4, "little")
-#: A unit is a run of ASCII white space and the characters up to the next run.
-UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-#: Other white space joins runs across units, so such texts are tokenized whole.
-OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Where byte-level BPE splits a text into parts.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: White space that, beside a space or newline or in their place, joins what stands around it.
+RUNS = ("  ", " \n", "\n ", "\n\n", *"\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)))
+#: Characters from here on are split by the tokenizer itself.
+BEYOND = "\u0250"
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level BPE: itself, or the next free one from 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
 class UnitTokenizer:
     """Token ids of texts as little-endian 32-bit words.
 
-    Byte-level BPE splits a text before each run of white space in the same
-    way whatever stands around it, so a text's ids are its units' ids in
-    order; units recur, so each distinct one is encoded once and remembered
-    (at most ``limit`` of them, then the memory is emptied)."""
+    Byte-level BPE splits a text into parts, of which a single space or
+    newline always begins one, and encodes each part by itself.  So the ids of
+    a text are those of its space-separated units in order; units and parts
+    recur, and each distinct one is encoded once and remembered (``limit`` of
+    them at most, then the memory is emptied)."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer = Tokenizer.from_file(path)
+        self.split, self.encode = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+        self.letters = byte_letters()
         self.limit = limit
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.first: dict[str, bytes] = {}  # units at the start of a text or a line
+        self.later: dict[str, bytes] = {}  # units after a space
+        self.parts: dict[str, bytes] = {}
+
+    def _model(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.encode(part)]).tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        if text and max(text) >= BEYOND:
+            return b"".join([self._model(part) for part, _ in self.split(text)])
+        known, out = self.parts, []
+        for part in PARTS.findall(text):
+            if part not in known:
+                known[part] = self._model(part.encode().decode("latin-1").translate(self.letters))
+            out.append(known[part])
+        return b"".join(out)
+
+    def _text(self, text: str) -> bytes:
+        if any(run in text for run in RUNS):
+            return self._ids(text)
+        first, later, out = self.first, self.later, []
+        for n, line in enumerate(text.split("\n")):
+            units = line.split(" ")
+            head = "\n" + units[0] if n else units[0]
+            if head not in first:
+                first[head] = self._ids(head)
+            out.append(first[head])
+            del units[0]
+            for u in set(units).difference(later):
+                later[u] = self._ids(" " + u)
+            out += map(later.__getitem__, units)
+        return b"".join(out)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        units = [None if OTHER_SPACE.search(t) else UNIT.findall(t) for t in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
-        known = self.known
-        new = list({u for x in units if x for u in x if u not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            known.update(zip(part, self._encode(part), strict=True))
-        get = known.__getitem__
-        return [self._encode([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, units, strict=True)]
+        if len(self.later) + len(self.first) > self.limit:
+            self.first, self.later, self.parts = {}, {}, {}
+        return list(map(self._text, texts))
 
 
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
@@ -59,9 +92,6 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = UnitTokenizer(tokenizer_path)
         row = 0
         for big in batches:
