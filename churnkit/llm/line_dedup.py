@@ -7,58 +7,35 @@ document id, then by line number) makes a line go.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import Scratch
 
-#: Words that an anchor row of a line has at least, one deletion not counted.
-ANCHORS = 4
-#: Finer and finer samples of a line's words: all; those of four or more bytes; a half, a quarter, ... of these.
-LEVELS = 9
-
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(doc_id, pos, line, words, h, m)`` of every line with enough words; numbers start at 0, words end at a space."""
+    """``(doc_id, pos, line, n, h, m)`` of every line with enough words; numbers start at 0, words end at a space."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select(
         "doc_id", "pos", F.trim("raw").alias("line"))
-    return lines.withColumn("words", _words(F.col("line"))).where(F.size("words") >= min_words).select(
-        "doc_id", "pos", "line", "words", F.xxhash64("line").alias("h"), F.hash("line").alias("m"))
+    n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    return lines.withColumn("n", n).where(F.col("n") >= min_words).select(
+        "doc_id", "pos", "line", "n", F.xxhash64("line").alias("h"), F.hash("line").alias("m"))
 
 
 def _words(line: Column) -> Column:
     return F.split(line, " ")
 
 
-def _deletions(items: Column, salt: Column) -> Column:
-    """Hashes of an array as it is and without each one of its items."""
-    n = F.size(items)
-    return F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(
-        salt, F.concat(F.slice(items, 1, i), F.slice(items, i + 2, n))))
-
-
-def _anchor_keys(lines: DataFrame) -> DataFrame:
-    """``(key, h)``: hashed deletion variants of each line's anchors, a sample of its words.
-
-    Whether a word is an anchor of a level depends on the word alone, so one
-    edited word changes a level's anchors by one edit at most, and lines that
-    are near share a variant at every level.  A line uses the finest level
-    that still has enough anchors, and the coarser ones down to the first
-    that has enough even without one: near lines then have a level in
-    common."""
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    long_ = F.transform(F.filter("words", lambda w: F.octet_length(w) > 3), lambda w: F.xxhash64(w))
-    rows = lines.select("h", hashes.alias("a0"), long_.alias("a1"))
-    for k in range(2, LEVELS):
-        bit = F.lit(1 << k)
-        rows = rows.withColumn(f"a{k}", F.filter(f"a{k - 1}", lambda x: x.bitwiseAND(bit) == 0))  # noqa: B023  run at once
-    level = lambda least: sum(  # noqa: E731  levels shrink, so the finest with enough is the number of those that have
-        (F.when(F.size(f"a{k}") >= least, 1).otherwise(0) for k in range(1, LEVELS)), F.lit(0))
-    rows = rows.select("h", F.array(*[f"a{k}" for k in range(LEVELS)]).alias("a"),
-                       level(ANCHORS + 1).alias("low"), level(ANCHORS).alias("top"))
-    each = rows.select("h", "a", F.explode(F.sequence("low", "top")).alias("level"))
-    one = each.select("h", "level", F.element_at("a", F.col("level") + 1).alias("anchors"))
-    return one.select("h", F.explode(_deletions(F.col("anchors"), F.col("level"))).alias("key"))
+def _half_keys(lines: DataFrame) -> DataFrame:
+    """``(key, h)``: hashes of each line's first and last words, half of them and one fewer.
+
+    Of two lines of n and at most n + 1 words that are near, one edited word
+    leaves the first n // 2 words or the last n // 2 alike, and both lines
+    emit that length."""
+    half = F.floor(F.col("n") / 2).cast("int")
+    keys = [F.xxhash64(F.lit(side), q, F.call_function("substring_index", F.col("line"), F.lit(" "), q * side))
+            for side in (1, -1) for q in (half, half - 1)]
+    return lines.select("h", F.explode(F.array(*keys)).alias("key"))
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -77,31 +54,35 @@ def _near(a: Column, b: Column) -> Column:
 def near_lines(docs: DataFrame, scratch: Scratch, first: DataFrame, min_words: int) -> DataFrame:
     """``(h, m)`` of the distinct lines that have a near line before them.
 
-    Lines of which no anchor variant meets another line's are done with.  The
-    others are compared, word by word, with the earliest line of each variant
-    they share.  That settles variants of two lines; the lines of larger
-    groups go on to ``_whole_line_pairs``.  No step lists the pairs of a group."""
-    keys = _anchor_keys(_lines(docs, min_words))
+    A line none of whose halves another line has is near to none and done
+    with.  The others emit a hashed key for each deletion of one word, with
+    the place of the deletion, and one for the whole line: lines equal but for
+    the word at one place share a key, and a line without one word has
+    another line's whole.  Only the earliest line of a key counts, so a key
+    shared by many lines costs a partially aggregated minimum, never pairs.
+    The earliest line found is compared word by word, which guards against
+    equal hashes.  All sides of the joins grow with the corpus, so none is
+    broadcast: one plan at every size."""
+    keys = scratch.keep(_half_keys(_lines(docs, min_words)), "halves")
     shared = keys.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
-    met = scratch.keep(keys.join(shared, "key", "left_semi").distinct(), "met")
+    met = scratch.keep(keys.join(shared.hint("merge"), "key", "left_semi").select("h").distinct(), "met")
+    scratch.drop("halves")
     scratch.release()
 
-    place = met.select("h").distinct().join(first, "h").select("h", "m", "doc_id", "pos")
+    place = met.join(first, "h").select("h", "m", "doc_id", "pos")
     wanted = place.groupBy("doc_id").agg(F.collect_list(F.struct("h", "m", "pos")).alias("wanted"))  # one document's lines
-    texts = docs.join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
+    texts = docs.join(wanted.hint("merge"), "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
     found = texts.select("w.h", "w.m", "doc_id", "w.pos", F.trim(F.element_at("lines", F.col("w.pos") + 1)).alias("line"))
     same = (F.xxhash64("line") == F.col("h")) & (F.hash("line") == F.col("m"))  # rows that repeat an id may differ
     lines = scratch.keep(found.where(same).dropDuplicates(["h", "m"]), "lines")
     scratch.release()
 
-    at = F.struct("doc_id", "pos", "h", "m").alias("at")
-    placed = met.join(lines.select("h", at), "h")
-    groups = placed.groupBy("key").agg(F.min("at").alias("first"), F.count("*").alias("size"))
-    stars = scratch.keep(placed.join(groups, "key").select("at", "first", "size"), "stars")
-    near = scratch.keep(_verified(stars.where("at > first").select("at", "first").distinct(), lines), "near1")
-    large = stars.where("size > 2").select("at.h", "at.m").distinct()
-    more = _verified(_whole_line_pairs(lines.join(large, ["h", "m"], "left_semi")).join(near, ["h", "m"], "left_anti"), lines)
-    return near.union(more)
+    variants = scratch.keep(_deletions(lines), "variants")
+    common = variants.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
+    live = scratch.keep(variants.join(common.hint("merge"), "key", "left_semi").join(
+        lines.select("h", "m", F.struct("doc_id", "pos", "h", "m").alias("at")), ["h", "m"]).select("key", "place", "at"), "live")
+    scratch.drop("variants")
+    return _verified(_earliest(live), lines)
 
 
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -111,25 +92,34 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.where(_near(F.col("a"), F.col("b"))).select("at.h", "at.m").distinct()
 
 
-def _whole_line_pairs(lines: DataFrame) -> DataFrame:
-    """``(at, first, h, m)``: each line with the earliest lines that a deletion of one word makes equal to it.
-
-    Every line emits a hashed key for each deletion of one word, with the
-    place of the deletion: lines equal but for the word at one place share
-    it, and a line without one word equals another line's whole.  Any two
-    lines that share such a key are near, so only the earliest counts: a
-    partially aggregated minimum, never pairs."""
-    words = lines.select(F.struct("doc_id", "pos", "h", "m").alias("at"),
-                         F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)).alias("a"))
-    whole = words.select(F.xxhash64("a").alias("key"), "at")
-    cut = words.select("at", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("a") - 1), lambda i: F.xxhash64(
-        F.concat(F.slice("a", 1, i), F.slice("a", i + 2, F.size("a")))))).alias("place", "key"))
+def _deletions(lines: DataFrame) -> DataFrame:
+    """``(key, place, h, m)``: each line's words as a whole (place null) and less the word at each place.
+
+    A key is the number of words and the XOR of their hashes, each taken with
+    its place; behind a deletion places move up.  Running XORs make this
+    linear in a line's words, however many it has."""
+    each = lines.select("h", "m", F.posexplode(_words(F.col("line"))).alias("place", "word"))
+    each = each.select("h", "m", "place", F.xxhash64("word", "place").alias("x"), F.xxhash64("word", F.col("place") - 1).alias("y"))
+    own = Window.partitionBy("h", "m")
+    so_far = own.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.select("h", "m", "place", "x", "y", F.bit_xor("x").over(so_far).alias("rx"), F.bit_xor("y").over(so_far).alias("ry"),
+                       F.bit_xor("x").over(own).alias("tx"), F.bit_xor("y").over(own).alias("ty"), F.count("*").over(own).alias("n"))
+    cut = F.struct(F.xxhash64(F.expr("rx ^ x ^ ty ^ ry"), F.col("n") - 1).alias("key"), F.col("place").alias("place"))
+    whole = F.struct(F.xxhash64("tx", "n").alias("key"), F.lit(None).cast("int").alias("place"))
+    rows = F.when(F.col("place") == 0, F.array(cut, whole)).otherwise(F.array(cut))
+    return each.select("h", "m", F.explode(rows).alias("r")).select("r.key", "r.place", "h", "m")
+
+
+def _earliest(live: DataFrame) -> DataFrame:
+    """``(at, first)``: each line with the earliest lines that have its key by the same place, or whole where it is cut,
+    or cut where it is whole."""
+    cut, whole = live.where("place IS NOT NULL"), live.where("place IS NULL")
     by_place = cut.groupBy("key", "place").agg(F.min("at").alias("first"))
-    replaced = cut.join(by_place, ["key", "place"]).where("at > first").select("at", "first")
-    longer_first = whole.join(by_place.groupBy("key").agg(F.min("first").alias("first")), "key").where("at > first")
-    shorter_first = cut.join(whole.groupBy("key").agg(F.min("at").alias("first")), "key").where("at > first")
-    pairs = replaced.union(longer_first.select("at", "first")).union(shorter_first.select("at", "first"))
-    return pairs.distinct().select("at", "first", "at.h", "at.m")
+    replaced = cut.join(by_place, ["key", "place"])
+    longer = whole.join(by_place.groupBy("key").agg(F.min("first").alias("first")), "key")
+    shorter = cut.join(whole.groupBy("key").agg(F.min("at").alias("first")), "key")
+    pairs = [x.where("at > first").select("at", "first") for x in (replaced, longer, shorter)]
+    return pairs[0].union(pairs[1]).union(pairs[2]).distinct()
 
 
 def dropped_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str = "doc_id",
@@ -164,7 +154,7 @@ def dedup_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str
     lines.  Other columns may have any names; an empty table gives no rows."""
     gone = dropped_lines(df, scratch, min_words, id_col, text_col).toDF("_id", "_dropped")
     rows = df.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
-    both = rows.join(gone, F.col("_key") == F.col("_id"), "left")
+    both = rows.join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
     lines = F.split("_text", "\n")
     kept = F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(
         lines, lambda x, i: ~F.array_contains(F.col("_dropped"), i)), "\n"))
