@@ -138,7 +138,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], seed: int, share: flo
                 [pa.array(found, pa.list_(pa.int64())), pa.array(best)] + [b.column(c) for c in keep],
                 ["_items", "_coverage", *keep])
 
-    return docs.select("_text", "_items", "_coverage", *keep).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys(["_text", "_items", "_coverage", *keep])).mapInArrow(run, schema)
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, seed: int = 5, share: float = 0.8, text_col: str = "text",

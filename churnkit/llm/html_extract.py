@@ -11,9 +11,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>|</?[a-zA-Z][^<>]*\Z|[^<]+|<", re.S)
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+LABEL = re.compile(r"""\s(?:id|class)\s*=\s*["']?\s*([^\s"'>]+)""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟।]")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,16 +65,19 @@ def _is_noise(tag: str, text: str, in_container: bool) -> bool:
 
 
 def text_nodes(page: str) -> list[tuple[str, int, str, str]]:
-    """(tag path, block number, container path, raw text) of every text outside dropped elements, in page order."""
-    out, stack, noise_at, block = [], [], [], 0  # noise_at: depths at which dropped elements are open
+    """(tag path, block number, container path, raw text) of every text outside dropped elements, in page order.
+
+    A path's steps are tags, with the first id or class of a marked one, so that sibling sections have paths of
+    their own."""
+    out, stack, steps, noise_at, block = [], [], [], [], 0  # noise_at: depths at which dropped elements are open
     container: list[int] = []
     pos, low = 0, None
     while m := TOKEN.match(page, pos):
         pos, token = m.end(), m.group()
         if token[0] != "<" or len(token) == 1:
             if not noise_at:
-                inside = "/".join(stack[: container[-1]]) if container else ""
-                out.append(("/".join(stack), block, inside, token))
+                inside = "/".join(steps[: container[-1]]) if container else ""
+                out.append(("/".join(steps), block, inside, token))
             continue
         name = TAG.match(token)
         if not name:
@@ -83,6 +87,7 @@ def text_nodes(page: str) -> list[tuple[str, int, str, str]]:
             if tag in stack:
                 while stack:
                     done = stack.pop()
+                    steps.pop()
                     block += done in BLOCK
                     if done == tag:
                         break
@@ -94,7 +99,7 @@ def text_nodes(page: str) -> list[tuple[str, int, str, str]]:
             while closes and k and (stack[k - 1] in closes or stack[k - 1] not in SCOPES):
                 k -= 1
                 if stack[k] in closes:
-                    del stack[k:]
+                    del stack[k:], steps[k:]
             while noise_at and noise_at[-1] > len(stack):
                 noise_at.pop()
             while container and container[-1] > len(stack):
@@ -111,6 +116,8 @@ def text_nodes(page: str) -> list[tuple[str, int, str, str]]:
                         end = found.start()
                     pos = len(page) if end < 0 else end
                 stack.append(tag)
+                label = LABEL.search(token) if tag not in UNMARKED else None
+                steps.append(f"{tag}.{label[1]}" if label else tag)
                 if noisy:
                     noise_at.append(len(stack))
                 elif tag in CONTAINERS:

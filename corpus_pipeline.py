@@ -39,7 +39,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document with the smallest id of each near-duplicate group, once."""
     found = near_dup.near_duplicates(docs, shingle=5, percent=80)
     gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return docs.select(*COLUMNS).join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 from churnkit.llm import decontaminate, html_extract, line_dedup, packing, url_filter
 from churnkit.llm.common import Scratch
 from churnkit.llm.queries import tokenizer_path
+from tests.conftest import SF001
 
 
 # ------------------------------------------------------------------ lines
@@ -73,8 +74,8 @@ def test_lines_repeated_rows_and_empty_table(spark, words, empty):
     assert sorted((r.doc_id, list(r.dropped)) for r in got) == [(1, []), (1, []), (2, [0]), (3, [0, 1])]
 
 
-def test_lines_need_no_python_and_no_pairs(spark, words, capsys):
-    df = spark.createDataFrame([(1, words(20)), (2, words(20))], "doc_id long, text string")
+def test_lines_need_no_python_and_no_pairs(spark, capsys):
+    df = spark.read.parquet(f"{SF001}/documents.parquet")
     line_dedup.dedup_lines(df, Scratch(spark)).explain("formatted")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
