@@ -62,12 +62,13 @@ def unit_hash(key: str | Column, seed: int | str = 0, method: str = "md5") -> Co
     ``md5`` (default): the first 32 bits of MD5 over ``seed:key``, the same
     on every run, every executor and after a lost task is recomputed, and
     reproducible in other SQL engines.  ``xxhash``: Spark's 64-bit xxHash of
-    (key, seed), cheaper per row, for when only Spark must agree.
+    (key, seed), cheaper per row, for when only Spark must agree.  A null key
+    hashes like an empty one, so its row takes part in every split.
     """
     if method == "xxhash":
-        h = F.xxhash64(col_(key), F.lit(str(seed)))
+        h = F.xxhash64(F.coalesce(col_(key).cast("string"), F.lit("")), F.lit(str(seed)))
         return F.pmod(h, F.lit(4294967296)).cast("double") / F.lit(4294967296.0)
-    h = F.md5(F.concat(F.lit(f"{seed}:"), col_(key).cast("string")))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(col_(key).cast("string"), F.lit(""))))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 

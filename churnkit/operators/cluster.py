@@ -1,7 +1,6 @@
 """Feature correlation, distance and clustering.
 
-Correlations are computed over all rows: one aggregation of ``corr`` calls
-for a few dozen columns, or for wide tables Arrow batches that emit partial
+Correlations are computed over all rows: Arrow batches emit partial
 moment sums per column pair (``mapInPandas``), summed by a Spark
 aggregation.  Everything after that works on the pair table, whose size is
 features squared (never rows).  Density clustering (DBSCAN on distances) is
@@ -28,20 +27,24 @@ def feature_positions(cols: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "feature string, pos int")
 
 
-AGG_MAX_PAIRS = 28  # above this, one aggregate of many corr() calls compiles slowly
-
-
-def corr_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str], method: str = "blocks") -> DataFrame:
     """Pearson correlation of every column pair (i < j in column order),
-    pairwise complete: a row counts for a pair when both values exist.
-    ``method``: ``agg`` (one aggregation of ``corr`` calls), ``blocks``
-    (Arrow partial moments) or ``auto`` (agg up to 28 pairs)."""
+    pairwise complete: a row counts for a pair when both values exist (NaN
+    counts as missing).  Null where a column is constant over the pair's rows.
+    ``method``: ``blocks`` (Arrow partial moments, any width) or ``agg`` (one
+    aggregation, for a few columns)."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if method == "blocks" or (method == "auto" and len(pairs) > AGG_MAX_PAIRS):
+    if method == "blocks":
         return corr_pairs_blocks(df, cols)
-    one = df.agg(*[F.corr(col_(a).cast("double"), col_(b).cast("double")).alias(f"p{k}")
-                   for k, (a, b) in enumerate(pairs)])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    num = df.select(*[F.nanvl(col_(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def corr(a: str, b: str):
+        x, y = f"c{cols.index(a)}", f"c{cols.index(b)}"
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y))))
+
+    one = num.agg(*[corr(a, b).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias(F1), F.lit(b).alias(F2), F.col(f"p{k}").alias(STAT))
                      for k, (a, b) in enumerate(pairs)])
     return one.select(F.explode(rows).alias("r")).select("r.*")
@@ -55,9 +58,10 @@ def _moments(cols: list[str]):
         acc, shift = None, None
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-            if shift is None:  # this task's shift: its first batch's column means
-                with np.errstate(all="ignore"):
-                    shift = np.nan_to_num(np.nanmean(x, axis=0)) if len(x) else np.zeros(k)
+            if shift is None:  # this task's shift: its first values, so a constant column's sums are exactly zero
+                there = ~np.isnan(x)
+                first = np.where(there.any(0), there.argmax(0), 0)
+                shift = np.nan_to_num(x[first, np.arange(k)]) if len(x) else np.zeros(k)
             x = x - shift
             m = (~np.isnan(x)).astype("float64")
             x = np.nan_to_num(x)
@@ -76,7 +80,7 @@ def _moments(cols: list[str]):
 def corr_pairs_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Same result for wide tables, in one pass over the rows: each task
     reduces its Arrow batches to pair sums (n, sx, sy, sxx, syy, sxy over rows
-    where both exist), taken about its own shift (its first batch's means).
+    where both exist), taken about its own shift (its first values).
     The partial table (``k*(k-1)/2`` rows per task) is then re-centred on
     the exact pairwise means and summed, so large values lose no precision."""
     cols = list(cols)
@@ -91,10 +95,13 @@ def corr_pairs_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     j = parts.join(means, ["i", "j"])
     dx, dy = c("hx") - c("mx"), c("hy") - c("my")
     s = j.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.max(F.abs("mx")).alias("ax"), F.max(F.abs("my")).alias("ay"),
         F.sum(c("sxx") + 2 * dx * c("sx") + c("n") * dx * dx).alias("cxx"),
         F.sum(c("syy") + 2 * dy * c("sy") + c("n") * dy * dy).alias("cyy"),
         F.sum(c("sxy") + dy * c("sx") + dx * c("sy") + c("n") * dx * dy).alias("cxy"))
-    r = c("cxy") / F.sqrt(c("cxx") * c("cyy"))
+    # a constant column leaves only the rounding of its mean
+    varies = (c("cxx") > c("n") * F.pow(F.lit(1e-12) * c("ax"), 2)) & (c("cyy") > c("n") * F.pow(F.lit(1e-12) * c("ay"), 2))
+    r = F.when(varies, F.try_divide(c("cxy"), F.sqrt(c("cxx")) * F.sqrt(c("cyy"))))
     pos = F.create_map(*[x for i, col in enumerate(cols) for x in (F.lit(i), F.lit(col))])
     return s.select(pos[c("i")].alias(F1), pos[c("j")].alias(F2), r.alias(STAT))
 
@@ -118,22 +125,24 @@ def drop_all_null(pairs: DataFrame) -> DataFrame:
             .join(live, F.col(F2) == F.col("_f"), "left_semi"))
 
 
-def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: ``(feature, root)`` with root = smallest pos in
-    the component.  ``edges`` is symmetric ``(a, b)``."""
-    label = nodes.select("feature", F.col("pos").alias("root"))
-    for _ in range(max_rounds):
-        nb = edges.join(label.withColumnRenamed("feature", "b"), "b").groupBy("a") \
-            .agg(F.min("root").alias("_nr")).withColumnRenamed("a", "feature")
-        new = label.join(nb, "feature", "left").select(
-            "feature", F.least("root", F.coalesce("_nr", "root")).alias("root"),
-            (F.coalesce("_nr", "root") < F.col("root")).alias("_changed"))
-        new = materialize(new)  # one written table per round; the check reads it
-        changed = new.where("_changed").limit(1).count()
-        label = new.drop("_changed")
-        if changed == 0:
-            break
-    return label
+    the component.  ``edges`` is symmetric ``(a, b)``.
+
+    A round takes the smallest root among a node and its neighbours, then the
+    root of that root (pointer jumping), so a chain of n nodes needs about
+    log n rounds; it ends when nothing changes."""
+    ids = nodes.select("feature", "pos")
+    pairs = materialize(edges.join(ids.toDF("a", "v"), "a").join(ids.toDF("b", "u"), "b").select("v", "u").distinct())
+    label = ids.select(F.col("pos").alias("v"), F.col("pos").alias("root"))
+    while True:
+        near = pairs.join(label.toDF("u", "_nr"), "u").groupBy("v").agg(F.min("_nr").alias("_nr"))
+        low = label.join(near, "v", "left").select("v", F.col("root").alias("_old"), F.least("root", F.coalesce("_nr", "root")).alias("root"))
+        jump = low.join(label.toDF("root", "_rr"), "root", "left").select("v", "_old", F.least("root", F.coalesce("_rr", "root")).alias("root"))
+        new = materialize(jump)  # one written table per round; the check reads it
+        label = new.select("v", "root")
+        if new.where("root <> _old").limit(1).count() == 0:
+            return ids.join(label.toDF("pos", "root"), "pos").select("feature", "root")
 
 
 def dbscan(dist: DataFrame, features: DataFrame, eps: float = 0.4, min_pts: int = 3) -> DataFrame:
@@ -253,11 +262,12 @@ def representatives(cmap: DataFrame, leads: DataFrame, non_numeric: DataFrame) -
             .union(non_numeric.select("feature")).distinct())
 
 
-def drop_correlated(pairs: DataFrame, importance: DataFrame, cut: float, max_rounds: int = 100) -> DataFrame:
+def drop_correlated(pairs: DataFrame, importance: DataFrame, cut: float) -> DataFrame:
     """Greedy redundancy removal: walking features from most to least
     important, keep a feature unless ``|corr| > cut`` with a kept one.
     Rounds settle every feature whose stronger correlated partners are all
-    settled; returns ``(feature, keep)``."""
+    settled, and at least one each, until none is open; returns ``(feature,
+    keep)``."""
     w = Window.orderBy(F.col("importance").desc(), F.col("feature"))
     order = importance.withColumn("rank", F.row_number().over(w)).select("feature", "rank")
     strong = symmetric(pairs).where(F.abs(F.col(STAT)) > F.lit(float(cut))).select(
@@ -267,7 +277,7 @@ def drop_correlated(pairs: DataFrame, importance: DataFrame, cut: float, max_rou
              .where(F.col("orank") < F.col("rank")).select("feature", "other"))
     edges = materialize(edges)
     state = order.select("feature", F.lit(None).cast("boolean").alias("keep"))
-    for _ in range(max_rounds):
+    while True:
         st = state.select(F.col("feature").alias("other"), F.col("keep").alias("okeep"))
         info = edges.join(st, "other").groupBy("feature").agg(
             F.max(F.col("okeep").cast("int")).alias("_any_kept"),
@@ -280,5 +290,4 @@ def drop_correlated(pairs: DataFrame, importance: DataFrame, cut: float, max_rou
         new = materialize(new)
         state = new
         if new.where(F.col("keep").isNull()).limit(1).count() == 0:
-            break
-    return state
+            return state

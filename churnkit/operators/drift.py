@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
-from churnkit.operators.profile import quantiles_long, to_long
+from churnkit.operators.profile import quantiles_of, to_long, value_table
+from churnkit.operators.util import materialize
 
 EPS = 1e-6
 
@@ -18,35 +19,37 @@ def numeric_drift(base: DataFrame, new: DataFrame, cols: Sequence[str], bins: in
     equal edges merged), share of base and new rows per bin, and
     PSI = sum((p - q) * ln(p / q)) with empty bins floored at 1e-6.
 
-    Three passes whatever the number of columns: one for the edges (a few
-    numbers per column reach the driver), then one each over base and new
-    in which every column's bin is the count of its edges at or below the
-    value, unpivoted and counted per (column, bin)."""
+    Base and new are read once each, for counts of distinct values per column;
+    edges (a few numbers per column reach the driver) and shares follow from
+    these tables."""
     cols = list(cols)
     probs = [i / bins for i in range(1, bins)]
-    qs = quantiles_long(to_long(base, cols), probs, names=[f"e{i}" for i in range(1, bins)]).collect()
+    counts = materialize(value_table(to_long(base, cols), ["column"]))
+    qs = quantiles_of(counts, probs, ["column"], names=[f"e{i}" for i in range(1, bins)]).collect()
     edges = {r["column"]: sorted({float(r[f"e{i}"]) for i in range(1, bins) if r[f"e{i}"] is not None})
              for r in qs}
     present = [c for c in cols if c in edges]
 
-    def bin_of(c: str):
-        v = col_(c).cast("double")
-        n = F.lit(0)
-        for e in edges[c]:
-            n = n + (v >= F.lit(e)).cast("int")
-        return F.when(v.isNotNull(), n)
+    def bin_of():
+        which = F.lit(None).cast("int")
+        for c in present:
+            n = F.lit(0)
+            for e in edges[c]:
+                n = n + (F.col("value") >= F.lit(e)).cast("int")
+            which = F.when(F.col("column") == c, n).otherwise(which)
+        return which
 
-    def shares(df: DataFrame, tag: str) -> DataFrame:
-        wide = df.select(*[bin_of(c).alias(c) for c in present])
-        long = wide.unpivot([], present, "column", "bin").where("bin IS NOT NULL")
-        g = long.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    def shares(values: DataFrame, tag: str) -> DataFrame:
+        g = values.select("column", bin_of().alias("bin"), "_c").where("bin IS NOT NULL") \
+            .groupBy("column", "bin").agg(F.sum("_c").alias("n"))
         t = g.groupBy("column").agg(F.sum("n").alias("t"))
         return g.join(t, "column").select("column", "bin", (F.col("n") / F.col("t")).alias(tag))
 
     spark = base.sparkSession
     grid = spark.createDataFrame([(c, b) for c in present for b in range(len(edges[c]) + 1)],
                                  "column string, bin int")
-    j = (grid.join(shares(base, "p"), ["column", "bin"], "left").join(shares(new, "q"), ["column", "bin"], "left")
+    j = (grid.join(shares(counts, "p"), ["column", "bin"], "left")
+         .join(shares(value_table(to_long(new, cols), ["column"]), "q"), ["column", "bin"], "left")
          .select("column", "bin", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("q", F.lit(0.0)).alias("q")))
     return _psi(j)
 

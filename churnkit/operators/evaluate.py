@@ -148,6 +148,18 @@ def segment_metrics(df: DataFrame, cols: EvalCols = DEFAULT, segment: str | None
     return counts.join(auc, seg, "left").select(seg, "size", "intent_auc", "intent_precision", "rule_precision")
 
 
+def every_segment(df: DataFrame, segments: Sequence[str], report) -> DataFrame:
+    """``report(df, segment)`` for each segment column, stacked: the column's
+    name, its value as text, and the report's other columns."""
+    out = None
+    for s in segments:
+        part = report(df, s)
+        part = part.select(F.lit(s).alias("segment"), col_(s).cast("string").alias("value"),
+                           *[col_(c) for c in part.columns if c != s])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def fp_rates(df: DataFrame, cols: EvalCols = DEFAULT) -> DataFrame:
     """False positives over all rows (not over negatives), both models."""
     aggs = [F.count(F.lit(1)).alias("_n")]

@@ -103,23 +103,14 @@ def metric_direction(meta: DataFrame, metric: str, prefix_match: bool = False) -
     return meta.where(F.col("metric_name") == metric)
 
 
-MAX_COMBINATIONS = 1_000_000
-
-
 def model_combinations(models: DataFrame, k: int, id_col: str = "model_id") -> DataFrame:
     """All combinations of ids of size 2..k as sorted arrays.  The model list
-    is a short list of top models; each step joins on ``a < b`` only.  The
-    number of combinations is checked before anything is built."""
-    from math import comb
-    ids = models.select(F.col(id_col).alias("_id")).distinct()
-    n = ids.count()
-    total = sum(comb(n, s) for s in range(2, k + 1))
-    if total > MAX_COMBINATIONS:
-        raise ValueError(f"{total} combinations of {n} models up to size {k}: pass fewer models")
+    is a short list of top models; each step joins on ``a < b`` only."""
+    ids = small_side(models.select(F.col(id_col).alias("_id")).distinct())
     cur = ids.select(F.array("_id").alias("combo"), F.col("_id").alias("_last"))
     out = []
     for size in range(2, k + 1):
-        cur = (cur.join(F.broadcast(ids), F.col("_id") > F.col("_last"))
+        cur = (cur.join(ids, F.col("_id") > F.col("_last"))
                .select(F.concat("combo", F.array("_id")).alias("combo"), F.col("_id").alias("_last")))
         out.append(cur.select(F.lit(size).alias("size"), "combo"))
     res = out[0]

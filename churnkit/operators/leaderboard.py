@@ -2,8 +2,8 @@
 
 A leaderboard holds one row per model (model attributes plus metrics, either
 nested ``map<metric, map<partition, double>>`` or flat columns).  Its size is
-the number of trained models, so sorts and windows over it are small; the
-long form (model x metric x partition) is what grows and is kept long.
+the number of trained models; a top-n keeps n rows of each task, and whole
+orders are numbered range by range (``prefix.positions``).
 """
 
 from __future__ import annotations
@@ -14,13 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.operators.dedup import mark_duplicates
+from churnkit.operators.prefix import positions
 
 # Model-type phrases and feature-list prefixes never used for
-# feature selection, and the marker in the names of automatically reduced
-# feature lists (models on those lists are skipped by ``best_models``).
+# feature selection.
 EXCLUDED_TYPE_PHRASES = ["Baseline Predictions", "Mean Response", "Majority Class", "Auto-Tuned"]
 EXCLUDED_LIST_PREFIXES = ["Baseline", "Date"]
-REDUCED_LIST_MARKER = "Reduced Features M"
 
 
 def nested_metrics(lb: DataFrame, spec: dict[str, dict[str, str]]) -> DataFrame:
@@ -64,23 +63,26 @@ def _order(score: Column, ascending: bool) -> Column:
 
 def sort_leaderboard(lb: DataFrame, score: str, ascending: bool, id_col: str = "model_id") -> DataFrame:
     """Models with a score, in metric direction, with their position."""
-    w = Window.orderBy(_order(F.col(score), ascending), F.col(id_col))
-    return lb.where(F.col(score).isNotNull()).withColumn("position", F.row_number().over(w).cast("bigint"))
+    return positions(lb.where(F.col(score).isNotNull()), [_order(F.col(score), ascending), F.col(id_col)])
 
 
 def best_models(lb: DataFrame, score: str, ascending: bool, n: int | None = None,
                 featurelist: str | None = None, id_col: str = "model_id",
-                reduced_marker: str = REDUCED_LIST_MARKER) -> DataFrame:
+                reduced_marker: str | None = None) -> DataFrame:
     """Non-blend, non-frozen models, on ``featurelist`` when given, else not
-    on an automatically reduced list; sorted nulls last; first ``n``."""
+    on an automatically reduced list (one whose name holds the service's
+    exact ``reduced_marker``, given by the caller); sorted nulls last; first
+    ``n``."""
     f = (F.col("model_category") == "model") & ~F.col("is_frozen")
     if featurelist:
         f = f & (F.col("featurelist_name") == featurelist)
-    else:
+    elif reduced_marker:
         f = f & ~F.coalesce(F.col("featurelist_name").contains(reduced_marker), F.lit(False))
-    w = Window.orderBy(_order(F.col(score), ascending), F.col(id_col))
-    out = lb.where(f).withColumn("position", F.row_number().over(w).cast("bigint"))
-    return out.where(F.col("position") <= n) if n else out
+    ords = [_order(F.col(score), ascending), F.col(id_col)]
+    if n:  # a top-n keeps n rows of each task
+        best = lb.where(f).orderBy(*ords).limit(n)
+        return best.withColumn("position", F.row_number().over(Window.orderBy(*ords)).cast("bigint"))
+    return positions(lb.where(f), ords)
 
 
 def selectable_models(lb: DataFrame, unsupervised: bool = False, type_col: str = "model_type") -> DataFrame:
@@ -104,9 +106,8 @@ def top_n_models(lb: DataFrame, n: int, partition_score: str, validation_score:
     requested partition first, then the next best; result re-sorted by the
     partition score (nulls last, then validation)."""
     has = F.col(partition_score).isNotNull()
-    w = Window.orderBy(has.desc(), _order(F.col(validation_score), ascending), F.col(id_col))
-    picked = lb.where(F.col(validation_score).isNotNull()).withColumn("_p", F.row_number().over(w)) \
-        .where(F.col("_p") <= n).drop("_p")
+    picked = lb.where(F.col(validation_score).isNotNull()).orderBy(
+        has.desc(), _order(F.col(validation_score), ascending), F.col(id_col)).limit(n)
     w2 = Window.orderBy(_order(F.col(partition_score), ascending), _order(F.col(validation_score), ascending),
                         F.col(id_col))
     return picked.withColumn("position", F.row_number().over(w2).cast("bigint"))
@@ -119,11 +120,8 @@ def retention(lb: DataFrame, n: int, score: str, ascending: bool, subset: Sequen
     Returns ``(model_id, action, delete_order)``."""
     marked = mark_duplicates(lb, subset, ["n_features", id_col])
     keep = (marked.where(~F.col("duplicate") & F.col(score).isNotNull())
-            .withColumn("_r", F.row_number().over(Window.orderBy(_order(F.col(score), ascending), F.col(id_col))))
-            .where(F.col("_r") <= n).select(id_col))
-    dele = marked.join(keep, id_col, "left_anti")
-    dele = dele.withColumn("delete_order", F.row_number().over(
-        Window.orderBy(F.col("model_category").asc(), F.col(id_col))))
+            .orderBy(_order(F.col(score), ascending), F.col(id_col)).limit(n).select(id_col))
+    dele = positions(marked.join(keep, id_col, "left_anti"), [F.col("model_category").asc(), F.col(id_col)], "delete_order")
     return (keep.select(id_col, F.lit("keep").alias("action"), F.lit(None).cast("int").alias("delete_order"))
             .unionByName(dele.select(id_col, F.lit("delete").alias("action"), F.col("delete_order").cast("int"))))
 

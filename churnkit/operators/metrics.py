@@ -11,23 +11,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
 from churnkit.operators.prefix import prefix_sum, top_n_per_group
+from churnkit.operators.util import join_null_safe
 
 
 def _weight(w: str | None) -> Column:
     return F.lit(1.0) if w is None else col_(w).cast("double")
 
 
+def present(c: str) -> Column:
+    """Neither null nor NaN."""
+    return col_(c).isNotNull() & ~F.isnan(col_(c).cast("double"))
+
+
 def score_table(df: DataFrame, y: str, p: str, by: Sequence[str] = (), w: str | None = None) -> DataFrame:
     """``(by..., score, pos, neg)`` per distinct score with running sums
     ``cum_pos``/``cum_neg`` (inclusive, descending score) and group totals
     ``tot_pos``/``tot_neg``."""
     by = list(by)
-    base = df.where(col_(p).isNotNull() & col_(y).isNotNull())
+    base = df.where(present(p) & present(y))
     is_pos = col_(y) >= 1
     agg = base.groupBy(*[col_(b) for b in by], col_(p).cast("double").alias("score")).agg(
         F.sum(F.when(is_pos, _weight(w)).otherwise(F.lit(0.0))).alias("pos"),
@@ -44,9 +50,9 @@ def _curve_aggs() -> list[Column]:
     return [
         F.max(P).alias("n_pos"), F.max(N).alias("n_neg"),
         F.when((F.max(P) > 0) & (F.max(N) > 0),
-               F.sum(F.col("neg") * (tp - F.lit(0.5) * F.col("pos"))) / (F.max(P) * F.max(N))).alias("auc"),
-        F.when((F.max(P) > 0) & (F.max(N) > 0), F.max(tp / P - fp / N)).alias("ks"),
-        F.when(F.max(P) > 0, F.sum(F.col("pos") / P * (tp / (tp + fp)))).alias("average_precision"),
+               F.try_divide(F.sum(F.col("neg") * (tp - F.lit(0.5) * F.col("pos"))), F.max(P) * F.max(N))).alias("auc"),
+        F.when((F.max(P) > 0) & (F.max(N) > 0), F.max(F.try_divide(tp, P) - F.try_divide(fp, N))).alias("ks"),
+        F.when(F.max(P) > 0, F.sum(F.try_divide(F.col("pos"), P) * F.try_divide(tp, tp + fp))).alias("average_precision"),
         F.max(mcc).alias("max_mcc"),
     ]
 
@@ -74,7 +80,7 @@ def pr_points(df: DataFrame, y: str, p: str, by: Sequence[str] = (), w: str | No
     """One (precision, recall) point per distinct score."""
     st = score_table(df, y, p, by, w)
     return st.select(*by, F.col("score").alias("threshold"),
-                     (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
+                     F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                      F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("recall"))
 
 
@@ -95,7 +101,7 @@ def weighted_binary_metrics(df: DataFrame, y: str, p: str, w: str | None = None,
     yy = F.when(col_(y) >= 1, 1.0).otherwise(0.0)
     pp = F.least(F.greatest(col_(p).cast("double"), F.lit(eps)), F.lit(1 - eps))
     ww = _weight(w)
-    base = df.where(col_(p).isNotNull() & col_(y).isNotNull())
+    base = df.where(present(p) & present(y))
     pt = base.groupBy(*by).agg(
         F.sum(ww).alias("_sw"), F.sum(ww * yy).alias("_swy"),
         F.sum(-ww * (yy * F.log(pp) + (1 - yy) * F.log(1 - pp))).alias("_sll"),
@@ -105,10 +111,10 @@ def weighted_binary_metrics(df: DataFrame, y: str, p: str, w: str | None = None,
     null_ll = -(ybar * F.log(ybar_c) + (1 - ybar) * F.log(1 - ybar_c))
     pt = pt.select(*by, (F.col("_sll") / F.col("_sw")).alias("logloss"),
                    F.sqrt(F.col("_sse") / F.col("_sw")).alias("rmse"),
-                   (1 - (F.col("_sll") / F.col("_sw")) / null_ll).alias("fve_binomial"))
+                   (1 - F.try_divide(F.col("_sll") / F.col("_sw"), null_ll)).alias("fve_binomial"))
     cm = curve_metrics(df, y, p, by, w).withColumn("gini_norm", 2 * F.col("auc") - 1)
     if by:
-        return cm.join(pt, by)
+        return join_null_safe(cm, pt, by)
     # both sides are one row: join on a constant group key
     return cm.withColumn("_g", F.lit(0)).join(pt.withColumn("_g", F.lit(0)), "_g").drop("_g")
 
@@ -124,7 +130,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, w: str | None = None,
     by = list(by)
     yv, mu, ww = col_(y).cast("double"), col_(yhat).cast("double"), _weight(w)
     pw = float(tweedie_power)
-    base = df.where(col_(y).isNotNull() & col_(yhat).isNotNull())
+    base = df.where(present(y) & present(yhat))
     pos = (yv > 0) & (mu > 0)
     s = F.sum
     agg = base.groupBy(*by).agg(
@@ -149,16 +155,33 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, w: str | None = None,
     null_gamma = 2 * (F.log(ybar_pos) * c("sw_pos") - c("swlogy_pos") + c("swy_pos") / ybar_pos - c("sw_pos"))
     null_tw = 2 * (c("swy2p") / ((1 - pw) * (2 - pw)) - c("swy") * F.pow(ybar, 1 - pw) / (1 - pw)
                    + c("sw") * F.pow(ybar, 2 - pw) / (2 - pw))
+    def explained(deviance: Column, of_mean: Column) -> Column:
+        # a constant target has no deviance but rounding: nothing to explain
+        return F.when(sst > F.lit(1e-12) * c("swyy"), 1 - F.try_divide(deviance, of_mean))
+
     return agg.select(
         *by, F.sqrt(c("sse") / c("sw")).alias("rmse"), (c("sae") / c("sw")).alias("mae"),
-        (1 - c("sse") / sst).alias("r_squared"), (1 - c("dev_pois") / null_pois).alias("fve_poisson"),
-        (1 - c("dev_gamma") / null_gamma).alias("fve_gamma"), (1 - c("dev_tw") / null_tw).alias("fve_tweedie"))
+        explained(c("sse"), sst).alias("r_squared"), explained(c("dev_pois"), null_pois).alias("fve_poisson"),
+        explained(c("dev_gamma"), null_gamma).alias("fve_gamma"), explained(c("dev_tw"), null_tw).alias("fve_tweedie"))
 
 
 def balanced_accuracy(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    """Mean recall over the classes that occur (one class alone: its recall); null without rows."""
     t = col_(y) >= 1
     h = col_(yhat) >= 1
-    return df.groupBy(*by).agg(
-        ((F.sum(F.when(t & h, 1.0).otherwise(0.0)) / F.sum(F.when(t, 1.0).otherwise(0.0))
-          + F.sum(F.when(~t & ~h, 1.0).otherwise(0.0)) / F.sum(F.when(~t, 1.0).otherwise(0.0))) / 2)
-        .alias("balanced_accuracy"))
+    hit, miss = F.sum(F.when(t & h, 1.0).otherwise(0.0)), F.sum(F.when(~t & ~h, 1.0).otherwise(0.0))
+    pos = F.try_divide(hit, F.sum(F.when(t, 1.0).otherwise(0.0)))
+    neg = F.try_divide(miss, F.sum(F.when(~t, 1.0).otherwise(0.0)))
+    return df.groupBy(*by).agg(F.coalesce((pos + neg) / 2, pos, neg).alias("balanced_accuracy"))
+
+
+def mase(df: DataFrame, y: str, yhat: str, time: str, series: Sequence[str] = (), lag: int = 1) -> DataFrame:
+    """Mean absolute scaled error per series: the forecast's mean absolute
+    error over that of the naive forecast ``lag`` steps before; null when the
+    naive error is zero or a series is too short.  ``(series..., mase)``."""
+    series = list(series)
+    ok = df.where(present(y) & present(yhat))
+    w = Window.partitionBy(*series).orderBy(time)
+    step = F.abs(col_(y) - F.lag(col_(y), lag).over(w))
+    each = ok.select(*series, F.abs(col_(y) - col_(yhat)).cast("double").alias("_e"), step.cast("double").alias("_n"))
+    return each.groupBy(*series).agg(F.try_divide(F.avg("_e"), F.avg("_n")).alias("mase"))

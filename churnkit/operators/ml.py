@@ -13,14 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType, StructType
 
 from churnkit.functions.scalar import col_, unit_hash
 from churnkit.operators.metrics import weighted_binary_metrics
+from churnkit.operators.sampling import group_fold
 from churnkit.operators.util import materialize, run_all, small_side
 
 FEATS = "features"
@@ -42,25 +44,42 @@ def estimator(kind: str, label: str, weight: str | None = None, **params):
     raise ValueError(f"unknown model kind {kind}")
 
 
-def pipeline(kind: str, features: Sequence[str], label: str, weight: str | None = None, **params) -> Pipeline:
-    asm = VectorAssembler(inputCols=list(features), outputCol=FEATS, handleInvalid="skip")
-    return Pipeline(stages=[asm, estimator(kind, label, weight, **params)])
+def preparation(features: Sequence[str], schema: StructType) -> list:
+    """Stages that turn raw columns into the feature vector without losing a
+    row: numbers with 0 for missing (null or NaN), then an indicator of
+    missing for each, then one-hot categories of the other columns, in which
+    missing and unseen values have places of their own."""
+    numeric = [f for f in features if isinstance(schema[f].dataType, (NumericType, BooleanType))]
+    other = [f for f in features if f not in numeric]
+    quoted = {f: f"`{f}`" for f in features}
+    value = [f"nvl(nanvl(CAST({quoted[f]} AS DOUBLE), NULL), 0D) AS _value{i}" for i, f in enumerate(numeric)]
+    missing = [f"CAST(nanvl(CAST({quoted[f]} AS DOUBLE), NULL) IS NULL AS DOUBLE) AS _missing{i}" for i, f in enumerate(numeric)]
+    text = [f"nvl(CAST({quoted[f]} AS STRING), '') AS _text{i}" for i, f in enumerate(other)]
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join([*value, *missing, *text])} FROM __THIS__")]
+    inputs = [f"_value{i}" for i in range(len(numeric))] + [f"_missing{i}" for i in range(len(numeric))]
+    if other:
+        n = range(len(other))
+        stages += [StringIndexer(inputCols=[f"_text{i}" for i in n], outputCols=[f"_index{i}" for i in n], handleInvalid="keep"),
+                   OneHotEncoder(inputCols=[f"_index{i}" for i in n], outputCols=[f"_hot{i}" for i in n], dropLast=False,
+                                 handleInvalid="keep")]
+        inputs += [f"_hot{i}" for i in n]
+    return [*stages, VectorAssembler(inputCols=inputs, outputCol=FEATS, handleInvalid="keep")]
 
 
 def fit(kind: str, features: Sequence[str], label: str, train: DataFrame, weight: str | None = None,
         **params) -> PipelineModel:
     """Assemble the feature vectors once, keep them cached while the
-    (iterative) estimator runs, then release them.  A lost cached partition
-    is rebuilt from its short lineage (the training input is a written
-    table)."""
-    asm = VectorAssembler(inputCols=list(features), outputCol=FEATS, handleInvalid="skip")
+    (iterative) estimator runs, then release them.  Every training row with a
+    label counts, whatever features it misses.  A lost cached partition is
+    rebuilt from its short lineage (the training input is a written table)."""
+    prepared = Pipeline(stages=preparation(features, train.schema)).fit(train)
     cols = [FEATS, label, *([weight] if weight else [])]
-    vec = asm.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = prepared.transform(train.where(col_(label).isNotNull())).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator(kind, label, weight, **params).fit(vec)
     finally:
         vec.unpersist()
-    return PipelineModel(stages=[asm, model])
+    return PipelineModel(stages=[*prepared.stages, model])
 
 
 def probability(scored: DataFrame, out: str = "p1") -> DataFrame:
@@ -161,87 +180,104 @@ def batch_score(model: PipelineModel, df: DataFrame, features: Sequence[str], th
     """Scores in the prediction-table layout: class probabilities, label at
     ``threshold``, threshold, positive class, status, pass-through columns.
     Rows missing a feature are not dropped: they get a status and null
-    scores.  Stateless, so it also runs on a streaming DataFrame."""
+    scores.  One pass over the rows; stateless, so it also runs on a streaming DataFrame."""
     complete = F.lit(True)
     for f in features:
-        complete = complete & col_(f).isNotNull() & ~F.isnan(col_(f).cast("double"))
-    ok = df.where(complete)
-    bad = df.where(~complete)
-    s = probability(model.transform(ok))
-    p1 = F.col("p1")
-    scored = s.select(*passthrough, p1.alias(f"{label_name}_1_PREDICTION"),
-                      (1 - p1).alias(f"{label_name}_0_PREDICTION"),
-                      (p1 >= F.lit(float(threshold))).cast("double").alias(f"{label_name}_PREDICTION"),
-                      F.lit("OK").alias("prediction_status"))
-    missing = bad.select(*passthrough, *[F.lit(None).cast("double").alias(f"{label_name}_{k}")
-                                         for k in ("1_PREDICTION", "0_PREDICTION", "PREDICTION")],
-                         F.lit("missing feature").alias("prediction_status"))
-    return (scored.unionByName(missing).withColumn("THRESHOLD", F.lit(float(threshold)))
-            .withColumn("POSITIVE_CLASS", F.lit(positive_class)))
+        there = col_(f).isNotNull()
+        if isinstance(df.schema[f].dataType, NumericType):
+            there = there & ~F.isnan(col_(f).cast("double"))
+        complete = complete & there
+    s = probability(model.transform(df.withColumn("_complete", complete)))
+    p1 = F.when(F.col("_complete"), F.col("p1"))
+    return s.select(*passthrough, p1.alias(f"{label_name}_1_PREDICTION"),
+                    (1 - p1).alias(f"{label_name}_0_PREDICTION"),
+                    (p1 >= F.lit(float(threshold))).cast("double").alias(f"{label_name}_PREDICTION"),
+                    F.when(F.col("_complete"), "OK").otherwise("missing feature").alias("prediction_status"),
+                    F.lit(float(threshold)).alias("THRESHOLD"), F.lit(positive_class).alias("POSITIVE_CLASS"))
+
+
+def blend_all(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row: Sequence[str],
+              model_col: str = "model", p_col: str = "p", extra: dict | None = None) -> DataFrame:
+    """Blend long predictions ``(row..., model, p)`` over each combination
+    ``(combo_id, model)``: ``(combo_id, row..., method, p)`` for AVG, MED, MIN
+    and MAX; ``extra`` adds per-row aggregates (e.g. the label).
+
+    The predictions are shuffled once, to bring a row's models together; each
+    combination then is array arithmetic in that row."""
+    one = preds.groupBy(*row).agg(F.collect_list(F.struct(col_(model_col).alias("m"), col_(p_col).alias("p"))).alias("_preds"),
+                                  *[v.alias(k) for k, v in (extra or {}).items()])
+    sets = small_side(combos.groupBy("combo_id").agg(F.collect_set(model_col).alias("_members")))
+    # every row has an output for every combination of the short list
+    own = F.transform(F.filter("_preds", lambda x: F.array_contains(F.col("_members"), x["m"]) & x["p"].isNotNull()), lambda x: x["p"])
+    each = one.crossJoin(sets).withColumn("_p", F.array_sort(own)).where(F.size("_p") > 0)
+    n = F.size("_p")
+    at = lambda k: F.element_at("_p", k.cast("int"))
+    how = {"AVG": F.aggregate("_p", F.lit(0.0), lambda a, x: a + x) / n, "MIN": F.element_at("_p", 1), "MAX": F.element_at("_p", -1),
+           "MED": F.lit(0.5) * at(F.floor((n + 1) / 2)) + F.lit(0.5) * at(F.floor(n / 2) + 1)}
+    out = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), how[m].alias("p")) for m in methods])).alias("r")
+    return each.select("combo_id", *row, *(extra or {}), out).select("combo_id", *row, *(extra or {}), "r.method", "r.p")
 
 
 def blend(preds: DataFrame, combos: DataFrame, method: str, row: Sequence[str],
           model_col: str = "model", p_col: str = "p") -> DataFrame:
-    """Blend long predictions ``(row..., model, p)`` over each combination
-    ``(combo_id, model)`` by AVG, MED, MIN or MAX."""
-    agg = {"AVG": F.avg, "MED": F.median, "MIN": F.min, "MAX": F.max}[method]
-    j = preds.join(small_side(combos), model_col)
-    return j.groupBy("combo_id", *row).agg(agg(p_col).alias("p"), F.count(F.lit(1)).alias("n_models")) \
-        .withColumn("method", F.lit(method))
+    """``blend_all`` by one method."""
+    return blend_all(preds, combos, [method], row, model_col, p_col)
 
 
-def blend_all(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row: Sequence[str],
-              model_col: str = "model", p_col: str = "p", extra: dict | None = None) -> DataFrame:
-    """All blend methods in one grouped pass, returned long ``(combo_id,
-    row..., method, p)``; ``extra`` adds per-row aggregates (e.g. the label)."""
-    fns = {"AVG": F.avg, "MED": F.median, "MIN": F.min, "MAX": F.max}
-    j = preds.join(small_side(combos), model_col)
-    ex = [v.alias(k) for k, v in (extra or {}).items()]
-    g = j.groupBy("combo_id", *row).agg(*[fns[m](p_col).alias(m) for m in methods], *ex)
-    return g.unpivot(["combo_id", *row, *(extra or {}).keys()], list(methods), "method", "p")
-
-
-def stack(preds_wide: DataFrame, inputs: Sequence[str], label: str, method: str = "GLM",
-          weight: str | None = None) -> tuple[PipelineModel, DataFrame]:
-    """Stacked blender on out-of-fold predictions: GLM, ENET or RF."""
+def stack(preds_wide: DataFrame, inputs: Sequence[str], label: str, key: Sequence[str], method: str = "GLM",
+          weight: str | None = None, folds: int = 3) -> tuple[PipelineModel, DataFrame]:
+    """Stacked blender (GLM, ENET or RF) on out-of-fold predictions: rows of
+    a fold (hash of ``key``) are scored by the blender fitted on the other
+    folds.  Returns the blender fitted on all rows, and the scored rows."""
     kind, params = {"GLM": ("lr", {}), "ENET": ("lr", {"regParam": 0.01, "elasticNetParam": 0.5}),
                     "RF": ("rf", {})}[method]
-    m = fit(kind, inputs, label, preds_wide, weight, **params)
-    return m, probability(m.transform(preds_wide))
+    base = materialize(preds_wide.withColumn("_fold", group_fold(key, folds)))
+
+    def one(k):
+        return fit(kind, inputs, label, base if k is None else base.where(F.col("_fold") != k), weight, **dict(params))
+
+    final, *models = run_all(one, [None, *range(folds)])
+    out = None
+    for k, m in enumerate(models):
+        part = probability(m.transform(base.where(F.col("_fold") == k))).select(*preds_wide.columns, "p1")
+        out = part if out is None else out.unionByName(part)
+    return final, out
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
                            key: str, metric: str = "auc", buckets: int | None = None, seed: int = 1,
-                           max_rows: int | None = None, rows_per_bucket: int = 2_000_000) -> DataFrame:
-    """Drop of ``metric`` when one feature's values are shuffled.
-
-    One copy of the rows per feature, with that feature's values moved by a
-    join on permuted positions inside random hash buckets (windows
-    partitioned by bucket, so no task sees all rows), plus the unshuffled
-    rows; all copies are scored in one pass and the metric is computed per
-    copy in one grouped aggregation.  ``max_rows`` optionally bounds the
-    rows used; by default all rows.
+                           rows_per_bucket: int = 2_000_000) -> DataFrame:
+    """Drop of ``metric`` when one feature's values are shuffled, over all rows.
+
+    Rows are dealt into hash buckets (of the whole row, so a key that repeats
+    is spread) and ordered by another hash; a shuffled value is that of the
+    next row of the bucket, the last row taking the first one's.  So one
+    shuffle and one window serve all features; each row is then expanded
+    into its unshuffled and its shuffled copies, all are scored in one pass,
+    and the metric is computed per copy in one grouped aggregation.
     Returns ``(featureName, impactUnnormalized, impactNormalized)``."""
-    base = df
-    if max_rows:
-        base = base.orderBy(unit_hash(key, seed)).limit(int(max_rows))
-    base = materialize(base)
+    base = materialize(df)
     if buckets is None:  # bucket count grows with the data: no bucket exceeds rows_per_bucket on average
         buckets = max(64, -(-base.count() // rows_per_bucket))
-    base = base.withColumn("_b", F.pmod(F.xxhash64(col_(key), F.lit(seed)), F.lit(int(buckets))))
-    cols = [c for c in base.columns if c != "_b"]
-    w_a = Window.partitionBy("_b").orderBy(col_(key), F.xxhash64(col_(key), F.lit(seed + 101)))
-    pos = base.withColumn("_pos", F.row_number().over(w_a))
-    copies = [pos.select(*[col_(c) for c in cols], F.lit("__none__").alias("_perm"))]
-    for i, f in enumerate(features):
-        w_b = Window.partitionBy("_b").orderBy(F.xxhash64(col_(key), F.lit(seed + 1000 + i)), col_(key))
-        right = base.select("_b", col_(f).alias("_v"), F.row_number().over(w_b).alias("_pos"))
-        moved = pos.join(right, ["_b", "_pos"]).withColumn(f, F.col("_v"))
-        copies.append(moved.select(*[col_(c) for c in cols], F.lit(f).alias("_perm")))
-    allc = copies[0]
-    for c in copies[1:]:
-        allc = allc.unionByName(c)
-    scores = materialize(probability(model.transform(allc)).select("_perm", label, "p1"))
+    cols, features = list(base.columns), list(features)
+    whole = [col_(c) for c in cols]
+    dealt = base.withColumn("_b", F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(int(buckets)))) \
+        .withColumn("_o", F.xxhash64(F.lit(seed + 101), *whole))
+    w = Window.partitionBy("_b").orderBy("_o", col_(key))
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    moved = dealt.select(*whole, F.lead(F.lit(True)).over(w).alias("_next"),
+                         *[F.struct(F.lead(col_(f)).over(w).alias("n"), F.first(col_(f)).over(every).alias("f")).alias(f"_m{i}")
+                           for i, f in enumerate(features)])
+    rest = [c for c in cols if c not in features]
+
+    def copy(name: str):
+        return F.struct(F.lit(name).alias("_perm"), *[
+            (F.when(F.col("_next"), F.col(f"_m{i}.n")).otherwise(F.col(f"_m{i}.f")) if f == name else col_(f)).alias(f)
+            for i, f in enumerate(features)])
+
+    copies = moved.select(*[col_(c) for c in rest], F.explode(F.array(*map(copy, ["__none__", *features]))).alias("_c")) \
+        .select(*[col_(c) for c in rest], "_c.*")
+    scores = materialize(probability(model.transform(copies)).select("_perm", label, "p1"))
     met = weighted_binary_metrics(scores, label, "p1", by=["_perm"]).select("_perm", F.col(metric).alias("m"))
     ref = met.where("_perm = '__none__'").select(F.col("m").alias("_ref"))
     higher = metric not in ("logloss", "rmse")
@@ -254,20 +290,27 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     return imp.withColumn("impactNormalized", F.col("impactUnnormalized") / F.lit(mx) if mx else F.lit(None))
 
 
-def linear_impact(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+def contribution_impact(df: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     """Mean absolute contribution ``|coef * (x - mean)|`` per feature of a
-    linear model (the linear case of SHAP impact); one pass for the means,
-    one for the contributions."""
-    coefs = list(model.stages[-1].coefficients.toArray())
-    means = df.agg(*[F.avg(col_(f)).alias(f"m{i}") for i, f in enumerate(features)]).first()
-    aggs = [F.avg(F.abs(F.lit(float(c)) * (col_(f) - F.lit(float(means[f"m{i}"] or 0.0))))).alias(f"c{i}")
-            for i, (f, c) in enumerate(zip(features, coefs))]
-    one = df.agg(*aggs)
+    linear model with these coefficients (the linear case of SHAP impact);
+    one pass for the means, one for the contributions; missing values count
+    for nothing."""
+    features = list(coefficients)
+    means = df.agg(*[F.avg(col_(f)).alias(f"m{i}") for i, f in enumerate(features)])
+    joined = df.select(*[col_(f) for f in features], F.lit(0).alias("_g")).join(
+        F.broadcast(means.withColumn("_g", F.lit(0))), "_g")  # one row
+    one = joined.agg(*[F.avg(F.abs(F.lit(float(coefficients[f])) * (col_(f) - F.col(f"m{i}")))).alias(f"c{i}")
+                       for i, f in enumerate(features)])
     arr = F.array(*[F.struct(F.lit(f).alias("featureName"), F.col(f"c{i}").alias("impactUnnormalized"))
                     for i, f in enumerate(features)])
     return one.select(F.explode(arr).alias("r")).select("r.*")
 
 
+def linear_impact(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``contribution_impact`` with a fitted linear model's coefficients (numeric features come first in its vector)."""
+    return contribution_impact(df, dict(zip(features, model.stages[-1].coefficients.toArray().tolist())))
+
+
 def select_until_stable(train_eval: Callable[[Sequence[str]], float], select: Callable[[float], Sequence[str]],
                         ratio: float = 0.95, lives: int = 3, min_ratio: float = 0.01,
                         higher_is_better: bool = True, start: float | None = None) -> list[tuple]:

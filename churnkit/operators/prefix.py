@@ -1,13 +1,12 @@
 """Global running sums and exact top-N without one task holding all rows.
 
-An un-partitioned ``Window.orderBy`` moves every row into one task.  Here the
-input (normally pre-aggregated) is written once and counted; up to a checked
-bound (``SMALL_ROWS``) one ordered window per group is fine.  Above it the
-order is cut into ranges from approximate quantiles (the driver holds only
-the split points; the number of ranges grows with the rows), each range is
-summed, the running offset is computed over the tiny range table, and the
-exact running sum is a window *within* a range plus its offset.  Equal order
-values always land in the same range, so ties stay together.
+An un-partitioned ``Window.orderBy`` moves every row into one task.  Here, at
+every size, Spark range-partitions the rows on the whole order key (groups
+first, then all order columns, nulls included), each range is summed, the
+running offset is computed over the small range table, and the exact running
+sum is a window *within* a range plus its offset.  The order columns may have
+any orderable type.  Since the whole key cuts the ranges, a first column that
+repeats is split by the next ones.
 
 ``top_n_flag`` builds on it: it finds the boundary value where the running
 count crosses N, then orders only the rows tied at that value by a tiebreak
@@ -17,53 +16,23 @@ split over many tasks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.operators.util import join_null_safe, materialize
 
-DEFAULT_BUCKETS = 1000
-MAX_BUCKETS = 10000
-SMALL_ROWS = 1_000_000  # at or below this (counted) size one window per group is cheaper
-ROWS_PER_BUCKET = 2_000_000
-REL_ERR = 1e-3
-_BKT = "_pfx_bkt"
-
-
-def bucket_count(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
-    """Ranges so that one holds about ``ROWS_PER_BUCKET`` rows at most
-    (between ``minimum`` and ``MAX_BUCKETS``)."""
-    return int(min(MAX_BUCKETS, max(minimum, -(-rows // ROWS_PER_BUCKET))))
-
-
-def quantile_splits(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
-                    rel_err: float = REL_ERR) -> list[float]:
-    """Strictly increasing split points, ``-inf`` and ``inf`` at the ends."""
-    probs = [i / buckets for i in range(1, buckets)]
-    rel_err = max(1e-5, min(rel_err, 0.1 / buckets))  # finer ranges need a finer sketch
-    qs = df.select(F.col(col).cast("double").alias(col)).approxQuantile(col, probs, rel_err)
-    inner = sorted({q for q in qs if q is not None and not math.isnan(q) and not math.isinf(q)})
-    return [-math.inf, *inner, math.inf]
-
-
-def bucketize(df: DataFrame, col: str, splits: list[float], out: str = _BKT) -> DataFrame:
-    """Range index of ``col`` (JVM Bucketizer; no Python per row)."""
-    tmp = "_pfx_in"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, F.col(col).cast("double"))).drop(tmp) \
-        .withColumn(out, F.col(out).cast("int"))
+_RANGE = "_pfx_range"
 
 
 def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
                by: Sequence[str] = (), descending: bool = False, inclusive: bool = True,
-               buckets: int | None = None, prefix: str = "cum_",
-               totals: bool = False, checkpoint: bool = True, small_rows: int | None = None) -> DataFrame:
+               ranges: int | None = None, prefix: str = "cum_",
+               totals: bool = False, checkpoint: bool = True) -> DataFrame:
     """Add ``cum_<v>``: the sum of ``v`` over rows at or before this row in
-    ``order`` (first column numeric or date), within each ``by`` group.
+    ``order``, within each ``by`` group; nulls come first (last when
+    descending).
 
     Rows that tie on every order column must not exist (pre-aggregate first,
     or add a tiebreak column to ``order``), otherwise the split between tied
@@ -71,53 +40,47 @@ def prefix_sum(df: DataFrame, order: str | Sequence[str], values: Sequence[str],
     ``totals=True`` also adds ``tot_<v>``, the sum over the whole group.
 
     The input (normally a pre-aggregated table, much smaller than the rows)
-    is written once because it is read several times.  Its row count picks
-    the plan: up to ``small_rows`` rows (a checked bound) one ordered window
-    per group; above it the range plan keeps every task bounded.
+    is written once because range partitioning reads it twice (``checkpoint=
+    False`` if it is cheap to compute), and once more with its ranges, so
+    that sums and rows agree on them.  ``ranges`` defaults to the session's
+    shuffle partitions.
     """
     order = [order] if isinstance(order, str) else list(order)
     by = list(by)
-    key = order[0]
-    # two passes follow (quantile sketch, then sums): run the input once
     base = materialize(df) if checkpoint else df
-    if dict(df.dtypes)[key] == "date":
-        base = base.withColumn("_pfx_key", F.unix_date(F.col(key)))
-        key = "_pfx_key"
-    rows = base.count()  # a written table counts from its file footers
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
     ords = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    if rows <= small_rows:
-        w = Window.partitionBy(*by).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
-        out = base
-        for v in values:
-            run = F.sum(v).over(w)
-            out = out.withColumn(f"{prefix}{v}", run if inclusive else run - F.col(v))
-            if totals:
-                out = out.withColumn(f"tot_{v}", F.sum(v).over(Window.partitionBy(*by)))
-        return out.drop("_pfx_key") if key == "_pfx_key" else out
-    if buckets is None:
-        buckets = bucket_count(rows)
-    splits = quantile_splits(base, key, buckets)
-    b = bucketize(base, key, splits)
-    if descending:
-        b = b.withColumn(_BKT, -F.col(_BKT))
-    tot = b.groupBy(*by, _BKT).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    w_off = Window.partitionBy(*by).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
+    key = [*[F.col(c) for c in by], *ords]
+    dealt = base.repartitionByRange(ranges, *key) if ranges else base.repartitionByRange(*key)
+    b = materialize(dealt.withColumn(_RANGE, F.spark_partition_id()))
+    tot = b.groupBy(*by, _RANGE).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    w_off = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*by)
-    off = tot.select(*by, _BKT, *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0))
-                                  .alias(f"_o_{v}") for v in values],
+    off = tot.select(*by, _RANGE, *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0))
+                                    .alias(f"_o_{v}") for v in values],
                      *[F.sum(f"_t_{v}").over(w_all).alias(f"tot_{v}") for v in (values if totals else [])])
-    # Without `by` the offset table has at most `buckets` rows: broadcast is
+    # Without `by` the offset table has one row for each range: broadcast is
     # safe.  With `by` its size grows with the groups; AQE picks at runtime.
-    j = b.join(F.broadcast(off), _BKT) if not by else join_null_safe(b, off, [*by, _BKT])
-    w_in = Window.partitionBy(*by, _BKT).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
+    j = b.join(F.broadcast(off), _RANGE) if not by else join_null_safe(b, off, [*by, _RANGE])
+    w_in = Window.partitionBy(*by, _RANGE).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
     for v in values:
         run = F.sum(v).over(w_in) + F.col(f"_o_{v}")
         if not inclusive:
             run = run - F.col(v)
         j = j.withColumn(f"{prefix}{v}", run)
-    drop = [_BKT, *[f"_o_{v}" for v in values]] + (["_pfx_key"] if key == "_pfx_key" else [])
-    return j.drop(*drop)
+    return j.drop(_RANGE, *[f"_o_{v}" for v in values])
+
+
+def positions(df: DataFrame, ords: Sequence[Column], out: str = "position") -> DataFrame:
+    """Number all rows from 1 in the order of ``ords`` (sort expressions that
+    leave no ties): row numbers within Spark's ranges plus the rows of the
+    ranges before, so no task sees all rows."""
+    b = materialize(df.repartitionByRange(*ords).withColumn(_RANGE, F.spark_partition_id()))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    off = b.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n")).select(
+        _RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    within = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*ords))
+    # one row for each range: broadcast is safe
+    return b.join(F.broadcast(off), _RANGE).withColumn(out, (within + F.col("_o")).cast("bigint")).drop(_RANGE, "_o")
 
 
 def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence[str],
@@ -128,8 +91,8 @@ def top_n_flag(df: DataFrame, score: str, n: int | DataFrame, tiebreak: Sequence
 
     ``n`` is an int, or a DataFrame ``(by..., n)`` (one row without ``by``).
     Matches ``rank(method='first') <= n`` when the tiebreak is the input
-    order.  The tiebreak columns must identify rows uniquely; the first one
-    must be numeric or a date (ties are ranked by its value ranges).
+    order.  The tiebreak columns must identify rows uniquely; they may be of
+    any orderable type and hold nulls, which come first.
     """
     by = list(by)
     tiebreak = list(tiebreak)

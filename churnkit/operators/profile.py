@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from churnkit.functions.scalar import col_
 from churnkit.operators.prefix import prefix_sum
-from churnkit.operators.util import join_null_safe
+from churnkit.operators.util import join_null_safe, materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -57,11 +57,21 @@ def quantiles_long(long: DataFrame, probs: Sequence[float], by: Sequence[str] =
 
     Counts per distinct value, running counts per group, then for each
     probability the values at positions floor/ceil of ``(n - 1) * q``."""
+    return quantiles_of(materialize(value_table(long, by, value)), probs, by, value, names)
+
+
+def value_table(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """``(by..., value, _c)``: counts of the distinct values that are neither null nor NaN."""
+    return (long.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def quantiles_of(counts: DataFrame, probs: Sequence[float], by: Sequence[str], value: str = "value",
+                 names: Sequence[str] | None = None) -> DataFrame:
+    """``quantiles_long`` from a written table of counts."""
     by = list(by)
     names = list(names) if names else [f"q{int(round(q * 100))}" for q in probs]
-    cnt = (long.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-           .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
-    pre = prefix_sum(cnt, value, ["_c"], by=by, totals=True)
+    pre = prefix_sum(counts, value, ["_c"], by=by, totals=True, checkpoint=False)
     lo_excl = F.col("cum__c") - F.col("_c")
     aggs = []
     for q, nm in zip(probs, names):
@@ -79,12 +89,16 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     column, one row per (by..., column)."""
     by = list(by)
     long = to_long(df, cols, by)
-    v = F.col("value")
-    ok = long.where(v.isNotNull() & ~F.isnan(v))
-    stats = ok.groupBy(*by, "column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    qs = quantiles_long(ok, [0.25, 0.5, 0.75], by=[*by, "column"], names=["p25", "p50", "p75"])
+    v, c = F.col("value"), F.col("_c")
+    # the rows are read once: all that follows works on counts of distinct values
+    counts = materialize(value_table(long, [*by, "column"]))
+    mean = counts.groupBy(*by, "column").agg(
+        F.sum("_c").alias("count"), (F.sum(v * c) / F.sum("_c")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    square = join_null_safe(counts, mean.select(*by, "column", F.col("mean").alias("_mean")), [*by, "column"]) \
+        .groupBy(*by, "column").agg(F.sum(c * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_ss"))
+    stats = join_null_safe(mean, square, [*by, "column"]).withColumn(
+        "std", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)))
+    qs = quantiles_of(counts, [0.25, 0.5, 0.75], [*by, "column"], names=["p25", "p50", "p75"])
     return join_null_safe(stats, qs, [*by, "column"], "left").select(
         *by, "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -110,9 +124,13 @@ def feature_profile(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
     parts = []
     if num:
         long = to_long(df, num)
-        grouped = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
+        # distinct values count by their own digits: a double has no room for those of 64-bit ids; NaN is missing
+        exact_long = df.select(*[F.when(~F.isnan(col_(c).cast("double")), col_(c)).cast("string").alias(c) for c in num]) \
+            .unpivot([], num, "column", "value").where(F.col("value").isNotNull())
+        grouped = exact_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
+        number = F.col("value").cast("double")
         agg = grouped.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("_c").alias("n_present"),
-                                            (F.sum(F.col("value") * F.col("_c")) / F.sum("_c")).alias("mean"))
+                                            (F.sum(number * F.col("_c")) / F.sum("_c")).alias("mean"))
         med = quantiles_long(long, [0.5], names=["median"])
         parts.append(agg.join(med, "column", "left"))
     if oth:
@@ -192,20 +210,18 @@ def grouped_value_shares(df: DataFrame, by: str, col: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max (last bin closed), all bins
-    listed even when empty."""
-    mn, mx = df.agg(F.min(col_(col).cast("double")), F.max(col_(col).cast("double"))).first()
-    spark = df.sparkSession
-    if mn is None:
-        return spark.createDataFrame([], "bin int, lo double, hi double, count bigint")
-    width = (mx - mn) / bins if mx > mn else 1.0
-    v = col_(col).cast("double")
-    idx = F.least(F.floor((v - F.lit(mn)) / F.lit(mx - mn if mx > mn else 1.0) * F.lit(bins)).cast("int"),
-                  F.lit(bins - 1))
-    counts = df.where(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    edges = edges.select("bin", (F.lit(mn) + F.col("bin") * F.lit(width)).alias("lo"),
-                         (F.lit(mn) + (F.col("bin") + 1) * F.lit(width)).alias("hi"))
-    return edges.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count"))
+    listed even when empty; no rows without a value.  The rows are read once, for counts of distinct
+    values; edges and bins follow from these."""
+    counts = materialize(value_table(df.select(col_(col).cast("double").alias("value")), []))
+    ends = counts.agg(F.min("value").alias("_mn"), F.max("value").alias("_mx")).where("_mn IS NOT NULL")
+    width = F.when(F.col("_mx") > F.col("_mn"), (F.col("_mx") - F.col("_mn")) / bins).otherwise(F.lit(1.0))
+    span = F.when(F.col("_mx") > F.col("_mn"), F.col("_mx") - F.col("_mn")).otherwise(F.lit(1.0))
+    place = F.least(F.floor((F.col("value") - F.col("_mn")) / span * F.lit(bins)).cast("int"), F.lit(bins - 1))
+    held = _with_const(counts, ends).groupBy(place.alias("bin")).agg(F.sum("_c").alias("count"))
+    grid = _with_const(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")), ends)
+    edges = grid.select("bin", (F.col("_mn") + F.col("bin") * width).alias("lo"),
+                        (F.col("_mn") + (F.col("bin") + 1) * width).alias("hi"))
+    return edges.join(held, "bin", "left").select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def class_balance(df: DataFrame, y: str) -> DataFrame:

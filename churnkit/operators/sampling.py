@@ -16,25 +16,26 @@ from pyspark.sql import functions as F
 from churnkit.functions.scalar import col_, unit_hash
 
 
-def estimate_row_bytes(df: DataFrame, cols: Sequence[str], sample_rows: int | None = 10000) -> float:
-    """Mean serialised (JSON) length of a row over ``cols``: from the first
-    ``sample_rows`` rows (an estimate that avoids a scan), or over the whole
-    table when ``sample_rows`` is None."""
-    s = df.select(*cols)
-    if sample_rows is not None:
-        s = s.limit(sample_rows)
-    r = s.agg(F.avg(F.octet_length(F.to_json(F.struct(*[col_(c) for c in cols]))))).first()[0]
-    return float(r or 0.0)
-
-
-def target_rows(df: DataFrame, cols: Sequence[str], target_gb: float, sample_rows: int = 10000) -> int:
-    """Rows that fit ``target_gb`` at the estimated bytes per row."""
-    bpr = estimate_row_bytes(df, cols, sample_rows)
+def row_bytes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``bytes_per_row``: mean serialised (JSON) length of a row over
+    ``cols``, over all rows; one column-pruned scan."""
+    return df.agg(F.avg(F.octet_length(F.to_json(F.struct(*[col_(c) for c in cols])))).alias("bytes_per_row"))
+
+
+def estimate_row_bytes(df: DataFrame, cols: Sequence[str]) -> float:
+    """``row_bytes`` as a number; 0 for an empty table."""
+    return float(row_bytes(df, cols).first()[0] or 0.0)
+
+
+def target_rows(df: DataFrame, cols: Sequence[str], target_gb: float) -> int:
+    """Rows that fit ``target_gb`` at the mean bytes per row."""
+    bpr = estimate_row_bytes(df, cols)
     return int(target_gb * 1e9 / bpr) if bpr > 0 else 0
 
 
-def split_holdout(df: DataFrame, key: str, pct: float, seed: int = 0, out: str = "is_holdout") -> DataFrame:
-    return df.withColumn(out, unit_hash(key, seed) < F.lit(float(pct)))
+def split_holdout(df: DataFrame, key: str, pct: float, seed: int = 0, out: str = "is_holdout",
+                  method: str = "md5") -> DataFrame:
+    return df.withColumn(out, unit_hash(key, seed, method) < F.lit(float(pct)))
 
 
 def split_random(df: DataFrame, key: str, validation: float, holdout: float, seed: int = 0,

@@ -30,15 +30,17 @@ def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "
     return j.select(*key_cols, *rest_a, *rest_b)
 
 
-BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 16 << 20
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted size (``df`` should be a small
-    table such as a feature list or a combination table); above the bound
-    the join is left to a shuffle (Spark and AQE choose)."""
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind a measured size, the bytes of its rows as
+    JSON (``df`` should be a small table such as a feature list or a
+    combination table); above the bound the join is left to Spark."""
     from pyspark.sql import functions as F
-    return F.broadcast(df) if df.count() <= max_rows else df
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    size = df.agg(F.sum(F.octet_length(row))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def run_all(fn, items, parallelism: int = 3):

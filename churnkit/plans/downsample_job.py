@@ -20,10 +20,10 @@ from churnkit.sources.io import replace_table
 
 
 def run(df: DataFrame, features: Sequence[str], target: str, key: str, target_gb: float, holdout_pct: float,
-        output: str, seed: int = 0, sample_rows: int | None = None) -> DataFrame:
+        output: str, seed: int = 0) -> DataFrame:
     """Run the job; returns a one-row verification frame."""
     cols = [*features, target]
-    target_rows = sm.target_rows(df, cols, target_gb, sample_rows)
+    target_rows = sm.target_rows(df, cols, target_gb)
     plan = sm.plan_downsample(df, target, target_rows, holdout_pct, key, seed)
     out = sm.downsample(df.select(key, *cols), target, target_rows, holdout_pct, key, seed, plan=plan)
     replace_table(out, output)

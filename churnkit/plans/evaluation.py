@@ -24,7 +24,6 @@ def reports(spark: SparkSession, sf_dir: str, cost: float = 10, revenue: float =
         "curve": lambda: mt.curve_metrics(s, "churned", "churned_1_PREDICTION"),
         "report_intent": lambda: ev.classification_report(s, "churned", "churned_PREDICTION"),
         "report_churn": lambda: ev.classification_report(s, "true_churned", "churn_label"),
-        "segments": lambda: ev.segment_metrics(s),
     }
     # reports whose operators run passes while being built (running sums)
     # are independent: build them from driver threads

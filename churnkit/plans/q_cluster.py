@@ -53,7 +53,7 @@ def csql(body: str, extra: dict | None = None, recursive: bool = False) -> str:
     return head + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
 
 
-def pairs(spark, sf, method: str = "auto"):
+def pairs(spark, sf, method: str = "blocks"):
     return cl.corr_pairs(feature_frame(spark, sf), FEATURES, method=method)
 
 
@@ -239,3 +239,23 @@ def q_drop_correlated(spark, sf):
     """Walk features by importance; drop one with |r| > 0.9 to a kept stronger feature."""
     p = pairs(spark, sf)
     return cl.drop_correlated(p, cl.target_correlation(p, TARGET), 0.9)
+
+
+_CONST = ["l_quantity", "fixed", "l_discount"]
+
+
+@query("corr_pairs_constant", "2.11", r6=["statistic"], sql="""
+SELECT 'l_quantity' AS feature1, 'fixed' AS feature2, CAST(NULL AS DOUBLE) AS statistic
+UNION ALL SELECT 'l_quantity', 'l_discount', corr(l_quantity, l_discount) FROM lineitem
+UNION ALL SELECT 'fixed', 'l_discount', NULL""")
+def q_corr_constant(spark, sf):
+    """Correlations with a constant column: null, as undefined."""
+    li = load(spark, sf, "lineitem", ["l_quantity", "l_discount"]).withColumn("fixed", F.lit(0.1))
+    return cl.corr_pairs(li, _CONST)
+
+
+@query("drop_empty_after_constant", "2.2", r6=["statistic"], sql="""
+SELECT 'l_quantity' AS feature1, 'l_discount' AS feature2, corr(l_quantity, l_discount) AS statistic FROM lineitem""")
+def q_drop_constant(spark, sf):
+    """A constant column's undefined correlations leave the pair table with the column."""
+    return cl.drop_all_null(q_corr_constant(spark, sf))

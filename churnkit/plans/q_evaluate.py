@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnkit.operators import evaluate as ev, metrics as mt
+from churnkit.operators.util import materialize
 from churnkit.plans import reconcile as rc, sqlparts as sp
 from churnkit.plans.registry import query
 from churnkit.sources import fixtures, load
@@ -83,6 +84,26 @@ def q_rule_auc(spark, sf):
     return mt.curve_metrics(fixtures.rule_preds(spark, sf), "true_churned", "bin_sum")
 
 
+def _segments_sql(seg: str) -> str:
+    return f"""SELECT '{seg}' AS segment, CAST(c.{seg} AS VARCHAR) AS value, c.size, a.auc AS intent_auc, c.intent_precision,
+  c.rule_precision FROM (
+  SELECT {seg}, COUNT(*) AS size,
+    COALESCE(CAST(COUNT(*) FILTER (WHERE churned_PREDICTION >= 1 AND churned >= 1) AS DOUBLE)
+             / NULLIF(COUNT(*) FILTER (WHERE churned_PREDICTION >= 1), 0), 0.0) AS intent_precision,
+    COALESCE(CAST(COUNT(*) FILTER (WHERE churn_label >= 1 AND true_churned >= 1) AS DOUBLE)
+             / NULLIF(COUNT(*) FILTER (WHERE churn_label >= 1), 0), 0.0) AS rule_precision
+  FROM scored WHERE {seg} IS NOT NULL GROUP BY {seg}) c
+LEFT JOIN ({sp.curve_metrics(f'(SELECT * FROM scored WHERE {seg} IS NOT NULL)', Y, P, [seg])}) a ON a.{seg} = c.{seg}"""
+
+
+@query("segment_metrics_all", "2.14", r6=["intent_auc", "intent_precision", "rule_precision"],
+       sql=rc.sql(" UNION ALL ".join(f"SELECT * FROM ({_segments_sql(s)}) t" for s in ("pubcode", "idsystem", "risk_label"))))
+def q_segments_all(spark, sf):
+    """The segment report over every segment column (one of them the rule model's bucket)."""
+    s = materialize(rc.both_scored(spark, sf))
+    return ev.every_segment(s, ["pubcode", "idsystem", "risk_label"], lambda d, c: ev.segment_metrics(d, segment=c))
+
+
 _SEG_SQL = rc.sql(f"""
 SELECT c.pubcode, c.size, a.auc AS intent_auc, c.intent_precision, c.rule_precision FROM (
   SELECT pubcode, COUNT(*) AS size,
@@ -251,7 +272,7 @@ SELECT metric, MAX(CASE WHEN model = 'intent' THEN value END) AS intent_model,
   MAX(CASE WHEN model = 'churn' THEN value END) AS churn_rules_model FROM long GROUP BY metric"""))
 def q_model_comparison(spark, sf):
     """Metric x model: class-1 precision/recall/F1, ROI, cost per TP."""
-    s = rc.both_scored(spark, sf)
+    s = materialize(rc.both_scored(spark, sf))  # three reports read it
     return ev.model_comparison(ev.classification_report(s, Y, "churned_PREDICTION"),
                                ev.classification_report(s, "true_churned", "churn_label"),
                                ev.business_impact(s, 10, 100))
@@ -400,3 +421,36 @@ def q_summary(spark, sf):
     """Headline evaluation numbers from one written reconciled table (many reports, one scan)."""
     from churnkit.plans.evaluation import summary
     return summary(spark, sf)
+
+
+_PURE = "CASE WHEN pubcode = '1' THEN NULL WHEN pubcode = '2' THEN 'pure' ELSE pubcode END"
+
+
+@query("curve_metrics_odd_groups", "2.14", r6=["auc", "ks", "average_precision", "logloss"], sql=rc.sql(f"""
+SELECT c.grp, c.n_pos, c.n_neg, c.auc, c.ks, c.average_precision, p.logloss FROM ({sp.curve_metrics('odd', 'y', 'p', ['grp'])}) c
+JOIN (SELECT grp, AVG(-(y * ln(pp) + (1 - y) * ln(1 - pp))) AS logloss FROM (
+        SELECT *, GREATEST(LEAST(p, 1 - 1e-15), 1e-15) AS pp FROM odd) t GROUP BY grp) p
+  ON p.grp IS NOT DISTINCT FROM c.grp""", extra={"odd": f"SELECT {_PURE} AS grp, CASE WHEN pubcode = '2' THEN 1 ELSE churned END AS y, "
+                                            f"CAST({P} AS DOUBLE) AS p FROM scored"}))
+def q_odd_groups(spark, sf):
+    """Ranking metrics by groups of which one has no name and one a single class."""
+    s = rc.both_scored(spark, sf).select(F.expr(_PURE).alias("grp"), F.expr("CASE WHEN pubcode = '2' THEN 1 ELSE churned END").alias("y"),
+                                         F.col(P).cast("double").alias("p"))
+    return mt.weighted_binary_metrics(s, "y", "p", by=["grp"]).select(
+        "grp", "n_pos", "n_neg", "auc", "ks", "average_precision", "logloss")
+
+
+_MONTHS = ("SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS y, "
+           "COUNT(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS yhat FROM orders GROUP BY 1, 2")
+
+
+@query("mase", "2.14", r6=["mase"], sql=f"""
+SELECT o_orderpriority, AVG(ABS(y - yhat)) / NULLIF(AVG(step), 0) AS mase FROM (
+  SELECT *, ABS(y - LAG(y) OVER (PARTITION BY o_orderpriority ORDER BY month)) AS step FROM ({_MONTHS}) m) t
+GROUP BY o_orderpriority""")
+def q_mase(spark, sf):
+    """Scaled error of a monthly count (orders without partial ones) per order priority."""
+    m = load(spark, sf, "orders", ["o_orderpriority", "o_orderdate", "o_orderstatus"]).groupBy(
+        "o_orderpriority", F.expr("CAST(date_trunc('month', o_orderdate) AS DATE)").alias("month")).agg(
+        F.count(F.lit(1)).alias("y"), F.count(F.when(F.col("o_orderstatus") != "P", 1)).alias("yhat"))
+    return mt.mase(m, "y", "yhat", "month", ["o_orderpriority"])

@@ -205,6 +205,14 @@ def q_load_csv(spark, sf):
     return io.load_csv(spark, path, schema="l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double")
 
 
+@query("load_csv_inferred", "2.1", r6=["l_quantity", "l_discount"], sql="SELECT l_orderkey, l_quantity, l_discount, l_returnflag FROM lineitem")
+def q_load_csv_inferred(spark, sf):
+    """The same without a schema: types are inferred from the whole file."""
+    path = _scratch(spark, "csv")
+    io.write_csv(load(spark, sf, "lineitem", ["l_orderkey", "l_quantity", "l_discount", "l_returnflag"]), path)
+    return io.load_csv(spark, path)
+
+
 @query("write_csv", "2.1", sql="SELECT risk_label, COUNT(*) AS n FROM (" + fixtures.SQL["rule_preds"]() + ") r GROUP BY 1")
 def q_write_csv(spark, sf):
     """A report saved as CSV (index column first) and read back."""

@@ -87,11 +87,11 @@ _BEST = ("SELECT model_id, auc_validation, ROW_NUMBER() OVER (ORDER BY auc_valid
 
 
 @query("best_models", "2.6", sql=lsql(
-    "SELECT * FROM (" + _BEST.format(cond="AND NOT COALESCE(contains(featurelist_name, 'Reduced Features M'), false)")
+    "SELECT * FROM (" + _BEST.format(cond="AND NOT COALESCE(contains(featurelist_name, '" + fixtures.REDUCED_MARKER + "'), false)")
     + ") b WHERE position <= 5"))
 def q_best(spark, sf):
-    """Top 5 non-blend, non-frozen models by validation AUC, nulls last."""
-    return lbo.best_models(lb(spark, sf), "auc_validation", False, n=5).select("model_id", "auc_validation", "position")
+    """Top 5 non-blend, non-frozen models by validation AUC, nulls last, none on a reduced list."""
+    return lbo.best_models(lb(spark, sf), "auc_validation", False, n=5, reduced_marker=fixtures.REDUCED_MARKER).select("model_id", "auc_validation", "position")
 
 
 @query("best_models_on_list", "2.6", sql=lsql(

@@ -13,6 +13,7 @@ from churnkit.operators.metrics import curve_metrics
 from churnkit.operators.sampling import split_group
 from churnkit.operators.util import materialize
 from churnkit.plans import reconcile as rc, sqlparts as sp
+from churnkit.plans.q_sampling import uhash_sql
 from churnkit.plans.registry import query
 from churnkit.session import shared_path
 from churnkit.sources import fixtures, load
@@ -75,10 +76,23 @@ def q_stack(spark, sf):
     """GLM blender over the two churn predictors' scores."""
     s = rc.both_scored(spark, sf).withColumn("y", (F.col("true_churned") >= 1).cast("double")) \
         .withColumn("rule_p", F.col("bin_sum") / 15.0)
-    _, out = ml.stack(s, ["churned_1_PREDICTION", "rule_p"], "y", "GLM")
+    _, out = ml.stack(s, ["churned_1_PREDICTION", "rule_p"], "y", rc.ROW_KEY, "GLM")
     return curve_metrics(out, "y", "p1")
 
 
+@query("blend_stacked_methods", "2.13")
+def q_stack_methods(spark, sf):
+    """ENET and RF blenders over the two churn predictors' scores, out of fold."""
+    s = materialize(rc.both_scored(spark, sf).withColumn("y", (F.col("true_churned") >= 1).cast("double"))
+                    .withColumn("rule_p", F.col("bin_sum") / 15.0))
+    out = None
+    for method in ("ENET", "RF"):
+        _, p = ml.stack(s, ["churned_1_PREDICTION", "rule_p"], "y", rc.ROW_KEY, method)
+        p = p.select(F.lit(method).alias("method"), "y", "p1")
+        out = p if out is None else out.unionByName(p)
+    return curve_metrics(out, "y", "p1", by=["method"])
+
+
 @query("permutation_importance", "2.10")
 def q_perm(spark, sf):
     """Metric drop per shuffled feature over all rows (hash-bucket shuffles)."""
@@ -93,6 +107,18 @@ def q_linear(spark, sf):
     return ml.linear_impact(m, df, FEATS)
 
 
+_COEFS = {"l_quantity": 0.25, "l_extendedprice": -0.0005, "l_discount": 3.0}
+
+
+@query("linear_contribution_fixed", "2.10", r6=["impactUnnormalized"], sql=fixtures.with_views(
+    "SELECT featureName, impactUnnormalized FROM (" + " UNION ALL ".join(
+        f"SELECT '{f}' AS featureName, AVG(ABS({c} * ({f} - (SELECT AVG({f}) FROM downsample_base)))) AS impactUnnormalized "
+        "FROM downsample_base" for f, c in _COEFS.items()) + ") t", "downsample_base"))
+def q_linear_fixed(spark, sf):
+    """The same impact for a linear model with given coefficients."""
+    return ml.contribution_impact(base(spark, sf), _COEFS)
+
+
 @query("ratio_decay_search", "2.10")
 def q_decay(spark, sf):
     """Select by accumulated importance, retrain, square the ratio on no gain; three lives."""
@@ -229,6 +255,58 @@ def q_fire_flow(spark, sf):
     return feature_selection.run(data, feats, "returned", "rid", kinds=("lr", "gbt"), n_models=2)
 
 
+@query("redundancy_loop", "2.10")
+def q_redundancy_loop(spark, sf):
+    """Drop correlated features, refit, until none is redundant (label: returned)."""
+    from churnkit.plans import feature_selection, q_cluster as qc
+    data = qc.feature_frame(spark, sf).withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    return feature_selection.without_redundant(data, [f for f in qc.FEATURES if f != qc.TARGET], "returned", "rid")
+
+
+_PART_SQL = (f"SELECT *, CASE WHEN {uhash_sql('row_key', 0)} < 0.1 THEN 'holdout' WHEN {uhash_sql('row_key', 0)} < 0.1 + 0.2 "
+             "THEN 'validation' ELSE 'training' END AS partition FROM downsample_base")
+
+
+@query("train_candidates_counts", "2.13", sql=fixtures.with_views(f"""
+SELECT m.model_id, m.model_type, 3 AS n_features, p.partition, p.n_pos, p.n_neg, true AS in_range
+FROM (SELECT partition, CAST(SUM(target_column) AS DOUBLE) AS n_pos, CAST(COUNT(*) - SUM(target_column) AS DOUBLE) AS n_neg
+      FROM ({_PART_SQL}) x WHERE partition <> 'training' GROUP BY partition) p
+CROSS JOIN (SELECT * FROM (VALUES ('lr', 'lr'), ('rf', 'rf')) v(model_id, model_type)) m""", "downsample_base"))
+def q_train_counts(spark, sf):
+    """What a leaderboard holds whatever the models learn: models, partitions, class totals, metrics in their ranges
+    and a log loss not above a constant's by much."""
+    cands = [ml.Candidate("lr", "lr", tuple(FEATS), {}), ml.Candidate("rf", "rf", tuple(FEATS), {"numTrees": 5})]
+    lb, _ = ml.train_candidates(base(spark, sf), cands, LABEL, KEY)
+    ok = F.col("auc").between(0, 1) & F.col("ks").between(0, 1) & (F.col("logloss") > 0) & (F.col("fve_binomial") > -0.1)
+    return lb.select("model_id", "model_type", "n_features", "partition", "n_pos", "n_neg", ok.alias("in_range"))
+
+
+@query("batch_score_checks", "2.13", sql=fixtures.with_views("""
+SELECT CASE WHEN l_quantity > 40 THEN 'missing feature' ELSE 'OK' END AS prediction_status, COUNT(*) AS n,
+  CAST(SUM(target_column) AS BIGINT) AS positives, true AS consistent FROM downsample_base GROUP BY 1""", "downsample_base"))
+def q_batch_checks(spark, sf):
+    """Scored rows by status (a feature made missing): none is lost, probabilities add up, labels follow the threshold."""
+    df, m = fitted(spark, sf)
+    holes = df.withColumn("l_discount", F.when(F.col("l_quantity") <= 40, F.col("l_discount")))
+    out = ml.batch_score(m, holes, FEATS, 0.1211, [KEY, LABEL])
+    p1, p0 = F.col("churned_1_PREDICTION"), F.col("churned_0_PREDICTION")
+    right = (F.abs(p1 + p0 - 1) < 1e-9) & ((p1 >= 0.1211).cast("double") == F.col("churned_PREDICTION")) & p1.between(0, 1)
+    empty = p1.isNull() & p0.isNull() & F.col("churned_PREDICTION").isNull()
+    ok = F.when(F.col("prediction_status") == "OK", right).otherwise(empty)
+    return out.groupBy("prediction_status").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).cast("bigint").alias("positives"),
+                                                F.min(ok).alias("consistent"))
+
+
+@query("backtest_score_counts", "2.13", sql=fixtures.with_views("""
+SELECT fold, CAST(SUM(target_column) AS DOUBLE) AS n_pos, CAST(COUNT(*) - SUM(target_column) AS DOUBLE) AS n_neg, true AS in_range
+FROM (SELECT *, CAST((('0x' || substr(md5('0:' || CAST(row_key AS VARCHAR)), 1, 8))::BIGINT) % 3 AS INT) AS fold
+      FROM downsample_base) t GROUP BY fold""", "downsample_base"))
+def q_backtest_counts(spark, sf):
+    """Class totals of each group fold that is scored by the models of the others."""
+    out = ml.backtest_score(split_group(base(spark, sf), [KEY], 3), "lr", FEATS, LABEL, "fold")
+    return out.select("fold", "n_pos", "n_neg", (F.col("auc").between(0, 1) & (F.col("logloss") > 0)).alias("in_range"))
+
+
 @query("blend_combinations", "2.13")
 def q_blend_combos(spark, sf):
     """AVG/MED/MIN/MAX blends of every 2..3-model combination of LR, RF and GBT on the validation rows."""

@@ -303,3 +303,31 @@ FROM s, (SELECT CASE WHEN mx > mn THEN (mx - mn) / {bins} ELSE 1.0 END AS w FROM
 def q_event_hist(spark, sf):
     """20 equal-width bins of event values."""
     return pf.histogram(load(spark, sf, "events", ["value"]), "value", 20)
+
+
+_BIG = "9007199254740992 + o_orderkey"
+
+
+@query("feature_profile_bigint", "2.4", r6=["mean", "median"], sql=f"""
+SELECT 'big' AS "column", 'bigint' AS dtype, COUNT(DISTINCT {_BIG}) AS n_distinct, 0 AS n_missing,
+  AVG(CAST({_BIG} AS DOUBLE)) / 1e15 AS mean, quantile_cont(CAST({_BIG} AS DOUBLE), 0.5) / 1e15 AS median FROM orders
+UNION ALL SELECT 'holes', 'double', COUNT(DISTINCT o_totalprice) FILTER (WHERE o_custkey % 3 > 0),
+  COUNT(*) FILTER (WHERE o_custkey % 3 = 0), AVG(o_totalprice) FILTER (WHERE o_custkey % 3 > 0) / 1e15,
+  quantile_cont(o_totalprice, 0.5) FILTER (WHERE o_custkey % 3 > 0) / 1e15 FROM orders""")
+def q_profile_bigint(spark, sf):
+    """Profile of 64-bit ids beyond a double's digits, and of a column whose missing values are NaN."""
+    o = load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    df = o.select((F.lit(9007199254740992) + F.col("o_orderkey")).alias("big"),
+                  F.when(F.col("o_custkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice").cast("double")).alias("holes"))
+    p = pf.feature_profile(df)
+    return p.select("column", "dtype", "n_distinct", "n_missing", (F.col("mean") / 1e15).alias("mean"),
+                    (F.col("median") / 1e15).alias("median"))
+
+
+@query("describe_by_predicted_alignment", "2.4", r6=_DESC, sql=_ALIGN_SQL.replace(
+    "churned = true_churned", "round_even(churned_PREDICTION, 0) = churn_label").replace(
+    "churned IS NOT NULL AND true_churned IS NOT NULL", "churned_PREDICTION IS NOT NULL AND churn_label IS NOT NULL"))
+def q_describe_predicted_alignment(spark, sf):
+    """Days to intent where the two models' predicted labels agree / disagree, and overall."""
+    m = rc.merged(spark, sf).withColumn("intent_label", F.bround("churned_PREDICTION", 0))
+    return pf.alignment_describe(m, "intent_label", "churn_label", "days_to_intent")

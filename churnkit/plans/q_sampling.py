@@ -72,7 +72,7 @@ def q_row_bytes(spark, sf):
     """Mean serialised bytes per row of a projection (whole table), and rows for 1 GB."""
     base = fixtures.downsample_base(spark, sf)
     cols = ["l_quantity", "l_extendedprice", "l_discount", "target_column"]
-    s = base.select(F.avg(F.octet_length(F.to_json(F.struct(*cols)))).alias("bytes_per_row"))
+    s = sm.row_bytes(base, cols)
     return s.select("bytes_per_row", F.floor(F.lit(1e9) / F.col("bytes_per_row")).cast("bigint").alias("target_rows"))
 
 

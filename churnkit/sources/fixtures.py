@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from churnkit.sources.tables import load
 
 # ---------------------------------------------------------------- intent_preds
-INTENT_WHERE = "o_orderkey % 10 <> 5"
 _CHURNED = "CASE WHEN o_orderstatus='F' AND o_custkey % 5 = 0 THEN 1 ELSE 0 END"
 _P1 = ("CAST((o_orderkey * 48271) % 700 + CASE WHEN o_orderstatus='F' AND o_custkey % 5 = 0 "
        "THEN 300 ELSE 0 END AS DOUBLE) / 1000")
@@ -39,10 +38,10 @@ INTENT_EXPRS = [
 ]
 
 # ------------------------------------------------------------------ rule_preds
-RULE_WHERE = "o_orderkey % 10 <> 3"
+# the rule model scores ten days after the order: some keys meet no intent score, and the other way round
 RULE_KEYS = [
     "o_custkey AS idsubscrip",
-    "CAST(date_trunc('month', o_orderdate) AS DATE) AS inference_date",
+    "CAST(date_trunc('month', CAST(o_orderdate AS DATE) + 10) AS DATE) AS inference_date",
 ]
 RULE_AGGS = [
     "CAST(SUM(CAST(FLOOR(o_totalprice) AS BIGINT)) % 16 AS INT) AS bin_sum",
@@ -91,11 +90,13 @@ LB_MODEL_TYPES = [
 ]
 _LB_MT_CASE = ("CASE s_suppkey % 11 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(LB_MODEL_TYPES))
                + " END")
+REDUCED_MARKER = "Reduced list M"  # marks automatically reduced lists in this leaderboard
 LB_EXPRS = [
     "s_suppkey AS model_id",
     "CASE WHEN s_suppkey % 9 = 0 THEN 'blend' ELSE 'model' END AS model_category",
     "s_suppkey % 13 = 0 AS is_frozen",
-    "concat('fl', CAST(s_nationkey % 4 AS STRING)) AS featurelist_name",
+    f"CASE WHEN s_suppkey % 17 = 5 THEN concat('{REDUCED_MARKER}', CAST(s_suppkey % 5 AS STRING)) "
+    "ELSE concat('fl', CAST(s_nationkey % 4 AS STRING)) END AS featurelist_name",
     "CAST(s_suppkey % 6 AS STRING) AS blueprint_id",
     "CAST(5 + s_suppkey % 40 AS INT) AS n_features",
     "CAST(s_suppkey * 37 % 11 AS DOUBLE) / 10 AS auc_validation",
@@ -124,13 +125,13 @@ METRIC_DIRECTIONS = [
 # ====================================================================== Spark
 def intent_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
-    return o.where(INTENT_WHERE).selectExpr(*INTENT_EXPRS)
+    return o.selectExpr(*INTENT_EXPRS)
 
 
 def rule_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     keys = [F.expr(e) for e in RULE_KEYS]
-    return (o.where(RULE_WHERE).groupBy(*keys).agg(*[F.expr(e) for e in RULE_AGGS])
+    return (o.groupBy(*keys).agg(*[F.expr(e) for e in RULE_AGGS])
             .selectExpr(*RULE_OUTER))
 
 
@@ -162,12 +163,11 @@ def metric_meta(spark: SparkSession) -> DataFrame:
 
 # ===================================================================== DuckDB
 def _sql_intent() -> str:
-    return f"SELECT {', '.join(INTENT_EXPRS)} FROM orders WHERE {INTENT_WHERE}"
+    return f"SELECT {', '.join(INTENT_EXPRS)} FROM orders"
 
 
 def _sql_rule() -> str:
-    inner = (f"SELECT {', '.join(RULE_KEYS)}, {', '.join(RULE_AGGS)} FROM orders "
-             f"WHERE {RULE_WHERE} GROUP BY 1, 2")
+    inner = (f"SELECT {', '.join(RULE_KEYS)}, {', '.join(RULE_AGGS)} FROM orders GROUP BY 1, 2")
     return f"SELECT {', '.join(RULE_OUTER)} FROM ({inner}) t"
 
 

@@ -15,8 +15,8 @@ def test_prefix_sum_matches_brute_force_with_hot_value(spark):
     vals = [0.5] * 400 + [rnd.random() for _ in range(800)]  # one value holds a third of the rows
     rows = [(i, v, rnd.randint(1, 5)) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "id long, s double, w long")
-    out = prefix.prefix_sum(df, ["s", "id"], ["w"], buckets=16, small_rows=0).collect()
-    direct = prefix.prefix_sum(df, ["s", "id"], ["w"]).collect()  # small-input path
+    out = prefix.prefix_sum(df, ["s", "id"], ["w"], ranges=16).collect()
+    direct = prefix.prefix_sum(df, ["s", "id"], ["w"]).collect()  # the session's number of ranges
     assert {r["id"]: r["cum_w"] for r in direct} == {r["id"]: r["cum_w"] for r in out}
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     expect, run = {}, 0
@@ -26,12 +26,13 @@ def test_prefix_sum_matches_brute_force_with_hot_value(spark):
     assert {r["id"]: r["cum_w"] for r in out} == expect
 
 
-@pytest.fixture(params=["direct", "ranges"])
-def plan_mode(request, monkeypatch):
-    """Run a test with the small-input window and with the range plan."""
-    if request.param == "ranges":
-        monkeypatch.setattr(prefix, "SMALL_ROWS", 0)
-    return request.param
+@pytest.fixture(params=["1", "23"])
+def plan_mode(request, spark):
+    """Run a test with one range and with many."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_top_n_flag_ties_and_nulls(spark, plan_mode):
