@@ -54,7 +54,7 @@ def preparation(features: Sequence[str], schema: StructType) -> list:
     quoted = {f: f"`{f}`" for f in features}
     value = [f"nvl(nanvl(CAST({quoted[f]} AS DOUBLE), NULL), 0D) AS _value{i}" for i, f in enumerate(numeric)]
     missing = [f"CAST(nanvl(CAST({quoted[f]} AS DOUBLE), NULL) IS NULL AS DOUBLE) AS _missing{i}" for i, f in enumerate(numeric)]
-    text = [f"nvl(CAST({quoted[f]} AS STRING), '') AS _text{i}" for i, f in enumerate(other)]
+    text = [f"nvl(concat('=', CAST({quoted[f]} AS STRING)), 'missing') AS _text{i}" for i, f in enumerate(other)]
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join([*value, *missing, *text])} FROM __THIS__")]
     inputs = [f"_value{i}" for i in range(len(numeric))] + [f"_missing{i}" for i in range(len(numeric))]
     if other:
