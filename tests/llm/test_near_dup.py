@@ -78,8 +78,8 @@ def test_region_scan_finds_what_all_pairs_find(rnd):
     sketch = rng.integers(0, 256, (n, 48), dtype=np.uint8)
     family = rng.integers(0, 25, n)
     sketch[:] = rng.integers(0, 256, (25, 48), dtype=np.uint8)[family]
-    parts = list(lsh_forest.scan(iter([(np.zeros(n, int), levels, np.arange(n), sketch)]), 3, 64, 70, 90, 256))
-    links = [(int(a), int(b)) for x, y, _ in parts for a, b in zip(x, y, strict=True)]
+    parts = list(lsh_forest.scan(iter([(np.zeros(n, int), levels, np.arange(n), sketch)]), 3, 64, 120, 180, 256))
+    links = [(int(a), int(b)) for x, y, _, _ in parts for a, b in zip(x, y, strict=True)]
     assert all(family[a] == family[b] for a, b in links)
     assert len(links) < n * 16
     found = groups(range(n), links)
