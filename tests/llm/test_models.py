@@ -173,3 +173,18 @@ def test_scores_of_little_or_nothing(spark, empty):
     got = language_model.score(spark.createDataFrame([(only, "a b"), (only, "a b")], schema)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(3, 0, 0)] * 2
     assert got[0].score == pytest.approx(0) and got[0].base_score == pytest.approx(0)
+
+
+def test_the_word_before_tells_the_next(spark, rnd):
+    after = rnd.sample(range(400), 400)  # the only word that follows each word
+
+    def text():
+        w = [rnd.randrange(400)]
+        for _ in range(60):
+            w.append(after[w[-1]])
+        return " ".join(f"w{x}" for x in w)
+
+    got = language_model.score(spark.createDataFrame([(i, text()) for i in range(600)], "doc_id long, text string")).collect()
+    held = [r for r in got if r.held_out]
+    each, base = (sum(x) / sum(r.n_tokens for r in held) for x in ([r.score for r in held], [r.base_score for r in held]))
+    assert each > -1.1 and base < -2.4  # of 400 words, fewer than 13 come in question
