@@ -87,6 +87,20 @@ def test_region_scan_finds_what_all_pairs_find(rnd):
     assert all(found[a] == found[b] for a, b in in_block)
 
 
+def from_template(words, template, tail):
+    """A text of a template and words of its own; of two such, a longer common start of the tails adds a shingle a word."""
+    return f"{template} {tail} {words(10 - len(tail.split()))}".replace("  ", " ")
+
+
+def test_pairs_far_apart_in_a_long_region(spark, rnd, words):
+    template = " ".join(f"t{k}" for k in range(63))  # 60 common shingles and 10 of its own: 60 / 80
+    rows = [(i, from_template(words, template, f"own{i} more{i} three{i}")) for i in range(1400)]
+    rows += [(10_000 + k, from_template(words, template, f"own{i} more{i} three{i}")) for k, i in enumerate(range(0, 1400, 20))]  # 63 / 77
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {i: i for i in range(1400)} | {10_000 + k: i for k, i in enumerate(range(0, 1400, 20))}
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1000, 1000 + i) for i in range(1, 400)]
