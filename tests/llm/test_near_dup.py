@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from churnkit.llm import embedding_dup, lsh_forest, near_dup
 from churnkit.llm.common import Scratch, WordHasher, chunks, components, shingle_hashes
@@ -101,6 +102,28 @@ def test_pairs_far_apart_in_a_long_region(spark, rnd, words):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_a_false_certain_pair_hides_no_true_one(spark, words):
+    template = " ".join(f"t{k}" for k in range(63))
+    rows = [(0, from_template(words, template, "x y z")), (1, from_template(words, template, "")), (2, from_template(words, template, "x y z"))]
+    # 0-1 and 1-2 seem certain, so the scan drops 0-2, the only true pair
+    sketch = np.zeros((3, 192), np.uint8)
+    sketch[0, :10] = sketch[2, 10:20] = 255
+    a, b, _, first = lsh_forest.link_pairs(sketch, 613, 700)
+    assert sorted(map(sorted, zip(a.tolist(), b.tolist(), strict=True))) == [[0, 1], [1, 2]] and first.all()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = near_dup.signatures(docs, 4, "doc_id", "text").select(F.col("doc_id").alias("id"), "sig")
+    pairs = spark.createDataFrame([(0, 1, 728, True), (1, 2, 728, True)], "a long, b long, same int, first boolean")
+    places = near_dup.placed(reps)
+    label = spark.createDataFrame([], "v long, component_id long")
+
+    def found(links):
+        again = near_dup.doubtful_regions(pairs, spark.createDataFrame(links, "a long, b long"), reps, 700)
+        return again.count(), [tuple(r) for r in near_dup.settled(again, places, reps, docs, label, Scratch(spark), 600, 4, 80).collect()]
+
+    assert found([])[1] in ([(0, 2)], [(2, 0)])
+    assert found([(0, 1), (1, 2)]) == (0, [])
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1000, 1000 + i) for i in range(1, 400)]
