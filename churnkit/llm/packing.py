@@ -86,13 +86,32 @@ class UnitTokenizer:
         return list(map(self._text, texts))
 
 
+class DocumentTokenizer(UnitTokenizer):
+    """As the tokenizer of the file: a text that may hold one of its added tokens is encoded whole by the tokenizer itself."""
+
+    def __init__(self, path: str, limit: int = 500_000):
+        from tokenizers import Tokenizer
+
+        super().__init__(path, limit)
+        self.whole = Tokenizer.from_file(path)
+        added = self.whole.get_added_tokens_decoder().values()
+        # a normalized token may match a text in another form
+        self.added = tuple(t.content for t in added)
+        self.always = any(t.normalized for t in added) and self.whole.normalizer is not None
+
+    def _text(self, text: str) -> bytes:
+        if self.always or any(t in text for t in self.added):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        return super()._text(text)
+
+
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, row)``: every document's ids and an end id, cut at ``capacity``;
     ``row`` tells repeated rows of a document apart."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = UnitTokenizer(tokenizer_path)
+        encode = DocumentTokenizer(tokenizer_path)
         row = 0
         for big in batches:
             for at in range(0, big.num_rows, 200):

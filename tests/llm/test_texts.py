@@ -149,6 +149,16 @@ def test_units_encode_like_the_whole_text(rnd):
     assert packing.UnitTokenizer(tokenizer_path(), limit=500)(texts) == want
 
 
+def test_added_tokens_are_encoded_as_the_tokenizer_does(spark):
+    rows = [(0, "<|endoftext|>"), (1, "a b <|endoftext|> c\nd  <|endoftext|><|endoftext|>"), (2, "x" * 10), (3, "<|endoftext>")]
+    whole = Tokenizer.from_file(tokenizer_path())
+    got = {r.doc_id: r for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()}
+    for i, t in rows:
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        assert (got[i].length, got[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert got[0].length == 2
+
+
 def check_packing(rows, packed, capacity):
     whole = Tokenizer.from_file(tokenizer_path())
     whole.encode_special_tokens = True
