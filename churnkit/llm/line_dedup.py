@@ -14,11 +14,11 @@ from churnkit.llm.common import Scratch
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(doc_id, pos, line, n, h, m)`` of every line with enough words; numbers start at 0, words end at a space."""
+    """``(doc_id, pos, line, n, h, m)`` of every line that isn't empty and has enough words; numbers start at 0, words end at a space."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select(
         "doc_id", "pos", F.trim("raw").alias("line"))
     n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("n", n).where(F.col("n") >= min_words).select(
+    return lines.withColumn("n", n).where((F.col("n") >= min_words) & (F.col("line") != "")).select(
         "doc_id", "pos", "line", "n", F.xxhash64("line").alias("h"), F.hash("line").alias("m"))
 
 
@@ -123,14 +123,15 @@ def _earliest(live: DataFrame) -> DataFrame:
 
 
 def dropped_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", short: bool = False) -> DataFrame:
     """``(doc_id, dropped)``: for each document that loses lines, their numbers in order.
 
-    Lines of fewer than ``min_words`` words, among them empty ones, always
-    stay, as does every line of a null text or a document with a null id."""
+    Lines of fewer than ``min_words`` words go with ``short`` only, and only
+    where an equal line stands earlier.  Empty lines always stay, as does
+    every line of a null text or a document with a null id."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
         F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    lines = _lines(docs, min_words).select("h", "m", "doc_id", "pos")
+    lines = _lines(docs, 1 if short else min_words).select("h", "m", "doc_id", "pos")
     seen = lines.groupBy("h", "m").agg(F.min(F.struct("doc_id", "pos")).alias("first"),
                                        (F.min(F.struct("doc_id", "pos")) != F.max(F.struct("doc_id", "pos"))).alias("again"))
     first = scratch.keep(seen.select("h", "m", "first.doc_id", "first.pos", "again"), "first")
@@ -146,13 +147,13 @@ def dropped_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: s
 
 
 def dedup_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
-                keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+                keep: tuple[str, ...] = ("doc_id",), short: bool = False) -> DataFrame:
     """The ``keep`` columns of every row, with the text less its dropped lines, ``n_lines`` and ``dropped`` (numbers).
 
     A null text stays null with 0 lines, an empty text has one empty line.
     Rows that repeat an id and text are the same document: all keep the same
     lines.  Other columns may have any names; an empty table gives no rows."""
-    gone = dropped_lines(df, scratch, min_words, id_col, text_col).toDF("_id", "_dropped")
+    gone = dropped_lines(df, scratch, min_words, id_col, text_col, short).toDF("_id", "_dropped")
     rows = df.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
     both = rows.join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
     lines = F.split("_text", "\n")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from churnkit.llm import decontaminate, html_extract, line_dedup, packing, url_filter
+from churnkit.llm import decontaminate, html_extract, line_dedup, packing, queries, url_filter
 from churnkit.llm.common import Scratch
 from churnkit.llm.queries import tokenizer_path
 from tests.conftest import SF001
@@ -81,6 +81,13 @@ def test_lines_need_no_python_and_no_pairs(spark, capsys):
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_short_and_unspaced_lines_go_as_exact_copies(spark, tmp_path):
+    texts = ["Read more\n\n  你好，世界。今天天气很好\na\tb\tc", "Read more\nread more\n\n你好，世界。今天天气很好", "a\tb\tc \nRead more\nRead"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_deletion_lines(spark, str(tmp_path)).collect()
+    assert {r.doc_id: list(r.dropped) for r in got} == {0: [], 1: [0, 3], 2: [0, 1]}
+
+
 # ---------------------------------------------------------- decontamination
 def brute_tiles(doc, item, least):
     """Greedy string tiling as defined: the longest unmarked common passage first."""
