@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with their production parameters, and SQL where SQL can say it."""
+"""The registered queries of the thirteen operators, with their production parameters, and SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.llm import (
-    decontaminate, embedding_dup, html_extract, language, language_model, line_dedup, near_dup, packing, quality, url_filter,
+    centroids, decontaminate, embedding_dup, html_extract, language, language_model, line_dedup, near_dup, packing, quality, url_filter,
 )
 from churnkit.llm.common import Scratch, read_table
 
@@ -67,8 +67,12 @@ def op10_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op11_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_knn, op2_vector_best_fit, op3_lsh_forest, op4_byte_cnn_language, op5_greedy_string_tiling,
-    op6_sorted_projections, op7_tag_path_ratios, op8_deletion_lines, op9_pitman_yor, op10_url_vocabulary)}
+    op6_sorted_projections, op7_tag_path_ratios, op8_deletion_lines, op9_pitman_yor, op10_url_vocabulary, op11_ns_bounds)}
 
-ORACLE_SQL = {"op10_url_vocabulary": url_filter.sql()}
+ORACLE_SQL = {"op10_url_vocabulary": url_filter.sql(), "op11_ns_bounds": centroids.sql()}
