@@ -1,4 +1,5 @@
-"""Operators of a training-data pipeline: quality, packing, near-duplicates, language, decontamination, extraction.
+"""Operators of a training-data pipeline: quality, packing, near-duplicates, language, decontamination, extraction,
+language models, URL rules, clustering, conversation tries, personal data.
 
 Nothing else in the library imports this subpackage.  Task functions are
 pickled by value, so executors need no installed copy of the package.

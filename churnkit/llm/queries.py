@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from churnkit.llm import (
     centroids, decontaminate, embedding_dup, html_extract, language, language_model, line_dedup, near_dup, packing,
-    prefix_trie, quality, url_filter,
+    personal_data, prefix_trie, quality, url_filter,
 )
 from churnkit.llm.common import Scratch, read_table
 
@@ -76,10 +76,14 @@ def op12_fingerprint_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op13_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(documents(spark, sf_dir), personal_data.fit(personal_data.labelled_table(spark)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_knn, op2_vector_best_fit, op3_lsh_forest, op4_byte_cnn_language, op5_greedy_string_tiling,
     op6_sorted_projections, op7_tag_path_ratios, op8_deletion_lines, op9_pitman_yor, op10_url_vocabulary, op11_ns_bounds,
-    op12_fingerprint_trie)}
+    op12_fingerprint_trie, op13_crf_personal_data)}
 
 ORACLE_SQL = {"op10_url_vocabulary": url_filter.sql(), "op11_ns_bounds": centroids.sql(),
               "op12_fingerprint_trie": prefix_trie.sql()}
