@@ -429,11 +429,11 @@ def fit_field(texts: list[str], spans: list[list[tuple[str, int, int]]], rounds:
 # ---------------------------------------------------------------- the labelled table
 
 #: Sentences of the labelled table: a slot is replaced by a made value; values of the four kinds are labelled.
-SENTENCES = """write to {email} today|mail: {email}|{email}|contact {email} or {phone}|my address is {email}.|({email})
+SENTENCES = """write to {email} today|mail: {email}|mail {email} now|{name}, {email}|email {email} or call {phone}|{email}|contact {email} or {phone}|my address is {email}.|({email})
 call {phone} now|phone {phone}|tel. {phone}, ask for {name}|{phone}|mobile: {phone}.|fax {phone} / tel {phone}|{name} ({phone})
 card {card} expired|visa {card}|pay with {card} please|{card}|card number: {card}, valid 12/27
 login from {ip}|server {ip} down|host {ip}:8080|{ip}|address {ip}.|from {ip} to {ip}
-{name} is at home|see page {small} at the end|the dot is small|{name} met {name} at {name} dot org meeting|{prose}|{prose}. {prose}
+{name} is at home|see page {small} at the end|the dot is small|{name} met {name} at {name}|{prose}|{prose}. {prose}
 order {long} shipped|id {long}|{long}|invoice {small}-{small}|token = "{hex}"|version {small}.{small}.{small}|on {date} at {time}
 {prose} {email} {prose}|{prose} {phone} {prose}|{prose} {card} {prose}|{prose} {ip} {prose}|{prose} {long} {prose}|{prose} {small} {prose}
 {small} {small} {small} {small}|price {small}.{small} or {small}, {small}|{date} {time} {prose}|{prose} | {prose} | {long} | {prose}

@@ -115,7 +115,7 @@ def test_documents_odd_rows_and_added_spans(spark, field, words):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
     assert out[0].spans == out[1].spans == out[7].spans == ""
-    assert out[2].spans == "email:5:23" and out[5].spans == "phone:6:20"
+    assert out[2].spans == "email:5:27" and out[5].spans == "phone:6:20"
     assert f"phone:{long.index('(555)')}:{long.index('(555)') + 14}" in out[6].spans.split(",")
     assert out[8].spans.split(",")[0] == "card:5:24"
     assert P.find(spark.createDataFrame([], "doc_id bigint, text string"), field).count() == 0
