@@ -1,8 +1,7 @@
 """Feature correlation, distance and clustering.
 
-Correlations are computed over all rows: Arrow batches emit partial
-moment sums per column pair (``mapInPandas``), summed by a Spark
-aggregation.  Everything after that works on the pair table, whose size is
+Correlations are computed over all rows: a task's Arrow batches become packed
+moments of all column pairs, merged up a tree of tasks.  Everything after that works on the pair table, whose size is
 features squared (never rows).  Density clustering (DBSCAN on distances) is
 connected components over core features, found by repeated min-label
 joins; each round is checkpointed to the shared folder.
@@ -13,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
+from churnkit.operators.packed import SCHEMA, merge_tree, packed, unpacked
 from churnkit.operators.util import materialize, small_side
 
 F1, F2, STAT = "feature1", "feature2", "statistic"
@@ -50,60 +50,91 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], method: str = "blocks") -> Da
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def _moments(cols: list[str]):
-    k = len(cols)
-    iu, ju = np.triu_indices(k, 1)
+#: Columns of a tile: a packed tile holds the moments of up to TILE * TILE pairs.
+TILE = 64
+#: Moments of a pair: rows, a shift and the mean's distance from it (both columns), central sums of squares and products.
+MOMENTS = ("n", "hx", "ox", "hy", "oy", "cxx", "cyy", "cxy")
+
+
+def _tiles(k: int) -> list[tuple[range, range]]:
+    """Blocks of rows and columns that hold every pair i < j; a tile's number is its place."""
+    cuts = [range(i, min(i + TILE, k)) for i in range(0, k, TILE)]
+    return [(a, b) for i, a in enumerate(cuts) for b in cuts[i:]]
+
+
+def merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together.  Means are kept as a shift and a distance, so large values lose nothing."""
+    na, hxa, oxa, hya, oya, xxa, yya, xya = a = a.reshape(len(MOMENTS), -1)
+    nb, hxb, oxb, hyb, oyb, xxb, yyb, xyb = b = b.reshape(len(MOMENTS), -1)
+    n = na + nb
+    share = np.divide(nb, n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = (hxb - hxa) + (oxb - oxa), (hyb - hya) + (oyb - oya)
+    w = na * share
+    both = np.stack([n, hxa, oxa + dx * share, hya, oya + dy * share, xxa + xxb + w * dx * dx, yya + yyb + w * dy * dy,
+                     xya + xyb + w * dx * dy])
+    return np.where(na == 0, b, np.where(nb == 0, a, both)).ravel()
+
+
+def _moments(k: int):
+    """A task's rows as one packed array per tile, taken about its first values."""
+    tiles = _tiles(k)
 
     def fn(batches):
         acc, shift = None, None
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-            if shift is None:  # this task's shift: its first values, so a constant column's sums are exactly zero
-                there = ~np.isnan(x)
-                first = np.where(there.any(0), there.argmax(0), 0)
-                shift = np.nan_to_num(x[first, np.arange(k)]) if len(x) else np.zeros(k)
-            x = x - shift
-            m = (~np.isnan(x)).astype("float64")
-            x = np.nan_to_num(x)
+        for b in batches:
+            x = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(k)], 1) if b.num_rows else np.empty((0, k))
+            if not len(x):
+                continue
+            there = ~np.isnan(x)
+            if shift is None:  # a column's first value, so that a constant column's sums are exactly zero
+                shift = np.full(k, np.nan)
+            new = np.isnan(shift) & there.any(0)
+            if new.any():
+                shift[new] = x[there.argmax(0)[new], np.flatnonzero(new)]
+            x = np.nan_to_num(x - shift)
+            m = there.astype("float64")
             x2 = x * x
             part = np.stack([m.T @ m, x.T @ m, m.T @ x, x2.T @ m, m.T @ x2, x.T @ x])
             acc = part if acc is None else acc + part
         if acc is None:
             return
-        yield pd.DataFrame({"i": iu.astype("int32"), "j": ju.astype("int32"),
-                            "n": acc[0][iu, ju], "sx": acc[1][iu, ju], "sy": acc[2][iu, ju],
-                            "sxx": acc[3][iu, ju], "syy": acc[4][iu, ju], "sxy": acc[5][iu, ju],
-                            "hx": shift[iu], "hy": shift[ju]})
+        n, sx, sy, sxx, syy, sxy = acc
+        safe = np.maximum(n, 1)
+        h = np.nan_to_num(shift)
+        hx, hy = np.broadcast_to(h[:, None], n.shape), np.broadcast_to(h[None, :], n.shape)
+        full = np.stack([n, hx, sx / safe, hy, sy / safe, sxx - sx * sx / safe, syy - sy * sy / safe, sxy - sx * sy / safe])
+        yield packed({t: full[:, a.start:a.stop, c.start:c.stop] for t, (a, c) in enumerate(tiles)})
     return fn
 
 
 def corr_pairs_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Same result for wide tables, in one pass over the rows: each task
-    reduces its Arrow batches to pair sums (n, sx, sy, sxx, syy, sxy over rows
-    where both exist), taken about its own shift (its first values).
-    The partial table (``k*(k-1)/2`` rows per task) is then re-centred on
-    the exact pairwise means and summed, so large values lose no precision."""
+    reduces its Arrow batches to packed moments of all pairs (over rows
+    where both exist), one array per tile of 64 x 64 columns.  The tiles are
+    merged up a tree of tasks, so neither rows per pair and task nor
+    anything else is written."""
     cols = list(cols)
-    base = df.select(*[col_(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    names = [f"c{i}" for i in range(len(cols))]
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, hx double, hy double"
-    parts = materialize(base.mapInPandas(_moments(names), schema).where("n > 0"))
-    c = F.col
-    means = parts.groupBy("i", "j").agg(
-        (F.sum(c("sx") + c("n") * c("hx")) / F.sum("n")).alias("mx"),
-        (F.sum(c("sy") + c("n") * c("hy")) / F.sum("n")).alias("my"))
-    j = parts.join(means, ["i", "j"])
-    dx, dy = c("hx") - c("mx"), c("hy") - c("my")
-    s = j.groupBy("i", "j").agg(
-        F.sum("n").alias("n"), F.max(F.abs("mx")).alias("ax"), F.max(F.abs("my")).alias("ay"),
-        F.sum(c("sxx") + 2 * dx * c("sx") + c("n") * dx * dx).alias("cxx"),
-        F.sum(c("syy") + 2 * dy * c("sy") + c("n") * dy * dy).alias("cyy"),
-        F.sum(c("sxy") + dy * c("sx") + dx * c("sy") + c("n") * dx * dy).alias("cxy"))
-    # a constant column leaves only the rounding of its mean
-    varies = (c("cxx") > c("n") * F.pow(F.lit(1e-12) * c("ax"), 2)) & (c("cyy") > c("n") * F.pow(F.lit(1e-12) * c("ay"), 2))
-    r = F.when(varies, F.try_divide(c("cxy"), F.sqrt(c("cxx")) * F.sqrt(c("cyy"))))
-    pos = F.create_map(*[x for i, col in enumerate(cols) for x in (F.lit(i), F.lit(col))])
-    return s.select(pos[c("i")].alias(F1), pos[c("j")].alias(F2), r.alias(STAT))
+    k, tiles = len(cols), _tiles(len(cols))
+    base = df.select(*[F.nanvl(col_(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def pairs(batches):
+        for b in batches:
+            for t, data in unpacked(b):
+                r, c = tiles[t]
+                n, hx, ox, hy, oy, cxx, cyy, cxy = data.reshape(len(MOMENTS), len(r), len(c))
+                keep = (np.arange(r.start, r.stop)[:, None] < np.arange(c.start, c.stop)[None, :]) & (n > 0)
+                i, j = np.nonzero(keep)
+                # a constant column leaves only the rounding of its mean
+                varies = ((cxx > n * (1e-12 * np.abs(hx + ox)) ** 2) & (cyy > n * (1e-12 * np.abs(hy + oy)) ** 2))[keep]
+                bottom = np.sqrt(cxx[keep].clip(0)) * np.sqrt(cyy[keep].clip(0))
+                stat = np.divide(cxy[keep], bottom, out=np.full(len(i), np.nan), where=varies & (bottom > 0))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([cols[x] for x in i + r.start], pa.string()), pa.array([cols[x] for x in j + c.start], pa.string()),
+                     pa.array(stat, pa.float64(), from_pandas=True)], names=[F1, F2, STAT])
+
+    if k < 2:
+        return df.sparkSession.createDataFrame([], f"{F1} string, {F2} string, {STAT} double")
+    return merge_tree(base.mapInArrow(_moments(k), SCHEMA), merge_moments).mapInArrow(pairs, f"{F1} string, {F2} string, {STAT} double")
 
 
 def symmetric(pairs: DataFrame) -> DataFrame:
