@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from churnkit.plans import (  # noqa: F401
-    q_cluster, q_evaluate, q_functions, q_impact, q_leaderboard, q_ml, q_profile, q_reconcile, q_sampling,
+    q_association, q_cluster, q_evaluate, q_functions, q_impact, q_leaderboard, q_ml, q_profile, q_reconcile, q_sampling,
 )
 from churnkit.plans.registry import REGISTRY
 
