@@ -8,21 +8,23 @@ rows.  Splits are hash based (``sampling``), so every run sees the same rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StructType
 
 from churnkit.functions.scalar import col_, unit_hash
 from churnkit.operators.metrics import weighted_binary_metrics
 from churnkit.operators.sampling import group_fold
+from churnkit.operators.splits import duration_masks, duration_windows, fold_masks, in_window
 from churnkit.operators.util import materialize, run_all, small_side
 
 FEATS = "features"
@@ -96,6 +98,78 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str, weight: str | None
     return weighted_binary_metrics(s, label, "p1", w=weight, by=by)
 
 
+@dataclass
+class VectorTable:
+    """Rows with their feature vectors, written once, on which any number of models over subsets of the features is
+    fitted and scored."""
+
+    prepared: PipelineModel
+    rows: DataFrame
+    places: dict[str, list[int]]  # of each feature in the vector
+    numeric: list[str]  # features of two places, the value and an indicator of missing
+
+    def slicer(self, features: Sequence[str]) -> list:
+        """The stage that takes the features' places out of the vector, in the order of a preparation of their own;
+        none for all of them in their order."""
+        if list(features) == list(self.places):
+            return []
+        numeric = [self.places[f] for f in features if f in self.numeric]
+        order = [p[0] for p in numeric] + [p[1] for p in numeric] + [i for f in features if f not in self.numeric for i in self.places[f]]
+        return [VectorSlicer(inputCol=FEATS, outputCol="sliced", indices=order)]
+
+
+def vector_table(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), fit_on: DataFrame | None = None) -> VectorTable:
+    """Prepare ``features`` once.  Categories are those of ``fit_on`` (default: all rows); no label is looked at."""
+    features = list(dict.fromkeys(features))
+    prepared = Pipeline(stages=preparation(features, df.schema)).fit(df if fit_on is None else fit_on)
+    vec = prepared.transform(df)
+    numeric = [f for f in features if isinstance(df.schema[f].dataType, (NumericType, BooleanType))]
+    other = [f for f in features if f not in numeric]
+    places: dict[str, list[int]] = {f: [] for f in features}
+    for group in vec.schema[FEATS].metadata["ml_attr"].get("attrs", {}).values():
+        for attr in group:
+            kind, i = re.match(r"_(value|missing|hot)([0-9]+)", attr["name"]).groups()
+            places[(other if kind == "hot" else numeric)[int(i)]].append(attr["idx"])
+    return VectorTable(prepared, materialize(vec.select(*[col_(c) for c in dict.fromkeys([*keep, label])], FEATS)), places, numeric)
+
+
+@dataclass
+class Fit:
+    """One model: what it is fitted on and scored on, as filters of the vector table; ``keys`` name its metrics."""
+
+    keys: dict
+    kind: str
+    features: Sequence[str]
+    params: dict
+    train: Column
+    held: Column
+
+
+def run_fits(table: VectorTable, fits: Sequence[Fit], label: str, weight: str | None = None, by: Sequence[str] = (),
+             parallelism: int = 3) -> tuple[DataFrame, list[PipelineModel]]:
+    """Fit all models from driver threads, write all held-out scores in one job, and compute all metrics in one grouped job:
+    ``(keys..., by..., metrics...)``, and the fitted models."""
+
+    def one(f: Fit) -> PipelineModel:
+        slicer = table.slicer(f.features)
+        rows = table.rows.where(f.train & col_(label).isNotNull())
+        for s in slicer:
+            rows = s.transform(rows)
+        est = estimator(f.kind, label, weight, **dict(f.params))
+        if slicer:
+            est = est.setFeaturesCol("sliced")
+        return PipelineModel(stages=[*slicer, est.fit(rows.select("sliced" if slicer else FEATS, label, *([weight] if weight else [])))])
+
+    models = run_all(one, fits, parallelism)
+    scored = None
+    for f, m in zip(fits, models):
+        part = probability(m.transform(table.rows.where(f.held))).select(
+            *[F.lit(v).alias(k) for k, v in f.keys.items()], *by, label, "p1", *([weight] if weight else []))
+        scored = part if scored is None else scored.unionByName(part)
+    metrics = weighted_binary_metrics(materialize(scored), label, "p1", w=weight, by=[*fits[0].keys, *by])
+    return metrics, [PipelineModel(stages=[*table.prepared.stages, *m.stages]) for m in models]
+
+
 def hash_partition(df: DataFrame, key: str, validation: float = 0.2, holdout: float = 0.1,
                    seed: int = 0) -> DataFrame:
     u = unit_hash(key, seed)
@@ -114,65 +188,46 @@ class Candidate:
 def train_candidates(df: DataFrame, candidates: Sequence[Candidate], label: str, key: str,
                      weight: str | None = None, seed: int = 0, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Fit every candidate on the training partition; metrics on validation
-    and holdout.  Candidates are independent jobs, submitted from up to
-    ``parallelism`` driver threads.  Returns a long leaderboard
+    and holdout.  Vectors of all candidates' features are written once; a
+    candidate with fewer features takes its places out of them.  Returns a long leaderboard
     ``(model_id, model_type, n_features, partition, metric columns...)`` and
     the fitted models."""
+    features = list(dict.fromkeys(f for c in candidates for f in c.features))
     parted = materialize(hash_partition(df, key, seed=seed))
-    train = parted.where("partition = 'training'")
-    held = parted.where("partition <> 'training'")
-
-    def one(c):
-        m = fit(c.kind, c.features, label, train, weight, **dict(c.params))
-        ev = materialize(evaluate(m, held, label, weight, by=["partition"]))
-        return c, m, ev
-
-    rows, models = [], {}
-    for c, m, ev in run_all(one, list(candidates), parallelism):
-        models[c.model_id] = m
-        rows.append(ev.select(F.lit(c.model_id).alias("model_id"), F.lit(c.kind).alias("model_type"),
-                              F.lit(len(c.features)).alias("n_features"), "*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out, models
+    training = F.col("partition") == "training"
+    table = vector_table(parted, features, label, ["partition", *([weight] if weight else [])], parted.where(training))
+    fits = [Fit({"model_id": c.model_id, "model_type": c.kind, "n_features": len(c.features)}, c.kind, c.features, c.params,
+                training, ~training) for c in candidates]
+    board, models = run_fits(table, fits, label, weight, ["partition"], parallelism)
+    return board, {c.model_id: m for c, m in zip(candidates, models)}
 
 
 def tune_grid(df: DataFrame, kind: str, features: Sequence[str], label: str, key: str,
               grid: Sequence[dict], weight: str | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
     """Each parameter map fitted on the same hash training partition and
-    scored on the same validation partition (not random CV); the fits are
-    independent jobs submitted from up to ``parallelism`` driver threads."""
-    parted = materialize(hash_partition(df, key, seed=seed))
-    train, val = parted.where("partition = 'training'"), parted.where("partition = 'validation'")
+    scored on the same validation partition (not random CV), on vectors written once."""
+    part = F.col("partition")
+    parted = hash_partition(df, key, seed=seed).where(part != "holdout")
+    table = vector_table(parted, features, label, ["partition", *([weight] if weight else [])])
+    fits = [Fit({"grid_id": i, "params": str(sorted(p.items()))}, kind, features, p, part == "training", part == "validation")
+            for i, p in enumerate(grid)]
+    return run_fits(table, fits, label, weight, parallelism=parallelism)[0]
 
-    def one(item):
-        i, params = item
-        m = fit(kind, features, label, train, weight, **dict(params))
-        return materialize(evaluate(m, val, label, weight)).select(
-            F.lit(i).alias("grid_id"), F.lit(str(sorted(params.items()))).alias("params"), "*")
 
-    out = None
-    for ev in run_all(one, list(enumerate(grid)), parallelism):
-        out = ev if out is None else out.unionByName(ev)
-    return out
+#: More distinct folds than this are taken for a wrong column, not for folds.
+MAX_FOLDS = 1000
 
 
 def backtest_score(df: DataFrame, kind: str, features: Sequence[str], label: str, fold_col: str,
                    weight: str | None = None, **params) -> DataFrame:
-    """Fit on all other folds, score each fold: metrics per fold."""
-    base = materialize(df)
-    folds = [r[0] for r in base.select(fold_col).distinct().orderBy(fold_col).collect()]
-
-    def one(f):
-        m = fit(kind, features, label, base.where(F.col(fold_col) != f), weight, **dict(params))
-        return materialize(evaluate(m, base.where(F.col(fold_col) == f), label, weight)) \
-            .select(F.lit(f).alias("fold"), "*")
-
-    out = None
-    for ev in run_all(one, folds):
-        out = ev if out is None else out.unionByName(ev)
-    return out
+    """Fit on all other folds, score each fold: metrics per fold.  More than ``MAX_FOLDS`` folds are refused; rows
+    without a fold are in no model."""
+    table = vector_table(df, features, label, [fold_col, *([weight] if weight else [])])
+    folds = [r[0] for r in table.rows.select(fold_col).where(col_(fold_col).isNotNull()).distinct().limit(MAX_FOLDS + 1).collect()]
+    if len(folds) > MAX_FOLDS:
+        raise ValueError(f"{fold_col} has more than {MAX_FOLDS} values")
+    fits = [Fit({"fold": f}, kind, features, params, col_(fold_col) != f, col_(fold_col) == f) for f in sorted(folds)]
+    return run_fits(table, fits, label, weight)[0]
 
 
 def batch_score(model: PipelineModel, df: DataFrame, features: Sequence[str], threshold: float,
@@ -343,96 +398,63 @@ def select_until_stable(train_eval: Callable[[Sequence[str]], float], select: Ca
 def add_one_back(df: DataFrame, clusters: Sequence[tuple[int, Sequence[str]]], all_features: Sequence[str],
                  label: str, key: str, kind: str = "lr", metric: str = "logloss") -> DataFrame:
     """For each cluster, fit on (features outside the cluster) + one member,
-    for every member; metrics in one table; best member per cluster."""
-    parted = materialize(hash_partition(df, key))
-    train, val = parted.where("partition = 'training'"), parted.where("partition = 'validation'")
-    tasks = [(cid, f, [x for x in all_features if x not in set(members)]) for cid, members in clusters
-             for f in members]
-
-    def one(t):
-        cid, f, stub = t
-        m = fit(kind, [*stub, f], label, train)
-        return materialize(evaluate(m, val, label)).select(
-            F.lit(int(cid)).alias("cluster"), F.lit(f).alias("feature"), F.col(metric).alias("metric"))
-
-    out = None
-    for ev in run_all(one, tasks):
-        out = ev if out is None else out.unionByName(ev)
-    if out is None:
+    for every member; metrics in one table; best member per cluster.  All
+    fits take their places out of the same vectors."""
+    tasks = [(int(cid), f, [x for x in all_features if x not in set(members)]) for cid, members in clusters for f in members]
+    if not tasks:
         return df.sparkSession.createDataFrame([], "cluster int, feature string, metric double, best boolean")
+    part = F.col("partition")
+    table = vector_table(hash_partition(df, key), list(dict.fromkeys([*all_features, *(f for _, f, _ in tasks)])), label, ["partition"])
+    fits = [Fit({"cluster": cid, "feature": f}, kind, [*stub, f], {}, part == "training", part == "validation") for cid, f, stub in tasks]
+    out = run_fits(table, fits, label)[0].select("cluster", "feature", F.col(metric).alias("metric"))
     lower = metric in ("logloss", "rmse")
     w = Window.partitionBy("cluster").orderBy(F.col("metric").asc() if lower else F.col("metric").desc(), "feature")
     return out.withColumn("best", F.row_number().over(w) == 1)
 
 
+def _fold_vectors(df: DataFrame, date: str, folds: DataFrame, features: Sequence[str], label: str, weight: str | None,
+                  windows: DataFrame | None = None) -> tuple[VectorTable, list, list]:
+    """Vectors of all rows with a role, written once, with a bit per fold (and per training window)."""
+    rows, ids = fold_masks(df, date, folds)
+    masks, pairs = ["train_mask", "validation_mask"], []
+    if windows is not None:
+        rows, pairs = duration_masks(rows, date, windows)
+        masks.append("duration_mask")
+    used = F.lit(False)
+    for m in masks:
+        used = used | F.exists(m, lambda w: w != 0)
+    return vector_table(rows.where(used), features, label, [*masks, *([weight] if weight else [])]), ids, pairs
+
+
 def backtest_time(df: DataFrame, date: str, folds: DataFrame, kind: str, features: Sequence[str], label: str,
                   weight: str | None = None, **params) -> DataFrame:
     """Time backtests: for each fold, fit on its training rows (before the
-    gap) and score its validation window.  Rows get their role per fold
-    from the (broadcast, n-row) fold table once; the folds run from driver
-    threads."""
-    from churnkit.operators.splits import assign_roles
-    roles = materialize(assign_roles(df, date, folds).where(F.col("role").isin("train", "validation")))
-    ids = [r[0] for r in folds.select("fold").orderBy("fold").collect()]
-
-    def one(f):
-        part = roles.where(F.col("fold") == f)
-        m = fit(kind, features, label, part.where("role = 'train'"), weight, **dict(params))
-        return materialize(evaluate(m, part.where("role = 'validation'"), label, weight)) \
-            .select(F.lit(int(f)).alias("fold"), "*")
-
-    out = None
-    for ev in run_all(one, ids):
-        out = ev if out is None else out.unionByName(ev)
-    return out
+    gap) and score its validation window.  Every row is written once, with a
+    bit per fold for each role."""
+    table, ids, _ = _fold_vectors(df, date, folds, features, label, weight)
+    fits = [Fit({"fold": int(f)}, kind, features, params, in_window("train_mask", k), in_window("validation_mask", k))
+            for k, f in enumerate(ids)]
+    return run_fits(table, fits, label, weight)[0]
 
 
 def duration_grid_score(df: DataFrame, date: str, folds: DataFrame, months: Sequence[int], kind: str,
                         features: Sequence[str], label: str, weight: str | None = None, **params) -> DataFrame:
     """Training-duration search: for each fold and each duration, fit on the
-    last ``d`` months before the gap and score the fold's validation window.
-    The (fold x duration) table is tiny; the fits run from driver threads."""
-    from churnkit.operators.splits import assign_roles, duration_slices, duration_windows
-    win = duration_windows(folds, months)
-    train = materialize(duration_slices(df, date, win).select("fold", "months", *features, label,
-                                                              *([weight] if weight else [])))
-    val = materialize(assign_roles(df, date, folds).where("role = 'validation'")
-                      .select("fold", *features, label, *([weight] if weight else [])))
-    grid = [(r["fold"], r["months"]) for r in win.select("fold", "months").orderBy("fold", "months").collect()]
-
-    def one(fm):
-        f, mth = fm
-        m = fit(kind, features, label, train.where((F.col("fold") == f) & (F.col("months") == mth)),
-                weight, **dict(params))
-        return materialize(evaluate(m, val.where(F.col("fold") == f), label, weight)) \
-            .select(F.lit(int(f)).alias("fold"), F.lit(int(mth)).alias("months"), "*")
-
-    out = None
-    for ev in run_all(one, grid):
-        out = ev if out is None else out.unionByName(ev)
-    return out
+    last ``d`` months before the gap and score the fold's validation window;
+    a bit per (fold, duration) marks a row's training windows."""
+    table, ids, pairs = _fold_vectors(df, date, folds, features, label, weight, duration_windows(folds, months))
+    fits = [Fit({"fold": int(f), "months": int(m)}, kind, features, params, in_window("duration_mask", k),
+                in_window("validation_mask", ids.index(f))) for k, (f, m) in enumerate(pairs)]
+    return run_fits(table, fits, label, weight)[0]
 
 
 def tune_on_backtests(df: DataFrame, date: str, folds: DataFrame, kind: str, features: Sequence[str], label: str,
                       grid: Sequence[dict], weight: str | None = None) -> DataFrame:
     """Every parameter map on every time fold (fit on the fold's training
     rows, score its validation window); per-fold metrics plus the mean AUC
-    per map.  The fits are independent jobs run from driver threads."""
-    from churnkit.operators.splits import assign_roles
-    roles = materialize(assign_roles(df, date, folds).where(F.col("role").isin("train", "validation")))
-    ids = [r[0] for r in folds.select("fold").orderBy("fold").collect()]
-    tasks = [(g, f) for g in range(len(grid)) for f in ids]
-
-    def one(t):
-        g, f = t
-        part = roles.where(F.col("fold") == f)
-        m = fit(kind, features, label, part.where("role = 'train'"), weight, **dict(grid[g]))
-        return materialize(evaluate(m, part.where("role = 'validation'"), label, weight)).select(
-            F.lit(g).alias("grid_id"), F.lit(str(sorted(grid[g].items()))).alias("params"),
-            F.lit(int(f)).alias("fold"), "*")
-
-    out = None
-    for ev in run_all(one, tasks):
-        out = ev if out is None else out.unionByName(ev)
-    from pyspark.sql import Window
+    per map.  All fits read the same vectors."""
+    table, ids, _ = _fold_vectors(df, date, folds, features, label, weight)
+    fits = [Fit({"grid_id": g, "params": str(sorted(p.items())), "fold": int(f)}, kind, features, p,
+                in_window("train_mask", k), in_window("validation_mask", k)) for g, p in enumerate(grid) for k, f in enumerate(ids)]
+    out = run_fits(table, fits, label, weight)[0]
     return out.withColumn("mean_auc", F.avg("auc").over(Window.partitionBy("grid_id")))

@@ -159,6 +159,21 @@ def q_durations(spark, sf):
             .groupBy("fold", "months", "train_start", "train_end").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query("fold_role_masks", "2.13", sql=f"""WITH {_FOLDS_SQL},
+w AS (SELECT fold, 0 AS months, 'train' AS role, DATE '0001-01-01' AS a, LEAST(train_end, holdout_start) AS b FROM folds
+      UNION ALL SELECT fold, 0, 'validation', val_start, LEAST(val_end, holdout_start) FROM folds
+      UNION ALL SELECT fold, m, 'duration', CAST(train_end - to_months(m) AS DATE), train_end FROM folds, (SELECT UNNEST([1, 2, 4]) AS m) g)
+SELECT w.fold, w.months, w.role, COUNT(*) AS n FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) o
+JOIN w ON o.d >= w.a AND o.d < w.b GROUP BY 1, 2, 3""")
+def q_masks(spark, sf):
+    """Rows of every fold role and training window, counted in one pass over rows that carry their roles as bits."""
+    o, folds = _folds(spark, sf)
+    rows, ids = sp.fold_masks(o, "o_orderdate", folds)
+    rows, pairs = sp.duration_masks(rows, "o_orderdate", sp.duration_windows(folds, [1, 2, 4]))
+    return sp.mask_counts(rows, {"train": ("train_mask", [(f, 0) for f in ids]), "validation": ("validation_mask", [(f, 0) for f in ids]),
+                                 "duration": ("duration_mask", pairs)}, ["fold", "months"])
+
+
 @query("weighted_auc_downsampled", "2.14", r6=["n_pos", "n_neg", "auc", "ks", "average_precision", "max_mcc"],
        sql=f"""
 WITH d AS ({_DS_SQL}),
