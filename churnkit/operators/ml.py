@@ -12,6 +12,8 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
@@ -22,10 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StructType
 
 from churnkit.functions.scalar import col_, unit_hash
-from churnkit.operators.metrics import weighted_binary_metrics
+from churnkit.operators.histogram import METRICS, add, columns, empty, metrics, score_edges
+from churnkit.operators.metrics import present, weighted_binary_metrics
+from churnkit.operators.packed import SCHEMA, merge_tree, packed, unpacked
 from churnkit.operators.sampling import group_fold
+from churnkit.operators.scorer import scorer
 from churnkit.operators.splits import duration_masks, duration_windows, fold_masks, in_window
-from churnkit.operators.util import materialize, run_all, small_side
+from churnkit.operators.util import materialize, run_all
 
 FEATS = "features"
 
@@ -166,8 +171,8 @@ def run_fits(table: VectorTable, fits: Sequence[Fit], label: str, weight: str |
         part = probability(m.transform(table.rows.where(f.held))).select(
             *[F.lit(v).alias(k) for k, v in f.keys.items()], *by, label, "p1", *([weight] if weight else []))
         scored = part if scored is None else scored.unionByName(part)
-    metrics = weighted_binary_metrics(materialize(scored), label, "p1", w=weight, by=[*fits[0].keys, *by])
-    return metrics, [PipelineModel(stages=[*table.prepared.stages, *m.stages]) for m in models]
+    board = weighted_binary_metrics(materialize(scored), label, "p1", w=weight, by=[*fits[0].keys, *by])
+    return board, [PipelineModel(stages=[*table.prepared.stages, *m.stages]) for m in models]
 
 
 def hash_partition(df: DataFrame, key: str, validation: float = 0.2, holdout: float = 0.1,
@@ -251,6 +256,64 @@ def batch_score(model: PipelineModel, df: DataFrame, features: Sequence[str], th
                     F.lit(float(threshold)).alias("THRESHOLD"), F.lit(positive_class).alias("POSITIVE_CLASS"))
 
 
+#: Blend combinations are a list that people choose from; more of them than this are refused.
+MAX_COMBINATIONS = 100_000
+
+
+def _combinations(combos: DataFrame, model_col: str) -> list[tuple]:
+    """``(combo_id, models)`` of a combination table."""
+    rows = combos.groupBy("combo_id").agg(F.sort_array(F.collect_set(model_col)).alias("m")).limit(MAX_COMBINATIONS + 1).collect()
+    if len(rows) > MAX_COMBINATIONS:
+        raise ValueError(f"more than {MAX_COMBINATIONS} combinations")
+    return sorted((r["combo_id"], list(r["m"])) for r in rows)
+
+
+def blend_metrics(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row: Sequence[str], label: str,
+                  model_col: str = "model", p_col: str = "p", bins: int = 1024) -> DataFrame:
+    """``(combo_id, method, metrics...)`` of every blend, judged on ``label``, without a row per row and combination.
+
+    Predictions ``(row..., label, model, p)`` are shuffled once, to one row
+    with a column per model; a task blends them in numpy and keeps a score
+    histogram per combination and method, merged up a tree.  What is
+    shuffled after the first step grows with tasks and bins, not with rows times
+    combinations."""
+    sets = _combinations(combos, model_col)
+    models = sorted({m for _, ms in sets for m in ms})
+    if not models:
+        return preds.sparkSession.createDataFrame([], f"combo_id string, method string, {columns()}")
+    edges = score_edges(preds, p_col, bins)
+    p = F.nanvl(col_(p_col).cast("double"), F.lit(None).cast("double"))
+    wide = preds.groupBy(*row).agg(F.max((col_(label) >= 1).cast("double")).alias("_y"),
+                                   *[F.max(F.when(col_(model_col) == m, p)).alias(f"_m{i}") for i, m in enumerate(models)])
+    places = [(c, np.array([models.index(m) for m in ms])) for c, ms in sets]
+    how = {"AVG": np.nanmean, "MED": np.nanmedian, "MIN": np.nanmin, "MAX": np.nanmax}
+
+    def count(batches):
+        totals = {t: empty(edges) for t in range(len(places) * len(methods))}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.stack([b[f"_m{i}"].to_numpy(zero_copy_only=False) for i in range(len(models))], 1).astype(np.float64)
+            y = b["_y"].to_numpy(zero_copy_only=False).astype(np.float64)
+            for c, (_, at) in enumerate(places):
+                own = x[:, at]
+                some = ~np.isnan(own).all(1) & ~np.isnan(y)
+                for i, method in enumerate(methods):
+                    if some.any():
+                        add(totals[c * len(methods) + i], edges, how[method](own[some], axis=1), y[some], np.ones(int(some.sum())))
+        yield packed(totals)
+
+    merged = merge_tree(wide.drop(*row).mapInArrow(count, SCHEMA), np.add)
+
+    def finish(batches):
+        for b in batches:
+            rows = [(places[t // len(methods)][0], methods[t % len(methods)], *metrics(data).values()) for t, data in unpacked(b)]
+            kinds = [pa.string(), pa.string(), *[pa.float64()] * len(METRICS)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=["combo_id", "method", *METRICS])
+
+    return merged.mapInArrow(finish, f"combo_id string, method string, {columns()}")
+
+
 def blend_all(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row: Sequence[str],
               model_col: str = "model", p_col: str = "p", extra: dict | None = None) -> DataFrame:
     """Blend long predictions ``(row..., model, p)`` over each combination
@@ -261,10 +324,12 @@ def blend_all(preds: DataFrame, combos: DataFrame, methods: Sequence[str], row:
     combination then is array arithmetic in that row."""
     one = preds.groupBy(*row).agg(F.collect_list(F.struct(col_(model_col).alias("m"), col_(p_col).alias("p"))).alias("_preds"),
                                   *[v.alias(k) for k, v in (extra or {}).items()])
-    sets = small_side(combos.groupBy("combo_id").agg(F.collect_set(model_col).alias("_members")))
+    sets = _combinations(combos, model_col)
     # every row has an output for every combination of the short list
-    own = F.transform(F.filter("_preds", lambda x: F.array_contains(F.col("_members"), x["m"]) & x["p"].isNotNull()), lambda x: x["p"])
-    each = one.crossJoin(sets).withColumn("_p", F.array_sort(own)).where(F.size("_p") > 0)
+    listed = F.array(*[F.struct(F.lit(c).alias("combo_id"), F.array(*map(F.lit, m)).alias("members")) for c, m in sets])
+    own = F.transform(F.filter("_preds", lambda x: F.array_contains(F.col("_c.members"), x["m"]) & x["p"].isNotNull()), lambda x: x["p"])
+    each = (one.select("*", F.explode(listed).alias("_c")).withColumn("_p", F.array_sort(own)).where(F.size("_p") > 0)
+            .withColumn("combo_id", F.col("_c.combo_id")))
     n = F.size("_p")
     at = lambda k: F.element_at("_p", k.cast("int"))
     how = {"AVG": F.aggregate("_p", F.lit(0.0), lambda a, x: a + x) / n, "MIN": F.element_at("_p", 1), "MAX": F.element_at("_p", -1),
@@ -301,48 +366,51 @@ def stack(preds_wide: DataFrame, inputs: Sequence[str], label: str, key: Sequenc
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str,
                            key: str, metric: str = "auc", buckets: int | None = None, seed: int = 1,
-                           rows_per_bucket: int = 2_000_000) -> DataFrame:
+                           bins: int = 1024, trained_on: Sequence[str] | None = None) -> DataFrame:
     """Drop of ``metric`` when one feature's values are shuffled, over all rows.
 
-    Rows are dealt into hash buckets (of the whole row, so a key that repeats
-    is spread) and ordered by another hash; a shuffled value is that of the
-    next row of the bucket, the last row taking the first one's.  So one
-    shuffle and one window serve all features; each row is then expanded
-    into its unshuffled and its shuffled copies, all are scored in one pass,
-    and the metric is computed per copy in one grouped aggregation.
+    Rows are dealt at random (by a hash of their place in the written table,
+    so equal rows spread) to ``buckets`` tasks (default: the session's shuffle partitions).  The fitted
+    model goes to the tasks as arrays; a task scores an Arrow batch once as
+    it is and once for each feature with that column moved on by one
+    row, and keeps a score histogram per feature.  Histograms are merged up
+    a tree; no row is copied per feature.  Features that the model does
+    not use (``trained_on`` names those it was fitted on, if others) score 0.
     Returns ``(featureName, impactUnnormalized, impactNormalized)``."""
-    base = materialize(df)
-    if buckets is None:  # bucket count grows with the data: no bucket exceeds rows_per_bucket on average
-        buckets = max(64, -(-base.count() // rows_per_bucket))
-    cols, features = list(base.columns), list(features)
-    whole = [col_(c) for c in cols]
-    dealt = base.withColumn("_b", F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(int(buckets)))) \
-        .withColumn("_o", F.xxhash64(F.lit(seed + 101), *whole))
-    w = Window.partitionBy("_b").orderBy("_o", col_(key))
-    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = dealt.select(*whole, F.lead(F.lit(True)).over(w).alias("_next"),
-                         *[F.struct(F.lead(col_(f)).over(w).alias("n"), F.first(col_(f)).over(every).alias("f")).alias(f"_m{i}")
-                           for i, f in enumerate(features)])
-    rest = [c for c in cols if c not in features]
-
-    def copy(name: str):
-        return F.struct(F.lit(name).alias("_perm"), *[
-            (F.when(F.col("_next"), F.col(f"_m{i}.n")).otherwise(F.col(f"_m{i}.f")) if f == name else col_(f)).alias(f)
-            for i, f in enumerate(features)])
-
-    copies = moved.select(*[col_(c) for c in rest], F.explode(F.array(*map(copy, ["__none__", *features]))).alias("_c")) \
-        .select(*[col_(c) for c in rest], "_c.*")
-    scores = materialize(probability(model.transform(copies)).select("_perm", label, "p1"))
-    met = weighted_binary_metrics(scores, label, "p1", by=["_perm"]).select("_perm", F.col(metric).alias("m"))
-    ref = met.where("_perm = '__none__'").select(F.col("m").alias("_ref"))
-    higher = metric not in ("logloss", "rmse")
-    drop = (F.col("_ref") - F.col("m")) if higher else (F.col("m") - F.col("_ref"))
-    imp = (met.where("_perm <> '__none__'").withColumn("_g", F.lit(0))
-           .join(F.broadcast(ref.withColumn("_g", F.lit(0))), "_g")
-           .select(F.col("_perm").alias("featureName"), drop.alias("impactUnnormalized")))
-    imp = materialize(imp)
-    mx = imp.agg(F.max("impactUnnormalized")).first()[0]
-    return imp.withColumn("impactNormalized", F.col("impactUnnormalized") / F.lit(mx) if mx else F.lit(None))
+    features = list(features)
+    used = list(features if trained_on is None else trained_on)
+    base = materialize(df.where(present(label)).select(*[col_(c) for c in dict.fromkeys([*used, label])]))
+    arrays = scorer(model, used, base)
+    edges = score_edges(probability(model.transform(base)), "p1", bins)
+    rows = base.select(*arrays.inputs(), (col_(label) >= 1).cast("double").alias("_y"),
+                       F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("_o"))
+    rows = rows.repartition(buckets, "_o") if buckets else rows.repartition("_o")
+    moved = [f for f in features if f in used]
+
+    def count(batches):
+        totals = [empty(edges) for _ in range(len(moved) + 1)]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            y, w = b["_y"].to_numpy(), np.ones(b.num_rows)
+            parts = {f: arrays.places(f, b[f]) for f in arrays.features}
+            add(totals[0], edges, arrays.score(parts), y, w)
+            for total, f in zip(totals[1:], moved):
+                add(total, edges, arrays.score({**parts, f: np.roll(parts[f], 1, 0)}), y, w)
+        yield packed(dict(enumerate(totals)))
+
+    found = merge_tree(rows.sortWithinPartitions("_o").mapInArrow(count, SCHEMA), np.add).collect()  # a histogram per feature
+    measured = {r["tile"]: metrics(np.frombuffer(r["data"])) for r in found}
+    ref = measured.get(0, {}).get(metric)
+    sign = 1 if metric not in ("logloss", "rmse") else -1
+    impact = {f: 0.0 for f in features if f not in moved}
+    for i, f in enumerate(moved, 1):
+        value = measured.get(i, {}).get(metric)
+        impact[f] = None if value is None or ref is None else sign * (ref - value)
+    top = max((v for v in impact.values() if v is not None), default=None)
+    return df.sparkSession.createDataFrame(
+        [(f, impact[f], impact[f] / top if top and impact[f] is not None else None) for f in features],
+        "featureName string, impactUnnormalized double, impactNormalized double")
 
 
 def contribution_impact(df: DataFrame, coefficients: dict[str, float]) -> DataFrame:

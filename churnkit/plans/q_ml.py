@@ -100,6 +100,17 @@ def q_perm(spark, sf):
     return ml.permutation_importance(m, df.where("partition <> 'training'"), FEATS, LABEL, KEY)
 
 
+@query("permutation_unused_feature", "2.10", sql="""SELECT 'unused' AS featureName, CAST(0.0 AS DOUBLE) AS impactUnnormalized, true AS others_move
+UNION ALL SELECT 'constant', CAST(0.0 AS DOUBLE), true""")
+def q_perm_unused(spark, sf):
+    """Impact of a feature that the model does not use and of one that is the same in every row: exactly 0."""
+    df = materialize(ml.hash_partition(base(spark, sf), KEY).withColumn("unused", F.col("l_discount") * 2).withColumn("constant", F.lit(3.5)))
+    m = ml.fit("lr", [*FEATS, "constant"], LABEL, df.where("partition = 'training'"))
+    imp = ml.permutation_importance(m, df, [*FEATS, "constant", "unused"], LABEL, KEY, "logloss", trained_on=[*FEATS, "constant"])
+    moved = imp.agg(F.max(F.abs("impactUnnormalized")) > 0).first()[0]
+    return imp.where(~F.col("featureName").isin(FEATS)).select("featureName", "impactUnnormalized", F.lit(moved).alias("others_move"))
+
+
 @query("linear_contribution_impact", "2.10")
 def q_linear(spark, sf):
     """Mean |coef * (x - mean)| per feature of the logistic model."""
@@ -121,17 +132,26 @@ def q_linear_fixed(spark, sf):
 
 @query("ratio_decay_search", "2.10")
 def q_decay(spark, sf):
-    """Select by accumulated importance, retrain, square the ratio on no gain; three lives."""
+    """Select by accumulated importance, retrain, square the ratio on no gain; three lives.  A better model's own
+    impacts are what the next round selects by."""
     df, m = fitted(spark, sf)
-    imp = ml.permutation_importance(m, df.where("partition = 'validation'"), FEATS, LABEL, KEY)
-    imp = materialize(imp.withColumn("model_id", F.lit(0)).withColumn("redundantWith", F.lit(None).cast("string")))
     train, val = df.where("partition = 'training'"), df.where("partition = 'validation'")
 
+    def impacts(model, feats):
+        return (ml.permutation_importance(model, val, feats, LABEL, KEY).withColumn("model_id", F.lit(0))
+                .withColumn("redundantWith", F.lit(None).cast("string")))
+
+    now = {"impacts": impacts(m, FEATS), "best": None}
+
     def select(ratio):
-        return [r[0] for r in im.accumulate_select(imp, ratio).select("featureName").collect()]
+        return [r[0] for r in im.accumulate_select(now["impacts"], ratio).select("featureName").collect()]
 
     def train_eval(feats):
-        return ml.evaluate(ml.fit("lr", feats, LABEL, train), val, LABEL).select("auc").first()[0]
+        model = ml.fit("lr", feats, LABEL, train)
+        auc = ml.evaluate(model, val, LABEL).select("auc").first()[0]
+        if now["best"] is None or auc > now["best"]:
+            now.update(best=auc, impacts=impacts(model, feats))
+        return auc
 
     hist = ml.select_until_stable(train_eval, select, 0.95, lives=3)
     return spark.createDataFrame(hist, "round int, ratio double, n_features int, metric double, improved boolean, lives int")
@@ -175,6 +195,26 @@ def q_blend(spark, sf):
     return curve_metrics(b, "y", "p", by=["method"]).select("method", "auc", "average_precision")
 
 
+@query("blend_histograms", "2.13", sql=rc.sql("""
+SELECT m.method, CAST(SUM(CASE WHEN true_churned >= 1 THEN 1 ELSE 0 END) AS DOUBLE) AS n_pos,
+  CAST(SUM(CASE WHEN true_churned >= 1 THEN 0 ELSE 1 END) AS DOUBLE) AS n_neg, true AS near_exact
+FROM scored, (VALUES ('AVG'), ('MED'), ('MIN'), ('MAX')) m(method)
+WHERE true_churned IS NOT NULL GROUP BY m.method"""))
+def q_blend_histograms(spark, sf):
+    """The same blends from score histograms filled in the tasks: class totals, and whether AUC and average precision
+    are within 0.005 of the exact ones."""
+    row, methods = rc.ROW_KEY, ["AVG", "MED", "MIN", "MAX"]
+    s = rc.both_scored(spark, sf)
+    preds = materialize(s.select(*row, "true_churned", F.lit("intent").alias("model"), F.col("churned_1_PREDICTION").alias("p"))
+                        .unionByName(s.select(*row, "true_churned", F.lit("rule").alias("model"), (F.col("bin_sum") / 15.0).alias("p"))))
+    combos = spark.createDataFrame([("intent+rule", "intent"), ("intent+rule", "rule")], "combo_id string, model string")
+    rough = ml.blend_metrics(preds, combos, methods, row, "true_churned")
+    exact = curve_metrics(ml.blend_all(preds, combos, methods, row, extra={"y": F.max("true_churned")}), "y", "p", by=["method"])
+    both = rough.join(exact.select("method", F.col("auc").alias("a"), F.col("average_precision").alias("b")), "method")
+    return both.select("method", "n_pos", "n_neg", ((F.abs(F.col("auc") - F.col("a")) < 0.005)
+                                                    & (F.abs(F.col("average_precision") - F.col("b")) < 0.005)).alias("near_exact"))
+
+
 _DRIFT_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 _CUT = "TIMESTAMP '1996-01-01 00:00:00'"
 
