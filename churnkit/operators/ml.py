@@ -256,6 +256,8 @@ def batch_score(model: PipelineModel, df: DataFrame, features: Sequence[str], th
                     F.lit(float(threshold)).alias("THRESHOLD"), F.lit(positive_class).alias("POSITIVE_CLASS"))
 
 
+#: Rows (those of the smallest hashes) whose blends place the edges of the histograms, into which all rows are counted.
+EDGE_ROWS = 20_000
 #: Blend combinations are a list that people choose from; more of them than this are refused.
 MAX_COMBINATIONS = 100_000
 
@@ -281,29 +283,38 @@ def blend_metrics(preds: DataFrame, combos: DataFrame, methods: Sequence[str], r
     models = sorted({m for _, ms in sets for m in ms})
     if not models:
         return preds.sparkSession.createDataFrame([], f"combo_id string, method string, {columns()}")
-    edges = score_edges(preds, p_col, bins)
     p = F.nanvl(col_(p_col).cast("double"), F.lit(None).cast("double"))
-    wide = preds.groupBy(*row).agg(F.max((col_(label) >= 1).cast("double")).alias("_y"),
-                                   *[F.max(F.when(col_(model_col) == m, p)).alias(f"_m{i}") for i, m in enumerate(models)])
+    wide = materialize(preds.groupBy(*row).agg(
+        F.max((col_(label) >= 1).cast("double")).alias("_y"), F.min(F.xxhash64(*map(col_, row))).alias("_o"),
+        *[F.max(F.when(col_(model_col) == m, p)).alias(f"_m{i}") for i, m in enumerate(models)]).drop(*row))
     places = [(c, np.array([models.index(m) for m in ms])) for c, ms in sets]
     how = {"AVG": np.nanmean, "MED": np.nanmedian, "MIN": np.nanmin, "MAX": np.nanmax}
 
+    def blended(batch):
+        """Every blend's scores and their labels, of the rows that have both."""
+        x = np.stack([batch[f"_m{i}"].to_numpy(zero_copy_only=False) for i in range(len(models))], 1).astype(np.float64)
+        y = batch["_y"].to_numpy(zero_copy_only=False).astype(np.float64)
+        for c, (_, at) in enumerate(places):
+            own = x[:, at]
+            some = ~np.isnan(own).all(1) & ~np.isnan(y)
+            for i, method in enumerate(methods):
+                if some.any():
+                    yield c * len(methods) + i, how[method](own[some], axis=1), y[some]
+
+    few = wide.orderBy("_o").limit(EDGE_ROWS).toArrow().combine_chunks()
+    shares = np.arange(1, bins) / bins
+    edges = {t: np.unique(np.quantile(v, shares, method="nearest")) for b in few.to_batches(EDGE_ROWS) for t, v, _ in blended(b)}
+    edges = {t: edges.get(t, np.empty(0)) for t in range(len(places) * len(methods))}
+
     def count(batches):
-        totals = {t: empty(edges) for t in range(len(places) * len(methods))}
+        totals = {t: empty(e) for t, e in edges.items()}
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.stack([b[f"_m{i}"].to_numpy(zero_copy_only=False) for i in range(len(models))], 1).astype(np.float64)
-            y = b["_y"].to_numpy(zero_copy_only=False).astype(np.float64)
-            for c, (_, at) in enumerate(places):
-                own = x[:, at]
-                some = ~np.isnan(own).all(1) & ~np.isnan(y)
-                for i, method in enumerate(methods):
-                    if some.any():
-                        add(totals[c * len(methods) + i], edges, how[method](own[some], axis=1), y[some], np.ones(int(some.sum())))
+            if b.num_rows:
+                for t, v, y in blended(b):
+                    add(totals[t], edges[t], v, y, np.ones(len(v)))
         yield packed(totals)
 
-    merged = merge_tree(wide.drop(*row).mapInArrow(count, SCHEMA), np.add)
+    merged = merge_tree(wide.drop("_o").mapInArrow(count, SCHEMA), np.add)
 
     def finish(batches):
         for b in batches:
