@@ -133,6 +133,25 @@ def reduced_lists(impacts: DataFrame, scopes: DataFrame, ratio: float = 0.95) ->
     return accumulate_select(impacts.join(scopes, MODEL), ratio, by=["scope"])
 
 
+def cross_board_select(boards: DataFrame, ks: dict, impacts: DataFrame, score: str, ascending: bool = False, ratio: float = 0.99,
+                       board: str = "board") -> DataFrame:
+    """The best ``ks[b]`` models of each board ``b``, their impacts ensembled at ``ratio``: per scope (``all`` boards
+    together, and each board) the features that hold ``ratio`` of the summed impact, best median rank first.
+
+    One plan: picks, scopes and impacts meet in one join per table, and all
+    scopes are selected side by side.  A feature that only some boards know is
+    ranked among the models that know it.  ``(scope, position, featureName, n_models)``."""
+    from churnkit.operators.leaderboard import top_of_each
+    picked = top_of_each(boards, board, ks, score, ascending).select(F.col(board).alias("_b"), MODEL)
+    scopes = (picked.select(F.lit("all").alias("scope"), MODEL).distinct()
+              .unionByName(picked.select(F.concat(F.lit("board:"), "_b").alias("scope"), MODEL)))
+    ranked = rank_impacts(impacts, model=MODEL) if "rank" not in impacts.columns else impacts
+    chosen = ranked.join(scopes, MODEL)
+    known = chosen.groupBy("scope", FEATURE).agg(F.countDistinct(MODEL).alias("n_models"))
+    return fire_select(chosen, ratio, use_ranks=True, by=["scope"]).join(known, ["scope", FEATURE]).select(
+        "scope", "position", FEATURE, "n_models")
+
+
 def impact_pivot(impacts: DataFrame, models: Sequence) -> DataFrame:
     """Unnormalised impact per feature, one column per model."""
     return (impacts.groupBy(FEATURE).pivot(MODEL, list(models)).agg(F.first(UNNORM))

@@ -229,7 +229,39 @@ def q_replace(spark, sf):
     agg = load(spark, sf, "orders", ["o_custkey"]).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
     io.replace_table(agg, path)
     io.replace_table(agg, path)  # replacing is idempotent
-    return spark.read.parquet(path)
+    return io.read_table(spark, path)
+
+
+@query("replace_table_catalog", "2.1", sql="SELECT o_custkey, COUNT(*) AS n_orders, SUM(o_totalprice) AS total FROM orders GROUP BY o_custkey",
+       r6=["total"])
+def q_replace_catalog(spark, sf):
+    """A catalog table replaced by one with another column, read by its name."""
+    name = f"churnkit_replace_{uuid.uuid4().hex[:8]}"
+    orders = load(spark, sf, "orders", ["o_custkey", "o_totalprice"])
+    io.replace_table(orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders")), name)
+    io.replace_table(orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total")), name)
+    return io.read_table(spark, name)
+
+
+@query("load_csv_quarantine", "2.1", sql="""
+SELECT 'good' AS what, COUNT(*) AS n, SUM(l_orderkey) AS keys, 'bigint,double,date,string' AS types FROM lineitem WHERE l_linenumber <> 6
+UNION ALL SELECT 'rejected', COUNT(*), NULL, NULL FROM lineitem WHERE l_linenumber = 6""")
+def q_quarantine(spark, sf):
+    """Line items as CSV in which every sixth line of an order has a field too many: rejected lines are counted and the
+    others get the narrowest types, the file read once."""
+    path = _scratch(spark, "csv")
+    li = load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag"])
+    quantity = F.when(F.col("l_linenumber") == 1, F.format_string("%.2f", "l_quantity")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    line = F.concat_ws(",", "l_orderkey", quantity, F.to_date("l_shipdate").cast("string"), "l_returnflag",
+                       F.when(F.col("l_linenumber") == 6, F.lit("more")))
+    header = ["key", "quantity", "shipped", "flag"]
+    li.select(line.alias("value")).write.text(path)
+    got = io.load_csv_checked(spark, path, header)
+    good = got.rows.agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("keys"))
+    return (good.select(F.lit("good").alias("what"), "n", "keys", F.lit(",".join(got.types.values())).alias("types"))
+            .unionByName(got.rejected.agg(F.count(F.lit(1)).alias("n"))
+                         .select(F.lit("rejected").alias("what"), "n", F.lit(None).cast("bigint").alias("keys"),
+                                 F.lit(None).cast("string").alias("types"))))
 
 
 @query("versioned_output_name", "2.1", sql=fixtures.with_views(

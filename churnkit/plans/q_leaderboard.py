@@ -177,6 +177,36 @@ def q_cross_board(spark, sf):
         .select("model_id", "board", "auc_validation", "board_rank")
 
 
+_BOARDS_SQL = {
+    "boards": "SELECT *, CASE WHEN featurelist_name IN ('fl0', 'fl1') THEN 'a' ELSE 'b' END AS board FROM leaderboard",
+    "picked": "SELECT board, model_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY board ORDER BY auc_validation DESC NULLS LAST, model_id) "
+              "AS r FROM boards) x WHERE r <= CASE board WHEN 'a' THEN 4 ELSE 3 END",
+    "imp": "SELECT l_suppkey AS model_id, 'f' || CAST(l_partkey % 40 AS VARCHAR) AS featureName, SUM(l_quantity) AS u FROM lineitem GROUP BY ALL",
+    "ranked": "SELECT *, ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY u DESC, featureName) - 1 AS rank FROM imp",
+    "scopes": "SELECT DISTINCT 'all' AS scope, model_id FROM picked UNION ALL SELECT 'board:' || board, model_id FROM picked",
+    "chosen": "SELECT * FROM ranked JOIN scopes USING (model_id)",
+    "cum": "SELECT scope, SUM(u) OVER (PARTITION BY scope ORDER BY u DESC, featureName ROWS UNBOUNDED PRECEDING) AS c "
+           "FROM (SELECT scope, featureName, SUM(u) AS u FROM chosen GROUP BY ALL) t",
+    "taken": "SELECT scope, GREATEST(1, COUNT(*) FILTER (WHERE c <= m * 0.99)) AS n FROM (SELECT *, MAX(c) OVER (PARTITION BY scope) AS m "
+             "FROM cum) t GROUP BY scope",
+    "place": "SELECT scope, featureName, COUNT(DISTINCT model_id) AS n_models, ROW_NUMBER() OVER (PARTITION BY scope "
+             "ORDER BY quantile_cont(rank, 0.5), featureName) AS position FROM chosen GROUP BY scope, featureName",
+}
+
+
+@query("cross_board_ensemble", "2.7", sql=lsql(
+    "SELECT scope, position, featureName, n_models FROM place JOIN taken USING (scope) WHERE position <= n", _BOARDS_SQL))
+def q_cross_board_ensemble(spark, sf):
+    """Impacts of the top 4 models of board a and the top 3 of board b, ensembled at ratio 0.99: both boards and each."""
+    from churnkit.operators import impact as im
+    from churnkit.sources import load
+    boards = lb(spark, sf).withColumn("board", F.when(F.col("featurelist_name").isin("fl0", "fl1"), "a").otherwise("b"))
+    impacts = (load(spark, sf, "lineitem", ["l_suppkey", "l_partkey", "l_quantity"])
+               .groupBy(F.col("l_suppkey").alias("model_id"), F.concat(F.lit("f"), (F.col("l_partkey") % 40).cast("string")).alias("featureName"))
+               .agg(F.sum("l_quantity").alias("impactUnnormalized")))
+    return im.cross_board_select(boards, {"a": 4, "b": 3}, im.normalise_impacts(impacts), "auc_validation", False, 0.99)
+
+
 _TOP3 = ("SELECT model_type FROM leaderboard WHERE model_category = 'model' AND NOT is_frozen "
          "ORDER BY auc_validation DESC NULLS LAST, model_id LIMIT 3")
 

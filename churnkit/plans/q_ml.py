@@ -71,6 +71,21 @@ def q_write_predictions(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("write_predictions_repeated", "2.1", sql=fixtures.with_views("""
+SELECT b.batch, CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(DISTINCT row_key) AS BIGINT) AS n_keys, b.added
+FROM downsample_base, (VALUES ('2024-01', 'true,false'), ('2024-02', 'true')) b(batch, added) GROUP BY b.batch, b.added""", "downsample_base"))
+def q_write_repeated(spark, sf):
+    """Two batches of scored rows, the first written twice: it is there once."""
+    from churnkit.sources.io import write_predictions
+    rows = base(spark, sf).select(KEY, (F.col("l_discount") * 10).alias("p"))
+    path = shared_path(spark, f"churnkit-out/preds-{uuid.uuid4().hex}")
+    first = [str(write_predictions(rows, path, batch_id="2024-01")).lower() for _ in range(2)]
+    second = str(write_predictions(rows, path, batch_id="2024-02")).lower()
+    out = spark.read.schema(f"{KEY} bigint, p double, batch string").parquet(path)
+    added = F.when(F.col("batch") == "2024-01", ",".join(first)).otherwise(second)
+    return out.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(KEY).alias("n_keys")).withColumn("added", added)
+
+
 @query("blend_stacked", "2.13")
 def q_stack(spark, sf):
     """GLM blender over the two churn predictors' scores."""
