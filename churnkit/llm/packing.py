@@ -106,8 +106,8 @@ class DocumentTokenizer(UnitTokenizer):
 
 
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32, row)``: every document's ids and an end id, cut at ``capacity``;
-    ``row`` tells repeated rows of a document apart."""
+    """``(doc_id, piece, start, length, ids_crc32, row)``: every document's ids and an end id, cut into pieces of
+    ``capacity``, of which the first may be shorter; ``row`` tells repeated rows of a document apart."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +120,9 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_
                 for i, ids in enumerate(encode([x or "" for x in b.column(1).to_pylist()])):
                     ids += END
                     row += 1
-                    for k, first in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[first : first + 4 * capacity]
+                    rest = len(ids) % (4 * capacity)  # what whole pieces leave over is the first piece
+                    for k, first in enumerate([*([0] if rest else []), *range(rest, len(ids), 4 * capacity)]):
+                        part = ids[first : rest if first < rest else first + 4 * capacity]
                         take.append(i)
                         piece.append(k)
                         start.append(first // 4)

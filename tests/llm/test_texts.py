@@ -182,6 +182,29 @@ def check_packing(rows, packed, capacity):
     return used
 
 
+def test_lines_of_rows_that_repeat_an_id(spark, words):
+    """No line is lost where two texts have one id, and equal rows lose the same lines."""
+    x, a, y, own = (words(12) for _ in range(4))
+    rows = [(1, a), (5, f"{x}\n{a}"), (5, f"{y}\n{own}"), (5, f"{y}\n{own}"), (6, f"{own}\n{x}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark)
+    got = line_dedup.dedup_lines(df, scratch, keep=("doc_id", "text")).collect()
+    clean = {(r.doc_id, r.text): r.clean_text for r in got}
+    assert len(got) == 5 and clean == {(1, a): a, (5, rows[1][1]): x, (5, rows[2][1]): rows[2][1], (6, rows[4][1]): ""}
+    scratch.drop("dropped")
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch.base)
+    assert not len(path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
+
+
+def test_only_the_first_piece_is_shorter(spark, words):
+    rows = [(1, words(3000)), (2, words(5)), (3, "a\n\nb\tc  d " * 900), (4, "x y " * 511 + "z")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
+    check_packing(rows, got, 1024)
+    for i, _ in rows:
+        mine = sorted((r.piece, r.start, r.length) for r in got if r.doc_id == i)
+        assert all(n == 1024 for _, _, n in mine[1:]) and [s for _, s, _ in mine] == [sum(n for _, _, n in mine[:k]) for k in range(len(mine))]
+
+
 def test_packing_holds_every_token_once(spark, rnd, words, empty):
     rows = [(i, words(rnd.randint(0, 900))) for i in range(150)] + [(200, None), (201, ""), (202, words(5000))]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, piece int")
