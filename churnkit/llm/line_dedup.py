@@ -2,7 +2,8 @@
 
 Edits are counted in words: two lines are near if one word inserted, deleted
 or replaced makes them equal.  A near or equal line that stands earlier (by
-document id, then by line number) makes a line go.
+document id, then by the hash of the text where rows repeat an id, then by line
+number) makes a line go.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def near_lines(docs: DataFrame, scratch: Scratch, first: DataFrame, min_words: i
     wanted = place.groupBy("doc_id").agg(F.collect_list(F.struct("h", "m", "pos")).alias("wanted"))  # one document's lines
     texts = docs.join(wanted.hint("merge"), "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
     found = texts.select("w.h", "w.m", "doc_id", "w.pos", F.trim(F.element_at("lines", F.col("w.pos") + 1)).alias("line"))
-    same = (F.xxhash64("line") == F.col("h")) & (F.hash("line") == F.col("m"))  # rows that repeat an id may differ
+    same = (F.xxhash64("line") == F.col("h")) & (F.hash("line") == F.col("m"))  # texts of equal hashes may differ
     lines = scratch.keep(found.where(same).dropDuplicates(["h", "m"]), "lines")
     scratch.release()
 
@@ -122,15 +123,20 @@ def _earliest(live: DataFrame) -> DataFrame:
     return pairs[0].union(pairs[1]).union(pairs[2]).distinct()
 
 
+def _document(id_col: str, text_col: str) -> Column:
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t"))
+
+
 def dropped_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str = "doc_id",
                   text_col: str = "text", short: bool = False) -> DataFrame:
-    """``(doc_id, dropped)``: for each document that loses lines, their numbers in order.
+    """``(doc_id, dropped)``: for each document that loses lines, their numbers in order; a document is an id and a text
+    (``doc_id`` holds the id and the text's hash), so rows of one id with other texts have lines of their own.
 
     Lines of fewer than ``min_words`` words go with ``short`` only, and only
     where an equal line stands earlier.  Empty lines always stay, as does
     every line of a null text or a document with a null id."""
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
-        F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    docs = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        _document(id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = _lines(docs, 1 if short else min_words).select("h", "m", "doc_id", "pos")
     seen = lines.groupBy("h", "m").agg(F.min(F.struct("doc_id", "pos")).alias("first"),
                                        (F.min(F.struct("doc_id", "pos")) != F.max(F.struct("doc_id", "pos"))).alias("again"))
@@ -142,8 +148,10 @@ def dropped_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: s
             .join(near.withColumn("near", F.lit(True)), ["h", "m"], "left").where("again OR near"))
     alone = gone.where("near AND NOT again").select(F.col("d").alias("doc_id"), F.col("p").alias("pos"))
     repeated = lines.join(gone.where("again"), ["h", "m"]).where("near OR doc_id <> d OR pos <> p").select("doc_id", "pos")
-    return scratch.keep(alone.union(repeated).groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("pos")).alias("dropped")), "dropped")
+    out = scratch.keep(alone.union(repeated).groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("dropped")), "dropped")
+    for name in ("first", "near", "met", "lines", "live"):
+        scratch.drop(name)
+    return out
 
 
 def dedup_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
@@ -154,7 +162,8 @@ def dedup_lines(df: DataFrame, scratch: Scratch, min_words: int = 8, id_col: str
     Rows that repeat an id and text are the same document: all keep the same
     lines.  Other columns may have any names; an empty table gives no rows."""
     gone = dropped_lines(df, scratch, min_words, id_col, text_col, short).toDF("_id", "_dropped")
-    rows = df.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
+    known = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = df.select(F.when(known, _document(id_col, text_col)).alias("_key"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
     both = rows.join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
     lines = F.split("_text", "\n")
     kept = F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(

@@ -51,8 +51,9 @@ def op7_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_deletion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(documents(spark, sf_dir), Scratch(spark), short=True)
-    return out.select("doc_id", "n_lines", "dropped", F.crc32("clean_text").alias("clean_crc32"))
+    scratch = Scratch(spark)
+    out = line_dedup.dedup_lines(documents(spark, sf_dir), scratch, short=True)
+    return scratch.result(out.select("doc_id", "n_lines", "dropped", F.crc32("clean_text").alias("clean_crc32")))
 
 
 def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
