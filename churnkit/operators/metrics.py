@@ -106,12 +106,12 @@ def weighted_binary_metrics(df: DataFrame, y: str, p: str, w: str | None = None,
         F.sum(ww).alias("_sw"), F.sum(ww * yy).alias("_swy"),
         F.sum(-ww * (yy * F.log(pp) + (1 - yy) * F.log(1 - pp))).alias("_sll"),
         F.sum(ww * (yy - col_(p)) * (yy - col_(p))).alias("_sse"))
-    ybar = F.col("_swy") / F.col("_sw")
+    per = lambda c: F.try_divide(F.col(c), F.col("_sw"))  # noqa: E731  null where the weights sum to 0
+    ybar = per("_swy")
     ybar_c = F.least(F.greatest(ybar, F.lit(eps)), F.lit(1 - eps))
     null_ll = -(ybar * F.log(ybar_c) + (1 - ybar) * F.log(1 - ybar_c))
-    pt = pt.select(*by, (F.col("_sll") / F.col("_sw")).alias("logloss"),
-                   F.sqrt(F.col("_sse") / F.col("_sw")).alias("rmse"),
-                   (1 - F.try_divide(F.col("_sll") / F.col("_sw"), null_ll)).alias("fve_binomial"))
+    pt = pt.select(*by, per("_sll").alias("logloss"), F.sqrt(per("_sse")).alias("rmse"),
+                   (1 - F.try_divide(per("_sll"), null_ll)).alias("fve_binomial"))
     cm = curve_metrics(df, y, p, by, w).withColumn("gini_norm", 2 * F.col("auc") - 1)
     if by:
         return join_null_safe(cm, pt, by)
@@ -145,24 +145,26 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, w: str | None = None,
         s(F.when(mu > 0, ww * 2 * (F.pow(F.greatest(yv, F.lit(0.0)), 2 - pw) / ((1 - pw) * (2 - pw))
                                    - yv * F.pow(mu, 1 - pw) / (1 - pw) + F.pow(mu, 2 - pw) / (2 - pw))))
         .alias("dev_tw"),
-        s(ww * F.pow(F.greatest(yv, F.lit(0.0)), 2 - pw)).alias("swy2p"),
+        s(ww * F.pow(F.greatest(yv, F.lit(0.0)), 2 - pw)).alias("swy2p"), F.min(yv).alias("least"),
     )
     c = F.col
-    ybar = c("swy") / c("sw")
-    sst = c("swyy") - c("swy") * c("swy") / c("sw")
+    ybar = F.try_divide(c("swy"), c("sw"))
+    sst = c("swyy") - c("swy") * ybar
     null_pois = 2 * (c("swylogy") - F.log(ybar) * c("swy") - c("swy") + ybar * c("sw"))
-    ybar_pos = c("swy_pos") / c("sw_pos")
-    null_gamma = 2 * (F.log(ybar_pos) * c("sw_pos") - c("swlogy_pos") + c("swy_pos") / ybar_pos - c("sw_pos"))
+    ybar_pos = F.try_divide(c("swy_pos"), c("sw_pos"))
+    null_gamma = 2 * (F.log(ybar_pos) * c("sw_pos") - c("swlogy_pos") + F.try_divide(c("swy_pos"), ybar_pos) - c("sw_pos"))
     null_tw = 2 * (c("swy2p") / ((1 - pw) * (2 - pw)) - c("swy") * F.pow(ybar, 1 - pw) / (1 - pw)
                    + c("sw") * F.pow(ybar, 2 - pw) / (2 - pw))
     def explained(deviance: Column, of_mean: Column) -> Column:
         # a constant target has no deviance but rounding: nothing to explain
         return F.when(sst > F.lit(1e-12) * c("swyy"), 1 - F.try_divide(deviance, of_mean))
 
+    # deviances of counts and amounts are not defined for negative targets
+    amounts = lambda d, m: F.when(c("least") >= 0, explained(d, m))
     return agg.select(
-        *by, F.sqrt(c("sse") / c("sw")).alias("rmse"), (c("sae") / c("sw")).alias("mae"),
-        explained(c("sse"), sst).alias("r_squared"), explained(c("dev_pois"), null_pois).alias("fve_poisson"),
-        explained(c("dev_gamma"), null_gamma).alias("fve_gamma"), explained(c("dev_tw"), null_tw).alias("fve_tweedie"))
+        *by, F.sqrt(F.try_divide(c("sse"), c("sw"))).alias("rmse"), F.try_divide(c("sae"), c("sw")).alias("mae"),
+        explained(c("sse"), sst).alias("r_squared"), amounts(c("dev_pois"), null_pois).alias("fve_poisson"),
+        amounts(c("dev_gamma"), null_gamma).alias("fve_gamma"), amounts(c("dev_tw"), null_tw).alias("fve_tweedie"))
 
 
 def balanced_accuracy(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
