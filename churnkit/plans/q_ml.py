@@ -336,6 +336,35 @@ def q_train_counts(spark, sf):
     return lb.select("model_id", "model_type", "n_features", "partition", "n_pos", "n_neg", ok.alias("in_range"))
 
 
+_START = [("Logistic Regression", "lr", {}), ("Random Forest (small)", "rf", {"numTrees": 4, "maxDepth": 3})]
+_REPOSITORY = [("Logistic Regression (L2)", "lr", {"regParam": 0.05}), ("Random Forest (deep)", "rf", {"numTrees": 4, "maxDepth": 6}),
+               ("Gradient Boosted Trees", "gbt", {"maxIter": 3})]
+
+
+@query("leaderboard_iteration", "2.12", sql=fixtures.with_views(f"""
+SELECT v.part, v.n_models, p.n_pos, p.n_neg, v.second_run FROM (
+  SELECT partition, CAST(SUM(target_column) AS DOUBLE) AS n_pos, CAST(COUNT(*) - SUM(target_column) AS DOUBLE) AS n_neg
+  FROM ({_PART_SQL}) x WHERE partition <> 'training' GROUP BY partition) p
+JOIN (SELECT * FROM (VALUES ('start', 'validation', 2, 0), ('start', 'holdout', 2, 0), ('similar', 'validation', 2, 0), ('similar', 'holdout', 2, 0),
+  ('blends', 'validation', 8, 0), ('blends', 'holdout', 8, 0), ('kept', 'validation', 3, 0)) v(part, fold, n_models, second_run)) v
+ON v.fold = p.partition""", "downsample_base"))
+def q_iteration(spark, sf):
+    """The iteration run twice on one board: models of the steps whose number does not depend on what models learn, their
+    class totals, and how many rows the second run changed."""
+    from churnkit.plans.board_iteration import iterate
+    path = shared_path(spark, f"churnkit-out/board-{uuid.uuid4().hex}")
+    args = (base(spark, sf), FEATS, LABEL, KEY, path, _START, _REPOSITORY, 0.9, {"lr": [{"regParam": 0.01}]}, ("AVG", "MED"))
+    iterate(*args)
+    board, again = iterate(*args)
+    part = (F.when(F.col("segment") == "retention", "kept").when(F.col("step") == 1, "start").when(F.col("step") == 2, "similar")
+            .when(F.col("step") == 5, "blends"))
+    value = lambda m: F.max(F.when(F.col("metric") == m, F.col("value")))
+    rows = board.where("segment = 'all' AND metric IN ('n_pos', 'n_neg') OR metric = 'kept' AND value = 1").withColumn("part", part)
+    totals = board.where("segment = 'all'").groupBy("fold").agg(value("n_pos").alias("n_pos"), value("n_neg").alias("n_neg"))
+    same = rows.where("part IS NOT NULL").groupBy("part", "fold").agg(F.countDistinct("model_id").cast("int").alias("n_models"))
+    return same.join(totals, "fold").select("part", "n_models", "n_pos", "n_neg", F.lit(again).alias("second_run"))
+
+
 @query("batch_score_checks", "2.13", sql=fixtures.with_views("""
 SELECT CASE WHEN l_quantity > 40 THEN 'missing feature' ELSE 'OK' END AS prediction_status, COUNT(*) AS n,
   CAST(SUM(target_column) AS BIGINT) AS positives, true AS consistent FROM downsample_base GROUP BY 1""", "downsample_base"))
