@@ -24,6 +24,10 @@ RUNS = ("  ", " \n", "\n ", "\n\n", *"\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u20
 BEYOND = "\u0250"
 
 
+#: Marks that make a part of their own behind letters (an apostrophe does not).
+MARKS = frozenset(".,;:!?")
+
+
 def byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level BPE: itself, or the next free one from 256."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -64,6 +68,23 @@ class UnitTokenizer:
             out.append(known[part])
         return b"".join(out)
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and a word of letters: one part."""
+        return self._model("\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.letters))
+
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a space and a unit; letters, or letters and one mark, are split without the pattern."""
+        if unit.isalpha() and max(unit) < BEYOND:
+            return self._word(unit)
+        word, mark = unit[:-1], unit[-1:]
+        if mark in MARKS and word.isalpha() and max(word) < BEYOND:
+            if word not in self.later:
+                self.later[word] = self._word(word)
+            if mark not in self.parts:
+                self.parts[mark] = self._model(mark)
+            return self.later[word] + self.parts[mark]
+        return self._ids(" " + unit)
+
     def _text(self, text: str) -> bytes:
         if any(run in text for run in RUNS):
             return self._ids(text)
@@ -76,7 +97,7 @@ class UnitTokenizer:
             out.append(first[head])
             del units[0]
             for u in set(units).difference(later):
-                later[u] = self._ids(" " + u)
+                later[u] = self._unit(u)
             out += map(later.__getitem__, units)
         return b"".join(out)
 
