@@ -222,7 +222,7 @@ def q_representatives(spark, sf):
 
 _GREEDY = dict(_IMP)
 _GREEDY.update({
-    "ord": "SELECT feature, ROW_NUMBER() OVER (ORDER BY importance DESC, feature) AS rk FROM imp",
+    "ord": "SELECT feature, ROW_NUMBER() OVER (ORDER BY ROUND(importance, 9) DESC, feature) AS rk FROM imp",
     "strong": "SELECT feature1 AS f, feature2 AS g FROM pairs WHERE ABS(statistic) > 0.9 "
               "UNION ALL SELECT feature2, feature1 FROM pairs WHERE ABS(statistic) > 0.9",
     "walk": "SELECT 0 AS i, CAST([] AS VARCHAR[]) AS kept UNION ALL "
@@ -238,7 +238,8 @@ SELECT o.feature, list_contains((SELECT kept FROM walk ORDER BY i DESC LIMIT 1),
 def q_drop_correlated(spark, sf):
     """Walk features by importance; drop one with |r| > 0.9 to a kept stronger feature."""
     p = pairs(spark, sf)
-    return cl.drop_correlated(p, cl.target_correlation(p, TARGET), 0.9)
+    importance = cl.target_correlation(p, TARGET).withColumn("importance", F.round("importance", 9))  # equal ones tie in any order of sums
+    return cl.drop_correlated(p, importance, 0.9)
 
 
 _CONST = ["l_quantity", "fixed", "l_discount"]
