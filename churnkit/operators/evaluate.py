@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
 from churnkit.operators.metrics import roc_auc
-from churnkit.operators.prefix import top_n_per_group
-from churnkit.operators.util import materialize, run_all
+from churnkit.operators.prefix import percent_rows, top_n_flags
+from churnkit.operators.util import materialize
 
 
 @dataclass(frozen=True)
@@ -247,8 +247,12 @@ def prioritize(df: DataFrame, pct: float = 10, cols: EvalCols = DEFAULT) -> Data
     """``churn_priority`` / ``intent_priority``: top ``int(N * pct / 100)``
     rows by rule score and by intent probability (ties by the tiebreak
     columns, never nulls)."""
-    a = top_n_per_group(df, cols.priority_score_churn, pct, list(cols.tiebreak), out="churn_priority")
-    return top_n_per_group(a, cols.intent_score, pct, list(cols.tiebreak), out="intent_priority")
+    rows = materialize(df)
+    return top_n_flags(rows, _rankings(cols), percent_rows(rows, pct), cols.tiebreak, materialized=True)
+
+
+def _rankings(cols: EvalCols) -> dict[str, str]:
+    return {"churn_priority": cols.priority_score_churn, "intent_priority": cols.intent_score}
 
 
 def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
@@ -256,27 +260,21 @@ def _priority_counts(df: DataFrame, pct: float, cols: EvalCols) -> DataFrame:
     priority row count (one row per model)."""
     allcols = list(dict.fromkeys([cols.priority_score_churn, cols.intent_score, *cols.model("churn"),
                                   *cols.model("intent"), *cols.tiebreak]))
-    base = materialize(df.select(*allcols))  # both rankings read one written table
+    flagged = prioritize(df.select(*allcols), pct, cols)
 
-    def one(m):
+    def counts(m):
         pred, tgt = cols.model(m)
-        score = cols.priority_score_churn if m == "churn" else cols.intent_score
-        need = list(dict.fromkeys([score, pred, tgt, *cols.tiebreak]))
-        flagged = top_n_per_group(base.select(*need), score, pct, list(cols.tiebreak), out=f"{m}_priority",
-                                  materialized=True)
         pr = F.col(f"{m}_priority")
-        aggs = [_cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias(f"{m}_tp"),
-                _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias(f"{m}_fp"),
-                _cnt(pr & (col_(pred) == 0) & (col_(tgt) == 0)).alias(f"{m}_tn"),
-                _cnt(pr & (col_(pred) == 0) & (col_(tgt) >= 1)).alias(f"{m}_fn"),
-                _cnt(pr).alias(f"{m}_n"),
-                _cnt(pr & (col_(tgt) >= 1)).alias(f"{m}_tp_any"),
-                _cnt(pr & (col_(tgt) == 0)).alias(f"{m}_fp_any")]
-        return flagged.agg(*aggs).select(F.lit(m).alias("model"), *[
-            F.col(f"{m}_{k}").alias(k) for k in ("tp", "fp", "tn", "fn", "n", "tp_any", "fp_any")])
-
-    parts = run_all(one, ["churn", "intent"])  # the two rankings are independent jobs
-    return parts[0].unionByName(parts[1])
+        return F.struct(
+            F.lit(m).alias("model"),
+            _cnt(pr & (col_(pred) >= 1) & (col_(tgt) >= 1)).alias("tp"),
+            _cnt(pr & (col_(pred) >= 1) & (col_(tgt) == 0)).alias("fp"),
+            _cnt(pr & (col_(pred) == 0) & (col_(tgt) == 0)).alias("tn"),
+            _cnt(pr & (col_(pred) == 0) & (col_(tgt) >= 1)).alias("fn"),
+            _cnt(pr).alias("n"), _cnt(pr & (col_(tgt) >= 1)).alias("tp_any"), _cnt(pr & (col_(tgt) == 0)).alias("fp_any"))
+
+    # one aggregate over the flagged rows for both models
+    return flagged.agg(F.array(counts("churn"), counts("intent")).alias("m")).select(F.inline("m"))
 
 
 def cost_benefit(df: DataFrame, pct: float = 10, intervention_cost: float = 150,

@@ -16,12 +16,13 @@ split over many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.operators.util import join_null_safe, materialize
+from churnkit.operators.util import join_null_safe, materialize, run_all
 
 _RANGE = "_pfx_range"
 
@@ -142,3 +143,56 @@ def top_n_per_group(df: DataFrame, score: str, pct: float, tiebreak: Sequence[st
     ns = df.groupBy(*by).agg(F.floor(F.count(F.lit(1)).cast("double") * F.lit(float(pct)) / 100)
                              .cast("bigint").alias("n"))
     return top_n_flag(df, score, ns, tiebreak, by=by, out=out, materialized=True)
+
+
+def top_n_flags(df: DataFrame, picks: dict[str, str], n: int, tiebreak: Sequence[str],
+                materialized: bool = False) -> DataFrame:
+    """Flag the first ``n`` rows of several rankings of one table: ``picks``
+    maps a flag's name to its score (descending, ties by ``tiebreak``
+    ascending, null scores never flagged).
+
+    A ranking comes down to its boundary, the score at which the running count
+    crosses ``n`` and, where only a part of the rows tied there is in, the last
+    one's tiebreak (one row, found range by range).  All flags are then
+    comparisons of a row's own columns with these boundaries: the rows are
+    written once and flagged in one pass without a shuffle, however many
+    rankings there are.  The tiebreak columns must identify rows uniquely;
+    nulls in them come first."""
+    tiebreak = list(tiebreak)
+    if not materialized:
+        df = materialize(df)
+
+    def boundary(out: str):
+        score = picks[out]
+        cnt = df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
+        pre = prefix_sum(cnt, score, ["_n"], descending=True, inclusive=False, totals=True, checkpoint=False)
+        target = F.least(F.lit(int(n)), F.col("tot__n"))
+        at = pre.where((F.col("cum__n") < target) & (F.col("cum__n") + F.col("_n") >= target)).select(
+            score, (target - F.col("cum__n")).alias("k"), F.col("_n").alias("tied")).first()
+        if at is None or at.k == at.tied:
+            return at and at[0], None
+        ties = df.where(F.col(score) == F.lit(at[0])).select(*tiebreak, F.lit(1).alias("_one"))
+        last = prefix_sum(ties, tiebreak, ["_one"], checkpoint=False).where(F.col("cum__one") == at.k)
+        return at[0], last.select(F.struct(*tiebreak).alias(f"_last_{out}"), F.lit(0).alias("_g"))
+
+    found = dict(zip(picks, run_all(boundary, picks), strict=True))
+    rows = df.withColumn("_g", F.lit(0))
+    for _, last in found.values():
+        if last is not None:  # one row
+            rows = rows.join(F.broadcast(last), "_g", "left")
+    flags = []
+    for out, (bound, last) in found.items():
+        score = F.col(picks[out])
+        if bound is None:
+            flag = F.lit(False)
+        elif last is None:
+            flag = score >= F.lit(bound)
+        else:
+            flag = (score > F.lit(bound)) | ((score == F.lit(bound)) & (F.struct(*tiebreak) <= F.col(f"_last_{out}")))
+        flags.append(F.coalesce(flag, F.lit(False)).alias(out))
+    return rows.select(*df.columns, *flags)
+
+
+def percent_rows(df: DataFrame, pct: float) -> int:
+    """``int(rows * pct / 100)``."""
+    return math.floor(df.count() * float(pct) / 100)

@@ -63,10 +63,17 @@ def materialize(df: DataFrame) -> DataFrame:
     and the lineage is cut, so a lost executor re-reads files rather than
     recomputing the whole upstream plan.  The folder comes from
     ``spark.checkpoint.dir`` (shared storage on a cluster); Parquet is
-    smaller and faster to read than serialised row checkpoints."""
+    smaller and faster to read than serialised row checkpoints.  Frames that
+    read the table are lazy, so it lives as long as the application: all its
+    tables lie in one folder, which the file system deletes when the driver
+    ends."""
     import uuid
 
     from churnkit.session import shared_path
-    path = shared_path(df.sparkSession, f"churnkit-tmp/{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    own = shared_path(spark, f"churnkit-tmp/{spark.sparkContext.applicationId}")
+    path = f"{own}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.parquet(path)
