@@ -356,16 +356,17 @@ def blend(preds: DataFrame, combos: DataFrame, method: str, row: Sequence[str],
 
 
 def stack(preds_wide: DataFrame, inputs: Sequence[str], label: str, key: Sequence[str], method: str = "GLM",
-          weight: str | None = None, folds: int = 3) -> tuple[PipelineModel, DataFrame]:
+          weight: str | None = None, folds: int = 3, params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """Stacked blender (GLM, ENET or RF) on out-of-fold predictions: rows of
     a fold (hash of ``key``) are scored by the blender fitted on the other
-    folds.  Returns the blender fitted on all rows, and the scored rows."""
-    kind, params = {"GLM": ("lr", {}), "ENET": ("lr", {"regParam": 0.01, "elasticNetParam": 0.5}),
-                    "RF": ("rf", {})}[method]
+    folds.  Returns the blender fitted on all rows, and the scored rows.
+    ``params`` override the blender's own."""
+    kind, own = {"GLM": ("lr", {}), "ENET": ("lr", {"regParam": 0.01, "elasticNetParam": 0.5}),
+                 "RF": ("rf", {})}[method]
     base = materialize(preds_wide.withColumn("_fold", group_fold(key, folds)))
 
     def one(k):
-        return fit(kind, inputs, label, base if k is None else base.where(F.col("_fold") != k), weight, **dict(params))
+        return fit(kind, inputs, label, base if k is None else base.where(F.col("_fold") != k), weight, **own | (params or {}))
 
     final, *models = run_all(one, [None, *range(folds)])
     out = None
@@ -475,16 +476,17 @@ def select_until_stable(train_eval: Callable[[Sequence[str]], float], select: Ca
 
 
 def add_one_back(df: DataFrame, clusters: Sequence[tuple[int, Sequence[str]]], all_features: Sequence[str],
-                 label: str, key: str, kind: str = "lr", metric: str = "logloss") -> DataFrame:
+                 label: str, key: str, kind: str = "lr", metric: str = "logloss", **params) -> DataFrame:
     """For each cluster, fit on (features outside the cluster) + one member,
-    for every member; metrics in one table; best member per cluster.  All
-    fits take their places out of the same vectors."""
+    for every member; metrics in one table; best member per cluster (the first
+    by name where metrics are equal).  All fits take their places out of the
+    same vectors."""
     tasks = [(int(cid), f, [x for x in all_features if x not in set(members)]) for cid, members in clusters for f in members]
     if not tasks:
         return df.sparkSession.createDataFrame([], "cluster int, feature string, metric double, best boolean")
     part = F.col("partition")
     table = vector_table(hash_partition(df, key), list(dict.fromkeys([*all_features, *(f for _, f, _ in tasks)])), label, ["partition"])
-    fits = [Fit({"cluster": cid, "feature": f}, kind, [*stub, f], {}, part == "training", part == "validation") for cid, f, stub in tasks]
+    fits = [Fit({"cluster": cid, "feature": f}, kind, [*stub, f], params, part == "training", part == "validation") for cid, f, stub in tasks]
     out = run_fits(table, fits, label)[0].select("cluster", "feature", F.col(metric).alias("metric"))
     lower = metric in ("logloss", "rmse")
     w = Window.partitionBy("cluster").orderBy(F.col("metric").asc() if lower else F.col("metric").desc(), "feature")

@@ -449,3 +449,100 @@ def q_tune_backtests(spark, sf):
     folds = backtest_folds(data, "l_shipdate", 2, "P0Y0M60DT0H0M0S", "P0Y2M0DT0H0M0S", "P0Y1M0DT0H0M0S")
     grid = [{"regParam": 0.0}, {"regParam": 0.01, "elasticNetParam": 0.5}]
     return ml.tune_on_backtests(data, "l_shipdate", folds, "lr", feats, "returned", grid)
+
+
+# A logistic regression whose penalty leaves no coefficient predicts the training rows' positive share, so what the fits,
+# folds and partitions around it must give can be said in SQL to the last digit.
+_ONLY_INTERCEPT = {"regParam": 1000.0, "elasticNetParam": 1.0}
+
+
+def _constant_logloss(p: str, pos: str = "n_pos", neg: str = "n_neg") -> str:
+    return f"-({pos} * LN({p}) + {neg} * LN(1 - ({p}))) / ({pos} + {neg})"
+
+
+_SHARES_SQL = f"""parted AS ({_PART_SQL}),
+share AS (SELECT AVG(target_column) AS p FROM parted WHERE partition = 'training'),
+val AS (SELECT CAST(SUM(target_column) AS DOUBLE) AS n_pos, CAST(COUNT(*) - SUM(target_column) AS DOUBLE) AS n_neg
+        FROM parted WHERE partition = 'validation')"""
+
+
+@query("tune_grid_fixed", "2.13", r6=["logloss", "auc"], sql=fixtures.with_views(f"""
+WITH {_SHARES_SQL}
+SELECT g.grid_id, n_pos, n_neg, {_constant_logloss('p')} AS logloss, 0.5 AS auc
+FROM share, val, (VALUES (0), (1)) g(grid_id)""", "downsample_base"))
+def q_tune_fixed(spark, sf):
+    """Grid points whose penalty leaves the intercept alone: log loss of the training share on the validation rows."""
+    grid = [_ONLY_INTERCEPT, _ONLY_INTERCEPT | {"regParam": 500.0}]
+    out = ml.tune_grid(base(spark, sf), "lr", FEATS, LABEL, KEY, grid)
+    return out.select("grid_id", "n_pos", "n_neg", "logloss", "auc")
+
+
+@query("backtest_score_fixed", "2.13", r6=["logloss"], sql=fixtures.with_views(f"""
+WITH t AS (SELECT *, CAST((('0x' || substr(md5('0:' || CAST(row_key AS VARCHAR)), 1, 8))::BIGINT) % 3 AS INT) AS fold
+           FROM downsample_base),
+f AS (SELECT fold, CAST(SUM(target_column) AS DOUBLE) AS n_pos, CAST(COUNT(*) - SUM(target_column) AS DOUBLE) AS n_neg
+      FROM t GROUP BY fold),
+o AS (SELECT a.fold, a.n_pos, a.n_neg, SUM(b.n_pos) / SUM(b.n_pos + b.n_neg) AS p
+      FROM f a JOIN f b ON a.fold <> b.fold GROUP BY ALL)
+SELECT fold, n_pos, n_neg, {_constant_logloss('p')} AS logloss FROM o""", "downsample_base"))
+def q_backtest_fixed(spark, sf):
+    """Each fold's log loss under the positive share of the other folds."""
+    out = ml.backtest_score(split_group(base(spark, sf), [KEY], 3), "lr", FEATS, LABEL, "fold", **_ONLY_INTERCEPT)
+    return out.select("fold", "n_pos", "n_neg", "logloss")
+
+
+@query("blend_stacked_fixed", "2.13", r6=["p1"], sql=fixtures.with_views("""
+WITH f AS (SELECT CAST((('0x' || substr(md5('0:' || CAST(row_key AS VARCHAR)), 1, 8))::BIGINT) % 4 AS INT) AS fold,
+             CAST(SUM(target_column) AS BIGINT) AS positives, COUNT(*) AS n FROM downsample_base GROUP BY 1)
+SELECT a.fold, a.n, a.positives, SUM(b.positives) / SUM(b.n) AS p1, 1 AS distinct_scores
+FROM f a JOIN f b ON a.fold <> b.fold GROUP BY a.fold, a.n, a.positives""", "downsample_base"))
+def q_stack_fixed(spark, sf):
+    """Four folds of a stacked blender reduced to its intercept: every row is scored once, by the share of the others."""
+    s = base(spark, sf).withColumn("a", F.col("l_discount") * 10).withColumn("b", F.col("l_quantity") / 50)
+    _, out = ml.stack(s, ["a", "b"], LABEL, [KEY], "ENET", folds=4, params=_ONLY_INTERCEPT)
+    return split_group(out, [KEY], 4).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(LABEL).cast("bigint").alias("positives"), F.avg("p1").alias("p1"),
+        F.countDistinct(F.round("p1", 9)).cast("int").alias("distinct_scores"))
+
+
+@query("add_one_back_fixed", "2.11", r6=["metric"], sql=fixtures.with_views(f"""
+WITH {_SHARES_SQL}
+SELECT c.cluster, c.feature, {_constant_logloss('p')} AS metric, c.best
+FROM share, val, (VALUES (1, 'l_discount', true), (1, 'l_extendedprice', false), (2, 'l_quantity', true)) c(cluster, feature, best)""",
+    "downsample_base"))
+def q_add_one_back_fixed(spark, sf):
+    """Members of two clusters added back to a model that uses none of them: equal metrics, the first name wins."""
+    clusters = [(1, ["l_extendedprice", "l_discount"]), (2, ["l_quantity"])]
+    return ml.add_one_back(base(spark, sf), clusters, FEATS, LABEL, KEY, **_ONLY_INTERCEPT)
+
+
+_DECAY_COEFS = {"l_quantity": 0.13, "l_extendedprice": -0.0005, "l_discount": 3.0}
+
+
+@query("ratio_decay_schedule", "2.10", r6=["ratio", "metric"], sql=fixtures.with_views(
+    "SELECT * FROM (WITH RECURSIVE imp AS (" + " UNION ALL ".join(
+        f"SELECT '{f}' AS f, AVG(ABS({c} * ({f} - (SELECT AVG({f}) FROM downsample_base)))) AS v FROM downsample_base"
+        for f, c in _DECAY_COEFS.items()) + """),
+ranked AS (SELECT ROW_NUMBER() OVER (ORDER BY v DESC, f) AS k, SUM(v) OVER (ORDER BY v DESC, f) AS total,
+             SUM(v) OVER (ORDER BY v DESC, f) - v AS before, SUM(v) OVER () AS whole FROM imp),
+prefix AS (SELECT CAST(k AS INT) AS n, total / (k * k) AS metric, before / whole AS lo,
+             COALESCE(LEAD(before / whole) OVER (ORDER BY k), 2) AS hi FROM ranked),
+step AS (
+  SELECT 0 AS "round", CAST(0.95 AS DOUBLE) AS ratio, n AS n_features, metric, true AS improved, 3 AS lives, metric AS best
+  FROM prefix WHERE lo <= 0.95 AND hi > 0.95
+  UNION ALL
+  SELECT s."round" + 1, CASE WHEN p.metric > s.best THEN s.ratio ELSE s.ratio * s.ratio END, p.n, p.metric, p.metric > s.best,
+    CASE WHEN p.metric > s.best THEN s.lives ELSE s.lives - 1 END, GREATEST(p.metric, s.best)
+  FROM step s JOIN prefix p ON p.lo <= s.ratio AND p.hi > s.ratio
+  WHERE s.lives > 0 AND s.ratio > 0.01 AND NOT (s.improved AND s.n_features <= 1))
+SELECT "round", ratio, n_features, metric, improved, lives FROM step) t""", "downsample_base"))
+def q_decay_schedule(spark, sf):
+    """The search on the impacts of a linear model with given coefficients and a metric that follows from them: which
+    features each ratio takes, when a life is lost, when it ends."""
+    impacts = materialize(ml.contribution_impact(base(spark, sf), _DECAY_COEFS).withColumn("model_id", F.lit(0))
+                          .withColumn("redundantWith", F.lit(None).cast("string")))
+    value = {r["featureName"]: r["impactUnnormalized"] for r in impacts.collect()}  # one row for each feature
+    impacts = impacts.withColumn(im.NORM, F.col("impactUnnormalized") / max(value.values()))
+    hist = ml.select_until_stable(lambda feats: sum(value[f] for f in feats) / len(feats) ** 2,
+                                  lambda ratio: [r[0] for r in im.accumulate_select(impacts, ratio).select("featureName").collect()], 0.95, lives=3)
+    return spark.createDataFrame(hist, "round int, ratio double, n_features int, metric double, improved boolean, lives int")

@@ -48,6 +48,28 @@ def test_top_n_flag_ties_and_nulls(spark, plan_mode):
     assert sum(out.values()) == n
 
 
+def test_top_n_flags_of_two_rankings(spark, plan_mode):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, "a", "b", "\u00e9"]), i, rnd.choice([None, 0.5, 0.5, 0.5, rnd.random(), float("nan")]), float(i))
+            for i in range(300)]  # half of the first score's rows are tied
+    df = spark.createDataFrame(rows, "name string, id long, s double, t double")
+
+    def first(n, k):
+        there = [r for r in rows if r[k] is not None]
+        order = sorted(there, key=lambda r: (r[k] == r[k], -r[k] if r[k] == r[k] else 0, r[0] is not None, (r[0] or "").encode(), r[1]))
+        return {r[1] for r in order[:n]}
+
+    for n in (0, 1, 90, 150, 10_000):
+        out = prefix.top_n_flags(df, {"x": "s", "y": "t"}, n, ["name", "id"])
+        assert out.columns == [*df.columns, "x", "y"]
+        got = out.collect()
+        assert len(got) == len(rows)
+        assert {r["id"] for r in got if r["x"]} == first(n, 2)
+        assert {r["id"] for r in got if r["y"]} == first(n, 3)
+        assert all(r["x"] is not None and r["y"] is not None for r in got)
+    assert prefix.top_n_flags(df.limit(0), {"x": "s"}, 3, ["id"]).count() == 0
+
+
 def test_top_n_per_group_counts(spark, plan_mode):
     rows = [(g, i, float((i * 7) % 11)) for g in ("a", "b") for i in range(57 if g == "a" else 23)]
     df = spark.createDataFrame(rows, "g string, id long, s double")
