@@ -72,6 +72,24 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+#: 64-bit words of a key filter: 2**25 bits, 8 MB to every task, whatever the number of keys.
+FILTER_WORDS = 1 << 19
+
+
+def rows_of(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``big`` whose ``key`` stands in ``keys(key)`` (a left semi join; a null key matches nothing).
+
+    A bit for each key is set in a filter of fixed size, which goes to the
+    scan of ``big``: of the other rows only few enter the shuffle of the exact
+    join that follows.  With many more keys than bits the filter lets all
+    through, and the join is as it was."""
+    word = F.expr(f"pmod(shiftrightunsigned(xxhash64(`{key}`), 6), {FILTER_WORDS}L)")
+    bit = F.expr(f"shiftleft(1L, CAST(xxhash64(`{key}`) & 63 AS INT))")
+    marks = keys.where(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    near = big.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
+    return near.drop("_word", "_bits").join(keys.select(key).hint("merge"), key, "left_semi")
+
+
 # ---------------------------------------------------------------- word hashes
 
 CHUNK_BYTES = 4 << 20

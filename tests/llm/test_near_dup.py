@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from churnkit.llm import embedding_dup, lsh_forest, near_dup
+from churnkit.llm import common, embedding_dup, lsh_forest, near_dup
 from churnkit.llm.common import Scratch, WordHasher, chunks, components, shingle_hashes
 
 
@@ -184,3 +184,14 @@ def test_vectors_empty_null_id_and_repeated(spark, empty):
     got = sorted(embedding_dup.near_vectors(spark.createDataFrame(rows, schema)).collect(), key=lambda r: r.vec_id or 0)
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in got] == [
         (None, 0, None, True), (2, 2, 2, True), (4, 2, 2, False), (4, 2, 2, False), (9, 0, 9, True)]
+
+
+def test_rows_of_is_a_semi_join(spark, monkeypatch):
+    big = spark.range(5000).selectExpr("id % 2500 - 40 AS doc_id", "CAST(id AS STRING) AS text").unionByName(
+        spark.createDataFrame([(None, "x")], "doc_id long, text string"))
+    keys = spark.createDataFrame([(7,), (7,), (-3,), (2100,), (10**12,), (None,)], "doc_id long")
+    expect = sorted((r.doc_id, r.text) for r in big.collect() if r.doc_id in (7, -3, 2100))
+    for words in (common.FILTER_WORDS, 1):  # one word lets almost all through: the exact join decides
+        monkeypatch.setattr(common, "FILTER_WORDS", words)
+        assert sorted((r.doc_id, r.text) for r in common.rows_of(big, keys, "doc_id").collect()) == expect
+    assert common.rows_of(big, keys.limit(0), "doc_id").count() == 0
