@@ -87,7 +87,8 @@ def rows_of(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     bit = F.expr(f"shiftleft(1L, CAST(xxhash64(`{key}`) & 63 AS INT))")
     marks = keys.where(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     near = big.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
-    return near.drop("_word", "_bits").join(keys.select(key).hint("merge"), key, "left_semi")
+    # an inner join with distinct keys: a semi join would be moved below the filter
+    return near.drop("_word", "_bits").join(keys.select(key).distinct().hint("merge"), key)
 
 
 # ---------------------------------------------------------------- word hashes

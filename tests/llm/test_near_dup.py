@@ -195,3 +195,5 @@ def test_rows_of_is_a_semi_join(spark, monkeypatch):
         monkeypatch.setattr(common, "FILTER_WORDS", words)
         assert sorted((r.doc_id, r.text) for r in common.rows_of(big, keys, "doc_id").collect()) == expect
     assert common.rows_of(big, keys.limit(0), "doc_id").count() == 0
+    plan = common.rows_of(big, keys, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the filter comes before the shuffle
