@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_, unit_hash
 from churnkit.operators import sampling as sm
-from churnkit.sources.io import replace_table
+from churnkit.sources.io import read_table, replace_table
 
 
 def run(df: DataFrame, features: Sequence[str], target: str, key: str, target_gb: float, holdout_pct: float,
@@ -27,7 +27,7 @@ def run(df: DataFrame, features: Sequence[str], target: str, key: str, target_gb
     plan = sm.plan_downsample(df, target, target_rows, holdout_pct, key, seed)
     out = sm.downsample(df.select(key, *cols), target, target_rows, holdout_pct, key, seed, plan=plan)
     replace_table(out, output)
-    written = df.sparkSession.read.parquet(output) if "/" in output else df.sparkSession.table(output)
+    written = read_table(df.sparkSession, output)
     live = df.where(unit_hash(key, seed) >= F.lit(float(holdout_pct)))
     orig = live.agg((F.count(F.when(col_(target) > 0, 1)) / F.count(F.lit(1))).alias("original_positive_ratio"))
     ver = written.agg(F.count(F.lit(1)).alias("rows_written"),
