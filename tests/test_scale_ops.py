@@ -177,3 +177,33 @@ def test_merge_fast_path_equals_null_safe_without_nulls(spark):
     safe = merge_predictions(a, b, ["id", "d"], ["id", "e"], null_keys=True)
     assert fast.count() == safe.count() == 80  # 25 left-only, 25 matched, 30 right-only
     assert fast.exceptAll(safe).count() == 0 and safe.exceptAll(fast).count() == 0
+
+
+def test_correlations_by_aggregates_stay_compiled(spark, monkeypatch):
+    """Rows of several patterns of missing values against numpy; no aggregation has more buffers than Spark compiles."""
+    import numpy as np
+    from churnkit.operators import cluster as cl
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 13)) + rng.normal(size=(400, 1)) + 1e3
+    x[:, 5] = 7.1  # constant
+    gone = np.zeros(x.shape, bool)
+    gone[:100, 2] = gone[50:200, 3] = gone[300:, [2, 5, 8]] = gone[:, 11] = True
+    cols = [f"f{i}" for i in range(13)]
+    rows = [[None if g else float(v) for v, g in zip(r, h)] for r, h in zip(x, gone)]
+    plans = []
+
+    def recorded(df, real=cl.materialize):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(cl, "materialize", recorded)
+    out = cl.corr_pairs(spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5), cols, method="agg")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert max(line.count("partial_") for p in plans for line in p.splitlines()) < 50
+    got = {(r[0], r[1]): r[2] for r in out.collect()}
+    assert len(got) == 78
+    for (a, b), v in got.items():
+        i, j = int(a[1:]), int(b[1:])
+        there = ~gone[:, i] & ~gone[:, j]
+        want = None if 11 in (i, j) or 5 in (i, j) else np.corrcoef(x[there, i], x[there, j])[0, 1]
+        assert v is None if want is None else abs(v - want) < 1e-9
