@@ -70,3 +70,13 @@ def test_no_rows_and_one_column(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ac.association_pairs(df, list("abx")).count() == 0
     assert ac.association_pairs(df, ["a"]).count() == 0
+
+
+def test_places_of_values_in_batches():
+    import pyarrow as pa
+    nan = float("nan")
+    got = ac.bin_places(pa.array([None, nan, -1.0, -0.0, 0.0, 0.5, 2.0, 9.0]), [0.0, 2.0])
+    assert list(got) == [0, 0, 1, 2, 2, 2, 3, 3]
+    assert list(ac.bin_places(pa.array([None, 4.0], pa.float64()), [])) == [0, 1]
+    assert list(ac.level_places(pa.array(["b", None, "rare", "a", ""], pa.string()), ["a", "b"])) == [3, 0, 1, 2, 1]
+    assert list(ac.level_places(pa.array([None, "x"], pa.string()), [])) == [0, 1]
