@@ -76,3 +76,36 @@ def test_backtests_and_durations_equal_fits_on_rows_per_fold(rows):
 def test_a_column_of_ids_is_refused_as_folds(rows):
     with pytest.raises(ValueError):
         ml.backtest_score(rows, "lr", ["x"], "y", "k")
+
+
+def test_indicators_that_never_occur_are_left_out_and_change_nothing(rows):
+    df = rows.select("k", "x", "odd name", "t", "y", F.col("x").alias("full"))
+    table = ml.vector_table(df, ["x", "odd name", "full", "t"], "y")
+    assert table.idle == {table.places["x"][1], table.places["full"][1]}
+    every = ml.VectorTable(table.prepared, table.rows, table.places, table.numeric, set())
+    yes = F.lit(True)
+    for kind, params in (("lr", {"regParam": 0.01}), ("gbt", {"maxIter": 2}), ("rf", {"numTrees": 2})):
+        fits = [ml.Fit({"m": kind}, kind, ["x", "odd name", "full", "t"], params, yes, yes)]
+        (few, short), (all_, long) = (ml.run_fits(t, fits, "y") for t in (table, every))
+        assert close(few.first(), all_.first()), kind
+        assert long[0].stages[-1].numFeatures - short[0].stages[-1].numFeatures == (0 if kind == "rf" else 2)
+    assert ml.fit("lr", ["x"], "y", df).stages[-1].numFeatures == 1
+    assert ml.fit("lr", ["odd name"], "y", df).stages[-1].numFeatures == 2
+
+
+def test_rounds_of_a_selection_share_one_table_of_vectors(rows, monkeypatch):
+    from churnkit.plans import feature_selection
+
+    written = []
+    table = ml.vector_table
+    monkeypatch.setattr(ml, "vector_table", lambda *a, **k: written.append(a) or table(*a, **k))
+    got = feature_selection.run(rows, ["x", "odd name", "w"], "y", "k", kinds=("lr",), n_models=1, lives=2).collect()
+    assert len(got) > 1 and len({r.features for r in got}) > 1
+    assert len(written) == 1
+
+
+def test_candidates_of_no_rows_and_of_one_partition(rows, spark):
+    one = rows.where("k = 3")
+    table = ml.candidate_table(one, ["x"], "y", "k")
+    assert table.rows.count() == 1 and table.rows.schema["partition"].dataType.simpleString() == "string"
+    assert ml.candidate_table(rows.where("false"), ["x"], "y", "k").rows.count() == 0
