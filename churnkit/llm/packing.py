@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
+class Remembered(dict):
+    """A dictionary that works out a key's value when it is first asked for, so a look-up is one step of C code."""
+
+    def __init__(self, work):
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, key):
+        value = self[key] = self.work(key)
+        return value
+
+
 class UnitTokenizer:
     """Token ids of texts as little-endian 32-bit words.
 
@@ -51,37 +64,34 @@ class UnitTokenizer:
         self.split, self.encode = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         self.letters = byte_letters()
         self.limit = limit
-        self.first: dict[str, bytes] = {}  # units at the start of a text or a line
-        self.later: dict[str, bytes] = {}  # units after a space
-        self.parts: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.first = Remembered(self._ids)  # units at the start of a text or a line
+        self.later = Remembered(self._unit)  # units after a space
+        self.parts = Remembered(self._part)
 
     def _model(self, part: str) -> bytes:
         return array("I", [t.id for t in self.encode(part)]).tobytes()
 
+    def _part(self, part: str) -> bytes:
+        return self._model(part.encode().decode("latin-1").translate(self.letters))
+
     def _ids(self, text: str) -> bytes:
         if text and max(text) >= BEYOND:
             return b"".join([self._model(part) for part, _ in self.split(text)])
-        known, out = self.parts, []
-        for part in PARTS.findall(text):
-            if part not in known:
-                known[part] = self._model(part.encode().decode("latin-1").translate(self.letters))
-            out.append(known[part])
-        return b"".join(out)
+        return b"".join(map(self.parts.__getitem__, PARTS.findall(text)))
 
     def _word(self, word: str) -> bytes:
         """Ids of a space and a word of letters: one part."""
-        return self._model("\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.letters))
+        return self._model("\u0120" + word) if word.isascii() else self._part(" " + word)
 
     def _unit(self, unit: str) -> bytes:
         """Ids of a space and a unit; letters, or letters and one mark, are split without the pattern."""
-        if unit.isalpha() and max(unit) < BEYOND:
+        if unit.isalpha() and (unit.isascii() or max(unit) < BEYOND):
             return self._word(unit)
         word, mark = unit[:-1], unit[-1:]
-        if mark in MARKS and word.isalpha() and max(word) < BEYOND:
-            if word not in self.later:
-                self.later[word] = self._word(word)
-            if mark not in self.parts:
-                self.parts[mark] = self._model(mark)
+        if mark in MARKS and word.isalpha() and (word.isascii() or max(word) < BEYOND):
             return self.later[word] + self.parts[mark]
         return self._ids(" " + unit)
 
@@ -92,18 +102,14 @@ class UnitTokenizer:
         for n, line in enumerate(text.split("\n")):
             units = line.split(" ")
             head = "\n" + units[0] if n else units[0]
-            if head not in first:
-                first[head] = self._ids(head)
             out.append(first[head])
             del units[0]
-            for u in set(units).difference(later):
-                later[u] = self._unit(u)
             out += map(later.__getitem__, units)
         return b"".join(out)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.later) + len(self.first) > self.limit:
-            self.first, self.later, self.parts = {}, {}, {}
+            self._forget()
         return list(map(self._text, texts))
 
 
@@ -126,13 +132,19 @@ class DocumentTokenizer(UnitTokenizer):
         return super()._text(text)
 
 
+@cache
+def document_tokenizer(path: str) -> DocumentTokenizer:
+    """A worker's tokenizer: the tasks that it runs one after the other read the file once and share what is remembered."""
+    return DocumentTokenizer(path)
+
+
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, row)``: every document's ids and an end id, cut into pieces of
     ``capacity``, of which the first may be shorter; ``row`` tells repeated rows of a document apart."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = DocumentTokenizer(tokenizer_path)
+        encode = document_tokenizer(tokenizer_path)
         row = 0
         for big in batches:
             for at in range(0, big.num_rows, 200):

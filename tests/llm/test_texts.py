@@ -156,6 +156,20 @@ def test_units_encode_like_the_whole_text(rnd):
     assert packing.UnitTokenizer(tokenizer_path(), limit=500)(texts) == want
 
 
+def test_tasks_of_a_worker_share_a_tokenizer_and_encode_a_unit_once():
+    one = packing.document_tokenizer(tokenizer_path())
+    assert packing.document_tokenizer(tokenizer_path()) is one
+    work, asked = one._model, []
+    one._forget()
+    one._model = lambda part: asked.append(part) or work(part)
+    try:
+        first = one(["the hat, the hat été\nthe hat"])
+        assert len(asked) == len(set(asked)) and one(["the hat, the hat été\nthe hat"]) == first
+        assert len(asked) == len(set(asked))
+    finally:
+        del one._model
+
+
 def test_added_tokens_are_encoded_as_the_tokenizer_does(spark):
     rows = [(0, "<|endoftext|>"), (1, "a b <|endoftext|> c\nd  <|endoftext|><|endoftext|>"), (2, "x" * 10), (3, "<|endoftext>")]
     whole = Tokenizer.from_file(tokenizer_path())
