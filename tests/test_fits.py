@@ -109,3 +109,30 @@ def test_candidates_of_no_rows_and_of_one_partition(rows, spark):
     table = ml.candidate_table(one, ["x"], "y", "k")
     assert table.rows.count() == 1 and table.rows.schema["partition"].dataType.simpleString() == "string"
     assert ml.candidate_table(rows.where("false"), ["x"], "y", "k").rows.count() == 0
+
+
+def test_impacts_after_an_improvement_are_those_of_the_features_left(rows, monkeypatch):
+    from churnkit.plans import feature_selection
+
+    train, asked = ml.train_candidates, []
+
+    def fewer_is_better(*a, **k):
+        board, models = train(*a, **k)
+        return board.withColumn("auc", 1 - F.col("n_features") / 100), models
+
+    impact = ml.permutation_importance
+    monkeypatch.setattr(ml, "train_candidates", fewer_is_better)
+    monkeypatch.setattr(ml, "permutation_importance", lambda m, v, feats, *a, **k: asked.append((m, feats)) or impact(m, v, feats, *a, **k))
+    got = feature_selection.run(rows, ["x", "odd name", "w", "t"], "y", "k", kinds=("lr",), n_models=1, lives=1).collect()
+    assert got[1].improved and got[1].n_features < 4 and len(asked) > 1
+    # as those of a model fitted on the features left alone
+    parted = ml.hash_partition(rows, "k")
+    feats = got[1].features.split(",")
+    own = ml.fit("lr", feats, "y", parted.where("partition = 'training'"))
+    val = parted.where("partition = 'validation'")
+    few, want = (impact(m, val, feats, "y", "k", trained_on=t).collect() for m, t in ((asked[1][0], ["x", "odd name", "w", "t"]), (own, feats)))
+    # values are moved by the place of a row, so the impacts of 300 rows differ by chance
+    assert all(a.featureName == b.featureName and a.impactUnnormalized == pytest.approx(b.impactUnnormalized, abs=0.2)
+               for a, b in zip(few, want, strict=True))
+    a, b = (ml.evaluate(m, val, "y").first() for m in (asked[1][0], own))
+    assert a["auc"] == pytest.approx(b["auc"], abs=1e-4) and a["logloss"] == pytest.approx(b["logloss"], abs=1e-4)
