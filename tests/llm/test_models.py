@@ -188,3 +188,17 @@ def test_the_word_before_tells_the_next(spark, rnd):
     held = [r for r in got if r.held_out]
     each, base = (sum(x) / sum(r.n_tokens for r in held) for x in ([r.score for r in held], [r.base_score for r in held]))
     assert each > -1.1 and base < -2.4  # of 400 words, fewer than 13 come in question
+
+
+def test_words_of_one_class_have_restaurants_of_their_own(spark, rnd):
+    follower = rnd.sample(range(390), 390)  # six words or so in each class, and each of them tells the next for certain
+
+    def text():
+        w = [rnd.randrange(390)]
+        for _ in range(60):
+            w.append(follower[w[-1]])
+        return " ".join(f"v{x}" for x in w)
+
+    got = language_model.score(spark.createDataFrame([(i, text()) for i in range(600)], "doc_id long, text string")).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -0.35
