@@ -24,7 +24,9 @@ END = np.uint64(0xE4D0F7EC5A3B9D71)
 #: What stands before a text's first token.
 BEGIN = np.uint64(0x1B56C4E9A7F03D25)
 #: Tokens that a task sums up before it emits their pairs.
-FLUSH = 2_000_000
+FLUSH = 3_000_000
+#: Bytes of text hashed at a time.
+HASHED_BYTES = 1 << 20
 #: Bytes of text whose pairs make a group of contexts, and whose words make a part of the words, about.
 GROUP_BYTES, PART_BYTES = 8 << 20, 4 << 20
 
@@ -308,7 +310,7 @@ def pair_rows(docs: DataFrame, split: int, parts: int) -> DataFrame:
         held = 0
         for b in batches:
             texts, block, learn = as_bytes(b.column(0)), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
-            for a, z in chunks(texts):
+            for a, z in chunks(texts, HASHED_BYTES):
                 tokens, before, bound = token_contexts(*hasher(texts[a:z]))
                 size = np.diff(bound)
                 of_block, of_learn = np.repeat(block[a:z], size), np.repeat(learn[a:z], size)
@@ -535,7 +537,7 @@ def scored(docs: DataFrame, answers: DataFrame, train_tokens: int, model: Seatin
         hasher = WordHasher()
         texts = as_bytes(left.column("text").combine_chunks()) if left.num_rows else []
         lists, size = [], [np.zeros(0, np.int64)]
-        for a, z in chunks(texts):
+        for a, z in chunks(texts, HASHED_BYTES):
             tokens, before, bound = token_contexts(*hasher(texts[a:z]))
             lists.append((tokens, before))
             size.append(np.diff(bound))
@@ -543,7 +545,9 @@ def scored(docs: DataFrame, answers: DataFrame, train_tokens: int, model: Seatin
         n = known = base_sum = score = np.zeros(0)
         if lists:
             tokens, before = (np.concatenate(x) for x in zip(*lists, strict=True))
+            del lists, texts
             _, _, pair = distinct_pairs(tokens, before, split, parts)
+            del tokens, before
             p, count = (np.concatenate(x) for x in zip(*got, strict=True))
             base = np.log10((count + 0.1) / (train_tokens + 0.1 * (model.vocabulary + 1)))
             at = np.cumsum(size) - size
@@ -611,7 +615,10 @@ def score(df: DataFrame, n_sweeps: int = 4, burn_in: int = 1, concentration: flo
         if s:
             scratch.drop(f"seats{s}")
         scratch.release()
-    answers = answered(groups, seats, down(words, model, totals, len(used)), model, len(used))
+    answers = scratch.keep(answered(groups, seats, down(words, model, totals, len(used)), model, len(used)), "answers")
+    for name in ("groups", f"words{n_sweeps}", f"seats{n_sweeps}"):
+        scratch.drop(name)
+    scratch.release()
     out = scored(docs, answers, int(train_tokens), model, split, parts, id_type)
     held = F.coalesce(crc_mod(F.col("doc_id"), held_out_mod) == 0, F.lit(False))
     return scratch.result(out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known",
