@@ -197,3 +197,15 @@ def test_rows_of_is_a_semi_join(spark, monkeypatch):
     assert common.rows_of(big, keys.limit(0), "doc_id").count() == 0
     plan = common.rows_of(big, keys, "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the filter comes before the shuffle
+
+
+def test_verified_shuffles_the_texts_of_its_own_pairs_only(spark, words):
+    rows = [(i, words(30)) for i in range(50)]
+    texts = spark.createDataFrame([*rows, (50, rows[7][1]), (51, rows[7][1] + " x")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(7, 50), (50, 51), (1, 2)], "a long, b long")
+    links = near_dup.verified(pairs, texts, 4, 80)
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bit_or") == 2  # a filter of the ends before the shuffle of each side
+    assert sorted((r.a, r.b) for r in links.collect()) == [(7, 50), (50, 51)]
+    kept = common.near_rows(texts, pairs.select(F.col("a").alias("doc_id")), "doc_id")
+    assert {1, 7, 50} <= {r.doc_id for r in kept.collect()} and kept.count() < 10
