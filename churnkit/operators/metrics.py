@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.scalar import col_
 from churnkit.operators.prefix import prefix_sum, top_n_per_group
-from churnkit.operators.util import join_null_safe
 
 
 def _weight(w: str | None) -> Column:
@@ -98,25 +97,21 @@ def weighted_binary_metrics(df: DataFrame, y: str, p: str, w: str | None = None,
     AUC, Gini Norm, KS, average precision (area under PR), max MCC, LogLoss,
     RMSE and FVE Binomial (1 - LogLoss / LogLoss of the weighted mean)."""
     by = list(by)
-    yy = F.when(col_(y) >= 1, 1.0).otherwise(0.0)
-    pp = F.least(F.greatest(col_(p).cast("double"), F.lit(eps)), F.lit(1 - eps))
-    ww = _weight(w)
-    base = df.where(present(p) & present(y))
-    pt = base.groupBy(*by).agg(
-        F.sum(ww).alias("_sw"), F.sum(ww * yy).alias("_swy"),
-        F.sum(-ww * (yy * F.log(pp) + (1 - yy) * F.log(1 - pp))).alias("_sll"),
-        F.sum(ww * (yy - col_(p)) * (yy - col_(p))).alias("_sse"))
+    # a score's rows count by their weights, so the distinct scores hold all that the sums need: the rows are read once
+    pp = F.least(F.greatest(F.col("score"), F.lit(eps)), F.lit(1 - eps))
+    pos, neg = (F.coalesce(c, F.lit(0.0)) for c in ("pos", "neg"))
+    off = 1 - F.col("score")
+    sums = score_table(df, y, p, by, w).groupBy(*by).agg(
+        *_curve_aggs(), F.sum(pos + neg).alias("_sw"), F.sum(pos).alias("_swy"),
+        F.sum(-(pos * F.log(pp) + neg * F.log(1 - pp))).alias("_sll"),
+        F.sum(pos * off * off + neg * F.col("score") * F.col("score")).alias("_sse"))
     per = lambda c: F.try_divide(F.col(c), F.col("_sw"))  # noqa: E731  null where the weights sum to 0
     ybar = per("_swy")
     ybar_c = F.least(F.greatest(ybar, F.lit(eps)), F.lit(1 - eps))
     null_ll = -(ybar * F.log(ybar_c) + (1 - ybar) * F.log(1 - ybar_c))
-    pt = pt.select(*by, per("_sll").alias("logloss"), F.sqrt(per("_sse")).alias("rmse"),
-                   (1 - F.try_divide(per("_sll"), null_ll)).alias("fve_binomial"))
-    cm = curve_metrics(df, y, p, by, w).withColumn("gini_norm", 2 * F.col("auc") - 1)
-    if by:
-        return join_null_safe(cm, pt, by)
-    # both sides are one row: join on a constant group key
-    return cm.withColumn("_g", F.lit(0)).join(pt.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return sums.select(*by, "n_pos", "n_neg", "auc", "ks", "average_precision", "max_mcc", (2 * F.col("auc") - 1).alias("gini_norm"),
+                       per("_sll").alias("logloss"), F.sqrt(per("_sse")).alias("rmse"),
+                       (1 - F.try_divide(per("_sll"), null_ll)).alias("fve_binomial"))
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, w: str | None = None,

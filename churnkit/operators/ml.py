@@ -142,9 +142,8 @@ def probability(scored: DataFrame, out: str = "p1") -> DataFrame:
 def evaluate(model: PipelineModel, df: DataFrame, label: str, weight: str | None = None,
              by: Sequence[str] = ()) -> DataFrame:
     """Leaderboard metrics of a fitted pipeline on ``df`` (exact AUC etc.).
-    The scores are written once and read by both metric passes, so the
-    model runs once."""
-    s = materialize(probability(model.transform(df)).select(*by, label, "p1", *([weight] if weight else [])))
+    The metrics read the scores once, so the model runs once."""
+    s = probability(model.transform(df)).select(*by, label, "p1", *([weight] if weight else []))
     return weighted_binary_metrics(s, label, "p1", w=weight, by=by)
 
 
@@ -193,8 +192,8 @@ class Fit:
 
 def run_fits(table: VectorTable, fits: Sequence[Fit], label: str, weight: str | None = None, by: Sequence[str] = (),
              parallelism: int = 3) -> tuple[DataFrame, list[PipelineModel]]:
-    """Fit all models from driver threads, write all held-out scores in one job, and compute all metrics in one grouped job:
-    ``(keys..., by..., metrics...)``, and the fitted models."""
+    """Fit all models from driver threads, and compute all metrics of all held-out scores in one grouped job that reads
+    them once: ``(keys..., by..., metrics...)``, and the fitted models."""
 
     def one(f: Fit) -> PipelineModel:
         slicer = table.slicer(f.features, f.kind)
@@ -214,7 +213,7 @@ def run_fits(table: VectorTable, fits: Sequence[Fit], label: str, weight: str |
             F.lit(keys.index(tuple(f.keys.values()))).alias("_fit"), *by, label, "p1", *([weight] if weight else []))
         scored = part if scored is None else scored.unionByName(part)
     # a number for each fit is what is shuffled and sorted; its keys come back by their place
-    board = weighted_binary_metrics(materialize(scored), label, "p1", w=weight, by=["_fit", *by])
+    board = weighted_binary_metrics(scored, label, "p1", w=weight, by=["_fit", *by])
     named = [F.element_at(F.array(*[F.lit(k[i]) for k in keys]), F.col("_fit") + 1).alias(name) for i, name in enumerate(fits[0].keys)]
     board = board.select(*named, *[c for c in board.columns if c != "_fit"])
     return board, [PipelineModel(stages=[*table.prepared.stages, *m.stages]) for m in models]
@@ -236,8 +235,11 @@ class Candidate:
 
 
 def candidate_table(df: DataFrame, features: Sequence[str], label: str, key: str, weight: str | None = None, seed: int = 0) -> VectorTable:
-    """Vectors with the hash partition of each row, a folder for each partition; categories are those of the training rows."""
-    parted = materialize(hash_partition(df, key, seed=seed))
+    """Vectors with the hash partition of each row, a folder for each partition; categories are those of the training rows.
+    Only where there are categories to learn is ``df`` read twice, and written before."""
+    parted = hash_partition(df, key, seed=seed)
+    if not all(isinstance(df.schema[f].dataType, (NumericType, BooleanType)) for f in features):
+        parted = materialize(parted)
     return vector_table(parted, features, label, ["partition", *([weight] if weight else [])],
                         parted.where("partition = 'training'"), "partition")
 
@@ -341,6 +343,20 @@ def blend_metrics(preds: DataFrame, combos: DataFrame, methods: Sequence[str], r
     wide = materialize(preds.groupBy(*row).agg(
         F.max((col_(label) >= 1).cast("double")).alias("_y"), F.min(F.xxhash64(*map(col_, row))).alias("_o"),
         *[F.max(F.when(col_(model_col) == m, p)).alias(f"_m{i}") for i, m in enumerate(models)]).drop(*row))
+    return _histogram_metrics(wide, sets, models, methods, bins)
+
+
+def wide_blend_metrics(wide: DataFrame, models: Sequence[str], combos: DataFrame, methods: Sequence[str], model_col: str = "model",
+                       bins: int = 1024) -> DataFrame:
+    """``blend_metrics`` of a written table that holds a row's predictions side by side: ``_y`` (label, 0 or 1), ``_o`` (a hash of
+    the row) and ``_m0``, ``_m1``, ... in the order of ``models``.  Nothing is shuffled but histograms."""
+    sets = _combinations(combos, model_col)
+    if not sets:
+        return wide.sparkSession.createDataFrame([], f"combo_id string, method string, {columns()}")
+    return _histogram_metrics(wide, sets, list(models), methods, bins)
+
+
+def _histogram_metrics(wide: DataFrame, sets: list[tuple], models: list[str], methods: Sequence[str], bins: int) -> DataFrame:
     places = [(c, np.array([models.index(m) for m in ms])) for c, ms in sets]
     how = {"AVG": np.nanmean, "MED": np.nanmedian, "MIN": np.nanmin, "MAX": np.nanmax}
 

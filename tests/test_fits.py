@@ -1,6 +1,7 @@
 """Shared vectors and role bits: same metrics as fits of their own, same roles as rows per fold, one written copy."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,24 @@ def test_impacts_after_an_improvement_are_those_of_the_features_left(rows, monke
                for a, b in zip(few, want, strict=True))
     a, b = (ml.evaluate(m, val, "y").first() for m in (asked[1][0], own))
     assert a["auc"] == pytest.approx(b["auc"], abs=1e-4) and a["logloss"] == pytest.approx(b["logloss"], abs=1e-4)
+
+
+def test_scores_of_fits_are_read_once_and_not_written(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id AS k", "CAST(hash(id) % 50 AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS fold",
+                                     "CAST(pmod(hash(id, 1), 4) AS DOUBLE) AS w", "CAST(pmod(hash(id), 2) AS DOUBLE) AS y")
+    table = ml.vector_table(df, ["x"], "y", ["fold", "w"])
+    fits = [ml.Fit({"fold": f}, "lr", ["x"], {}, F.col("fold") != f, F.col("fold") == f) for f in (0.0, 1.0, 2.0)]
+    monkeypatch.setattr(ml, "materialize", lambda *a: 1 / 0)
+    board, models = ml.run_fits(table, fits, "y", "w")
+    got = {r.fold: r for r in board.collect()}
+    for f, m in zip((0.0, 1.0, 2.0), models):
+        rows = ml.probability(m.transform(df.where(F.col("fold") == f))).select("y", "p1", "w").collect()
+        total = sum(r.w for r in rows)
+        assert got[f].logloss == pytest.approx(-sum(r.w * math.log(r.p1 if r.y else 1 - r.p1) for r in rows) / total)
+        assert got[f].rmse == pytest.approx(math.sqrt(sum(r.w * (r.y - r.p1) ** 2 for r in rows) / total))
+    monkeypatch.undo()
+    once = ml.candidate_table
+    calls = []
+    monkeypatch.setattr(ml, "materialize", lambda d, *a, write=ml.materialize: calls.append(1) or write(d, *a))
+    once(df, ["x"], "y", "k")
+    assert len(calls) == 1  # numbers alone: the vectors, and no copy of the rows before
