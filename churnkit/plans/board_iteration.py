@@ -17,10 +17,12 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnkit.functions.scalar import col_
 from churnkit.operators import impact as im, joins as jn, leaderboard as lbo, ml
 from churnkit.operators.util import materialize
 from churnkit.sources.io import current_version, read_table, replace_table
@@ -72,17 +74,25 @@ def model_id(kind: str, features: Sequence[str], params: dict) -> str:
 
 
 class Iteration:
-    """Steps on one board over one written vector table."""
+    """Steps on one board over one written vector table, made when a step first needs it: where the board holds all that the
+    steps ask for, no row is read."""
 
     def __init__(self, df: DataFrame, features: Sequence[str], label: str, key: str, path: str, n_keep: int = 3, seed: int = 0):
         self.spark, self.label, self.key = df.sparkSession, label, key
         self.features, self.n_keep = list(features), n_keep
-        self.parted = materialize(ml.hash_partition(df, key, seed=seed))
-        self.table = ml.vector_table(self.parted, self.features, label, ["partition", key])
+        self.df, self.seed = df, seed
         self.board = Board(self.spark, path)
         self.fitted: dict[str, object] = {}
         self.changes = 0
 
+    @cached_property
+    def parted(self) -> DataFrame:
+        return materialize(ml.hash_partition(self.df, self.key, seed=self.seed))
+
+    @cached_property
+    def table(self) -> ml.VectorTable:
+        return ml.vector_table(self.parted, self.features, self.label, ["partition", self.key])
+
     def _put(self, rows: DataFrame) -> None:
         self.changes += self.board.upsert(rows)
 
@@ -138,10 +148,10 @@ class Iteration:
     def impacts(self, step: int) -> None:
         """Permutation impacts of the best models that the board does not hold yet, as rows per feature."""
         have = {r[0] for r in self.board.rows().where("metric = 'impact'").select("model_id").distinct().collect()}
-        val = self.parted.where("partition = 'validation'")
         for r in self.best(step):
             if r["model_id"] in have:
                 continue
+            val = self.parted.where("partition = 'validation'")
             imp = ml.permutation_importance(self._model(r), val, r["features"].split(","), self.label, self.key, trained_on=self.features)
             rest = [F.lit(r[a]).alias(a) for a in ATTRIBUTES]
             self._put(imp.select(F.lit(r["model_id"]).alias("model_id"), F.lit("validation").alias("fold"), F.col("featureName").alias("segment"),
@@ -174,14 +184,17 @@ class Iteration:
         wanted = {f"{m}({r[0]})" for r in combos.select("combo_id").distinct().collect() for m in methods}
         if wanted <= known or len(top) < 2:
             return
-        held = self.parted.where("partition <> 'training'").withColumn("_row", F.monotonically_increasing_id())
-        preds = None
-        for r in top:
-            p = ml.probability(self._model(r).transform(held)).select("_row", "partition", self.label, F.lit(r["model_id"]).alias("model"), F.col("p1").alias("p"))
-            preds = p if preds is None else preds.unionByName(p)
-        preds = materialize(preds)
+        # a row's predictions stand side by side, so no row is shuffled
+        row, y = F.xxhash64(F.monotonically_increasing_id()).alias("_o"), (F.col(self.label) >= 1).cast("double").alias("_y")
+        done = ["partition", "_o", "_y"]
+        held = self.parted.where("partition <> 'training'").select("partition", row, y, *[col_(f) for f in self.features])
+        for i, r in enumerate(top):
+            held = ml.probability(self._model(r).transform(held), f"_p{i}").withColumn(f"_m{i}", F.nanvl(f"_p{i}", F.lit(None).cast("double")))
+            done.append(f"_m{i}")
+            held = held.select(*done, *[col_(f) for f in self.features])
+        wide = materialize(held.select(*done))
         for fold in ("validation", "holdout"):
-            got = ml.blend_metrics(preds.where(F.col("partition") == fold), combos, methods, ["_row"], self.label)
+            got = ml.wide_blend_metrics(wide.where(F.col("partition") == fold).drop("partition"), [r["model_id"] for r in top], combos, methods)
             names = [c for c in got.columns if c not in ("combo_id", "method")]
             self._put(got.select(
                 F.concat("method", F.lit("("), "combo_id", F.lit(")")).alias("model_id"), F.lit(fold).alias("fold"), F.lit(ALL).alias("segment"),

@@ -49,3 +49,18 @@ def test_a_killed_iteration_goes_on(spark, board, monkeypatch):
     out, changes = B.iterate(*args, ratio=None, blend_size=2)
     assert changes == 3 and out.count() == before + 3  # the marks of two models and a blend, nothing else
     assert out.where((F.col("metric") == "kept") & (F.col("value") == 1)).count() == 3
+
+
+def test_a_repeated_iteration_reads_no_rows(spark, board, monkeypatch):
+    df = spark.range(400).selectExpr("id AS k", "CAST(hash(id) % 100 AS DOUBLE) AS x", "CAST(hash(id, 1) % 100 AS DOUBLE) AS z",
+                                     "CAST(pmod(hash(id), 100) + pmod(hash(id, 3), 90) > 90 AS DOUBLE) AS y")
+    args = (df, ["x", "z"], "y", "k", board.path, [("Logistic One", "lr", {}), ("Random Forest", "rf", {"numTrees": 2})])
+    first, _ = B.iterate(*args, ratio=None, blend_size=2)
+    totals = {(r.fold, r.metric): r.value for r in first.where("model_category = 'blend' AND metric IN ('n_pos', 'n_neg')").collect()}
+    held = B.ml.hash_partition(df, "k").where("partition <> 'training'").groupBy("partition").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()
+    assert totals == {(r.partition, m): v for r in held for m, v in (("n_pos", r.pos), ("n_neg", r.neg))}
+    monkeypatch.setattr(B.ml, "hash_partition", lambda *a, **b: 1 / 0)
+    monkeypatch.setattr(B.ml, "vector_table", lambda *a, **b: 1 / 0)
+    again, changes = B.iterate(*args, ratio=None, blend_size=2)
+    assert changes == 0 and again.count() == first.count()
