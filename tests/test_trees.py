@@ -76,3 +76,17 @@ def test_a_score_is_computed_once_per_row_and_missing_ones_do_not_count(spark):
     got = {r.score: (r.pos, r.neg, r.tot_neg) for r in score_table(df, "y", "p").collect()}
     assert calls.value == 100
     assert got == {0.0: (10.0, 39.0, 78.0), 1.0: (10.0, 39.0, 78.0)}
+
+
+def test_blends_side_by_side_equal_those_of_long_predictions_without_a_shuffle(spark):
+    nan = float("nan")
+    values = [(1, 0.1, 0.4, 0.7), (2, 0.3, None, 0.9), (3, None, None, None), (4, nan, 0.2, 0.5), (5, 0.25, 0.25, None)]
+    wide = spark.createDataFrame([(*v, float(v[0] % 2)) for v in values], "row int, a double, b double, c double, y double")
+    long = spark.createDataFrame([(v[0], m, p, float(v[0] % 2)) for v in values for m, p in zip("abc", v[1:])], "row int, model string, p double, y double")
+    combos = spark.createDataFrame([(c, m) for c in ("ab", "abc", "bc", "a") for m in c], "combo_id string, model string")
+    methods = ["AVG", "MED", "MIN", "MAX"]
+    side = ml.blend_all(wide, combos, methods, ["row"], extra={"y": F.col("y")}, p_cols={m: m for m in "abc"})
+    key = lambda df: sorted((r.combo_id, r.row, r.y, r.method, repr(r.p)) for r in df.collect())
+    want = key(ml.blend_all(long, combos, methods, ["row"], extra={"y": F.max("y")}))
+    assert key(side) == want and len(want) > 40
+    assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()
