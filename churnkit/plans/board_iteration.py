@@ -91,7 +91,8 @@ class Iteration:
 
     @cached_property
     def table(self) -> ml.VectorTable:
-        return ml.vector_table(self.parted, self.features, self.label, ["partition", self.key])
+        # a fit reads the training rows alone, its scores the others
+        return ml.vector_table(self.parted, self.features, self.label, ["partition"], folders="partition")
 
     def _put(self, rows: DataFrame) -> None:
         self.changes += self.board.upsert(rows)

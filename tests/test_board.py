@@ -64,3 +64,13 @@ def test_a_repeated_iteration_reads_no_rows(spark, board, monkeypatch):
     monkeypatch.setattr(B.ml, "vector_table", lambda *a, **b: 1 / 0)
     again, changes = B.iterate(*args, ratio=None, blend_size=2)
     assert changes == 0 and again.count() == first.count()
+
+
+def test_fits_and_scores_read_their_own_rows_alone(spark, board):
+    df = spark.range(400).selectExpr("id AS k", "CAST(hash(id) % 100 AS DOUBLE) AS x", "CAST(id % 2 AS DOUBLE) AS y")
+    it = B.Iteration(df, ["x"], "y", "k", board.path)
+    assert it.table.rows.columns == ["y", "features", "partition"]
+    want = B.ml.hash_partition(df, "k").where("partition = 'training'")
+    own = it.table.rows.where("partition = 'training'")
+    assert own.count() == want.count() > 200
+    assert "PartitionFilters: [isnotnull(partition" in own._jdf.queryExecution().executedPlan().toString()
