@@ -27,6 +27,16 @@ def test_boosted_trees_are_those_of_sparks_learner(rows, feats, monkeypatch):
     assert a.join(b, "k").where("abs(a - b) < 1e-9").count() == 3000
 
 
+def test_thresholds_of_more_rows_than_are_sampled_are_those_of_sparks_learner(spark, monkeypatch):
+    many = ml.materialize(spark.range(0, 40_000, 1, 4).selectExpr(
+        "id AS k", "greatest(CAST(hash(id) % 1000 AS DOUBLE) / 7, 0) AS x", "1 + CAST(pmod(hash(id, 1), 5000) AS DOUBLE) AS z",
+        "CAST(pmod(hash(id), 1000) + pmod(hash(id, 3), 900) > 900 AS DOUBLE) AS y"))
+    splits = lambda m: [line for line in m.stages[-1].toDebugString.split("\n") if "feature " in line]
+    own = splits(ml.fit("gbt", ["x", "z"], "y", many, maxIter=2))
+    monkeypatch.setattr(trees, "fit", lambda *a: None)
+    assert own == splits(ml.fit("gbt", ["x", "z"], "y", many, maxIter=2)) and len(own) > 10
+
+
 def test_a_forest_is_as_good_as_sparks_and_the_same_when_repeated(rows, monkeypatch):
     args = ("rf", ["x", "u"], "y", rows.withColumn("u", F.col("x") + F.col("k") % 7 / 10))
     one, again = (ml.fit(*args, numTrees=24) for _ in range(2))
